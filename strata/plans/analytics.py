@@ -141,6 +141,7 @@ def top_map_for_medal(spark, sf):
 # ---- experiments and KPIs -------------------------------------------------
 
 SALT = "button-color:"
+LARGE_PURCHASE = 150
 
 
 def _arms(spark, sf):
@@ -158,7 +159,7 @@ def exposures(spark, sf):
 
 
 def experiment_readout(spark, sf):
-    outcomes = i.web_events(spark, sf).where(F.col("url") == "/purchase")
+    outcomes = i.web_events(spark, sf).where((F.col("url") == "/purchase") & (F.col("value") > LARGE_PURCHASE))
     return experiment.experiment_readout(exposures(spark, sf), outcomes, "user_id", "event_time", "value")
 
 
@@ -290,9 +291,9 @@ ORACLES = {
           sum(win) over w as wins, count(*) over w as games from tg
           window w as (partition by team order by game_date, game_id rows between 89 preceding and current row))
         select team, cast(max(wins) as bigint) as most_wins, max(games) as games_in_window from f group by team""",
-    "longest_streak": f"""with {_PLAYED}, seq as (select *, row_number() over (partition by player_id order by game_date, game_id) as rn,
+    "longest_streak": f"""with {_PLAYED}, seq as (select *, row_number() over (partition by player_id order by game_date, game_id) as no,
             row_number() over (partition by player_id, pts > 10 order by game_date, game_id) as rk from pg),
-        islands as (select player_id, rn - rk as island, count(*) as len, min(game_date) as a, max(game_date) as b, min(rn) as pos
+        islands as (select player_id, no - rk as island, count(*) as len, min(game_date) as a, max(game_date) as b, min(no) as pos
           from seq where pts > 10 group by 1, 2),
         best as (select * from (select *, row_number() over (partition by player_id order by len desc, pos) as r from islands) where r = 1)
         select p.player_id, p.player_name, coalesce(b.len, 0) as streak, b.a as streak_start, b.b as streak_end
@@ -316,7 +317,7 @@ ORACLES = {
     "exposures": f"with {i.WEB}, {_EXPOSED} select * from exposed",
     "experiment_readout": f"""with {i.WEB}, {_EXPOSED}, spent as (
           select e.user_id, sum(cast(w.value as decimal(18,2))) as v from exposed e join web w on w.user_id = e.user_id
-          where w.url = '/purchase' and w.event_time > e.first_exposure group by 1),
+          where w.url = '/purchase' and w.value > {LARGE_PURCHASE} and w.event_time > e.first_exposure group by 1),
         arms as (select experiment, arm, count(*) as users, count(v) as conversions, cast(coalesce(sum(v), 0) as double) as total_value
           from exposed e left join spent s on s.user_id = e.user_id group by 1, 2),
         r as (select *, conversions / users as conversion_rate, total_value / users as value_per_user from arms),

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from strata.functions.columns import names
 from strata.operators.guards import maybe_broadcast
+from strata.session import session_conf
 
 HOT_SUFFIX = "__hot"
 
@@ -52,7 +53,8 @@ def write_period(df: DataFrame, table: str, period_col: str, path: str | None =
         (writer if path is None else writer.option("path", path)).saveAsTable(table)
         return
     ordered = df.select(*spark.table(table).columns)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        ordered.write.mode("overwrite").insertInto(table)
 
 
 def materialize(df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None) -> DataFrame:
