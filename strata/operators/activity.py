@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import active_days, datelist_bits, join_arrays, keep_tail, names
 from strata.operators.clean import upsert_by_key
-from strata.operators.guards import require
+from strata.operators.guards import present, require
 from strata.operators.skew import list_parts
 
 
@@ -23,7 +23,7 @@ def daily_activity(events: DataFrame, key: str | Sequence[str], ts: str, ds: str
     """Hits per key and day, rows without a key removed: key, ``day``, ``hits``."""
     keys = names(key)
     rows = events if ds is None else on_day(events, ts, ds)
-    return rows.dropna(subset=keys).groupBy(*keys, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("hits"))
+    return present(rows, keys).groupBy(*keys, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("hits"))
 
 
 def cumulate_dates(
@@ -200,7 +200,7 @@ def host_activity_reduced(
     keys = names(key)
     date = F.to_date(F.lit(ds))
     month = F.trunc(date, "month")
-    today = on_day(events, ts, ds).dropna(subset=keys).groupBy(*keys).agg(
+    today = present(on_day(events, ts, ds), keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_hits"), F.count_distinct(user).alias("_users"))
     if prev is None:
         empty = F.lit(None).cast("array<bigint>")
@@ -224,7 +224,7 @@ def host_activity_backfill(events: DataFrame, key: str | Sequence[str], user: st
     date = F.to_date(F.lit(ds))
     month = F.trunc(date, "month")
     kind = events.schema[ts].dataType
-    rows = events.where((F.col(ts) >= month.cast(kind)) & (F.col(ts) < F.date_add(date, 1).cast(kind))).dropna(subset=keys)
+    rows = present(events.where((F.col(ts) >= month.cast(kind)) & (F.col(ts) < F.date_add(date, 1).cast(kind))), keys)
     daily = rows.groupBy(*keys, F.dayofmonth(ts).alias("_day")).agg(
         F.count(F.lit(1)).alias("_hits"), F.count_distinct(user).alias("_users"))
     packed = daily.groupBy(*keys).agg(
@@ -238,14 +238,14 @@ def host_activity_backfill(events: DataFrame, key: str | Sequence[str], user: st
 
 def pair_activity(events: DataFrame, user: str, device: str, host: str) -> DataFrame:
     """The shared aggregate: events and distinct hosts per (user, device)."""
-    return events.dropna(subset=[user, device]).groupBy(user, device).agg(
+    return present(events, [user, device]).groupBy(user, device).agg(
         F.count(F.lit(1)).alias("event_counts"), F.sort_array(F.collect_set(host)).alias("host_array"))
 
 
 def user_devices(pairs: DataFrame, user: str, device: str, size: int = 100_000) -> DataFrame:
     """Per user: hits on the busiest device and the devices used, in parts of about ``size``."""
-    peak = pairs.groupBy(user).agg(F.max("event_counts").alias("total_hits"))
-    return list_parts(pairs.select(user, device), user, device, size).withColumnRenamed("values", "devices").join(peak, user)
+    lists = list_parts(pairs.select(user, device, F.col("event_counts").alias("total_hits")), user, device, size, ["total_hits"])
+    return lists.withColumnRenamed("values", "devices")
 
 
 def device_users(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import names
-from strata.operators.guards import maybe_broadcast
+from strata.operators.guards import maybe_broadcast, present
 
 
 def dedupe_by_key(df: DataFrame, keys: str | Sequence[str], order_by: str | Column | Sequence[str | Column]) -> DataFrame:
@@ -37,7 +37,7 @@ def fill_unknown(df: DataFrame, cols: Sequence[str], literal: str = "unknown") -
 
 def require_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows whose listed columns are all non-null."""
-    return df.dropna(subset=list(cols))
+    return present(df, cols)
 
 
 def enrich(

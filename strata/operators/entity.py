@@ -171,6 +171,8 @@ def backfill_entity(
         *[F.col(c).alias("_s_" + c) for c in static],
     )
     grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_all"))
+    grouped = require(grouped, F.size("_all") == F.size(F.array_distinct(F.col("_all")["_period"])),
+                      f"more than one fact per key and {period}")
     each = grouped.select(*keys, "_all", F.posexplode("_all").alias("_pos", "_now"))
     following = F.get(F.col("_all"), F.col("_pos") + 1)["_period"]
     upto = F.slice(F.col("_all"), F.lit(1), F.col("_pos") + 1)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import column, hash_bucket, names
+from strata.operators.guards import present
 
 BUCKETS = 10_000
 
@@ -32,7 +33,7 @@ def exposures(events: DataFrame, arms: DataFrame, user: str, ts: str, event: str
 
     The event log is reduced to one row per user before the join.
     """
-    first = events.where(F.col(event) == name).dropna(subset=[user]).groupBy(user).agg(F.min(ts).alias("first_exposure"))
+    first = present(events, [user]).where(F.col(event) == name).groupBy(user).agg(F.min(ts).alias("first_exposure"))
     return first.join(arms.select(user, "arm"), user).select(user, F.lit(experiment).alias("experiment"), "arm", "first_exposure")
 
 
@@ -44,23 +45,30 @@ def experiment_readout(
     Outcomes count strictly after the first exposure; a user without any counts
     as 0. Values are added as decimals, so the totals do not depend on row order.
     """
+    # Whether a user converted needs only the last outcome of each user, which is
+    # aggregated before the shuffle. Amounts are added straight to the arms, so
+    # that adaptive execution may split a hot user in the row join.
+    last = outcomes.groupBy(user).agg(F.max(ts).alias("_last"))
+    arms = exposed.join(last, user, "left").groupBy("experiment", "arm").agg(
+        F.count(F.lit(1)).alias("users"), F.count_if(F.col("_last") > F.col("first_exposure")).alias("conversions"))
     amount = F.col(value).cast("decimal(18,2)")
     after = outcomes.select(user, F.col(ts).alias("_ts"), amount.alias("_value")).join(
-        exposed.select(user, "first_exposure"), user).where(F.col("_ts") > F.col("first_exposure"))
-    per_user = after.groupBy(user).agg(F.sum("_value").alias("_value"))
-    arms = exposed.join(per_user, user, "left").groupBy("experiment", "arm").agg(
-        F.count(F.lit(1)).alias("users"),
-        F.count("_value").alias("conversions"),
-        F.coalesce(F.sum("_value"), F.lit(0)).cast("double").alias("total_value"),
-    )
+        exposed.select(user, "experiment", "arm", "first_exposure"), user).where(F.col("_ts") > F.col("first_exposure"))
+    totals = after.groupBy("experiment", "arm").agg(F.sum("_value").cast("double").alias("total_value"))
+    arms = arms.join(totals, ["experiment", "arm"], "left").fillna({"total_value": 0.0})
     rates = arms.withColumns({
         "conversion_rate": F.try_divide(F.col("conversions"), F.col("users")),
         "value_per_user": F.try_divide(F.col("total_value"), F.col("users")),
     })
-    base = rates.where(F.col("arm") == control).select(
-        "experiment", F.col("users").alias("_n"), F.col("conversions").alias("_x"),
-        F.col("conversion_rate").alias("_p"), F.col("value_per_user").alias("_v"))
-    both = rates.join(base, "experiment", "left")
+    # one row per arm by now: the control's figures come from a window over the experiment
+    whole = Window.partitionBy("experiment")
+
+    def of_control(name: str) -> Column:
+        return F.max(F.when(F.col("arm") == control, F.col(name))).over(whole)
+
+    both = rates.withColumns({
+        "_n": of_control("users"), "_x": of_control("conversions"),
+        "_p": of_control("conversion_rate"), "_v": of_control("value_per_user")})
     pooled = F.try_divide(F.col("conversions") + F.col("_x"), F.col("users") + F.col("_n"))
     error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("users")) + F.try_divide(F.lit(1), F.col("_n"))))
     other = F.col("arm") != control

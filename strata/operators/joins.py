@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.guards import maybe_broadcast
+from strata.operators.guards import maybe_broadcast, present
 from strata.operators.patterns import leaders
 from strata.sources.tables import hot_table
 
@@ -60,7 +60,7 @@ def avg_kills_per_game(match_details: DataFrame, player: str, match: str, kills:
 
 def most_played(matches: DataFrame, dim: str, match: str) -> DataFrame:
     """The dimension value (playlist, map) with most distinct matches (ties included)."""
-    return leaders(matches.dropna(subset=[dim]).groupBy(dim).agg(F.count_distinct(match).alias("matches")), "matches")
+    return leaders(present(matches, [dim]).groupBy(dim).agg(F.count_distinct(match).alias("matches")), "matches")
 
 
 def top_map_for_medal(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import column, names
 from strata.operators.clean import dedupe_exact
+from strata.operators.guards import present
 from strata.operators.skew import running_totals
 
 
@@ -82,7 +83,7 @@ def rolling_trends(
         frames = rolling.rangeBetween(-6, 0), rolling.rangeBetween(-previous[0], -previous[1])
     else:
         frames = ordered.rowsBetween(-6, 0), ordered.rowsBetween(-previous[0], -previous[1])
-    out = daily.dropna(subset=keys).withColumn("_month", F.trunc(day, "month")).withColumns({
+    out = present(daily, keys).withColumn("_month", F.trunc(day, "month")).withColumns({
         "running_total": _window_sum(measure, ordered.rowsBetween(Window.unboundedPreceding, 0)),
         "grand_total": _window_sum(measure, ordered.rowsBetween(*whole)),
         "weekly_rolling": _window_sum(measure, frames[0]),
@@ -115,7 +116,7 @@ def funnel_conversion(
     that nothing follows.
     """
     day = F.to_date(ts).alias("_day")
-    known = events.dropna(subset=[user])
+    known = present(events, [user])
     rows = dedupe_exact(known, [user, ts, step]).withColumn("_day", day)
     peaks = known.groupBy(user, day).agg(
         F.max(ts).alias("_last"), F.max(F.when(F.col(step) == target, F.col(ts))).alias("_target"))
@@ -142,10 +143,10 @@ def best_stretch(
         games.select(team, day, game, F.col(win).cast("bigint").alias("_win"), F.lit(1).cast("bigint").alias("_one")),
         team, day, game, {"_no": "_one"}, width)
     size = max(width, n)
-    own = F.floor((F.col("_no") - 1) / F.lit(size))
-    ahead = F.col("_no") - 1 - own * size >= size - (n - 1)
-    rows = numbered.withColumn("_own", own).withColumn(
-        "_block", F.explode(F.when(ahead, F.array(own, own + 1)).otherwise(F.array(own))))
+    place = F.pmod(F.col("_no") - 1, F.lit(size))
+    own = F.col("_no") - 1 - place
+    copies = F.when(place >= size - (n - 1), F.array(own, own + size)).otherwise(F.array(own))
+    rows = numbered.withColumn("_own", own).withColumn("_block", F.explode(copies))
     frame = Window.partitionBy(team, "_block").orderBy("_no").rowsBetween(-(n - 1), 0)
     framed = rows.withColumns({"_wins": F.sum("_win").over(frame), "_games": F.count(F.lit(1)).over(frame)})
     return framed.where(F.col("_own") == F.col("_block")).groupBy(team).agg(

@@ -22,57 +22,73 @@ def running_totals(
 
     ``totals`` maps a new column to the integer column it accumulates. ``seq`` is
     an integer that is unique within a key. Rows are windowed in blocks of
-    (key, day, seq // width), which hold at most ``width`` rows each; block totals
-    are summed over the blocks of a day, and day totals over the days of a key.
+    (key, day, ``width`` consecutive values of seq), which hold at most ``width``
+    rows each; block totals are summed over the blocks of a day, and day totals
+    over the days of a key. Only the first step shuffles rows; the totals are
+    aggregated before they are shuffled.
     """
     keys = names(key)
     block = [*keys, day, "_block"]
-    rows = df.withColumn("_block", F.floor(F.col(seq) / F.lit(width)))
+    rows = df.withColumn("_block", F.col(seq) - F.pmod(F.col(seq), F.lit(width)))
     per_block = rows.groupBy(*block).agg(*[F.sum(src).alias(out) for out, src in totals.items()])
-    per_day = per_block.groupBy(*keys, day).agg(*[F.sum(out).alias(out) for out in totals])
-
-    def before(frame, partition, order, prefix):
-        w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        sums = {prefix + out: F.coalesce(F.sum(out).over(w), F.lit(0)) for out in totals}
-        return frame.withColumns(sums).drop(*totals)
-
-    offsets = before(per_block, [*keys, day], "_block", "_b_").join(
-        before(per_day, keys, day, "_d_"), [*keys, day])
+    of_day = Window.partitionBy(*keys, day).orderBy("_block")
+    earlier = of_day.rowsBetween(Window.unboundedPreceding, -1)
+    entire = of_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    blocks = per_block.withColumns({
+        "_first": F.row_number().over(of_day),
+        **{"_b_" + c: F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in totals},
+        **{"_t_" + c: F.sum(c).over(entire) for c in totals},
+    })
+    past_days = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    days = blocks.where("_first = 1").select(
+        *keys, day, *[F.coalesce(F.sum("_t_" + c).over(past_days), F.lit(0)).alias("_d_" + c) for c in totals])
+    offsets = blocks.join(days, [*keys, day]).select(
+        *block, *[(F.col("_b_" + c) + F.col("_d_" + c)).alias("_o_" + c) for c in totals])
     inside = Window.partitionBy(*block).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = rows.withColumns({out: F.sum(src).over(inside) for out, src in totals.items()})
-    out = summed.join(offsets, block)
-    out = out.withColumns({c: F.col(c) + F.col("_b_" + c) + F.col("_d_" + c) for c in totals})
+    out = summed.join(offsets, block).withColumns({c: F.col(c) + F.col("_o_" + c) for c in totals})
     return out.select(*df.columns, *totals)
 
 
-def list_parts(df: DataFrame, key: str | Sequence[str], value: str, size: int = 100_000) -> DataFrame:
+def list_parts(
+    df: DataFrame, key: str | Sequence[str], value: str, size: int = 100_000, maxima: Sequence[str] = ()
+) -> DataFrame:
     """Sorted lists of a value per key, cut into parts of about ``size`` elements: key, ``part``, ``values``.
 
     Keys with up to ``size`` rows have the single part 0. Larger ones are spread by
     a hash of the value, so that no task and no row holds a whole hot key; the
-    parts of a key together are its complete list. Only the few large keys are
-    joined back.
+    parts of a key together are its complete list. ``maxima`` columns are added as
+    the maximum over the whole key, in every part.
+
+    The list of large keys meets the rows in a left join which adaptive execution
+    can split; the explicit shuffle by (key, part) after it is what allows that.
     """
     keys = names(key)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
-    large = counts.select(*keys, F.ceil(F.col("_n") / F.lit(size)).alias("_parts"))
+    stats = df.groupBy(*keys).agg(F.count(value).alias("_n"), *[F.max(c).alias("_all_" + c) for c in maxima])
+    large = stats.where(F.col("_n") > size).select(
+        *keys, F.ceil(F.col("_n") / F.lit(size)).alias("_parts"), *["_all_" + c for c in maxima])
     part = F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(value), F.col("_parts")))
-    return df.join(large, keys, "left").groupBy(*keys, part.alias("part")).agg(
-        F.sort_array(F.collect_list(value)).alias("values"))
+    rows = df.join(large, keys, "left").withColumn("part", part).repartition(*keys, "part")
+    return rows.groupBy(*keys, "part").agg(
+        F.sort_array(F.collect_list(value)).alias("values"),
+        *[F.coalesce(F.max("_all_" + c), F.max(c)).alias(c) for c in maxima])
 
 
-def split_pairs(df: DataFrame, group: str, member: str, most: int = 2_000) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a self-join within ``group`` that meets every pair of rows exactly once per order.
+def split_pairs(
+    rows: DataFrame, counted: DataFrame, group: str, member: str, most: int = 2_000
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a self-join within ``group`` in which every pair of rows meets exactly once per order.
 
     A group of more than ``most`` rows is divided into c chunks by a hash of the
     member; the left copy of a row goes to the c cells of its row of chunks, the
     right copy to the c cells of its column. Each cell joins at most about
     ``most`` x ``most`` rows, and cells run in different tasks. Join on
-    ``[group, "_i", "_j"]``.
+    ``[group, "_i", "_j"]``. Sizes are taken from ``counted``, which holds at least
+    the rows (the raw table, of which only the group column is read).
     """
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
-    large = counts.select(group, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_c"))
-    rows = df.join(large, group, "left").withColumn("_c", F.coalesce("_c", F.lit(1)))
+    sizes = counted.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    large = sizes.select(group, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_c"))
+    rows = rows.join(large, group, "left").withColumn("_c", F.coalesce("_c", F.lit(1)))
     rows = rows.withColumn("_own", F.pmod(F.xxhash64(member), F.col("_c")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_c") - 1))
     left = rows.withColumn("_j", other).withColumnRenamed("_own", "_i").drop("_c")

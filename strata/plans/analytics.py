@@ -63,19 +63,19 @@ def _player_games(spark, sf):
 
 def game_grouping_sets(spark, sf):
     """Points by (player, team), (player, season) and team; games won by team, one row per team and game."""
-    rows = _player_games(spark, sf).groupBy("game_id", "team_name", "player_name", "season", "won").agg(F.sum("pts").alias("pts"))
-    points = patterns.grouping_rollup(rows, [["player_name", "team_name"], ["player_name", "season"], ["team_name"]], {"points": "pts"})
-    wins = rows.where("won").select("team_name", "game_id").distinct().groupBy("team_name").agg(F.count(F.lit(1)).alias("games_won"))
+    points = patterns.grouping_rollup(_player_games(spark, sf), [["player_name", "team_name"], ["player_name", "season"], ["team_name"]], {"points": "pts"})
+    played = i.game_details(spark, sf).select("team_name", "game_id").distinct()
+    won = i.games(spark, sf).where("won").select("game_id")
+    wins = played.join(won, "game_id").groupBy("team_name").agg(F.count(F.lit(1)).alias("games_won"))
     team_level = (points["aggregation_level"] == "team_name") & (points["team_name"] == wins["team_name"])
     return points.join(wins, team_level, "left").select(*[points[c] for c in points.columns], "games_won")
 
 
 def game_leaders(spark, sf):
     """Most points for one team, most points in one season, most games won."""
-    sets = game_grouping_sets(spark, sf)
-    best = patterns.leaders(sets.where("aggregation_level <> 'team_name'"), "points", "aggregation_level")
-    won = patterns.leaders(sets.where("aggregation_level = 'team_name'"), "games_won")
-    return best.unionByName(won)
+    by = F.when(F.col("aggregation_level") == "team_name", F.col("games_won")).otherwise(F.col("points"))
+    sets = game_grouping_sets(spark, sf).withColumn("lead", by)
+    return patterns.leaders(sets, "lead", "aggregation_level").drop("lead")
 
 
 # ---- trends ---------------------------------------------------------------
@@ -145,7 +145,7 @@ LARGE_PURCHASE = 150
 
 
 def _arms(spark, sf):
-    users = i.web_events(spark, sf).select("user_id").dropna().distinct()
+    users = clean.require_present(i.web_events(spark, sf), ["user_id"]).select("user_id").distinct()
     return experiment.assign_arms(users, "user_id", SALT)
 
 
@@ -172,7 +172,7 @@ def kpi_profit(spark, sf):
 
 def kpi_growth(spark, sf):
     """New users per day and in total."""
-    first = i.web_events(spark, sf).dropna(subset=["user_id"]).groupBy("user_id").agg(F.to_date(F.min("event_time")).alias("day"))
+    first = clean.require_present(i.web_events(spark, sf), ["user_id"]).groupBy("user_id").agg(F.to_date(F.min("event_time")).alias("day"))
     return experiment.kpi_rollup(first, {"new_users": F.lit(1).cast("bigint")}, "day")
 
 

@@ -15,7 +15,7 @@ def daily(spark, sf, key="user_id"):
 
 
 def browser_events(spark, sf):
-    known = i.devices(spark, sf).select("device_id", "browser_type").dropna()
+    known = clean.require_present(i.devices(spark, sf).select("device_id", "browser_type"), ["browser_type"])
     return clean.enrich(i.web_events(spark, sf).select("user_id", "device_id", "event_time"), known, "device_id")
 
 
@@ -51,7 +51,7 @@ def enrich(spark, sf):
 
 
 def enrich_left(spark, sf):
-    known = i.devices(spark, sf).dropna(subset=["browser_type"])
+    known = clean.require_present(i.devices(spark, sf), ["browser_type"])
     out = clean.enrich(i.web_events(spark, sf), known, "device_id", "left", {"browser_type": "browser_family"})
     return out.select("event_id", "device_id", "browser_family")
 

@@ -45,9 +45,11 @@ def write_period(df: DataFrame, table: str, period_col: str, path: str | None =
     """Write the periods present in ``df``; a re-run replaces them and leaves the others alone.
 
     The first write creates the table, partitioned by the period; later ones match
-    columns by name.
+    columns by name. Rows are rebalanced by period: few files per period, and
+    several for one that holds most of the rows.
     """
     spark = df.sparkSession
+    df = df.hint("rebalance", period_col)
     if not spark.catalog.tableExists(table):
         writer = df.write.partitionBy(period_col).format("parquet")
         (writer if path is None else writer.option("path", path)).saveAsTable(table)
@@ -113,15 +115,16 @@ def write_clustered(
 ) -> None:
     """Write Parquet whose files are sorted, so that equal values compress together.
 
-    By default rows are hash-partitioned on ``by`` and sorted inside partitions;
-    ``global_sort`` range-partitions on the sort columns instead, which costs a
-    sampling pass and spreads a value that holds a large share of the rows over
-    several files as far as the remaining sort columns tell rows apart.
+    By default rows are rebalanced on ``by`` (a hash partitioning into ``n`` parts
+    whose oversized parts adaptive execution splits and whose small ones it merges)
+    and sorted inside partitions. ``global_sort`` range-partitions on the sort
+    columns instead, which costs a sampling pass and spreads a hot value only as
+    far as the remaining sort columns tell its rows apart.
     """
     if global_sort:
         parts = df.repartitionByRange(n, *sort_cols) if n else df.repartitionByRange(*sort_cols)
     else:
-        parts = df.repartition(n, *names(by)) if n else df.repartition(*names(by))
+        parts = df.hint("rebalance", *([n] if n else []), *names(by))
     parts.sortWithinPartitions(*sort_cols).write.mode("overwrite").parquet(path)
 
 
