@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import band, join_arrays, keep_tail, names
 from strata.operators.guards import require
+from strata.operators.skew import list_parts
 
 
 def _advance(prev, today, keys, static, period, run_period, keep_last):
@@ -71,74 +72,76 @@ def cumulate_grouped_entity(
     measure: str,
     bands: Sequence[tuple[float, str]],
     default: str,
-    static: Sequence[str] = (),
-    keep_last: int | None = None,
+    part_size: int = 100_000,
 ) -> DataFrame:
     """As ``cumulate_entity`` with many fact rows per key and period.
 
     All of a period's records join the history, sorted by ``record`` (put the id
     first); the class is the band of the mean measure of the latest active period.
-    The array is the table's own layout, so a key's history must fit one row:
-    bound it with ``keep_last`` where a key may hold very many facts, or keep
-    the facts as rows with ``grouped_history_rows``.
+    The snapshot has a ``part`` column: a key with more than ``part_size`` records in
+    a period holds them as several rows (its state repeated), so that neither a
+    task nor a row has to take a whole hot key. All other keys have part 0 only.
     """
     keys = names(key)
     rows = facts.where(F.col(period) == F.lit(run_period))
-    today = rows.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in static],
-        F.sort_array(F.collect_list(F.struct(*record))).alias("_records"),
-        band(F.avg(measure), bands, default).alias("_class"),
-    )
-    return _advance(prev, today, keys, list(static), period, run_period, keep_last)
-
-
-def _per_period(facts, keys, period, last, record, measure, bands, default, static):
-    rows = facts.where(F.col(period) <= F.lit(last))
-    records = [F.sort_array(F.collect_list(F.struct(*record))).alias("_records")] if record else []
-    return rows.groupBy(*keys, period).agg(
-        *[F.max(c).alias(c) for c in static], *records, F.count(F.lit(1)).alias("_count"),
-        band(F.avg(measure), bands, default).alias("_class"))
+    classes = rows.groupBy(*keys).agg(band(F.avg(measure), bands, default).alias("_class"))
+    lists = list_parts(rows.select(*keys, F.struct(*record).alias("_record")), keys, "_record", part_size)
+    lists = lists.withColumnRenamed("values", "_records")
+    if prev is None:
+        return lists.join(classes, keys).select(
+            *keys, "part", F.col("_records").alias("history"), F.col("_class").alias("entity_class"),
+            F.lit(True).alias("is_active"), F.lit(0).alias("periods_since_active"), F.lit(run_period).alias(period))
+    prev = require(prev, F.col(period) == F.lit(run_period - 1), f"the previous snapshot must be of {period} {run_period - 1}")
+    present = F.col("_class").isNotNull()
+    return prev.drop(period, "is_active").join(lists, [*keys, "part"], "full").join(classes, keys, "left").select(
+        *keys, "part", join_arrays(F.col("history"), F.col("_records")).alias("history"),
+        F.coalesce("_class", "entity_class").alias("entity_class"),
+        present.alias("is_active"),
+        F.when(present, F.lit(0)).otherwise(F.col("periods_since_active") + 1).alias("periods_since_active"),
+        F.lit(run_period).alias(period))
 
 
-def backfill_grouped_entity(
+def grouped_entity_states(
     facts: DataFrame,
     key: str | Sequence[str],
     period: str,
     last: int,
-    record: Sequence[str],
     measure: str,
     bands: Sequence[tuple[float, str]],
     default: str,
-    static: Sequence[str] = (),
     emit_from: int | None = None,
 ) -> DataFrame:
-    """All snapshots up to ``last`` of entities with many facts per period; equals ``cumulate_grouped_entity`` run by period."""
+    """Class, activity and number of records of every entity and period, without the records.
+
+    Facts are averaged per key and period before the shuffle, so an entity with
+    very many facts costs no more than any other.
+    """
     keys = names(key)
-    per_period = _per_period(facts, keys, period, last, record, measure, bands, default, static)
-    out = backfill_entity(per_period, keys, period, last, ["_records"], F.col("_class"), static, emit_from=emit_from)
-    return out.withColumn("history", F.flatten(F.col("history")["_records"]))
+    per_period = facts.where(F.col(period) <= F.lit(last)).groupBy(*keys, period).agg(
+        F.count(F.lit(1)).alias("_count"), band(F.avg(measure), bands, default).alias("_class"))
+    out = backfill_entity(per_period, keys, period, last, ["_count"], F.col("_class"), emit_from=emit_from)
+    total = F.aggregate("history", F.lit(0).cast("bigint"), lambda n, x: n + x["_count"])
+    return out.withColumn("records", total).drop("history")
 
 
-def grouped_history_rows(
+def backfill_grouped_entity(
     facts: DataFrame,
     key: str | Sequence[str],
     period: str,
     last: int,
+    record: Sequence[str],
     measure: str,
     bands: Sequence[tuple[float, str]],
     default: str,
+    part_size: int = 100_000,
 ) -> DataFrame:
-    """Class, activity and number of records of every entity and period, without any record array.
-
-    The facts themselves are the history (join on key where fact period <=
-    snapshot period), so an entity with very many facts never becomes one row;
-    they are averaged per key and period before the shuffle.
-    """
+    """The snapshot of ``last`` in one pass; equals ``cumulate_grouped_entity`` run up to it (parts aside)."""
     keys = names(key)
-    per_period = _per_period(facts, keys, period, last, (), measure, bands, default, ())
-    out = backfill_entity(per_period, keys, period, last, ["_count"], F.col("_class"))
-    total = F.aggregate("history", F.lit(0).cast("bigint"), lambda n, x: n + x["_count"])
-    return out.withColumn("records", total).drop("history")
+    state = grouped_entity_states(facts, keys, period, last, measure, bands, default, emit_from=last).drop("records")
+    rows = facts.where(F.col(period) <= F.lit(last)).select(*keys, F.struct(period, F.struct(*record).alias("_r")).alias("_record"))
+    lists = list_parts(rows, keys, "_record", part_size).withColumn("history", F.col("values")["_r"]).drop("values")
+    return lists.join(state, keys).select(
+        *keys, "part", "history", "entity_class", "is_active", "periods_since_active", period)
 
 
 def backfill_entity(

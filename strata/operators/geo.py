@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import ip_number
@@ -15,23 +15,33 @@ def geo_segments(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
     """Cut ranges (lo, hi, country, state, city) at prefix edges into disjoint segments.
 
     Where ranges overlap the narrowest one wins (then the lowest start, then the
-    place in alphabetical order). Disjoint ranges yield at most one segment per
-    range plus one per prefix.
+    place in alphabetical order); only prefixes with an overlap are cut at every
+    edge. Disjoint ranges yield at most one segment per range plus one per prefix.
     """
     shift = 32 - prefix_bits
     size = 1 << shift
-    each = ranges.withColumn("prefix", F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright("hi", shift))))
-    low = F.greatest(F.col("lo"), F.col("prefix") * F.lit(size))
-    high = F.least(F.col("hi"), F.col("prefix") * F.lit(size) + F.lit(size - 1))
-    per_prefix = each.groupBy("prefix").agg(F.sort_array(F.collect_set(F.struct(
-        (F.col("hi") - F.col("lo")).alias("width"), "lo", low.alias("low"), high.alias("high"), *PLACE))).alias("_c"))
+    each = ranges.distinct().withColumn("prefix", F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright("hi", shift))))
+    each = each.withColumns({
+        "low": F.greatest(F.col("lo"), F.col("prefix") * F.lit(size)),
+        "high": F.least(F.col("hi"), F.col("prefix") * F.lit(size) + F.lit(size - 1)),
+        "width": F.col("hi") - F.col("lo"),
+    })
+    w = Window.partitionBy("prefix")
+    before = F.max("high").over(w.orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
+    each = each.withColumn("_meets", F.coalesce((before >= F.col("low")).cast("int"), F.lit(0)))
+    each = each.withColumn("_overlap", F.max("_meets").over(w))
+    disjoint = each.where("_overlap = 0").select("prefix", F.col("low").alias("seg_lo"), F.col("high").alias("seg_hi"), *PLACE)
+
+    candidates = each.where("_overlap = 1").groupBy("prefix").agg(
+        F.sort_array(F.collect_list(F.struct("width", "lo", "low", "high", *PLACE))).alias("_c"))
     edges = F.array_sort(F.array_union(F.col("_c")["low"], F.transform(F.col("_c")["high"], lambda h: h + 1)))
-    pieces = per_prefix.select("prefix", "_c", edges.alias("_edges")).select(
+    pieces = candidates.select("prefix", "_c", edges.alias("_edges")).select(
         "prefix", "_c", "_edges", F.posexplode("_edges").alias("_pos", "seg_lo"))
     cover = F.get(F.filter("_c", lambda c: (c["low"] <= F.col("seg_lo")) & (c["high"] >= F.col("seg_lo"))), F.lit(0))
-    return pieces.select(
+    cut = pieces.select(
         "prefix", "seg_lo", (F.get(F.col("_edges"), F.col("_pos") + 1) - 1).alias("seg_hi"), cover.alias("_r"),
     ).where(F.col("_r").isNotNull()).select("prefix", "seg_lo", "seg_hi", *[F.col("_r")[p].alias(p) for p in PLACE])
+    return disjoint.unionByName(cut)
 
 
 def geo_enrich(df: DataFrame, ip: str, ranges: DataFrame, prefix_bits: int = 16, name: str = "geodata") -> DataFrame:

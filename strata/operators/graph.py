@@ -73,8 +73,7 @@ def cooccurrence_edges(
     divided over many tasks rather than capped.
     """
     rows = dedupe_by_key(df, [event, node], order_by).select(event, node, name, group, measure)
-    left, right = split_pairs(rows, df, event, node, most)
-    cell = [event, "_i", "_j"]
+    left, right, cell = split_pairs(rows, df, event, node, most)
     a = left.select(*cell, *[F.col(c).alias("_l_" + str(i)) for i, c in enumerate([node, name, group, measure])])
     b = right.select(*cell, *[F.col(c).alias("_r_" + str(i)) for i, c in enumerate([node, name, group, measure])])
     pairs = a.join(b, cell).where((F.col("_l_0") > F.col("_r_0")) & (F.col("_l_1") != F.col("_r_1")))

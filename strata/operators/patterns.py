@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import column, names
 from strata.operators.clean import dedupe_exact
 from strata.operators.guards import present
-from strata.operators.skew import running_totals
+from strata.operators.skew import blocked_totals, large_groups, running_totals
 
 
 def grouping_rollup(
@@ -134,14 +134,17 @@ def best_stretch(
 ) -> DataFrame:
     """Most wins of each team in any ``n`` consecutive games, ordered by (day, game id).
 
-    Games are numbered per team by blocked running totals and cut into blocks of
-    numbers; the last ``n - 1`` games of a block are also sent to the next one, so
-    every frame lies inside one block and no team is handled by a single task.
-    ``games_in_window`` is below ``n`` for a team with fewer games.
+    ``games_in_window`` is below ``n`` for a team with fewer games. Where a team has
+    more than ``width`` games, games are numbered by blocked running totals and cut
+    into blocks of numbers; the last ``n - 1`` games of a block are also sent to the
+    next one, so that every frame lies inside one block and no team in one task.
     """
-    numbered = running_totals(
-        games.select(team, day, game, F.col(win).cast("bigint").alias("_win"), F.lit(1).cast("bigint").alias("_one")),
-        team, day, game, {"_no": "_one"}, width)
+    slim = games.select(team, day, game, F.col(win).cast("bigint").alias("_win"))
+    if large_groups(slim, team, width) is None:
+        frame = Window.partitionBy(team).orderBy(day, game).rowsBetween(-(n - 1), 0)
+        framed = slim.select(team, F.sum("_win").over(frame).alias("_wins"), F.count(F.lit(1)).over(frame).alias("_games"))
+        return framed.groupBy(team).agg(F.max("_wins").alias("most_wins"), F.max("_games").alias("games_in_window"))
+    numbered = blocked_totals(slim.withColumn("_one", F.lit(1).cast("bigint")), [team], day, game, {"_no": "_one"}, width)
     size = max(width, n)
     place = F.pmod(F.col("_no") - 1, F.lit(size))
     own = F.col("_no") - 1 - place
@@ -154,18 +157,19 @@ def best_stretch(
 
 
 def longest_streak(
-    rows: DataFrame, key: str | Sequence[str], day: str, seq: str, predicate: Column, width: int = 1_000_000
+    rows: DataFrame, key: str | Sequence[str], day: str, seq: str, predicate: Column, width: int = 1_000_000,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Longest run of consecutive rows per key that meet ``predicate``, with its first and last day.
 
     A run is numbered by the failures before it (null counts as a failure), then
     counted by aggregation. The earliest of equally long runs is reported; a key
-    without any has length 0 and no days.
+    without any has length 0 and no days. ``counted`` as in ``running_totals``.
     """
     keys = names(key)
     hit = F.coalesce(predicate, F.lit(False))
     flagged = rows.select(*keys, day, seq, F.when(hit, 0).otherwise(1).cast("bigint").alias("_fail"))
-    runs = running_totals(flagged, keys, day, seq, {"_run": "_fail"}, width)
+    runs = running_totals(flagged, keys, day, seq, {"_run": "_fail"}, width, counted)
     met = F.col("_fail") == 0
     per_run = runs.groupBy(*keys, "_run").agg(
         F.count_if(met).alias("_len"), F.min(F.when(met, F.col(day))).alias("_from"), F.max(F.when(met, F.col(day))).alias("_to"))

@@ -8,6 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import names
+from strata.operators.guards import maybe_broadcast
+
+
+def large_groups(df: DataFrame, key: str | Sequence[str], most: int) -> DataFrame | None:
+    """Keys of more than ``most`` rows with their size ``_n``, or None where there are none.
+
+    One counting job over the key columns: the caller picks the plain form of its
+    plan where no group is large, which is cheaper than guarding every group.
+    """
+    sizes = df.groupBy(*names(key)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    return None if sizes.isEmpty() else sizes
 
 
 def running_totals(
@@ -17,17 +28,36 @@ def running_totals(
     seq: str,
     totals: dict[str, str],
     width: int = 1_000_000,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Running sums per key in the order (day, seq), without one task per key.
+    """Running sums per key in the order (day, seq), without a task that holds a large key.
 
     ``totals`` maps a new column to the integer column it accumulates. ``seq`` is
-    an integer that is unique within a key. Rows are windowed in blocks of
-    (key, day, ``width`` consecutive values of seq), which hold at most ``width``
-    rows each; block totals are summed over the blocks of a day, and day totals
-    over the days of a key. Only the first step shuffles rows; the totals are
-    aggregated before they are shuffled.
+    an integer that is unique within a key. Keys of up to ``width`` rows are summed
+    by one window; larger keys by ``blocked_totals``. Sizes are taken from
+    ``counted``, a cheaper table that holds at least the rows of ``df``.
     """
     keys = names(key)
+    large = large_groups(df if counted is None else counted, keys, width)
+    if large is None:
+        return _plain_totals(df, keys, day, seq, totals)
+    large = maybe_broadcast(large.select(*keys))
+    rest = _plain_totals(df.join(large, keys, "left_anti"), keys, day, seq, totals)
+    return rest.unionByName(blocked_totals(df.join(large, keys, "left_semi"), keys, day, seq, totals, width))
+
+
+def _plain_totals(df, keys, day, seq, totals):
+    w = Window.partitionBy(*keys).orderBy(day, seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns({out: F.sum(src).over(w) for out, src in totals.items()})
+
+
+def blocked_totals(df, keys, day, seq, totals, width):
+    """Rows are windowed in blocks of (key, day, ``width`` consecutive values of seq).
+
+    A block holds at most ``width`` rows; block totals are summed over the blocks
+    of a day, and day totals over the days of a key. Only the first step shuffles
+    rows; the totals are aggregated before they are shuffled.
+    """
     block = [*keys, day, "_block"]
     rows = df.withColumn("_block", F.col(seq) - F.pmod(F.col(seq), F.lit(width)))
     per_block = rows.groupBy(*block).agg(*[F.sum(src).alias(out) for out, src in totals.items()])
@@ -76,21 +106,23 @@ def list_parts(
 
 def split_pairs(
     rows: DataFrame, counted: DataFrame, group: str, member: str, most: int = 2_000
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a self-join within ``group`` in which every pair of rows meets exactly once per order.
-
-    A group of more than ``most`` rows is divided into c chunks by a hash of the
-    member; the left copy of a row goes to the c cells of its row of chunks, the
-    right copy to the c cells of its column. Each cell joins at most about
-    ``most`` x ``most`` rows, and cells run in different tasks. Join on
-    ``[group, "_i", "_j"]``. Sizes are taken from ``counted``, which holds at least
-    the rows (the raw table, of which only the group column is read).
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides and the join columns of a self-join within ``group``; every ordered pair of rows meets once.
+
+    Where some group has more than ``most`` rows, it is divided into c chunks by a
+    hash of the member; the left copy of a row goes to the c cells of its row of
+    chunks, the right copy to the c cells of its column. Each cell joins at most
+    about ``most`` x ``most`` rows, and cells run in different tasks. Sizes are taken
+    from ``counted``, which holds at least the rows (the raw table, of which only
+    the group column is read).
     """
-    sizes = counted.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
-    large = sizes.select(group, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_c"))
-    rows = rows.join(large, group, "left").withColumn("_c", F.coalesce("_c", F.lit(1)))
+    large = large_groups(counted, group, most)
+    if large is None:
+        return rows, rows, [group]
+    chunks = large.select(group, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_c"))
+    rows = rows.join(chunks, group, "left").withColumn("_c", F.coalesce("_c", F.lit(1)))
     rows = rows.withColumn("_own", F.pmod(F.xxhash64(member), F.col("_c")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_c") - 1))
     left = rows.withColumn("_j", other).withColumnRenamed("_own", "_i").drop("_c")
     right = rows.withColumn("_i", other).withColumnRenamed("_own", "_j").drop("_c")
-    return left, right
+    return left, right, [group, "_i", "_j"]

@@ -76,16 +76,16 @@ FILM_RECORD = ["film_id", "votes", "rating"]
 def cumulate_grouped_entity(spark, sf):
     films = i.films(spark, sf)
     before, last = i.LAST_SEASON - 1, i.LAST_SEASON
-    prev = entity.backfill_grouped_entity(
-        films, "actor_id", "year", before, FILM_RECORD, "rating", i.RATING_BANDS, i.LOWEST, emit_from=before)
-    out = entity.cumulate_grouped_entity(prev, films, "actor_id", "year", last, FILM_RECORD, "rating", i.RATING_BANDS, i.LOWEST)
+    rules = (FILM_RECORD, "rating", i.RATING_BANDS, i.LOWEST)
+    prev = entity.backfill_grouped_entity(films, "actor_id", "year", before, *rules)
+    out = entity.cumulate_grouped_entity(prev, films, "actor_id", "year", last, *rules)
     text = F.transform("history", lambda x: F.concat_ws(":", x["film_id"].cast("string"), x["rating"].cast("string")))
-    return out.select("actor_id", "year", F.array_join(text, ",").alias("films"), F.col("entity_class").alias("quality_class"), "is_active")
+    return out.select("actor_id", "part", "year", F.array_join(text, ",").alias("films"),
+                      F.col("entity_class").alias("quality_class"), "is_active")
 
 
-def grouped_history_rows(spark, sf):
-    return entity.grouped_history_rows(
-        i.films(spark, sf), "actor_id", "year", i.LAST_SEASON, "rating", i.RATING_BANDS, i.LOWEST)
+def grouped_entity_states(spark, sf):
+    return entity.grouped_entity_states(i.films(spark, sf), "actor_id", "year", i.LAST_SEASON, "rating", i.RATING_BANDS, i.LOWEST)
 
 
 def state_change(spark, sf):
@@ -132,7 +132,7 @@ QUERIES = {
     "scd2_backfill_attrs": scd2_backfill_attrs,
     "scd2_incremental": scd2_incremental,
     "cumulate_grouped_entity": cumulate_grouped_entity,
-    "grouped_history_rows": grouped_history_rows,
+    "grouped_entity_states": grouped_entity_states,
     "state_change": state_change,
     "vertices": vertices,
     "membership_edges": membership_edges,
@@ -159,12 +159,12 @@ ORACLES = {
     "scd2_incremental": _SCD_TWO_SQL,
     "cumulate_grouped_entity": f"""with {i.FILMS}, {_CAREER}, latest as (
           select actor_id, arg_max(mean, year) as mean, max(year) as last_year from yearly group by actor_id)
-        select f.actor_id, cast({i.LAST_SEASON} as integer) as year,
+        select f.actor_id, cast(0 as bigint) as part, cast({i.LAST_SEASON} as integer) as year,
                string_agg(f.film_id || ':' || f.rating, ',' order by f.year, f.film_id) as films,
                {i.sql_band('any_value(l.mean)', i.RATING_BANDS, i.LOWEST)} as quality_class,
                any_value(l.last_year) = {i.LAST_SEASON} as is_active
         from films f join latest l on l.actor_id = f.actor_id group by f.actor_id""",
-    "grouped_history_rows": f"""with {i.FILMS}, {_CAREER}
+    "grouped_entity_states": f"""with {i.FILMS}, {_CAREER}
         select s.actor_id, {i.sql_band('arg_max(y.mean, y.year)', i.RATING_BANDS, i.LOWEST)} as entity_class,
                max(y.year) = s.year as is_active, cast(s.year - max(y.year) as integer) as periods_since_active,
                cast(s.year as integer) as year, cast(sum(y.n) as bigint) as records

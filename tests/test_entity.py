@@ -89,22 +89,40 @@ def test_backfill_static_max(spark):
     assert {r["country"] for r in out.collect()} == {"C"}
 
 
-def test_grouped_entity_iterated_equals_backfill(spark):
+def merged(snapshot):
+    """A grouped snapshot with the parts of a key put together: key, state, sorted film ids."""
+    found = {}
+    for r in snapshot.collect():
+        state = (r["entity_class"], r["is_active"], r["periods_since_active"], r["year"])
+        before, ids = found.setdefault(r["actor"], (state, []))
+        assert before == state
+        ids += [x["film"] for x in r["history"]]
+    return {k: (state, sorted(ids)) for k, (state, ids) in found.items()}
+
+
+@pytest.mark.parametrize("part_size", [2, 100])
+def test_grouped_entity_iterated_equals_backfill(spark, part_size):
     films = spark.createDataFrame(
-        [("x", 1, 11, 9.0), ("x", 1, 10, 8.0), ("x", 3, 12, 6.5), ("y", 2, 20, 5.0)], "actor string, year int, film int, rating double")
+        [("x", 1, 11, 9.0), ("x", 1, 10, 8.0), ("x", 3, 12, 6.5), ("y", 2, 20, 5.0)] + [("z", 1 + n % 2, 100 + n, 7.0 + n % 2) for n in range(11)],
+        "actor string, year int, film int, rating double")
     bands = [(8, "star"), (7, "good"), (6, "average")]
     args = (["film", "rating"], "rating", bands, "bad")
     prev = None
-    full = entity.backfill_grouped_entity(films, "actor", "year", 3, *args)
-    lean = entity.grouped_history_rows(films, "actor", "year", 3, "rating", bands, "bad")
+    states = entity.grouped_entity_states(films, "actor", "year", 3, "rating", bands, "bad")
     for year in (1, 2, 3):
-        prev = entity.cumulate_grouped_entity(prev, films, "actor", "year", year, *args)
-        assert rows(prev) == rows(full.where(F.col("year") == year))
-        brief = prev.select("actor", "entity_class", "is_active", "periods_since_active", "year", F.size("history").cast("bigint").alias("records"))
-        assert rows(brief) == rows(lean.where(F.col("year") == year))
-    got = {r["actor"]: r for r in prev.collect()}
-    assert [x["film"] for x in got["x"]["history"]] == [10, 11, 12]
-    assert got["x"]["entity_class"] == "average" and got["y"]["entity_class"] == "bad" and not got["y"]["is_active"]
+        prev = entity.cumulate_grouped_entity(prev, films, "actor", "year", year, *args, part_size)
+        prev = spark.createDataFrame(prev.collect(), prev.schema)
+        once = entity.backfill_grouped_entity(films, "actor", "year", year, *args, part_size)
+        assert once.columns == prev.columns and merged(once) == merged(prev)
+        if part_size == 100:
+            assert rows(once) == rows(prev)
+        assert {k: (*state, len(ids)) for k, (state, ids) in merged(prev).items()} == {
+            r["actor"]: (r["entity_class"], r["is_active"], r["periods_since_active"], r["year"], r["records"])
+            for r in states.where(F.col("year") == year).collect()}
+    got = merged(prev)
+    assert got["x"] == (("average", True, 0, 3), [10, 11, 12]) and got["y"] == (("bad", False, 1, 3), [20])
+    assert got["z"][1] == list(range(100, 111))
+    assert (prev.where("actor = 'z'").count() > 1) is (part_size == 2)
 
 
 def test_first_last_ratio_and_unnest(spark):
