@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import ip_number
-from strata.operators.guards import maybe_broadcast
+from strata.operators.guards import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, maybe_broadcast
 
 PLACE = ["country", "state", "city"]
 
@@ -44,6 +44,15 @@ def geo_segments(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
     return disjoint.unionByName(cut)
 
 
+def _few_segments(ranges: DataFrame, prefix_bits: int) -> bool:
+    """Whether the segments stay below the broadcast limits: every (range, prefix) piece adds at most two."""
+    shift = 32 - prefix_bits
+    pieces, text = ranges.agg(
+        F.sum(F.shiftright("hi", shift) - F.shiftright("lo", shift) + 1), F.max(F.octet_length(F.concat_ws("", *PLACE)))).first()
+    most = 2 * (pieces or 0)
+    return most <= BROADCAST_MAX_ROWS and most * (32 + (text or 0)) <= BROADCAST_MAX_BYTES
+
+
 def geo_enrich(df: DataFrame, ip: str, ranges: DataFrame, prefix_bits: int = 16, name: str = "geodata") -> DataFrame:
     """Add the place of an IP address as JSON text; ``{}`` where no range holds it.
 
@@ -51,8 +60,12 @@ def geo_enrich(df: DataFrame, ip: str, ranges: DataFrame, prefix_bits: int = 16,
     these as a table where they serve many batches of a stream). One row in, one
     row out. The segments are broadcast only after their size was measured.
     """
-    segments = ranges if "seg_lo" in ranges.columns else geo_segments(ranges, prefix_bits)
-    segments = maybe_broadcast(segments.withColumnRenamed("prefix", "_prefix"))
+    if "seg_lo" in ranges.columns:
+        segments = maybe_broadcast(ranges)
+    else:
+        segments = geo_segments(ranges, prefix_bits)
+        segments = F.broadcast(segments) if _few_segments(ranges, prefix_bits) else segments
+    segments = segments.withColumnRenamed("prefix", "_prefix")
     rows = df.withColumn("_ip", ip_number(ip)).withColumn("_prefix", F.shiftright("_ip", 32 - prefix_bits))
     on = (rows["_prefix"] == segments["_prefix"]) & rows["_ip"].between(segments["seg_lo"], segments["seg_hi"])
     place = F.to_json(F.struct(*[F.coalesce(segments[p], F.lit("")).alias(p) for p in PLACE]))

@@ -21,7 +21,7 @@ def snapshots(spark, sf, last=i.LAST_SEASON, emit_from=None):
         i.member_seasons(spark, sf), "member_id", "season", last, RECORD, spending_class(), STATIC, emit_from=emit_from)
 
 
-def _history_text(df):
+def history_text(df):
     """The history array as text season:gp:pts,... so that engines can be compared."""
     item = lambda x: F.concat_ws(":", x["season"].cast("string"), x["gp"].cast("string"), x["pts"].cast("string"))
     return df.withColumn("history", F.array_join(F.transform("history", item), ","))
@@ -30,11 +30,11 @@ def _history_text(df):
 def cumulate_entity(spark, sf):
     prev = snapshots(spark, sf, i.LAST_SEASON - 1, emit_from=i.LAST_SEASON - 1)
     out = entity.cumulate_entity(prev, i.member_seasons(spark, sf), "member_id", "season", i.LAST_SEASON, RECORD, spending_class(), STATIC)
-    return _history_text(out)
+    return history_text(out)
 
 
 def backfill_entity(spark, sf):
-    return _history_text(snapshots(spark, sf))
+    return history_text(snapshots(spark, sf))
 
 
 def member_band(spark, sf):
@@ -94,7 +94,7 @@ def state_change(spark, sf):
 
 def vertices(spark, sf):
     nation = i.table(spark, sf, "nation")
-    teams = i.table(spark, sf, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    teams = i.table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     out = graph.vertices(teams, "n_nationkey", "team", {"abbreviation": "n_name", "nickname": "s_name", "region": "n_regionkey"}, ["s_suppkey"])
     return out.select("identifier", "type", *[F.col("properties")[p].alias(p) for p in ("abbreviation", "nickname", "region")])
 

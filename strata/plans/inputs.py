@@ -78,13 +78,13 @@ FILMS = """films as (
 
 def game_details(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as box scores: a supplier plays for its nation in an order."""
-    team = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("team_name"))
-    player = table(spark, sf, "supplier").join(F.broadcast(team), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("s_name").alias("player_name"), F.col("s_nationkey").alias("team_id"), "team_name")
+    player = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("player_name"), F.col("s_nationkey").alias("team_id"))
+    team = table(spark, sf, "nation").select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("team_name"))
     line = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("player_id"), "l_linenumber", "l_partkey",
         F.col("l_quantity").cast("bigint").alias("pts"))
-    return line.join(player, F.col("player_id") == F.col("s_suppkey")).drop("s_suppkey")
+    return line.join(player, "player_id").join(team, "team_id")
 
 
 GAME_ORDER = ["l_linenumber", "l_partkey", "pts"]
@@ -212,6 +212,8 @@ def maps(spark: SparkSession, sf: str) -> DataFrame:
 # Address ranges: one narrow range per nation inside wide ones per region, with gaps.
 NATION_STEP, NATION_WIDTH = 171_798_691, 150_000_000
 REGION_STEP, REGION_WIDTH = 858_993_459, 800_000_000
+# The ranges are wide: 256 prefixes hold a handful of segments each.
+GEO_PREFIX_BITS = 8
 
 
 def geo_ranges(spark: SparkSession, sf: str) -> DataFrame:

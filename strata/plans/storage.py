@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from strata.operators import activity as act
-from strata.operators import clean, joins
+from strata.operators import clean, entity, joins
 from strata.plans import inputs as i
 from strata.plans.analytics import ORACLES as ANALYTICS, device_hits
-from strata.plans.dimensional import snapshots
+from strata.plans.dimensional import ORACLES as DIMENSIONAL, RECORD, STATIC, history_text, snapshots, spending_class
 from strata.session import shared_dir
 from strata.sources import tables
 
@@ -38,6 +38,19 @@ def write_period(spark, sf):
     return spark.table(name)
 
 
+def run_periods(spark, sf):
+    """The members' snapshots season by season, each from the table written before; the last two are run again."""
+    facts = i.member_seasons(spark, sf)
+    name, path = _name("members"), shared_dir(spark, "members")
+
+    def step(prev, season):
+        return entity.cumulate_entity(prev, facts, "member_id", "season", season, RECORD, spending_class(), STATIC)
+
+    tables.run_periods(spark, name, "season", range(i.FIRST_SEASON, i.LAST_SEASON + 1), step, path)
+    tables.run_periods(spark, name, "season", [i.LAST_SEASON - 1, i.LAST_SEASON], step, path)
+    return history_text(spark.table(name))
+
+
 def upsert_by_key(spark, sf):
     """Latest season's spending corrected to twice its value, all other rows kept."""
     rows = i.member_seasons(spark, sf).select("member_id", "season", F.col("pts").cast("double").alias("pts"))
@@ -92,12 +105,15 @@ def write_clustered_global(spark, sf):
 
 
 def layout_report(spark, sf):
-    """Bytes and files of the events unsorted, sorted by (date, host) and sorted by (host, url)."""
-    paths = {label: shared_dir(spark, "layout-" + label) for label in ("unsorted", "date_host", "host_url")}
-    rows = _layout_events(spark, sf)
-    rows.repartition(4, "event_date").write.parquet(paths["unsorted"])
-    tables.write_clustered(rows, paths["date_host"], "event_date", ["event_date", "host"], n=4)
-    tables.write_clustered(rows, paths["host_url"], "event_date", ["host", "url", "event_date"], n=4)
+    """Bytes and files of player performances with their match: unsorted, and sorted by low-cardinality columns."""
+    per_player = i.match_details(spark, sf).groupBy("match_id", "player_id").agg(F.sum("kills").alias("kills"))
+    rows = per_player.join(i.matches(spark, sf), "match_id")
+    orders = {"playlist_map": ["playlist_id", "map_id"], "map_playlist": ["map_id", "playlist_id"], "date_map": ["completion_date", "map_id"]}
+    paths = {label: shared_dir(spark, "layout-" + label) for label in ("unsorted", *orders)}
+    with tables.reused(rows) as kept:
+        kept.write.parquet(paths["unsorted"])
+        for label, cols in orders.items():
+            tables.write_clustered(kept, paths[label], cols[0], cols)
     return tables.layout_report(spark, paths)
 
 
@@ -119,6 +135,7 @@ def reused(spark, sf):
 QUERIES = {
     "read_table": read_table,
     "write_period": write_period,
+    "run_periods": run_periods,
     "upsert_by_key": upsert_by_key,
     "write_bucketed": write_bucketed,
     "bucket_join": bucket_join,
@@ -135,6 +152,7 @@ _LAYOUT = f"with {i.WEB} select event_id, url, referrer, host, event_time, cast(
 ORACLES = {
     "read_table": f"with {i.DEVICES} select * from devices where browser_type is not null",
     "write_period": f"with {i.SNAPSHOTS} select member_id, entity_class, is_active, periods_since_active, season from snap",
+    "run_periods": DIMENSIONAL["backfill_entity"],
     "upsert_by_key": f"""with {i.MEMBER_SEASONS} select member_id, season,
         cast(pts as double) * case when season = {i.LAST_SEASON} then 2 else 1 end as pts from ms""",
     "write_bucketed": f"with {i.MATCH_DETAILS} select * from match_details",

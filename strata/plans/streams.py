@@ -127,14 +127,14 @@ def session_summary_hosts(spark, sf):
 
 def geo_enrich_batch(spark, sf):
     web = i.web_with_ip(i.table(spark, sf, "events")).select("event_id", "ip")
-    return geo_enrich(web, "ip", i.geo_ranges(spark, sf))
+    return geo_enrich(web, "ip", i.geo_ranges(spark, sf), i.GEO_PREFIX_BITS)
 
 
 def land_events(spark, sf):
     """The landing job: decoded messages, event time, place of the address."""
     segments = shared_dir(spark, "geo-segments")
-    geo_segments(i.geo_ranges(spark, sf)).write.parquet(segments)
-    stream = ev.land_events(ev.with_event_time(_message_stream(spark, sf)), spark.read.parquet(segments))
+    geo_segments(i.geo_ranges(spark, sf), i.GEO_PREFIX_BITS).write.parquet(segments)
+    stream = ev.land_events(ev.with_event_time(_message_stream(spark, sf)), spark.read.parquet(segments), i.GEO_PREFIX_BITS)
     (rows,) = _run(stream, "processed-events")
     return _plain(rows, "event_timestamp")
 

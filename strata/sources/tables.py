@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -59,6 +59,30 @@ def write_period(df: DataFrame, table: str, period_col: str, path: str | None =
         ordered.write.mode("overwrite").insertInto(table)
 
 
+def run_periods(
+    spark: SparkSession,
+    table: str,
+    period_col: str,
+    periods: Sequence[int],
+    step: Callable[[DataFrame | None, int], DataFrame],
+    path: str | None = None,
+) -> DataFrame:
+    """Run a cumulative job period by period, each reading the period the run before it wrote.
+
+    ``step(previous rows, period)`` returns the period's rows; the previous rows are
+    None where the table holds none. Every period is a table write of its own, so
+    no plan grows with the number of periods, and a run that was stopped goes on
+    from (or repeats) any period.
+    """
+    for period in periods:
+        prev = None
+        if spark.catalog.tableExists(table):
+            before = spark.table(table).where(F.col(period_col) == F.lit(period - 1))
+            prev = None if before.isEmpty() else before
+        write_period(step(prev, period), table, period_col, path)
+    return spark.table(table)
+
+
 def materialize(df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None) -> DataFrame:
     """Create a table from a query (for a dashboard) and return it."""
     writer = df.write.mode(mode).format("parquet")

@@ -89,6 +89,16 @@ def test_no_python_and_no_whole_scans(spark, sf, name):
         assert schema.count(":") <= 5
 
 
+def test_explicit_broadcast_of_small_dimensions(spark, sf):
+    """With automatic broadcast off only the measured dimensions are broadcast."""
+    from strata.operators import joins
+
+    with session_conf(spark, NO_BROADCAST):
+        fact = i.medals_players(spark, sf).join(i.matches(spark, sf), "match_id")
+        p = plan(joins.broadcast_enrich(fact, [(i.medals(spark, sf), "medal_id"), (i.maps(spark, sf), "map_id")]))
+    assert p.count("BroadcastHashJoin") == 2 and p.count("SortMergeJoin") == 2  # match and customer joins stay shuffled
+
+
 def test_wide_join_side_is_never_hinted(spark, sf):
     with session_conf(spark, NO_BROADCAST):
         p = plan(driver.queries()["cooccurrence_edges"](spark, sf))
