@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import active_days, datelist_bits, join_arrays, keep_tail, names
 from strata.operators.clean import upsert_by_key
-from strata.operators.guards import present, require
+from strata.operators.guards import maybe_broadcast, present, require
 from strata.operators.skew import list_parts
 
 
@@ -94,28 +94,25 @@ def monthly_hit_array(
 ) -> DataFrame:
     """One slot per day of the month up to ``ds``: key, ``hit_array``, ``month_start``, ``first_seen``, ``date``.
 
-    A day without hits is ``fill`` (null by default). A new month starts with
-    empty arrays and only the keys seen in it; ``first_seen`` outlives the month
-    of a key that returns.
+    A day without hits is ``fill`` (null by default). A new month starts empty, with
+    only the keys seen in it; ``first_seen`` is the first day of the month with hits.
     """
     keys = names(key)
     date = F.to_date(F.lit(ds))
     month = F.trunc(date, "month")
     today = daily.where(F.col("day") == date).groupBy(*keys).agg(F.sum("hits").alias("_hits"))
     if prev is None:
-        rows = today.select(*keys, "_hits", F.lit(None).cast("array<bigint>").alias("_old"),
-                            F.lit(None).cast("date").alias("_first"), F.lit(None).cast("date").alias("_month"))
+        rows = today.select(*keys, "_hits", F.lit(None).cast("array<bigint>").alias("_old"), F.lit(None).cast("date").alias("_first"))
     else:
         prev = require(prev, F.col("date") == F.date_sub(date, 1), f"the previous arrays must be of the day before {ds}")
-        old = prev.select(*keys, F.col("hit_array").alias("_old"), F.col("first_seen").alias("_first"), F.col("month_start").alias("_month"))
+        old = prev.where(F.col("month_start") == month).select(
+            *keys, F.col("hit_array").alias("_old"), F.col("first_seen").alias("_first"))
         rows = old.join(today, keys, "full")
-    same_month = F.col("_month") == month
-    seen = F.col("_hits").isNotNull()
-    return rows.where(same_month | seen).select(
+    return rows.select(
         *keys,
-        _slots(F.when(same_month, F.col("_old")), F.col("_hits"), F.dayofmonth(date), fill).alias("hit_array"),
+        _slots(F.col("_old"), F.col("_hits"), F.dayofmonth(date), fill).alias("hit_array"),
         month.alias("month_start"),
-        F.least("_first", F.when(seen, date)).alias("first_seen"),
+        F.coalesce("_first", date).alias("first_seen"),
         date.alias("date"),
     )
 
@@ -131,10 +128,10 @@ def monthly_hit_backfill(daily: DataFrame, key: str | Sequence[str], ds: str, fi
     keys = names(key)
     date = F.to_date(F.lit(ds))
     month = F.trunc(date, "month")
-    per_day = daily.where(F.col("day") <= date).groupBy(*keys, "day").agg(F.sum("hits").alias("hits"))
-    entry = F.when(F.col("day") >= month, F.struct(F.dayofmonth("day"), F.col("hits")))
+    per_day = daily.where(F.col("day").between(month, date)).groupBy(*keys, "day").agg(F.sum("hits").alias("hits"))
+    entry = F.struct(F.dayofmonth("day"), F.col("hits"))
     rows = per_day.groupBy(*keys).agg(F.collect_list(entry).alias("_days"), F.min("day").alias("first_seen"))
-    return rows.where(F.size("_days") > 0).select(
+    return rows.select(
         *keys, _month_array(F.col("_days"), F.dayofmonth(date), fill).alias("hit_array"),
         month.alias("month_start"), "first_seen", date.alias("date"))
 
@@ -242,15 +239,21 @@ def pair_activity(events: DataFrame, user: str, device: str, host: str) -> DataF
         F.count(F.lit(1)).alias("event_counts"), F.sort_array(F.collect_set(host)).alias("host_array"))
 
 
-def user_devices(pairs: DataFrame, user: str, device: str, size: int = 100_000) -> DataFrame:
-    """Per user: hits on the busiest device and the devices used, in parts of about ``size``."""
-    lists = list_parts(pairs.select(user, device, F.col("event_counts").alias("total_hits")), user, device, size, ["total_hits"])
-    return lists.withColumnRenamed("values", "devices")
+def user_devices(
+    pairs: DataFrame, user: str, device: str, size: int = 100_000, events: DataFrame | None = None
+) -> DataFrame:
+    """Per user: hits on the busiest device and the devices used, in parts of about ``size``.
+
+    ``events``, where given, are counted per user instead of the pairs (cheaper, and never fewer).
+    """
+    rows = pairs.select(user, device, F.col("event_counts").alias("total_hits"))
+    return list_parts(rows, user, device, size, ["total_hits"], events).withColumnRenamed("values", "devices")
 
 
 def device_users(
-    pairs: DataFrame, devices: DataFrame, user: str, device: str, label: str, size: int = 100_000
+    pairs: DataFrame, devices: DataFrame, user: str, device: str, label: str, size: int = 100_000, events: DataFrame | None = None
 ) -> DataFrame:
     """Per known device: its label and the users seen on it, in parts of about ``size``."""
-    lists = list_parts(pairs.select(device, user), device, user, size).withColumnRenamed("values", "users")
-    return devices.select(device, label).join(lists, device)
+    known = pairs.select(device, user).join(devices.select(device), device, "left_semi")
+    lists = list_parts(known, device, user, size, counted=events).withColumnRenamed("values", "users")
+    return lists.join(maybe_broadcast(devices.select(device, label)), device)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import column, hash_bucket, names
 from strata.operators.guards import present
+from strata.operators.skew import large_groups, spread_join
 
 BUCKETS = 10_000
 
@@ -38,22 +39,24 @@ def exposures(events: DataFrame, arms: DataFrame, user: str, ts: str, event: str
 
 
 def experiment_readout(
-    exposed: DataFrame, outcomes: DataFrame, user: str, ts: str, value: str, control: str = "control"
+    exposed: DataFrame, outcomes: DataFrame, user: str, ts: str, value: str, control: str = "control", most: int = 1_000_000
 ) -> DataFrame:
     """Per arm: users, conversions and value after first exposure, lift over control, two-proportion z.
 
     Outcomes count strictly after the first exposure; a user without any counts
     as 0. Values are added as decimals, so the totals do not depend on row order.
+    The rows of users with more than ``most`` outcomes are joined where they are.
     """
     # Whether a user converted needs only the last outcome of each user, which is
-    # aggregated before the shuffle. Amounts are added straight to the arms, so
-    # that adaptive execution may split a hot user in the row join.
+    # aggregated before the shuffle. Amounts need the rows themselves.
     last = outcomes.groupBy(user).agg(F.max(ts).alias("_last"))
     arms = exposed.join(last, user, "left").groupBy("experiment", "arm").agg(
         F.count(F.lit(1)).alias("users"), F.count_if(F.col("_last") > F.col("first_exposure")).alias("conversions"))
     amount = F.col(value).cast("decimal(18,2)")
-    after = outcomes.select(user, F.col(ts).alias("_ts"), amount.alias("_value")).join(
-        exposed.select(user, "experiment", "arm", "first_exposure"), user).where(F.col("_ts") > F.col("first_exposure"))
+    after = spread_join(
+        outcomes.select(user, F.col(ts).alias("_ts"), amount.alias("_value")),
+        exposed.select(user, "experiment", "arm", "first_exposure"), user, large_groups(outcomes, user, most),
+    ).where(F.col("_ts") > F.col("first_exposure"))
     totals = after.groupBy("experiment", "arm").agg(F.sum("_value").cast("double").alias("total_value"))
     arms = arms.join(totals, ["experiment", "arm"], "left").fillna({"total_value": 0.0})
     rates = arms.withColumns({

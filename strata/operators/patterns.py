@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import column, names
 from strata.operators.clean import dedupe_exact
 from strata.operators.guards import present
-from strata.operators.skew import blocked_totals, large_groups, running_totals
+from strata.operators.skew import blocked_totals, large_groups, running_totals, spread_join
 
 
 def grouping_rollup(
@@ -105,22 +105,24 @@ def share_of_total(daily: DataFrame, key: str | Sequence[str], measure: str, day
 
 
 def funnel_conversion(
-    events: DataFrame, user: str, ts: str, step: str, target: str, min_n: int = 0, include_last: bool = False
+    events: DataFrame, user: str, ts: str, step: str, target: str, min_n: int = 0, include_last: bool = False,
+    most: int = 1_000_000,
 ) -> DataFrame:
     """Per step: events with a later event of the same user and day, and the share later reaching ``target``.
 
     Two maxima per user and day replace the self-join: the last event, and the
     last event of the target step. They are aggregated before the shuffle and
-    joined back as one row per user and day, a side that adaptive execution can
-    broadcast or split around a hot user. ``include_last`` also counts events
-    that nothing follows.
+    joined back as one row per user and day; the events of a user and day with more
+    than ``most`` of them are joined where they are. ``include_last`` also counts
+    events that nothing follows.
     """
     day = F.to_date(ts).alias("_day")
     known = present(events, [user])
+    large = large_groups(known.select(user, day), [user, "_day"], most)
     rows = dedupe_exact(known, [user, ts, step]).withColumn("_day", day)
     peaks = known.groupBy(user, day).agg(
         F.max(ts).alias("_last"), F.max(F.when(F.col(step) == target, F.col(ts))).alias("_target"))
-    followed = rows.join(peaks, [user, "_day"])
+    followed = spread_join(rows, peaks, [user, "_day"], large)
     if not include_last:
         followed = followed.where(F.col(ts) < F.col("_last"))
     out = followed.groupBy(step).agg(

@@ -8,17 +8,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import names
-from strata.operators.guards import maybe_broadcast
+from strata.operators.guards import broadcastable, maybe_broadcast
+from strata.session import shared_dir
 
 
 def large_groups(df: DataFrame, key: str | Sequence[str], most: int) -> DataFrame | None:
     """Keys of more than ``most`` rows with their size ``_n``, or None where there are none.
 
-    One counting job over the key columns: the caller picks the plain form of its
-    plan where no group is large, which is cheaper than guarding every group.
+    One counting job over the key columns, whose few result rows are stored in the
+    shared folder. The caller picks the plain form of its plan where no group is
+    large, which is cheaper than guarding every group.
     """
-    sizes = df.groupBy(*names(key)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
-    return None if sizes.isEmpty() else sizes
+    spark = df.sparkSession
+    keys = names(key)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    path = shared_dir(spark, "large-groups")
+    sizes.write.parquet(path)
+    large = spark.read.schema(sizes.schema).parquet(path)
+    return None if large.isEmpty() else large
+
+
+def spread_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], large: DataFrame | None, how: str = "inner") -> DataFrame:
+    """Join many rows per key to one row per key, with the rows of large keys left where they are.
+
+    ``large`` comes from ``large_groups`` over the fact. The dimension rows of large
+    keys are broadcast: these are no more rows than the list of keys, which is
+    measured. All other rows, and everything where that list is too long to
+    broadcast, join by shuffle.
+    """
+    keys = names(key)
+    if large is None or not broadcastable(large):
+        return fact.join(dim, keys, how)
+    hot = F.broadcast(large.select(*keys))
+    rest = fact.join(hot, keys, "left_anti").join(dim, keys, how)
+    few = F.broadcast(dim.join(hot, keys, "left_semi"))
+    return rest.unionByName(fact.join(hot, keys, "left_semi").join(few, keys, how))
 
 
 def running_totals(
@@ -81,27 +105,34 @@ def blocked_totals(df, keys, day, seq, totals, width):
 
 
 def list_parts(
-    df: DataFrame, key: str | Sequence[str], value: str, size: int = 100_000, maxima: Sequence[str] = ()
+    df: DataFrame, key: str | Sequence[str], value: str, size: int = 100_000, maxima: Sequence[str] = (),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Sorted lists of a value per key, cut into parts of about ``size`` elements: key, ``part``, ``values``.
 
     Keys with up to ``size`` rows have the single part 0. Larger ones are spread by
     a hash of the value, so that no task and no row holds a whole hot key; the
     parts of a key together are its complete list. ``maxima`` columns are added as
-    the maximum over the whole key, in every part.
-
-    The list of large keys meets the rows in a left join which adaptive execution
-    can split; the explicit shuffle by (key, part) after it is what allows that.
+    the maximum over the whole key, in every part. Sizes are taken from
+    ``counted``, a cheaper table that holds at least the rows of ``df``.
     """
     keys = names(key)
-    stats = df.groupBy(*keys).agg(F.count(value).alias("_n"), *[F.max(c).alias("_all_" + c) for c in maxima])
-    large = stats.where(F.col("_n") > size).select(
-        *keys, F.ceil(F.col("_n") / F.lit(size)).alias("_parts"), *["_all_" + c for c in maxima])
+    large = large_groups(df if counted is None else counted, keys, size)
+    values = F.sort_array(F.collect_list(value)).alias("values")
+    highest = [F.max(c).alias(c) for c in maxima]
+    if large is None:
+        out = df.groupBy(*keys).agg(values, *highest)
+        return out.select(*keys, F.lit(0).cast("bigint").alias("part"), "values", *maxima)
+    hint = F.broadcast if broadcastable(large) else lambda d: d
+    chunks = large.select(*keys, F.ceil(F.col("_n") / F.lit(size)).alias("_parts"))
     part = F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(value), F.col("_parts")))
-    rows = df.join(large, keys, "left").withColumn("part", part).repartition(*keys, "part")
-    return rows.groupBy(*keys, "part").agg(
-        F.sort_array(F.collect_list(value)).alias("values"),
-        *[F.coalesce(F.max("_all_" + c), F.max(c)).alias(c) for c in maxima])
+    rows = df.join(hint(chunks), keys, "left").withColumn("part", part)
+    out = rows.groupBy(*keys, "part").agg(values, *highest)
+    if maxima:
+        # one row per large key, so no longer than the measured list of these
+        whole = rows.where(F.col("_parts").isNotNull()).groupBy(*keys).agg(*[F.max(c).alias("_all_" + c) for c in maxima])
+        out = out.join(hint(whole), keys, "left").withColumns({c: F.coalesce("_all_" + c, c) for c in maxima})
+    return out.select(*keys, "part", "values", *maxima)
 
 
 def split_pairs(
@@ -120,7 +151,7 @@ def split_pairs(
     if large is None:
         return rows, rows, [group]
     chunks = large.select(group, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_c"))
-    rows = rows.join(chunks, group, "left").withColumn("_c", F.coalesce("_c", F.lit(1)))
+    rows = rows.join(maybe_broadcast(chunks), group, "left").withColumn("_c", F.coalesce("_c", F.lit(1)))
     rows = rows.withColumn("_own", F.pmod(F.xxhash64(member), F.col("_c")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_c") - 1))
     left = rows.withColumn("_j", other).withColumnRenamed("_own", "_i").drop("_c")

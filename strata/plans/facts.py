@@ -184,11 +184,12 @@ def pair_activity(spark, sf):
 
 
 def coactivity_users(spark, sf):
-    return _text(act.user_devices(_pairs(spark, sf), "user_id", "device_id"), "devices")
+    return _text(act.user_devices(_pairs(spark, sf), "user_id", "device_id", events=i.web_events(spark, sf)), "devices")
 
 
 def coactivity_devices(spark, sf):
-    return _text(act.device_users(_pairs(spark, sf), i.devices(spark, sf), "user_id", "device_id", "device_type"), "users")
+    return _text(act.device_users(
+        _pairs(spark, sf), i.devices(spark, sf), "user_id", "device_id", "device_type", events=i.web_events(spark, sf)), "users")
 
 
 QUERIES = {

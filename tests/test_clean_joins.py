@@ -98,6 +98,8 @@ def test_experiment(spark):
     exposed = spark.createDataFrame(
         [(1, "x", "control", 10), (2, "x", "control", 10), (3, "x", "b", 10), (4, "x", "b", 10)], "user_id int, experiment string, arm string, first_exposure int")
     outcomes = spark.createDataFrame([(1, 11, 2.0), (1, 10, 100.0), (2, 9, 50.0), (3, 12, 1.5), (3, 13, 1.5), (4, 11, 1.0), (9, 11, 7.0)], "user_id int, t int, v double")
+    split = rows(experiment.experiment_readout(exposed, outcomes, "user_id", "t", "v", most=1))
+    assert split == rows(experiment.experiment_readout(exposed, outcomes, "user_id", "t", "v"))
     got = {r["arm"]: r for r in experiment.experiment_readout(exposed, outcomes, "user_id", "t", "v").collect()}
     assert (got["control"]["users"], got["control"]["conversions"], got["control"]["total_value"]) == (2, 1, 2.0)
     assert (got["b"]["users"], got["b"]["conversions"], got["b"]["total_value"], got["b"]["lift"]) == (2, 2, 4.0, 1.0)

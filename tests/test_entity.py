@@ -1,6 +1,6 @@
 import pytest
 from conftest import rows
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -61,7 +61,7 @@ career = st.dictionaries(
 ATTRS = ["entity_class", "is_active"]
 
 
-@settings(max_examples=3, derandomize=True, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, derandomize=True, phases=[Phase.explicit, Phase.generate], deadline=None, suppress_health_check=list(HealthCheck))
 @given(career)
 def test_iterated_equals_backfill(spark, data):
     """Snapshots, SCD rows and states built period by period equal the one-pass forms."""
