@@ -71,6 +71,7 @@ STATS: dict[str, Callable[[Column], Column]] = {
     "n_dup_lines": lambda t: let(_lines(t), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
     "n_lines": lambda t: F.size(_lines(t)).cast("bigint"),
     "n_marks": lambda t: (F.length(_text(t)) - _removed(_text(t), "!?")).cast("bigint"),
+    "n_stutters": lambda t: let(words(t), lambda w: F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1)))).cast("bigint"),
     "n_repeat_words": repeated_words,
 }
 
@@ -90,7 +91,8 @@ BASE_RULES = [
 # Conservative bounds: prose keeps well away from each of them.
 RULES = BASE_RULES + [
     Rule("symbols", lambda s: 100 * s("n_symbols") > 20 * s("n_words")),
-    Rule("repeated_lines", lambda s: 100 * s("n_dup_lines") > 30 * s("n_lines")),
+    Rule("repeated_lines", lambda s: (s("n_dup_lines") > 3) & (100 * s("n_dup_lines") > 30 * s("n_lines"))),
+    Rule("stutter", lambda s: 100 * s("n_stutters") > 20 * s("n_words")),
     Rule("marks", lambda s: 100 * s("n_marks") > 50 * s("n_words")),
     Rule("word_length", lambda s: (s("word_chars") > 15 * s("n_words")) | (s("word_chars") < 2 * s("n_words"))),
 ]
