@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import exact, mixing, quality
+from strata.llm import classifier, exact, jaccard, mixing, packing, quality, sharding, tokens
 from strata.llm.common import table
 
 QUERIES = {}
@@ -98,3 +98,44 @@ with d as (
   select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
 select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
        doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256 from d"""
+
+
+TOKENIZER = "word_bpe_49k.json"
+MAX_TOKENS = 2048
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Place of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_token_counts(spark, sf):
+    counted = tokens.token_counts(table(spark, sf, "documents"), tokenizer_path())
+    return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
+@query
+def op6_quality_classifier(spark, sf):
+    return classifier.score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op8_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), tokenizer_path())
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(96)]
+
+
+@query
+def op9_sharding(spark, sf):
+    placed = sharding.assign_shards(table(spark, sf, "documents"), SHARDS)
+    return placed.select("row.doc_id", "row.source", "slot", "shard", F.coalesce(F.octet_length("row.text"), F.lit(0)).alias("n_bytes"))
+
+
+@query
+def op10_ngram_jaccard(spark, sf):
+    return jaccard.similar_groups(table(spark, sf, "documents"))
