@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import classifier, exact, jaccard, mixing, packing, quality, sharding, tokens
+from strata.llm import classifier, exact, jaccard, mixing, packing, quality, sharding, suffix, tokens
 from strata.llm.common import table
 
 QUERIES = {}
@@ -139,3 +139,8 @@ def op9_sharding(spark, sf):
 @query
 def op10_ngram_jaccard(spark, sf):
     return jaccard.similar_groups(table(spark, sf, "documents"))
+
+
+@query
+def op5_suffix_dedup(spark, sf):
+    return suffix.remove_repeats(table(spark, sf, "documents")).drop("removed", "kept_bytes")
