@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import classifier, exact, jaccard, mixing, packing, quality, sharding, suffix, tokens
+from strata.llm import classifier, exact, jaccard, licences, mixing, packing, quality, sharding, suffix, tokens
 from strata.llm.common import table
 
 QUERIES = {}
@@ -144,3 +144,14 @@ def op10_ngram_jaccard(spark, sf):
 @query
 def op5_suffix_dedup(spark, sf):
     return suffix.remove_repeats(table(spark, sf, "documents")).drop("removed", "kept_bytes")
+
+
+def as_files(docs):
+    """Documents as files: a directory for each source, below it one for each hundred ids."""
+    folder = F.floor(F.col("doc_id") / 100).cast("string")
+    return docs.withColumn("path", F.concat_ws("/", F.col("source"), folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+
+
+@query
+def op3_licence_scan(spark, sf):
+    return licences.scan(as_files(table(spark, sf, "documents")))
