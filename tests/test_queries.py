@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from strata.plans import registry
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 TYPES = {
@@ -25,7 +26,7 @@ def test_contract_functions(spark):
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, sf, duck, name):
     df = driver.queries()[name](spark, sf)
     cols = sorted(df.columns)
