@@ -138,8 +138,8 @@ def _tied(new: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~(new & ends))
 
 
-def common_prefixes(t: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of the suffixes at p and at q, for each pair."""
+def common_prefixes(t: np.ndarray, p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of the suffixes at p and at q, for each pair, as far as ``most`` (or a little further)."""
     n = len(t)
     padded = np.concatenate([t, np.zeros(8, np.uint8)])
     words = np.lib.stride_tricks.sliding_window_view(padded, 8)
@@ -151,7 +151,7 @@ def common_prefixes(t: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         same = (words[np.minimum(i, n)] == words[np.minimum(j, n)])
         step = np.where(same.all(axis=1), 8, same.argmin(axis=1))
         length[live] += np.minimum(step, room)
-        live = live[(step == 8) & (room > 8)]
+        live = live[(step == 8) & (room > 8) & (length[live] < most[live])]
     return length
 
 
@@ -166,19 +166,24 @@ class RunLengthIndex:
     prefixes: np.ndarray  # its common prefix with the last suffix of the run before
 
     @staticmethod
-    def build(t: np.ndarray, order: np.ndarray) -> RunLengthIndex:
+    def build(t: np.ndarray, order: np.ndarray, begin: np.ndarray) -> RunLengthIndex:
+        """``begin`` are the ascending starts of the text's segments. Their first suffixes are sampled too, so that
+        no value has to reach beyond its segment, and prefixes are only measured to the segment's end.
+        """
         last = t[order - 1]  # the symbol before each suffix
         heads = np.concatenate([[0], np.flatnonzero(last[1:] != last[:-1]) + 1])
-        # the first suffix of the text has no suffix before it to take its value from, so it is sampled too
-        start = int(np.flatnonzero(order == 0)[0])
-        sampled = np.union1d(heads, [start])
+        rank = np.empty(len(t), np.int64)
+        rank[order] = np.arange(len(t))
+        sampled = np.union1d(heads, rank[begin])
+        place = order[sampled]
+        end = np.append(begin[1:], len(t))[np.searchsorted(begin, place, side="right") - 1]
         before = order[np.maximum(sampled - 1, 0)]
-        prefixes = np.where(sampled > 0, common_prefixes(t, order[sampled], before), 0)
+        prefixes = np.where(sampled > 0, common_prefixes(t, place, before, end - place), 0)
         by_place = np.argsort(order[sampled])
         return RunLengthIndex(len(t), last[heads], heads, order[sampled][by_place], prefixes[by_place])
 
     def matching_statistics(self) -> np.ndarray:
-        """For each text position the longest match with the suffix ordered just before it.
+        """For each text position the longest match with the suffix ordered just before it, exact as far as its segment goes.
 
         Streamed through the text: inside a run the value falls by one from position to position; at
         a run's head it starts anew from the sample.
@@ -202,7 +207,7 @@ def repeated_spans(segments: list[bytes], weights: np.ndarray, texts: np.ndarray
     t = np.frombuffer(b"".join(s + bytes([SEPARATOR]) for s in segments), np.uint8)
     begin = np.concatenate([[0], np.cumsum(lengths + 1)])
     order = suffix_array(t)
-    matches = RunLengthIndex.build(t, order).matching_statistics()
+    matches = RunLengthIndex.build(t, order, begin[:-1]).matching_statistics()
     segment = np.repeat(np.arange(len(segments)), lengths + 1)
     inner = np.arange(len(t)) - begin[segment]
     # suffixes that begin with the same need bytes are neighbours: a shorter match starts a new class
