@@ -63,12 +63,15 @@ def datelist_int(df: DataFrame, dates: str, as_of: str | Column, days: int = 32,
 
 
 def datelist_int_from_daily(daily: DataFrame, key: str | Sequence[str], ds: str, days: int = 32) -> DataFrame:
-    """The same bitmap from daily activity without building the arrays: one hash aggregate of long values."""
+    """The same bitmap from daily activity without building the arrays: one hash aggregate of long values.
+
+    As with the arrays, keys first seen after ``ds`` have no row.
+    """
     end = F.to_date(F.lit(ds))
     ago = F.datediff(end, F.col("day"))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(days - 1) - ago)
-    mask = F.when((ago >= 0) & (ago < days), bit).otherwise(F.lit(0).cast("bigint"))
-    return daily.groupBy(*names(key)).agg(F.bit_or(mask).alias("datelist_int"))
+    mask = F.when(ago < days, bit).otherwise(F.lit(0).cast("bigint"))
+    return daily.where(F.col("day") <= end).groupBy(*names(key)).agg(F.bit_or(mask).alias("datelist_int"))
 
 
 def activity_flags(df: DataFrame, bits: str = "datelist_int") -> DataFrame:
@@ -239,21 +242,14 @@ def pair_activity(events: DataFrame, user: str, device: str, host: str) -> DataF
         F.count(F.lit(1)).alias("event_counts"), F.sort_array(F.collect_set(host)).alias("host_array"))
 
 
-def user_devices(
-    pairs: DataFrame, user: str, device: str, size: int = 100_000, events: DataFrame | None = None
-) -> DataFrame:
-    """Per user: hits on the busiest device and the devices used, in parts of about ``size``.
-
-    ``events``, where given, are counted per user instead of the pairs (cheaper, and never fewer).
-    """
+def user_devices(pairs: DataFrame, user: str, device: str, parts: int = 1) -> DataFrame:
+    """Per user: hits on the busiest device and the devices used, in ``parts`` rows at most (``list_parts``)."""
     rows = pairs.select(user, device, F.col("event_counts").alias("total_hits"))
-    return list_parts(rows, user, device, size, ["total_hits"], events).withColumnRenamed("values", "devices")
+    return list_parts(rows, user, device, parts, ["total_hits"]).withColumnRenamed("values", "devices")
 
 
-def device_users(
-    pairs: DataFrame, devices: DataFrame, user: str, device: str, label: str, size: int = 100_000, events: DataFrame | None = None
-) -> DataFrame:
-    """Per known device: its label and the users seen on it, in parts of about ``size``."""
+def device_users(pairs: DataFrame, devices: DataFrame, user: str, device: str, label: str, parts: int = 1) -> DataFrame:
+    """Per known device: its label and the users seen on it, in ``parts`` rows at most (``list_parts``)."""
     known = pairs.select(device, user).join(devices.select(device), device, "left_semi")
-    lists = list_parts(known, device, user, size, counted=events).withColumnRenamed("values", "users")
+    lists = list_parts(known, device, user, parts).withColumnRenamed("values", "users")
     return lists.join(maybe_broadcast(devices.select(device, label)), device)

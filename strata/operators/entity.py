@@ -72,21 +72,24 @@ def cumulate_grouped_entity(
     measure: str,
     bands: Sequence[tuple[float, str]],
     default: str,
-    part_size: int = 100_000,
+    parts: int = 1,
+    keep_last: int | None = None,
 ) -> DataFrame:
     """As ``cumulate_entity`` with many fact rows per key and period.
 
     All of a period's records join the history, sorted by ``record`` (put the id
     first); the class is the band of the mean measure of the latest active period.
-    The snapshot has a ``part`` column: a key with more than ``part_size`` records in
-    a period holds them as several rows (its state repeated), so that neither a
-    task nor a row has to take a whole hot key. All other keys have part 0 only.
+    The snapshot has a ``part`` column: the records of a key are spread by their id over ``parts``
+    rows at most (``list_parts``; its state repeated), whatever their number, so that neither a task
+    nor a row has to take a whole hot key. Use one number of parts for all
+    periods. ``keep_last`` bounds the records kept in each part.
     """
     keys = names(key)
     rows = facts.where(F.col(period) == F.lit(run_period))
     classes = rows.groupBy(*keys).agg(band(F.avg(measure), bands, default).alias("_class"))
-    lists = list_parts(rows.select(*keys, F.struct(*record).alias("_record")), keys, "_record", part_size)
-    lists = lists.withColumnRenamed("values", "_records")
+    each = rows.select(*keys, F.struct(*record).alias("_record"), F.col(record[0]).alias("_id"))
+    lists = list_parts(each, keys, "_record", parts, split_by="_id")
+    lists = lists.select(*keys, "part", keep_tail(F.col("values"), keep_last).alias("_records"))
     if prev is None:
         return lists.join(classes, keys).select(
             *keys, "part", F.col("_records").alias("history"), F.col("_class").alias("entity_class"),
@@ -94,7 +97,7 @@ def cumulate_grouped_entity(
     prev = require(prev, F.col(period) == F.lit(run_period - 1), f"the previous snapshot must be of {period} {run_period - 1}")
     present = F.col("_class").isNotNull()
     return prev.drop(period, "is_active").join(lists, [*keys, "part"], "full").join(classes, keys, "left").select(
-        *keys, "part", join_arrays(F.col("history"), F.col("_records")).alias("history"),
+        *keys, "part", keep_tail(join_arrays(F.col("history"), F.col("_records")), keep_last).alias("history"),
         F.coalesce("_class", "entity_class").alias("entity_class"),
         present.alias("is_active"),
         F.when(present, F.lit(0)).otherwise(F.col("periods_since_active") + 1).alias("periods_since_active"),
@@ -133,13 +136,16 @@ def backfill_grouped_entity(
     measure: str,
     bands: Sequence[tuple[float, str]],
     default: str,
-    part_size: int = 100_000,
+    parts: int = 1,
+    keep_last: int | None = None,
 ) -> DataFrame:
-    """The snapshot of ``last`` in one pass; equals ``cumulate_grouped_entity`` run up to it (parts aside)."""
+    """The snapshot of ``last`` in one pass; equals ``cumulate_grouped_entity`` run up to it."""
     keys = names(key)
     state = grouped_entity_states(facts, keys, period, last, measure, bands, default, emit_from=last).drop("records")
-    rows = facts.where(F.col(period) <= F.lit(last)).select(*keys, F.struct(period, F.struct(*record).alias("_r")).alias("_record"))
-    lists = list_parts(rows, keys, "_record", part_size).withColumn("history", F.col("values")["_r"]).drop("values")
+    rows = facts.where(F.col(period) <= F.lit(last)).select(
+        *keys, F.struct(period, F.struct(*record).alias("_r")).alias("_record"), F.col(record[0]).alias("_id"))
+    lists = list_parts(rows, keys, "_record", parts, split_by="_id").select(
+        *keys, "part", keep_tail(F.col("values")["_r"], keep_last).alias("history"))
     return lists.join(state, keys).select(
         *keys, "part", "history", "entity_class", "is_active", "periods_since_active", period)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import ip_number
-from strata.operators.guards import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, maybe_broadcast
+from strata.operators.guards import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, maybe_broadcast, require
 
 PLACE = ["country", "state", "city"]
 
@@ -17,6 +17,7 @@ def geo_segments(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
     Where ranges overlap the narrowest one wins (then the lowest start, then the
     place in alphabetical order); only prefixes with an overlap are cut at every
     edge. Disjoint ranges yield at most one segment per range plus one per prefix.
+    Each segment carries the prefix length it was cut with.
     """
     shift = 32 - prefix_bits
     size = 1 << shift
@@ -32,16 +33,15 @@ def geo_segments(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
     each = each.withColumn("_overlap", F.max("_meets").over(w))
     disjoint = each.where("_overlap = 0").select("prefix", F.col("low").alias("seg_lo"), F.col("high").alias("seg_hi"), *PLACE)
 
-    candidates = each.where("_overlap = 1").groupBy("prefix").agg(
-        F.sort_array(F.collect_list(F.struct("width", "lo", "low", "high", *PLACE))).alias("_c"))
-    edges = F.array_sort(F.array_union(F.col("_c")["low"], F.transform(F.col("_c")["high"], lambda h: h + 1)))
-    pieces = candidates.select("prefix", "_c", edges.alias("_edges")).select(
-        "prefix", "_c", "_edges", F.posexplode("_edges").alias("_pos", "seg_lo"))
-    cover = F.get(F.filter("_c", lambda c: (c["low"] <= F.col("seg_lo")) & (c["high"] >= F.col("seg_lo"))), F.lit(0))
-    cut = pieces.select(
-        "prefix", "seg_lo", (F.get(F.col("_edges"), F.col("_pos") + 1) - 1).alias("seg_hi"), cover.alias("_r"),
-    ).where(F.col("_r").isNotNull()).select("prefix", "seg_lo", "seg_hi", *[F.col("_r")[p].alias(p) for p in PLACE])
-    return disjoint.unionByName(cut)
+    # a piece between two neighbouring edges of a prefix belongs to the narrowest range that covers it
+    crowded = each.where("_overlap = 1")
+    edges = crowded.select("prefix", F.explode(F.array("low", F.col("high") + 1)).alias("seg_lo")).distinct()
+    pieces = edges.withColumn("seg_hi", F.lead("seg_lo").over(Window.partitionBy("prefix").orderBy("seg_lo")) - 1).where("seg_hi is not null")
+    owner = crowded.select(F.col("prefix").alias("_prefix"), "low", "high", F.struct("width", "lo", *PLACE).alias("_range"))
+    covers = (F.col("prefix") == F.col("_prefix")) & F.col("seg_lo").between(F.col("low"), F.col("high"))
+    cut = pieces.join(owner, covers).groupBy("prefix", "seg_lo", "seg_hi").agg(F.min("_range").alias("_r"))
+    cut = cut.select("prefix", "seg_lo", "seg_hi", *[F.col("_r")[p].alias(p) for p in PLACE])
+    return disjoint.unionByName(cut).withColumn("prefix_bits", F.lit(prefix_bits))
 
 
 def _few_segments(ranges: DataFrame, prefix_bits: int) -> bool:
@@ -61,7 +61,8 @@ def geo_enrich(df: DataFrame, ip: str, ranges: DataFrame, prefix_bits: int = 16,
     row out. The segments are broadcast only after their size was measured.
     """
     if "seg_lo" in ranges.columns:
-        segments = maybe_broadcast(ranges)
+        matching = require(ranges, F.col("prefix_bits") == prefix_bits, f"the segments were not cut with {prefix_bits} prefix bits")
+        segments = maybe_broadcast(matching)
     else:
         segments = geo_segments(ranges, prefix_bits)
         segments = F.broadcast(segments) if _few_segments(ranges, prefix_bits) else segments

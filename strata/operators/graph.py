@@ -64,16 +64,18 @@ def cooccurrence_edges(
     same: str = "shares_team",
     different: str = "plays_against",
     most: int = 2_000,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Unordered pairs of nodes seen in the same event, as edges from the greater to the smaller id.
 
     Per pair and kind of edge: events shared and both sides' summed measure. Rows
     are deduplicated to one per (event, node) first and only five columns are
     joined. The result itself holds every pair, so the pairs of a large event are
-    divided over many tasks rather than capped.
+    divided over many tasks rather than capped. Sizes are taken from ``counted``, a cheaper table
+    that holds at least the events' rows (the raw fact).
     """
     rows = dedupe_by_key(df, [event, node], order_by).select(event, node, name, group, measure)
-    left, right, cell = split_pairs(rows, df, event, node, most)
+    left, right, cell = split_pairs(rows, df if counted is None else counted, event, node, most)
     a = left.select(*cell, *[F.col(c).alias("_l_" + str(i)) for i, c in enumerate([node, name, group, measure])])
     b = right.select(*cell, *[F.col(c).alias("_r_" + str(i)) for i, c in enumerate([node, name, group, measure])])
     pairs = a.join(b, cell).where((F.col("_l_0") > F.col("_r_0")) & (F.col("_l_1") != F.col("_r_1")))

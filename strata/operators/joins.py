@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from strata.operators.guards import maybe_broadcast, present
 from strata.operators.patterns import leaders
-from strata.sources.tables import hot_table
 
 
 def broadcast_enrich(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], how: str = "left") -> DataFrame:
@@ -25,30 +24,38 @@ def broadcast_enrich(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], how
 def bucket_join(
     spark: SparkSession,
     left: str,
-    right: str,
+    right: str | Sequence[str],
     key: str,
     where: Column | None = None,
+    how: str = "inner",
+    hot: DataFrame | None = None,
+    salts: int = 32,
 ) -> DataFrame:
-    """Inner join of two tables written by ``write_bucketed`` with equal bucket counts, without a shuffle.
-
-    The rows of hot keys, which ``write_bucketed`` keeps in a side table, join by
-    shuffle (split by adaptive execution) and are added to the result.
+    """Join tables written by ``write_bucketed`` with equal bucket counts, without a shuffle.
+
+    ``right`` may name several tables, joined in turn; ``where`` is a condition on the left table, by which its
+    partitions are pruned. Merge hints keep the planner from broadcasting a bucketed table.
+    ``hot`` lists keys (column ``key``) with more rows than a task should hold
+    (``large_groups`` finds them): their rows, on both sides, leave the bucket join and are
+    joined by (key, salt), the left rows dealt to ``salts`` salts and the right rows copied to each.
+    The result is the same with and without it; it needs an inner or left join.
     """
-    def read(table: str | None) -> DataFrame | None:
-        return None if table is None else spark.table(table)
-
-    sides = [(read(left), read(hot_table(spark, left))), (read(right), read(hot_table(spark, right)))]
-    (l, l_hot), (r, r_hot) = sides
-    # shuffle the hot sides; a merge hint keeps the planner from broadcasting a large bucket table
-    parts = [l.hint("merge").join(r, key)]
-    if l_hot is not None:
-        parts.append(l_hot.join(r if r_hot is None else r.unionByName(r_hot), key))
-    if r_hot is not None:
-        parts.append(l.join(r_hot, key))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out if where is None else out.where(where)
+    rights = [right] if isinstance(right, str) else list(right)
+    out = spark.table(left) if where is None else spark.table(left).where(where)
+    if hot is None:
+        for name in rights:
+            out = out.hint("merge").join(spark.table(name).hint("merge"), key, how)
+        return out
+    few = maybe_broadcast(hot.select(key))
+    regular, apart = out.join(few, key, "left_anti"), out.join(few, key, "left_semi")
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in out.columns]), F.lit(salts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    for name in rights:
+        other = spark.table(name)
+        regular = regular.hint("merge").join(other.join(few, key, "left_anti").hint("merge"), key, how)
+        copied = other.join(few, key, "left_semi").withColumn("_salt", every)
+        apart = apart.withColumn("_salt", salt).join(copied, [key, "_salt"], how).drop("_salt")
+    return regular.unionByName(apart)
 
 
 def avg_kills_per_game(match_details: DataFrame, player: str, match: str, kills: str) -> DataFrame:

@@ -11,6 +11,7 @@ from strata.functions.columns import column, names
 from strata.operators.clean import dedupe_exact
 from strata.operators.guards import present
 from strata.operators.skew import blocked_totals, large_groups, running_totals, spread_join
+from strata.session import shared_dir
 
 
 def grouping_rollup(
@@ -47,11 +48,18 @@ def grouping_rollup(
 def leaders(df: DataFrame, by: str, level: str | Sequence[str] = ()) -> DataFrame:
     """Rows with the greatest ``by`` within each level, ties included.
 
-    ``rank() = 1`` is planned with a group limit before the shuffle: a map task
-    sends only its own leaders, so a hot level costs no more than a small one.
+    The maxima come from a hash aggregate, a row per level and task; the rows that equal theirs stay
+    where they are, so neither a hot level nor very many ties meet in one task. A null
+    level is a level like others, and null leads only where all are null.
     """
-    w = Window.partitionBy(*names(level)).orderBy(F.col(by).desc())
-    return df.withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")
+    levels = names(level)
+    best = df.groupBy(*levels).agg(F.max(by).alias("_best")).select(
+        *[F.col(c).alias(f"_level_{n}") for n, c in enumerate(levels)], "_best")
+    same = F.col(by).eqNullSafe(F.col("_best"))
+    for n, c in enumerate(levels):
+        same = same & F.col(c).eqNullSafe(F.col(f"_level_{n}"))
+    # without levels there is one maximum; else a row per level, which the planner weighs
+    return df.join(best if levels else F.broadcast(best), same).select(*df.columns)
 
 
 def _window_sum(measure: str, window) -> Column:
@@ -66,13 +74,15 @@ def rolling_trends(
     min_total: float | None = None,
     previous: tuple[int, int] = (13, 7),
     calendar: bool = False,
+    required: str | Sequence[str] = (),
 ) -> DataFrame:
     """Month, running, grand and rolling totals per key and day, and the row's share of two of them.
 
     ``daily`` holds one row per key and day, so a window group is bounded by the
     calendar; all windows share one shuffle on the key. Rolling frames count rows
     (the current and six before it; ``previous`` rows back), or calendar days with
-    ``calendar``. ``previous=(13, 6)`` overlaps the current frame by one row.
+    ``calendar``. ``previous=(13, 6)`` overlaps the current frame by one row. Rows
+    without a value in the ``required`` columns are left out; null is a key like others.
     """
     keys = names(key)
     whole = (Window.unboundedPreceding, Window.unboundedFollowing)
@@ -83,7 +93,7 @@ def rolling_trends(
         frames = rolling.rangeBetween(-6, 0), rolling.rangeBetween(-previous[0], -previous[1])
     else:
         frames = ordered.rowsBetween(-6, 0), ordered.rowsBetween(-previous[0], -previous[1])
-    out = present(daily, keys).withColumn("_month", F.trunc(day, "month")).withColumns({
+    out = present(daily, names(required)).withColumn("_month", F.trunc(day, "month")).withColumns({
         "running_total": _window_sum(measure, ordered.rowsBetween(Window.unboundedPreceding, 0)),
         "grand_total": _window_sum(measure, ordered.rowsBetween(*whole)),
         "weekly_rolling": _window_sum(measure, frames[0]),
@@ -98,9 +108,9 @@ def rolling_trends(
     })
 
 
-def share_of_total(daily: DataFrame, key: str | Sequence[str], measure: str, day: str) -> DataFrame:
+def share_of_total(daily: DataFrame, key: str | Sequence[str], measure: str, day: str, required: str | Sequence[str] = ()) -> DataFrame:
     """Each row's share of its key's month and of its key's grand total."""
-    out = rolling_trends(daily, key, day, measure)
+    out = rolling_trends(daily, key, day, measure, required=required)
     return out.select(*names(key), day, measure, "monthly_total", "grand_total", "pct_of_month", "pct_of_total")
 
 
@@ -118,10 +128,15 @@ def funnel_conversion(
     """
     day = F.to_date(ts).alias("_day")
     known = present(events, [user])
-    large = large_groups(known.select(user, day), [user, "_day"], most)
     rows = dedupe_exact(known, [user, ts, step]).withColumn("_day", day)
+    # stored, as both the decision and the join read it: the events are aggregated once
     peaks = known.groupBy(user, day).agg(
-        F.max(ts).alias("_last"), F.max(F.when(F.col(step) == target, F.col(ts))).alias("_target"))
+        F.max(ts).alias("_last"), F.max(F.when(F.col(step) == target, F.col(ts))).alias("_target"), F.count(F.lit(1)).alias("_n"))
+    path = shared_dir(events.sparkSession, "peaks")
+    peaks.write.parquet(path)
+    stored = events.sparkSession.read.schema(peaks.schema).parquet(path)
+    large = stored.where(F.col("_n") > most).select(user, "_day")
+    large, peaks = None if large.isEmpty() else large, stored.drop("_n")
     followed = spread_join(rows, peaks, [user, "_day"], large)
     if not include_last:
         followed = followed.where(F.col(ts) < F.col("_last"))
@@ -132,7 +147,7 @@ def funnel_conversion(
 
 
 def best_stretch(
-    games: DataFrame, team: str, day: str, game: str, win: str, n: int = 90, width: int = 1_000_000
+    games: DataFrame, team: str, day: str, game: str, win: str, n: int = 90, width: int = 1_000_000, counted: DataFrame | None = None
 ) -> DataFrame:
     """Most wins of each team in any ``n`` consecutive games, ordered by (day, game id).
 
@@ -140,13 +155,14 @@ def best_stretch(
     more than ``width`` games, games are numbered by blocked running totals and cut
     into blocks of numbers; the last ``n - 1`` games of a block are also sent to the
     next one, so that every frame lies inside one block and no team in one task.
+    ``counted`` as in ``running_totals``.
     """
     slim = games.select(team, day, game, F.col(win).cast("bigint").alias("_win"))
-    if large_groups(slim, team, width) is None:
+    if large_groups(slim if counted is None else counted, team, width) is None:
         frame = Window.partitionBy(team).orderBy(day, game).rowsBetween(-(n - 1), 0)
         framed = slim.select(team, F.sum("_win").over(frame).alias("_wins"), F.count(F.lit(1)).over(frame).alias("_games"))
         return framed.groupBy(team).agg(F.max("_wins").alias("most_wins"), F.max("_games").alias("games_in_window"))
-    numbered = blocked_totals(slim.withColumn("_one", F.lit(1).cast("bigint")), [team], day, game, {"_no": "_one"}, width)
+    numbered = blocked_totals(slim.withColumn("_one", F.lit(1).cast("bigint")), [team], day, game, {"_no": "_one"})
     size = max(width, n)
     place = F.pmod(F.col("_no") - 1, F.lit(size))
     own = F.col("_no") - 1 - place

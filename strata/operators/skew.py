@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import names
+from strata.functions.columns import column, names
 from strata.operators.guards import broadcastable, maybe_broadcast
 from strata.session import shared_dir
 
@@ -28,21 +28,29 @@ def large_groups(df: DataFrame, key: str | Sequence[str], most: int) -> DataFram
     return None if large.isEmpty() else large
 
 
+def with_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on the key columns, null matching null."""
+    other = keys_df.select(*[F.col(k).alias(f"_key_{n}") for n, k in enumerate(keys)])
+    same = F.lit(True)
+    for n, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{n}"))
+    return df.join(other, same, how)
+
+
 def spread_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], large: DataFrame | None, how: str = "inner") -> DataFrame:
-    """Join many rows per key to one row per key, with the rows of large keys left where they are.
+    """Join many rows per key to the rows of a key in ``dim``, with the rows of large keys left where they are.
 
     ``large`` comes from ``large_groups`` over the fact. The dimension rows of large
-    keys are broadcast: these are no more rows than the list of keys, which is
-    measured. All other rows, and everything where that list is too long to
-    broadcast, join by shuffle.
+    keys are broadcast if their size, which is measured, allows it. All other rows, and
+    everything where the list of keys is too long to broadcast, join by shuffle.
     """
     keys = names(key)
     if large is None or not broadcastable(large):
         return fact.join(dim, keys, how)
     hot = F.broadcast(large.select(*keys))
-    rest = fact.join(hot, keys, "left_anti").join(dim, keys, how)
-    few = F.broadcast(dim.join(hot, keys, "left_semi"))
-    return rest.unionByName(fact.join(hot, keys, "left_semi").join(few, keys, how))
+    rest = with_keys(fact, hot, keys, "left_anti").join(dim, keys, how)
+    few = maybe_broadcast(with_keys(dim, hot, keys, "left_semi"))
+    return rest.unionByName(with_keys(fact, hot, keys, "left_semi").join(few, keys, how))
 
 
 def running_totals(
@@ -56,9 +64,9 @@ def running_totals(
 ) -> DataFrame:
     """Running sums per key in the order (day, seq), without a task that holds a large key.
 
-    ``totals`` maps a new column to the integer column it accumulates. ``seq`` is
-    an integer that is unique within a key. Keys of up to ``width`` rows are summed
-    by one window; larger keys by ``blocked_totals``. Sizes are taken from
+    ``totals`` maps a new column to the integer column it accumulates. ``seq`` is of
+    any orderable type; nulls come first. Keys of up to ``width`` rows are summed
+    by one window; larger keys by ``blocked_totals``, with the same result. Sizes are taken from
     ``counted``, a cheaper table that holds at least the rows of ``df``.
     """
     keys = names(key)
@@ -66,8 +74,8 @@ def running_totals(
     if large is None:
         return _plain_totals(df, keys, day, seq, totals)
     large = maybe_broadcast(large.select(*keys))
-    rest = _plain_totals(df.join(large, keys, "left_anti"), keys, day, seq, totals)
-    return rest.unionByName(blocked_totals(df.join(large, keys, "left_semi"), keys, day, seq, totals, width))
+    rest = _plain_totals(with_keys(df, large, keys, "left_anti"), keys, day, seq, totals)
+    return rest.unionByName(blocked_totals(with_keys(df, large, keys, "left_semi"), keys, day, seq, totals))
 
 
 def _plain_totals(df, keys, day, seq, totals):
@@ -75,63 +83,58 @@ def _plain_totals(df, keys, day, seq, totals):
     return df.withColumns({out: F.sum(src).over(w) for out, src in totals.items()})
 
 
-def blocked_totals(df, keys, day, seq, totals, width):
-    """Rows are windowed in blocks of (key, day, ``width`` consecutive values of seq).
+def blocked_totals(df, keys, day, seq, totals, parts: int | None = None):
+    """Running totals by position: rows are cut into ``parts`` blocks of their order (key, day, seq).
 
-    A block holds at most ``width`` rows; block totals are summed over the blocks
-    of a day, and day totals over the days of a key. Only the first step shuffles
-    rows; the totals are aggregated before they are shuffled.
+    The cut is a range partitioning by position, so a block has about as many rows as any
+    other, whatever the values are. The blocks are stored with their number (a second
+    sampling could cut elsewhere); a window inside each block and the totals
+    of a key's earlier blocks, a row per key and block, make the sums. Null keys,
+    days and ids are values like others.
     """
-    block = [*keys, day, "_block"]
-    rows = df.withColumn("_block", F.col(seq) - F.pmod(F.col(seq), F.lit(width)))
-    per_block = rows.groupBy(*block).agg(*[F.sum(src).alias(out) for out, src in totals.items()])
-    of_day = Window.partitionBy(*keys, day).orderBy("_block")
-    earlier = of_day.rowsBetween(Window.unboundedPreceding, -1)
-    entire = of_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    blocks = per_block.withColumns({
-        "_first": F.row_number().over(of_day),
-        **{"_b_" + c: F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in totals},
-        **{"_t_" + c: F.sum(c).over(entire) for c in totals},
-    })
-    past_days = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    days = blocks.where("_first = 1").select(
-        *keys, day, *[F.coalesce(F.sum("_t_" + c).over(past_days), F.lit(0)).alias("_d_" + c) for c in totals])
-    offsets = blocks.join(days, [*keys, day]).select(
-        *block, *[(F.col("_b_" + c) + F.col("_d_" + c)).alias("_o_" + c) for c in totals])
-    inside = Window.partitionBy(*block).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_dir(spark, "blocks")
+    cut = df.repartitionByRange(n, *keys, day, seq).withColumn("_block", F.spark_partition_id())
+    cut.write.parquet(path)
+    rows = spark.read.schema(cut.schema).parquet(path)
+    per_block = rows.groupBy(*keys, "_block").agg(*[F.sum(src).alias("_t_" + out) for out, src in totals.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_block.select(
+        *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.col("_block").alias("_of"),
+        *[F.coalesce(F.sum("_t_" + out).over(earlier), F.lit(0)).alias("_o_" + out) for out in totals])
+    inside = Window.partitionBy(*keys, "_block").orderBy(day, seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = rows.withColumns({out: F.sum(src).over(inside) for out, src in totals.items()})
-    out = summed.join(offsets, block).withColumns({c: F.col(c) + F.col("_o_" + c) for c in totals})
+    same = F.col("_block") == F.col("_of")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    out = summed.join(offsets, same).withColumns({c: F.col(c) + F.col("_o_" + c) for c in totals})
     return out.select(*df.columns, *totals)
 
 
+def part_of(value: str | Column, parts: int) -> Column:
+    """Part 0 .. parts - 1 of a value: by the first 16 bits of the MD5 of its text."""
+    digits = F.substring(F.md5(F.coalesce(column(value).cast("string"), F.lit("")).cast("binary")), 1, 4)
+    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(parts).cast("bigint"))
+
+
 def list_parts(
-    df: DataFrame, key: str | Sequence[str], value: str, size: int = 100_000, maxima: Sequence[str] = (),
-    counted: DataFrame | None = None,
+    df: DataFrame, key: str | Sequence[str], value: str, parts: int = 1, maxima: Sequence[str] = (), split_by: str | Column | None = None,
 ) -> DataFrame:
-    """Sorted lists of a value per key, cut into parts of about ``size`` elements: key, ``part``, ``values``.
+    """Sorted lists of a value per key in ``parts`` rows at most: key, ``part``, ``values``.
 
-    Keys with up to ``size`` rows have the single part 0. Larger ones are spread by
-    a hash of the value, so that no task and no row holds a whole hot key; the
-    parts of a key together are its complete list. ``maxima`` columns are added as
-    the maximum over the whole key, in every part. Sizes are taken from
-    ``counted``, a cheaper table that holds at least the rows of ``df``.
+    The rows depend on the arguments alone, never on how many values a key has: part p holds the values
+    (or those with ``split_by``) that ``part_of`` sends there, and the parts of a key together are its
+    complete list. One part gives the exact list in one row. Choose more where a key may hold more
+    values than a task should; a part without values has no row. ``maxima`` columns are added
+    as the maximum over the whole key, in every part.
     """
     keys = names(key)
-    large = large_groups(df if counted is None else counted, keys, size)
-    values = F.sort_array(F.collect_list(value)).alias("values")
-    highest = [F.max(c).alias(c) for c in maxima]
-    if large is None:
-        out = df.groupBy(*keys).agg(values, *highest)
-        return out.select(*keys, F.lit(0).cast("bigint").alias("part"), "values", *maxima)
-    hint = F.broadcast if broadcastable(large) else lambda d: d
-    chunks = large.select(*keys, F.ceil(F.col("_n") / F.lit(size)).alias("_parts"))
-    part = F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(value), F.col("_parts")))
-    rows = df.join(hint(chunks), keys, "left").withColumn("part", part)
-    out = rows.groupBy(*keys, "part").agg(values, *highest)
-    if maxima:
-        # one row per large key, so no longer than the measured list of these
-        whole = rows.where(F.col("_parts").isNotNull()).groupBy(*keys).agg(*[F.max(c).alias("_all_" + c) for c in maxima])
-        out = out.join(hint(whole), keys, "left").withColumns({c: F.coalesce("_all_" + c, c) for c in maxima})
+    out = df.withColumn("part", part_of(value if split_by is None else split_by, parts)).groupBy(*keys, "part").agg(
+        F.sort_array(F.collect_list(value)).alias("values"), *[F.max(c).alias(c) for c in maxima])
+    if maxima and parts > 1:
+        whole = Window.partitionBy(*keys)  # a row per part by now
+        out = out.withColumns({c: F.max(c).over(whole) for c in maxima})
     return out.select(*keys, "part", "values", *maxima)
 
 

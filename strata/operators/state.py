@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import join_arrays, names
+from strata.functions.columns import join_arrays, keep_tail, names
 from strata.operators.guards import require
 
 # The daily states that count as active in a retention curve.
@@ -53,11 +53,13 @@ def _states(known: Column, last: Column, active: Column, day: Column) -> tuple[C
     return daily, weekly
 
 
-def growth_accounting(prev: DataFrame | None, daily: DataFrame, key: str | Sequence[str], ds: str, day: str = "day") -> DataFrame:
+def growth_accounting(
+    prev: DataFrame | None, daily: DataFrame, key: str | Sequence[str], ds: str, day: str = "day", keep_last: int | None = None
+) -> DataFrame:
     """Growth-accounting rows of day ``ds`` from those of the day before and the day's activity.
 
     ``daily`` holds one row per key and day (``daily_activity``). ``prev`` must be
-    the day before; the query fails otherwise.
+    the day before; the query fails otherwise. ``keep_last`` bounds the dates kept per key.
     """
     keys = names(key)
     date = F.to_date(F.lit(ds))
@@ -78,16 +80,42 @@ def growth_accounting(prev: DataFrame | None, daily: DataFrame, key: str | Seque
         F.when(active, date).otherwise(F.col("_last")).alias("last_active_date"),
         state.alias("daily_active_state"),
         weekly.alias("weekly_active_state"),
-        join_arrays(F.col("_dates"), F.when(active, F.array(date))).alias("dates_active"),
+        keep_tail(join_arrays(F.col("_dates"), F.when(active, F.array(date))), keep_last).alias("dates_active"),
         date.alias("date"),
     )
 
 
-def growth_accounting_backfill(daily: DataFrame, key: str | Sequence[str], last: str, day: str = "day") -> DataFrame:
-    """Growth-accounting rows of all days up to ``last`` in one pass and one shuffle.
+def accounting_states(daily: DataFrame, key: str | Sequence[str], last: str, day: str = "day") -> DataFrame:
+    """Growth-accounting rows of all days up to ``last``, without the lists of dates.
+
+    ``daily`` holds one row per key and day. One shuffle: each active day learns the first day and those before and after it
+    by a window, yields the days up to the next one, and states are row arithmetic.
+    """
+    keys = names(key)
+    end = F.to_date(F.lit(last))
+    days = daily.where(F.col(day) <= end).select(*keys, F.col(day).alias("_now"))
+    order = Window.partitionBy(*keys).orderBy("_now")
+    each = days.withColumns({
+        "first_active_date": F.min("_now").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_before": F.lag("_now").over(order), "_next": F.lead("_now").over(order)})
+    spans = each.withColumn("date", F.explode(F.sequence("_now", F.coalesce(F.date_sub("_next", 1), end))))
+    active = F.col("date") == F.col("_now")
+    before = F.when(active, F.col("_before")).otherwise(F.col("_now"))
+    state, weekly = _states(before.isNotNull(), before, active, F.col("date"))
+    return spans.select(
+        *keys, "first_active_date", F.col("_now").alias("last_active_date"), state.alias("daily_active_state"),
+        weekly.alias("weekly_active_state"), "date")
+
+
+def growth_accounting_backfill(
+    daily: DataFrame, key: str | Sequence[str], last: str, day: str = "day", keep_last: int | None = None
+) -> DataFrame:
+    """Growth-accounting rows of all days up to ``last``, each with its dates so far, in one pass and one shuffle.
 
     A key's active days become one sorted array (at most one entry per day); each
     entry then yields the days up to the next one, and states are row arithmetic.
+    The dates so far grow with the days; ``keep_last`` keeps the latest of them, and
+    ``accounting_states`` does without.
     """
     keys = names(key)
     end = F.to_date(F.lit(last))
@@ -105,7 +133,7 @@ def growth_accounting_backfill(daily: DataFrame, key: str | Sequence[str], last:
         F.col("_now").alias("last_active_date"),
         state.alias("daily_active_state"),
         weekly.alias("weekly_active_state"),
-        F.slice(F.col("_dates"), F.lit(1), F.col("_pos") + 1).alias("dates_active"),
+        keep_tail(F.slice(F.col("_dates"), F.lit(1), F.col("_pos") + 1), keep_last).alias("dates_active"),
         "date",
     )
 

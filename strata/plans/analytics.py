@@ -23,11 +23,11 @@ def _dates_text(df):
 
 
 def _accounting(spark, sf):
-    return state.growth_accounting_backfill(daily(spark, sf), "user_id", i.DS)
+    return state.accounting_states(daily(spark, sf), "user_id", i.DS)
 
 
 def growth_accounting_backfill(spark, sf):
-    return _dates_text(_accounting(spark, sf))
+    return _dates_text(state.growth_accounting_backfill(daily(spark, sf), "user_id", i.DS))
 
 
 def retention_curve(spark, sf):
@@ -90,15 +90,18 @@ def _source_days(spark, sf):
 
 
 def rolling_trends(spark, sf):
-    return patterns.rolling_trends(_source_days(spark, sf), ["referrer", "url"], "event_date", "hits", min_total=250)
+    days = _source_days(spark, sf)
+    totals = days.where("referrer is not null").groupBy("referrer", "url").agg(F.sum("hits").alias("n"))
+    # above the mean, so that the filter bites at every size
+    return patterns.rolling_trends(days, ["referrer", "url"], "event_date", "hits", min_total=totals.agg(F.avg("n")).first()[0], required="referrer")
 
 
 def rolling_trends_calendar(spark, sf):
-    return patterns.rolling_trends(_source_days(spark, sf), ["referrer", "url"], "event_date", "hits", previous=(13, 6), calendar=True)
+    return patterns.rolling_trends(_source_days(spark, sf), ["referrer", "url"], "event_date", "hits", previous=(13, 6), calendar=True, required="referrer")
 
 
 def share_of_total(spark, sf):
-    return patterns.share_of_total(_source_days(spark, sf), ["referrer", "url"], "hits", "event_date")
+    return patterns.share_of_total(_source_days(spark, sf), ["referrer", "url"], "hits", "event_date", required="referrer")
 
 
 def funnel_conversion(spark, sf):
@@ -230,9 +233,14 @@ ga as (
 full_ga as (
   select g.*, (select string_agg(cast(d.day as varchar), ',' order by d.day) from daily d where d.user_id = g.user_id and d.day <= g.date) as dates_active
   from ga g)"""
+# The level's name and the label of rolled-up columns. Each level is a group-by of its own.
+_KNOWN = "(select " + ", ".join(f"coalesce({c}, 'unknown') as {c}" for c in DIMS) + " from devices join web using (device_id))"
+_LEVELS = "levels as (" + " union all ".join(
+    f"select '{name}' as aggregation_level, " + ", ".join(c if c in kept else f"'(overall)' as {c}" for c in DIMS)
+    + f", count(*) as number_of_hits from {_KNOWN} group by all"
+    for name, kept in [("os_type__device_type__browser", DIMS), *((c, [c]) for c in DIMS)]) + ")"
 _SOURCE = f"""src as (
-  select case when referrer like '%linkedin%' then 'Linkedin' when referrer like '%t.co%' then 'Twitter' when referrer like '%google%' then 'Google'
-              when referrer like '%lnkd%' then 'Linkedin' when referrer like '%alpha.example%' then 'On Site' else referrer end as referrer,
+  select {i.SQL_REFERRER} as referrer,
          url, cast(event_time as date) as event_date, count(*) as hits
   from web w join devices d on d.device_id = w.device_id group by all)"""
 _TRENDS = """select referrer, url, event_date, hits,
@@ -241,7 +249,7 @@ _TRENDS = """select referrer, url, event_date, hits,
     cast(sum(hits) over (partition by referrer, url) as bigint) as grand_total,
     cast(sum(hits) over (partition by referrer, url order by event_date {week}) as bigint) as weekly_rolling,
     cast(sum(hits) over (partition by referrer, url order by event_date {before}) as bigint) as previous_weekly_rolling
-  from src where referrer is not null and url is not null"""
+  from src where referrer is not null"""
 _ROWS = _TRENDS.format(week="rows between 6 preceding and current row", before="rows between 13 preceding and 7 preceding")
 _DAYS = _TRENDS.format(week="range between interval 6 days preceding and current row",
                        before="range between interval 13 days preceding and interval 6 days preceding")
@@ -267,29 +275,25 @@ ORACLES = {
     "retention_by_cohort": f"""with {i.WEB}, {DAILY}, {_GROWTH} select first_active_date, cast(date - first_active_date as integer) as days_since_first_active,
         count(*) filter (where daily_active_state in ('New', 'Retained', 'Resurrected')) / count(*) as pct_active, count(*) as entities
         from ga group by 1, 2""",
-    "grouping_sets_dashboard": f"""with {i.WEB}, {i.DEVICES}, aug as (
-          select coalesce(os_type, 'unknown') as os_type, coalesce(device_type, 'unknown') as device_type, coalesce(browser_type, 'unknown') as browser_type
-          from web w join devices d on d.device_id = w.device_id)
-        select case when grouping(os_type) = 0 and grouping(device_type) = 0 and grouping(browser_type) = 0 then 'os_type__device_type__browser'
-            when grouping(browser_type) = 0 then 'browser_type' when grouping(device_type) = 0 then 'device_type' else 'os_type' end as aggregation_level,
-          coalesce(os_type, '(overall)') as os_type, coalesce(device_type, '(overall)') as device_type,
-          coalesce(browser_type, '(overall)') as browser_type, count(*) as number_of_hits
-        from aug group by grouping sets ((browser_type, device_type, os_type), (browser_type), (os_type), (device_type))""",
+    "grouping_sets_dashboard": f"with {i.WEB}, {i.DEVICES}, {_LEVELS} select * from levels",
     "game_grouping_sets": f"with {_PLAYED}, {_SETS} select * from gs",
     "game_leaders": f"""with {_PLAYED}, {_SETS}, ranked as (
           select *, rank() over (partition by aggregation_level order by case when aggregation_level = 'team_name' then games_won else points end desc) as r from gs)
         select * exclude (r) from ranked where r = 1""",
     "rolling_trends": f"""with {i.WEB}, {i.DEVICES}, {_SOURCE}, t as ({_ROWS})
-        select *, hits / monthly_total as pct_of_month, hits / grand_total as pct_of_total from t where grand_total > 250""",
+        select *, hits / monthly_total as pct_of_month, hits / grand_total as pct_of_total from t
+        where grand_total > (select avg(n) from (select sum(hits) as n from src where referrer is not null group by referrer, url))""",
     "rolling_trends_calendar": f"""with {i.WEB}, {i.DEVICES}, {_SOURCE}, t as ({_DAYS})
         select *, hits / monthly_total as pct_of_month, hits / grand_total as pct_of_total from t""",
     "share_of_total": f"""with {i.WEB}, {i.DEVICES}, {_SOURCE}, t as ({_ROWS})
         select referrer, url, event_date, hits, monthly_total, grand_total, hits / monthly_total as pct_of_month, hits / grand_total as pct_of_total from t""",
-    "funnel_conversion": f"""with {i.WEB}, ev as (select distinct user_id, event_time, url, cast(event_time as date) as day from web where user_id is not null),
-        conv as (select a.user_id, a.event_time, a.url, count(distinct case when b.url = '/purchase' then b.url end) as converted
-          from ev a join ev b on b.user_id = a.user_id and b.day = a.day and b.event_time > a.event_time group by 1, 2, 3)
-        select url, count(*) as events, cast(sum(converted) as bigint) as converted, sum(converted) / count(*) as conversion_rate
-        from conv group by url having sum(converted) > 0 and count(*) > 100""",
+    "funnel_conversion": f"""with {i.WEB}, visit as (
+          select url, event_time, max(event_time) over day as final, max(event_time) filter (where url = '/purchase') over day as bought
+          from (select distinct user_id, event_time, url from web where user_id is not null)
+          window day as (partition by user_id, cast(event_time as date)))
+        select url, count(*) as events, count(*) filter (where bought > event_time) as converted,
+               count(*) filter (where bought > event_time) / count(*) as conversion_rate
+        from visit where event_time < final group by url having count(*) filter (where bought > event_time) > 0 and count(*) > 100""",
     "best_stretch": f"""with {i.TEAM_GAMES}, f as (select team,
           sum(win) over w as wins, count(*) over w as games from tg
           window w as (partition by team order by game_date, game_id rows between 89 preceding and current row))

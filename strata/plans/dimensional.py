@@ -71,12 +71,13 @@ def scd2_incremental(spark, sf):
 
 
 FILM_RECORD = ["film_id", "votes", "rating"]
+FILM_PARTS = 4
 
 
 def cumulate_grouped_entity(spark, sf):
     films = i.films(spark, sf)
     before, last = i.LAST_SEASON - 1, i.LAST_SEASON
-    rules = (FILM_RECORD, "rating", i.RATING_BANDS, i.LOWEST)
+    rules = (FILM_RECORD, "rating", i.RATING_BANDS, i.LOWEST, FILM_PARTS)
     prev = entity.backfill_grouped_entity(films, "actor_id", "year", before, *rules)
     out = entity.cumulate_grouped_entity(prev, films, "actor_id", "year", last, *rules)
     text = F.transform("history", lambda x: F.concat_ws(":", x["film_id"].cast("string"), x["rating"].cast("string")))
@@ -108,8 +109,9 @@ def membership_edges(spark, sf):
 
 
 def cooccurrence_edges(spark, sf):
+    raw = i.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("game_id"))
     return graph.cooccurrence_edges(
-        i.game_details(spark, sf), "game_id", "player_id", "player_name", "team_name", "pts", i.GAME_ORDER)
+        i.game_details(spark, sf), "game_id", "player_id", "player_name", "team_name", "pts", i.GAME_ORDER, counted=raw)
 
 
 _SCD = """changes as (
@@ -159,11 +161,11 @@ ORACLES = {
     "scd2_incremental": _SCD_TWO_SQL,
     "cumulate_grouped_entity": f"""with {i.FILMS}, {_CAREER}, latest as (
           select actor_id, arg_max(mean, year) as mean, max(year) as last_year from yearly group by actor_id)
-        select f.actor_id, cast(0 as bigint) as part, cast({i.LAST_SEASON} as integer) as year,
+        select f.actor_id, {i.sql_part("f.film_id", FILM_PARTS)} as part, cast({i.LAST_SEASON} as integer) as year,
                string_agg(f.film_id || ':' || f.rating, ',' order by f.year, f.film_id) as films,
                {i.sql_band('any_value(l.mean)', i.RATING_BANDS, i.LOWEST)} as quality_class,
                any_value(l.last_year) = {i.LAST_SEASON} as is_active
-        from films f join latest l on l.actor_id = f.actor_id group by f.actor_id""",
+        from films f join latest l on l.actor_id = f.actor_id group by 1, 2""",
     "grouped_entity_states": f"""with {i.FILMS}, {_CAREER}
         select s.actor_id, {i.sql_band('arg_max(y.mean, y.year)', i.RATING_BANDS, i.LOWEST)} as entity_class,
                max(y.year) = s.year as is_active, cast(s.year - max(y.year) as integer) as periods_since_active,

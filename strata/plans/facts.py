@@ -183,13 +183,16 @@ def pair_activity(spark, sf):
     return _text(_pairs(spark, sf), "host_array")
 
 
+# Rows over which the list of one key is spread at most.
+PARTS = 4
+
+
 def coactivity_users(spark, sf):
-    return _text(act.user_devices(_pairs(spark, sf), "user_id", "device_id", events=i.web_events(spark, sf)), "devices")
+    return _text(act.user_devices(_pairs(spark, sf), "user_id", "device_id", PARTS), "devices")
 
 
 def coactivity_devices(spark, sf):
-    return _text(act.device_users(
-        _pairs(spark, sf), i.devices(spark, sf), "user_id", "device_id", "device_type", events=i.web_events(spark, sf)), "users")
+    return _text(act.device_users(_pairs(spark, sf), i.devices(spark, sf), "user_id", "device_id", "device_type", PARTS), "users")
 
 
 QUERIES = {
@@ -244,9 +247,7 @@ slots as (
 ORACLES = {
     "dedupe_by_key": f"with {i.GAME_DETAILS} select player_id, game_id, l_linenumber, l_partkey, pts, team_id, team_name from played",
     "dedupe_exact": f"with {i.WEB} select url, host, user_id, device_id from web group by all",
-    "classify_by_rules": f"""with {i.WEB} select event_id, case when referrer like '%linkedin%' then 'Linkedin' when referrer like '%t.co%' then 'Twitter'
-        when referrer like '%google%' then 'Google' when referrer like '%lnkd%' then 'Linkedin'
-        when referrer like '%alpha.example%' then 'On Site' else referrer end as source from web""",
+    "classify_by_rules": f"with {i.WEB} select event_id, {i.SQL_REFERRER} as source from web",
     "fill_unknown": f"""with {i.DEVICES} select device_id, coalesce(browser_type, 'unknown') as browser_type,
         coalesce(device_type, 'unknown') as device_type, coalesce(os_type, 'unknown') as os_type from devices""",
     "enrich": f"""with {i.WEB}, {i.DEVICES} select w.event_id, d.device_id, upper(d.browser_type) as browser_family, d.os_type as os_family,
@@ -271,14 +272,14 @@ ORACLES = {
         select user_id, string_agg(entry, ',' order by entry) as days_by_browser from n group by user_id""",
     "host_activity_datelist": f"""with {i.WEB}, {DAILY_HOST}
         select host, {_DATES} as host_activity_datelist, date '{i.DS}' as date from daily group by host""",
-    "datelist_int": f"""with {i.WEB}, {DAILY}, b as (select user_id, {_BITS} as datelist_int from daily group by user_id)
+    "datelist_int": f"""with {i.WEB}, {DAILY}, b as (select user_id, {_BITS} as datelist_int from daily where day <= date '{i.DS}' group by user_id)
         select user_id, datelist_int, cast(cast(datelist_int as uinteger)::bit as varchar) as bits, date '{i.DS}' as date from b""",
-    "datelist_int_from_daily": f"with {i.WEB}, {DAILY} select user_id, {_BITS} as datelist_int from daily group by user_id",
+    "datelist_int_from_daily": f"with {i.WEB}, {DAILY} select user_id, {_BITS} as datelist_int from daily where day <= date '{i.DS}' group by user_id",
     "device_datelist_int": f"""with {i.WEB}, {i.DEVICES}, {BY_BROWSER}, {DAILY_BROWSER}
-        select user_id, browser_type, {_BITS} as datelist_int, date '{i.DS}' as date from daily group by user_id, browser_type""",
+        select user_id, browser_type, {_BITS} as datelist_int, date '{i.DS}' as date from daily where day <= date '{i.DS}' group by user_id, browser_type""",
     "activity_flags": f"""with {i.WEB}, {DAILY}, n as (select user_id, {_BITS} as datelist_int,
           {_RECENT.format(ds=i.DS, a=0, b=31)} as l32, {_RECENT.format(ds=i.DS, a=0, b=6)} as l7, {_RECENT.format(ds=i.DS, a=7, b=13)} as before
-          from daily group by user_id)
+          from daily where day <= date '{i.DS}' group by user_id)
         select user_id, datelist_int, l32, l32 > 0 as monthly_active, l7, l7 > 0 as weekly_active, before > 0 as weekly_active_previous_week from n""",
     "monthly_hit_array": f"""with {i.WEB}, {DAILY}, {_CAL}
         select u.user_id, string_agg(coalesce(cast(d.hits as varchar), 'null'), ',' order by c.day) as hit_array,
@@ -305,9 +306,11 @@ ORACLES = {
         from (select distinct host from web) h cross join cal c left join d on d.host = h.host and d.day = c.day group by h.host""",
     "pair_activity": f"""with {i.WEB}, h as (select user_id, device_id, host, count(*) as n from web group by all)
         select user_id, device_id, cast(sum(n) as bigint) as event_counts, string_agg(host, ',' order by host) as host_array from h group by 1, 2""",
-    "coactivity_users": f"""with {i.WEB}, p as (select user_id, device_id, count(*) as n from web group by all)
-        select user_id, cast(0 as bigint) as part, string_agg(device_id, ',' order by device_id) as devices, max(n) as total_hits from p group by user_id""",
+    "coactivity_users": f"""with {i.WEB}, p as (select user_id, device_id, count(*) as n from web group by all),
+        m as (select user_id, max(n) as total_hits from p group by user_id)
+        select p.user_id, {i.sql_part("device_id", PARTS)} as part, string_agg(device_id, ',' order by device_id) as devices, any_value(m.total_hits) as total_hits
+        from p join m on m.user_id is not distinct from p.user_id group by 1, 2""",
     "coactivity_devices": f"""with {i.WEB}, {i.DEVICES}, p as (select distinct user_id, device_id from web)
-        select p.device_id, any_value(d.device_type) as device_type, cast(0 as bigint) as part, string_agg(user_id, ',' order by user_id) as users
-        from p join devices d on d.device_id = p.device_id group by p.device_id""",
+        select p.device_id, any_value(d.device_type) as device_type, {i.sql_part("user_id", PARTS)} as part, string_agg(user_id, ',' order by user_id) as users
+        from p join devices d on d.device_id = p.device_id group by 1, 3""",
 }

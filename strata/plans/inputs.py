@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import referrer_rules
+
 # Bands of a member's yearly spending.
 MEMBER_BANDS = [(660_000, "star"), (420_000, "good"), (235_000, "average")]
 # Rating bands of the yearly mean (strictly above).
@@ -51,6 +53,15 @@ def sql_band(value: str, bands, default: str) -> str:
     return f"case {whens} else '{default}' end"
 
 
+# The referrer rules as SQL, from the list that the library's rules come from.
+SQL_REFERRER = "case " + " ".join(f"when contains(referrer, '{part}') then '{name}'" for part, name in referrer_rules(OWN_SITES)) + " else referrer end"
+
+
+def sql_part(value: str, parts: int) -> str:
+    """The part that a value belongs to in lists of ``parts`` rows."""
+    return f"cast(('0x' || substr(md5(coalesce(cast({value} as varchar), '')), 1, 4))::bigint % {parts} as bigint)"
+
+
 # Snapshots of every member and season by an inequality join.
 SNAPSHOTS = MEMBER_SEASONS + f""",
 spine as (select member_id, unnest(range(min(season), {LAST_SEASON + 1})) as season from ms group by member_id),

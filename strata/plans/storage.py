@@ -72,13 +72,35 @@ def bucket_join(spark, sf):
     return joins.bucket_join(spark, details, played, "match_id")
 
 
+def _bucketed(spark, sf):
+    """The three facts of a match in as many buckets as the largest needs; matches are also partitioned by year."""
+    facts = {
+        "details": i.match_details(spark, sf), "medals": i.medals_players(spark, sf),
+        "matches": i.matches(spark, sf).withColumn("year", F.year("completion_date"))}
+    n = max(4, tables.bucket_count(facts["details"].count(), 40))
+    names = {label: _name(label) for label in facts}
+    for label, df in facts.items():
+        tables.write_bucketed(
+            df, names[label], "match_id", n, partition_by="year" if label == "matches" else None, path=shared_dir(spark, label))
+    return names
+
+
+YEAR = 1997
+
+
+def bucket_join_partitioned(spark, sf):
+    """One year's matches with all performances and medals: a pruned partition, three bucketed tables, no shuffle of facts."""
+    names = _bucketed(spark, sf)
+    joined = joins.bucket_join(
+        spark, names["matches"], [names["details"]], "match_id", where=F.col("year") == YEAR)
+    medals = spark.table(names["medals"]).groupBy("match_id", "player_id").agg(F.sum("medal_count").alias("medals")).hint("merge")
+    return joined.join(medals, ["match_id", "player_id"], "left").groupBy("playlist_id", "map_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("kills").alias("kills"), F.sum("medals").alias("medals"))
+
+
 def bucket_join_report(spark, sf):
     """Kills and deaths per playlist and map: three co-bucketed facts, aggregated before they meet."""
-    names = {}
-    facts = {"details": i.match_details(spark, sf), "matches": i.matches(spark, sf), "medals": i.medals_players(spark, sf)}
-    for label, df in facts.items():
-        names[label] = _name(label)
-        tables.write_bucketed(df, names[label], "match_id", 16, path=shared_dir(spark, label))
+    names = _bucketed(spark, sf)
     kills = spark.table(names["details"]).groupBy("match_id").agg(F.sum("kills").alias("kills"), F.count(F.lit(1)).alias("players"))
     won = spark.table(names["medals"]).groupBy("match_id").agg(F.sum("medal_count").alias("medals"))
     per_match = spark.table(names["matches"]).join(kills, "match_id", "left").join(won, "match_id", "left")
@@ -105,7 +127,7 @@ def write_clustered_global(spark, sf):
 
 
 def layout_report(spark, sf):
-    """Bytes and files of player performances with their match: unsorted, and sorted by low-cardinality columns."""
+    """Rows of player performances with their match, unsorted and sorted, and whether each layout is in files no larger than the data."""
     per_player = i.match_details(spark, sf).groupBy("match_id", "player_id").agg(F.sum("kills").alias("kills"))
     rows = per_player.join(i.matches(spark, sf), "match_id")
     orders = {"playlist_map": ["playlist_id", "map_id"], "map_playlist": ["map_id", "playlist_id"], "date_map": ["completion_date", "map_id"]}
@@ -114,7 +136,13 @@ def layout_report(spark, sf):
         kept.write.parquet(paths["unsorted"])
         for label, cols in orders.items():
             tables.write_clustered(kept, paths[label], cols[0], cols)
-    return tables.layout_report(spark, paths)
+    counted = None
+    for label, path in paths.items():
+        one = spark.read.schema(rows.schema).parquet(path).agg(F.count(F.lit(1)).alias("num_rows")).withColumn("layout", F.lit(label))
+        counted = one if counted is None else counted.unionByName(one)
+    report = tables.layout_report(spark, paths)
+    return report.join(counted, "layout").select(
+        "layout", "num_rows", ((F.col("num_files") > 0) & (F.col("size") > F.col("num_rows"))).alias("has_files"))
 
 
 def materialize(spark, sf):
@@ -140,6 +168,7 @@ QUERIES = {
     "write_bucketed": write_bucketed,
     "bucket_join": bucket_join,
     "bucket_join_report": bucket_join_report,
+    "bucket_join_partitioned": bucket_join_partitioned,
     "write_clustered": write_clustered,
     "write_clustered_global": write_clustered_global,
     "layout_report": layout_report,
@@ -164,6 +193,14 @@ ORACLES = {
         select m.playlist_id, m.map_id, count(*) as matches, cast(sum(k.players) as bigint) as players, cast(sum(k.kills) as bigint) as kills,
                cast(sum(k.medals) as bigint) as medals, any_value(n.n_name) as map_name
         from matches m left join k on k.match_id = m.match_id join nation n on n.n_nationkey = m.map_id group by 1, 2""",
+    "bucket_join_partitioned": f"""with {i.MATCHES},
+        l as (select l_orderkey as match_id, l_suppkey as player_id, cast(l_quantity as bigint) as kills,
+              sum(l_linenumber) over (partition by l_orderkey, l_suppkey) as medals from lineitem)
+        select playlist_id, map_id, count(*) as lines, cast(sum(kills) as bigint) as kills, cast(sum(medals) as bigint) as medals
+        from matches join l using (match_id) where year(completion_date) = {YEAR} group by all""",
+    "layout_report": f"""with {i.MATCHES}, p as (
+          select count(*) as num_rows from (select distinct l_orderkey, l_suppkey from lineitem) join matches on match_id = l_orderkey)
+        select unnest(['unsorted', 'playlist_map', 'map_playlist', 'date_map']) as layout, num_rows, true as has_files from p""",
     "write_clustered": _LAYOUT,
     "write_clustered_global": _LAYOUT,
     "materialize": ANALYTICS["grouping_sets_dashboard"],

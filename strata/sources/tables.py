@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -11,12 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.columns import names
-from strata.operators.guards import maybe_broadcast
 from strata.session import session_conf
 
-HOT_SUFFIX = "__hot"
-
-
 def read_table(
     spark: SparkSession,
     path: str,
@@ -41,22 +39,33 @@ def read_table(
     return df
 
 
-def write_period(df: DataFrame, table: str, period_col: str, path: str | None = None) -> None:
+def write_period(df: DataFrame, table: str, period_col: str, path: str | None = None, period: object = None) -> None:
     """Write the periods present in ``df``; a re-run replaces them and leaves the others alone.
 
     The first write creates the table, partitioned by the period; later ones match
     columns by name. Rows are rebalanced by period: few files per period, and
-    several for one that holds most of the rows.
+    several for one that holds most of the rows. Name the ``period`` that is run, so
+    that a re-run without any rows empties it.
     """
     spark = df.sparkSession
-    df = df.hint("rebalance", period_col)
     if not spark.catalog.tableExists(table):
-        writer = df.write.partitionBy(period_col).format("parquet")
+        writer = df.hint("rebalance", period_col).write.partitionBy(period_col).format("parquet")
         (writer if path is None else writer.option("path", path)).saveAsTable(table)
         return
     ordered = df.select(*spark.table(table).columns)
+    if period is not None and ordered.isEmpty():
+        value = F.lit(period).cast(spark.table(table).schema[period_col].dataType).alias("v")
+        text = str(spark.range(1).select(value.cast("string")).first()[0]).replace("'", "\\'")
+        nothing = f"nothing_{uuid.uuid4().hex}"
+        spark.createDataFrame([], ordered.drop(period_col).schema).createTempView(nothing)
+        try:
+            with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+                spark.sql(f"insert overwrite table {table} partition (`{period_col}` = '{text}') select * from {nothing}")
+        finally:
+            spark.catalog.dropTempView(nothing)
+        return
     with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        ordered.write.mode("overwrite").insertInto(table)
+        ordered.hint("rebalance", period_col).write.mode("overwrite").insertInto(table)
 
 
 def run_periods(
@@ -70,16 +79,22 @@ def run_periods(
     """Run a cumulative job period by period, each reading the period the run before it wrote.
 
     ``step(previous rows, period)`` returns the period's rows; the previous rows are
-    None where the table holds none. Every period is a table write of its own, so
-    no plan grows with the number of periods, and a run that was stopped goes on
-    from (or repeats) any period.
+    None where the table holds no earlier period at all. Where it does, the period
+    before must be there: a gap raises, as the history would be lost. Every period is a
+    table write of its own, so no plan grows with the number of periods, and a run
+    that was stopped goes on from (or repeats) any period.
     """
     for period in periods:
         prev = None
         if spark.catalog.tableExists(table):
-            before = spark.table(table).where(F.col(period_col) == F.lit(period - 1))
-            prev = None if before.isEmpty() else before
-        write_period(step(prev, period), table, period_col, path)
+            # the period is the partition column: both tests read only the partitions they need
+            earlier = spark.table(table).where(F.col(period_col) < F.lit(period))
+            before = earlier.where(F.col(period_col) == F.lit(period - 1))
+            if not before.isEmpty():
+                prev = before
+            elif not earlier.isEmpty():
+                raise ValueError(f"{table} holds earlier periods but none before {period}: run {period - 1} first")
+        write_period(step(prev, period), table, period_col, path, period)
     return spark.table(table)
 
 
@@ -90,11 +105,6 @@ def materialize(df: DataFrame, table: str, mode: str = "overwrite", path: str |
     return df.sparkSession.table(table)
 
 
-def hot_table(spark: SparkSession, table: str) -> str | None:
-    """The side table of a bucketed table's hot keys, if it has any."""
-    return table + HOT_SUFFIX if spark.catalog.tableExists(table + HOT_SUFFIX) else None
-
-
 def write_bucketed(
     df: DataFrame,
     table: str,
@@ -103,32 +113,26 @@ def write_bucketed(
     sort: str | Sequence[str] | None = None,
     partition_by: str | None = None,
     path: str | None = None,
-    hot_rows: int | None = 20_000_000,
 ) -> None:
     """Write a table bucketed (and sorted within buckets) on the join key.
 
-    Rows are first hash-partitioned into the buckets, so a bucket is one file per
-    partition value. Choose ``n`` for buckets of a few hundred MB; tables joined
-    without a shuffle need the same ``n``. Keys with more than ``hot_rows`` rows
-    would swell one bucket: they are counted beforehand and written, unbucketed,
-    to a side table that ``bucket_join`` adds to the result (None skips the count).
+    Every row is in the table. Choose ``n`` for buckets of a few hundred MB
+    (``bucket_count``); tables joined without a shuffle need the same ``n``. Rows are first hash-partitioned
+    into the buckets, and adaptive execution divides the partition of a hot key, whose
+    bucket then has several files; ``bucket_join`` takes such keys as an argument.
     """
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}{HOT_SUFFIX}")
-    regular = df
-    if hot_rows is not None:
-        hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(key)
-        if not hot.isEmpty():
-            hot = maybe_broadcast(hot)
-            side = df.join(hot, key, "left_semi").write.mode("overwrite").format("parquet")
-            (side if path is None else side.option("path", path + HOT_SUFFIX)).saveAsTable(table + HOT_SUFFIX)
-            regular = df.join(hot, key, "left_anti")
-    writer = regular.repartition(n, key).write.mode("overwrite").format("parquet").bucketBy(n, key).sortBy(*names(sort or key))
+    writer = df.hint("rebalance", n, key).write.mode("overwrite").format("parquet").bucketBy(n, key).sortBy(*names(sort or key))
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 
+def bucket_count(rows: int, row_bytes: int, bucket_bytes: int = 256 * 1024 * 1024) -> int:
+    """The power of two, so that tables of different sizes nest, that gives buckets of about ``bucket_bytes``."""
+    wanted = max(1, rows * row_bytes / bucket_bytes)
+    return 1 << math.ceil(math.log2(wanted))
+
+
 def write_clustered(
     df: DataFrame,
     path: str,

@@ -145,13 +145,31 @@ def test_host_activity_iterated(spark):
 def test_coactivity_parts_hold_everything(spark):
     pairs = spark.range(5000).select((F.col("id") % 3).alias("u"), F.col("id").alias("d"), F.col("id").alias("event_counts"))
     pairs = pairs.unionByName(spark.range(5).select(F.lit(7).cast("bigint").alias("u"), F.col("id").alias("d"), F.col("id").alias("event_counts")))
-    out = act.user_devices(pairs, "u", "d", size=100).collect()
-    for u in (0, 1, 2, 7):
-        mine = [r for r in out if r["u"] == u]
-        whole = sorted(x for r in mine for x in r["devices"])
-        assert whole == (list(range(5)) if u == 7 else list(range(u, 5000, 3)))
-        assert {r["total_hits"] for r in mine} == {max(whole)}
-        assert all(len(r["devices"]) < 400 for r in mine) and (u != 7 or [r["part"] for r in mine] == [0])
+    pairs = pairs.unionByName(spark.range(9).select(F.lit(None).cast("bigint").alias("u"), F.col("id").alias("d"), F.col("id").alias("event_counts")))
+    for parts in (1, 16):
+        out = act.user_devices(pairs, "u", "d", parts).collect()
+        for u, want in [*((u, list(range(u, 5000, 3))) for u in (0, 1, 2)), (7, list(range(5))), (None, list(range(9)))]:
+            mine = [r for r in out if r["u"] == u]
+            assert sorted(x for r in mine for x in r["devices"]) == want
+            assert {r["total_hits"] for r in mine} == {max(want)}
+            assert len({r["part"] for r in mine}) == len(mine) <= parts
+            assert all(r["devices"] == sorted(r["devices"]) and len(r["devices"]) < 1.5 * len(want) / parts + 5 for r in mine)
+
+
+def test_bitmaps_of_an_earlier_day(spark):
+    """A user first seen after the as-of day has no row in either form."""
+    facts = daily(spark, {(1, 0): 1, (2, 9): 1, (1, 10): 2})
+    end = str(day(4))
+    lists = act.datelist_int(act.date_lists(facts, "user_id", end), "dates_active", end).select("user_id", "datelist_int")
+    assert rows(lists) == rows(act.datelist_int_from_daily(facts, "user_id", end)) == [(1, 1 << 27)]
+
+
+def test_states_with_and_without_dates(spark):
+    facts = daily(spark, {(1, 0): 1, (1, 3): 1, (2, 1): 1, (1, 11): 4})
+    whole = state.growth_accounting_backfill(facts, "user_id", str(day(11)))
+    assert rows(state.accounting_states(facts, "user_id", str(day(11)))) == rows(whole.drop("dates_active"))
+    two = {(r["user_id"], r["date"]): r["dates_active"] for r in state.growth_accounting_backfill(facts, "user_id", str(day(11)), keep_last=2).collect()}
+    assert two[1, day(11)] == [day(3), day(11)] and two[1, day(2)] == [day(0)]
 
 
 def test_referrer_rules(spark):

@@ -24,10 +24,17 @@ def test_dedupe_limits_before_the_shuffle(spark, sf):
     assert p.index("row_number(), 1, Final") < p.index("Exchange hashpartitioning") < p.index("row_number(), 1, Partial")
 
 
-def test_leaders_limit_before_the_shuffle(spark, sf):
+def test_leaders_bring_one_maximum_per_task_together(spark, sf):
     totals = i.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("q"))
-    before, after = plan(patterns.leaders(totals, "q")).split("Exchange SinglePartition")
-    assert re.search(r"WindowGroupLimit .* 1, Final", before) and re.search(r"WindowGroupLimit .* 1, Partial", after)
+    p = plan(patterns.leaders(totals, "q"))
+    assert "Window" not in p and "Sort " not in p and "BroadcastHashJoin" in p
+    # the only exchange to one task carries partial maxima
+    assert all("partial_max" in part.split("\n")[1] for part in p.split("Exchange SinglePartition")[1:])
+
+
+def test_retention_carries_no_arrays(spark, sf):
+    p = plan(driver.queries()["retention_curve"](spark, sf))
+    assert "collect_set" not in p and "array<date>" not in p
 
 
 def test_scd2_backfill_shuffles_once(spark, sf):
@@ -64,9 +71,10 @@ def test_bitmaps_need_no_cross_join_and_no_extra_shuffle(spark, sf):
     assert "ObjectHashAggregate" not in p and "bit_or" in p
 
 
-def test_lists_without_large_keys_shuffle_pairs_once(spark, sf):
-    df = driver.queries()["coactivity_users"](spark, sf)
-    assert shuffles(df) == 2  # events to pairs, pairs to users
+def test_lists_shuffle_pairs_once(spark, sf):
+    pairs = act.pair_activity(i.web_events(spark, sf), "user_id", "device_id", "host")
+    assert shuffles(act.user_devices(pairs, "user_id", "device_id")) == 2  # events to pairs, pairs to users
+    assert shuffles(act.user_devices(pairs, "user_id", "device_id", 4)) == 3  # and the parts to their user's maximum
 
 
 # A foldable key or a one-row side may plan as a nested loop; none of these queries has one.

@@ -6,6 +6,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from strata.operators import joins
+from strata.operators.skew import large_groups
 from strata.session import session_conf, shared_dir
 from strata.sources import tables
 
@@ -46,24 +47,64 @@ def test_bucket_join_has_no_shuffle(spark, tmp_path):
     l, r = name(), name()
     tables.write_bucketed(left, l, "k", 8, sort=["k", "id"], path=str(tmp_path / "l"))
     tables.write_bucketed(right, r, "k", 8, path=str(tmp_path / "r"))
-    assert tables.hot_table(spark, l) is None
-    out = joins.bucket_join(spark, l, r, "k", where=F.col("v") >= 10)
-    assert rows(out) == rows(left.join(right, "k").where("v >= 10"))
+    out = joins.bucket_join(spark, l, r, "k", where=F.col("id") >= 10)
+    assert rows(out) == rows(left.join(right, "k").where("id >= 10"))
     assert "Exchange" not in plan(out) and "SortMergeJoin" in plan(out)
     assert len(glob.glob(str(tmp_path / "l" / "*.parquet"))) <= 8  # one file per bucket
 
 
 @pytest.mark.parametrize("hot_left,hot_right", [(True, False), (False, True), (True, True)])
 def test_bucket_join_with_hot_keys(spark, tmp_path, hot_left, hot_right):
+    """Every row stays in its table, and hot keys joined apart give the same rows."""
     base = spark.range(60).select((F.col("id") % 20).alias("k"), "id")
     hot = spark.range(100, 140).select(F.lit(3).cast("bigint").alias("k"), "id")
     left = base.unionByName(hot) if hot_left else base
     right = (base.unionByName(hot) if hot_right else base).withColumnRenamed("id", "v")
     l, r = name(), name()
-    tables.write_bucketed(left, l, "k", 4, path=str(tmp_path / "l"), hot_rows=10)
-    tables.write_bucketed(right, r, "k", 4, path=str(tmp_path / "r"), hot_rows=10)
-    assert (tables.hot_table(spark, l) is not None) is hot_left and (tables.hot_table(spark, r) is not None) is hot_right
-    assert rows(joins.bucket_join(spark, l, r, "k")) == rows(left.join(right, "k"))
+    tables.write_bucketed(left, l, "k", 4, path=str(tmp_path / "l"))
+    tables.write_bucketed(right, r, "k", 4, path=str(tmp_path / "r"))
+    assert rows(spark.table(l)) == rows(left) and rows(spark.table(r)) == rows(right)
+    want = rows(left.join(right, "k"))
+    large = large_groups(left.select("k").unionAll(right.select("k")), "k", 10)
+    for keys in (None, large):
+        assert rows(joins.bucket_join(spark, l, r, "k", hot=keys, salts=4)) == want
+
+
+def test_three_bucketed_tables_and_a_pruned_partition(spark, tmp_path):
+    fact = spark.range(400).select((F.col("id") % 50).alias("k"), "id")
+    games = spark.range(50).select(F.col("id").alias("k"), (F.col("id") % 3).alias("y"))
+    extra = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 3).alias("e"))
+    names = [name() for _ in range(3)]
+    for df, n in zip((games, fact, extra), names):
+        tables.write_bucketed(df, n, "k", 4, partition_by="y" if df is games else None, path=str(tmp_path / n))
+    out = joins.bucket_join(spark, names[0], names[1:], "k", where=F.col("y") == 1)
+    assert rows(out.select("k", "id", "e")) == rows(games.where("y = 1").join(fact, "k").join(extra, "k").select("k", "id", "e"))
+    with session_conf(spark, {"spark.sql.maxMetadataStringLength": "2000"}):
+        p = plan(joins.bucket_join(spark, names[0], names[1:], "k", where=F.col("y") == 1))
+    assert "Exchange" not in p and p.count("SortMergeJoin") == 2 and "PartitionFilters: [isnotnull(y" in p
+
+
+def test_bucket_count():
+    assert [tables.bucket_count(n, 1, 100) for n in (0, 100, 101, 400, 401)] == [1, 1, 2, 4, 8]
+
+
+def test_periods_refuse_gaps_and_empty_reruns_empty_them(spark, tmp_path):
+    t = name()
+
+    def step(found):
+        def run(prev, period):
+            new = spark.createDataFrame(found, "k string").withColumn("period", F.lit(period))
+            return new if prev is None else new.unionByName(prev.select("k", F.lit(period).alias("period")))
+        return run
+
+    tables.run_periods(spark, t, "period", [1, 2], step([("a",)]), str(tmp_path / "p"))
+    with pytest.raises(ValueError, match="run 3 first"):
+        tables.run_periods(spark, t, "period", [4], step([("b",)]))
+    assert rows(spark.table(t).groupBy("period").count()) == [(1, 1), (2, 2)]
+    tables.write_period(spark.createDataFrame([], "k string, period int"), t, "period", period=2)
+    assert rows(spark.table(t)) == [("a", 1)]
+    tables.run_periods(spark, t, "period", [2], step([("c",)]))
+    assert rows(spark.table(t)) == [("a", 1), ("a", 2), ("c", 2)]
 
 
 def test_clustered_files_and_report(spark, tmp_path):
