@@ -17,14 +17,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the cluster's shared folder and read back: cuts the lineage, computes it once.
 
     The files outlive any executor. They are scratch files below
     ``spark.checkpoint.dir`` and may be removed when the job that made them is over.
     """
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,13 +6,16 @@ that any such string can cover, and only contexts of one anchor can share a stri
 
 1. Anchors whose hash occurs once are done. Equal contexts are counted and kept once, so a
    group of copies, however large, is one context with a count.
-2. Contexts of one anchor that differ are indexed together in blocks of bounded size. A block's
-   index is the run-length Burrows-Wheeler transform of its contexts with the suffix and its
-   common prefix sampled at the run ends; in repetitive blocks there are few runs. The matching
-   statistics of every position are streamed through the text from these samples, and
-   strings of ``need`` bytes with another place in the block are marked.
-3. An anchor with more than ``MOST_CONTEXTS`` different contexts does not fit a block. Its
-   strings are compared by 128-bit digests in a distributed count instead, which is as exact.
+2. The strings of a context that differs from others are taken in ranges of ``step``
+   consecutive starts. All strings of a range hold its core; contexts with different cores share
+   none of them, and contexts whose whole range is equal share all. Both are counted by digests.
+3. What is left differs only left and right of an equal core. These pieces are indexed in
+   blocks of bounded size, with the core as one symbol: the index is the run-length
+   Burrows-Wheeler transform of the pieces with the suffix and its common prefix sampled at the
+   run ends. The matching statistics of every position are streamed through the text from these samples, and
+   strings with another place in the block are marked.
+4. Where too many different pieces share a core for a block, the range is divided into shorter
+   ranges and step 2 is done again; the shortest range is one string, which leaves nothing to step 3.
 """
 
 from __future__ import annotations
@@ -32,10 +35,10 @@ from strata.llm.shingles import Powers, mix, runs_of_texts, text_bytes
 from strata.operators.guards import maybe_broadcast
 
 GRAM = 128
-MOST_CONTEXTS = 1_000
 BLOCK_BYTES = 1 << 20
-# Never occurs in UTF-8.
-SEPARATOR = 0xFF
+# Bytes that never occur in UTF-8: the end of a piece, and the core, which three digits (base 128) after it name.
+SEPARATOR, CORE = 0xFF, 0xFE
+NAME_BYTES = 3
 _POWERS = Powers(np.uint64(0xD1342543DE82EF95))
 
 
@@ -196,12 +199,10 @@ class RunLengthIndex:
         return value[place] - (np.arange(self.size) - place)
 
 
-def repeated_spans(segments: list[bytes], weights: np.ndarray, texts: np.ndarray, places: np.ndarray, last_start: np.ndarray, need: int):
-    """Where strings of ``need`` bytes of each segment occur elsewhere: arrays (segment, from, to).
+def repeated_spans(segments: list[bytes], last_start: np.ndarray, need: int):
+    """Where strings of ``need`` bytes of each segment occur in another place: arrays (segment, first start, last start).
 
-    ``texts`` and ``places`` tell where a segment comes from, as the same bytes of the
-    corpus may be in several segments; ``weights`` how many equal segments it stands for. Only strings
-    that start at most ``last_start`` bytes into their segment are reported.
+    Only strings that start at most ``last_start`` bytes into their segment are looked at.
     """
     lengths = np.array([len(s) for s in segments])
     t = np.frombuffer(b"".join(s + bytes([SEPARATOR]) for s in segments), np.uint8)
@@ -212,55 +213,77 @@ def repeated_spans(segments: list[bytes], weights: np.ndarray, texts: np.ndarray
     inner = np.arange(len(t)) - begin[segment]
     # suffixes that begin with the same need bytes are neighbours: a shorter match starts a new class
     classes = np.cumsum(matches[order] < need)
-    fits = inner[order] + need <= lengths[segment[order]]
+    fits = (inner[order] + need <= lengths[segment[order]]) & (inner[order] <= last_start[segment[order]])
     members, classes = order[fits], classes[fits]
-    if not len(members):
-        return (np.zeros(0, np.int64),) * 3
-    origin = texts[segment[members]].astype(np.int64) * (1 << 40) + places[segment[members]] + inner[members]
-    starts = np.flatnonzero(np.diff(classes, prepend=-1))
-    several = (np.minimum.reduceat(origin, starts) != np.maximum.reduceat(origin, starts)) | (
-        np.maximum.reduceat(weights[segment[members]], starts) > 1)
-    size = np.diff(np.append(starts, len(members)))
-    marked = np.sort(members[np.repeat(several, size)])
-    marked = marked[inner[marked] <= last_start[segment[marked]]]
+    _, place, size = np.unique(classes, return_inverse=True, return_counts=True)
+    marked = np.sort(members[size[place] > 1]) if len(members) else members
     if not len(marked):
         return (np.zeros(0, np.int64),) * 3
     own = segment[marked]
-    new = np.concatenate([[True], (np.diff(marked) > need) | (np.diff(own) != 0)])
-    first, last = marked[new], marked[np.append(np.flatnonzero(new)[1:] - 1, len(marked) - 1)]
-    own = own[new]
-    return own, first - begin[own], last + need - begin[own]
+    new = np.concatenate([[True], (np.diff(marked) > 1) | (np.diff(own) != 0)])
+    last = marked[np.append(np.flatnonzero(new)[1:] - 1, len(marked) - 1)]
+    return own[new], marked[new] - begin[own[new]], last - begin[own[new]]
 
 
 SPAN = "h bigint, c bigint, low int, high int"
 
 
-def _index_block(need: int):
-    def run(block: pa.Table) -> pa.Table:
-        col = {n: block.column(n).to_numpy(zero_copy_only=False) for n in ("h", "c", "n", "k1", "k2", "pos", "lo")}
-        _, texts = np.unique(np.stack([col["k1"], col["k2"]]), axis=1, return_inverse=True)
-        lo = col["lo"].astype(np.int64)
-        own, first, last = repeated_spans(block.column("bytes").to_pylist(), col["n"], texts.ravel(), col["pos"] - lo, lo, need)
-        return pa.table({
-            "h": pa.array(col["h"][own]), "c": pa.array(col["c"][own]), "low": pa.array((first - lo[own]).astype(np.int32)),
-            "high": pa.array((last - lo[own]).astype(np.int32))})
+def range_steps(starts: int) -> list[int]:
+    """Lengths of the ranges, each a divisor of the one before: thirds or less of it, down to one string."""
+    steps, step = [], starts
+    while step > 1:
+        step = max(d for d in range(1, step) if step % d == 0 and (3 * d <= step or d == 1))
+        steps.append(step)
+    return steps or [1]
 
-    return run
+
+def _edges(a: int, step: int, need: int, lo: int, size: int) -> tuple[int, int]:
+    """First and last start, relative to the anchor, of the strings of a range that the context holds; empty if first > last."""
+    return max(a, -lo), min(a + step - 1, size - lo - need)
 
 
-def _string_digests(need: int):
-    """Every string of a context that holds its anchor, with its start relative to the anchor and its digest."""
+RANGE = "h bigint, c bigint, a int, core bigint, whole bigint, low int, high int"
+
+
+def _ranges(parent: int, step: int, need: int):
+    """The ranges of ``step`` starts of each context's range of ``parent`` starts from ``a`` on: digests of the core and of the whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            for h, c, n, lo, s in zip(*(batch.column(x).to_pylist() for x in ("h", "c", "n", "lo", "bytes"))):
-                raw = memoryview(s)
-                starts = range(0, min(lo, len(s) - need) + 1)
-                m = len(starts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, h, np.int64)), pa.array(np.full(m, c, np.int64)), pa.array(np.full(m, n, np.int64)),
-                     pa.array([i - lo for i in starts], pa.int32()), pa.array([xxhash.xxh3_128_digest(raw[i:i + need]) for i in starts], pa.binary())],
-                    ["h", "c", "n", "low", "digest"])
+            rows = []
+            for h, c, lo, raw, start in zip(*(batch.column(x).to_pylist() for x in ("h", "c", "lo", "bytes", "a"))):
+                raw = memoryview(raw)
+                for a in range(start, start + parent, step):
+                    first, last = _edges(a, step, need, lo, len(raw))
+                    if first <= last:
+                        core = digest(raw[lo + a + step - 1:lo + a + need])
+                        whole = digest(raw[lo + first:lo + last + need], (first - a) * step + last - a)
+                        rows.append((h, c, a, core - (core >> 63 << 64), whole - (whole >> 63 << 64), first, last + need))
+            cols = list(zip(*rows)) if rows else [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, kinds)], ["h", "c", "a", "core", "whole", "low", "high"])
+
+    return run
+
+
+def _index_block(step: int, need: int):
+    def run(block: pa.Table) -> pa.Table:
+        h, c, a, core, lo = (block.column(n).to_numpy(zero_copy_only=False) for n in ("h", "c", "a", "core", "lo"))
+        _, group = np.unique(np.stack([h, a, core]), axis=1, return_inverse=True)
+        segments, starts, firsts = [], [], []
+        for g, x, l, raw in zip(group.ravel().tolist(), a.tolist(), lo.tolist(), block.column("bytes").to_pylist()):
+            first, last = _edges(x, step, need, l, len(raw))
+            z = x + step - 1
+            name = bytes([CORE, *(g >> 7 * k & 127 for k in range(NAME_BYTES))])
+            segments.append(raw[l + first:l + z] + name + raw[l + x + need:l + last + need])
+            starts.append(last - first)
+            firsts.append(first)
+        own, first, last = repeated_spans(segments, np.array(starts), step + NAME_BYTES)
+        base = np.array(firsts)[own]
+        return pa.table({
+            "h": pa.array(h[own]), "c": pa.array(c[own]), "low": pa.array((base + first).astype(np.int32)),
+            "high": pa.array((base + last + need).astype(np.int32))})
 
     return run
 
@@ -268,17 +291,53 @@ def _string_digests(need: int):
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each wanted context of a text."""
     for batch in batches:
-        texts, wanted = batch.column("text").to_pylist(), batch.column("wanted").to_pylist()
-        k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
-        for i, text in enumerate(texts):
+        rows = []
+        for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             raw = text.encode()
-            rows = [(w["h"], w["c"], w["n"], k1[i], k2[i], w["pos"], w["lo"], raw[w["pos"] - w["lo"]:w["pos"] + w["hi"]]) for w in wanted[i]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(zip(*rows), [pa.int64()] * 6 + [pa.int32(), pa.binary()])],
-                ["h", "c", "n", "k1", "k2", "pos", "lo", "bytes"])
-
-
-CONTEXT = "h bigint, c bigint, n bigint, k1 bigint, k2 bigint, pos bigint, lo int, bytes binary"
+            rows += [(w["h"], w["c"], w["lo"], raw[w["pos"] - w["lo"]:w["pos"] + w["hi"]]) for w in wanted]
+            if len(rows) > 2_000:
+                yield _context_batch(rows)
+                rows = []
+        if rows:
+            yield _context_batch(rows)
+
+
+def _context_batch(rows):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(v, t) for v, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.int32(), pa.binary()])], ["h", "c", "lo", "bytes"])
+
+
+CONTEXT = "h bigint, c bigint, lo int, bytes binary"
+
+
+def _shared_spans(contexts: DataFrame, need: int, starts: int) -> DataFrame:
+    """(h, c, low, high): where strings of a context (h, c, lo, bytes) are in another context of the same anchor too, relative to it."""
+    found = None
+    parents, parent = None, starts
+    for step in range_steps(starts):
+        if parents is None:
+            rows = contexts.withColumn("a", F.lit(1 - starts))
+        else:
+            rows = contexts.join(parents, ["h", "c"])
+        rows = stored(rows.mapInArrow(_ranges(parent, step, need), RANGE), "ranges")
+        entries = rows.groupBy("h", "a", "core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c"))
+        entries = stored(entries, "range-classes")
+        same = entries.where("n > 1").select("h", "a", "whole")
+        equal = rows.join(same, ["h", "a", "whole"], "left_semi").select("h", "c", "low", "high")
+        found = equal if found is None else found.unionByName(equal)
+        if step == 1:
+            break
+        groups = stored(entries.groupBy("h", "a", "core").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "cores")
+        size = 2 * step + NAME_BYTES
+        differing = entries.join(groups, ["h", "a", "core"]).select("h", "c", "a", "core", "m")
+        fit = F.col("m") * size <= BLOCK_BYTES
+        pieces = groups.where(fit).agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+        blocks = max(1, -(-pieces * size // BLOCK_BYTES))
+        block = F.pmod(F.xxhash64("h", "a", "core"), F.lit(blocks)).alias("block")
+        in_blocks = contexts.join(differing.where(fit), ["h", "c"]).select("h", "c", "a", "core", "lo", "bytes", block)
+        found = found.unionByName(in_blocks.groupBy("block").applyInArrow(_index_block(step, need), SPAN))
+        parents, parent = stored(differing.where(~fit).select("h", "c", "a"), "crowded-ranges"), step
+    return found
 
 
 def _remove(with_text: bool):
@@ -326,32 +385,20 @@ def remove_repeats(docs: DataFrame, need: int = 400, gram: int = GRAM, id_col: s
     keyed = texts.select("doc_id", "text", *_keys(F.col("text")))
     long = keyed.where(F.octet_length("text") >= need)
     found = stored(long.select("k1", "k2", "text").mapInArrow(_anchor_rows(need, gram), ANCHOR), "anchors")
-    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("rows > 1")
-    again = stored(found.join(again.select("h", (F.col("c1") != F.col("c2")).alias("differ")), "h"), "repeated-anchors")
+    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h")
+    again = stored(found.join(again, "h", "left_semi"), "repeated-anchors")
 
     first = F.min(F.struct("k1", "k2", "pos", "lo", "hi")).alias("at")
-    contexts = stored(
-        again.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), first, F.max("differ").alias("differ")).select("h", "c", "n", "differ", "at.*"),
-        "contexts")
+    contexts = stored(again.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), first).select("h", "c", "n", "at.*"), "contexts")
     # a context that occurs twice repeats as a whole
-    whole = contexts.where((F.col("n") > 1) & (F.col("lo") + F.col("hi") >= need)).select("h", "c", (-F.col("lo")).alias("low"), F.col("hi").alias("high"))
-    differing = contexts.where(F.col("differ") & (F.col("lo") + F.col("hi") >= need))
-    wanted = differing.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "c", "n", "pos", "lo", "hi")).alias("wanted"))
+    whole = contexts.where("n > 1").select("h", "c", (-F.col("lo")).alias("low"), F.col("hi").alias("high"))
+    several = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h")
+    differing = stored(contexts.join(several, "h", "left_semi"), "differing-contexts")
+    wanted = differing.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "c", "pos", "lo", "hi")).alias("wanted"))
     some = long.join(maybe_broadcast(differing.select("k1", "k2").distinct()), ["k1", "k2"], "left_semi")
     some = some.groupBy("k1", "k2").agg(F.min("text").alias("text"))
-    cut = stored(some.join(wanted, ["k1", "k2"]).mapInArrow(_cut_contexts, CONTEXT), "context-bytes")
-
-    groups = differing.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    small, large = groups.where(F.col("m") <= MOST_CONTEXTS).select("h"), groups.where(F.col("m") > MOST_CONTEXTS).select("h")
-    bytes_in_all = differing.agg(F.coalesce(F.sum(F.col("lo") + F.col("hi")), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(bytes_in_all) // BLOCK_BYTES))
-    in_blocks = cut.join(small, "h", "left_semi").withColumn("block", F.pmod(F.xxhash64("h"), F.lit(blocks)))
-    indexed = in_blocks.groupBy("block").applyInArrow(_index_block(need), SPAN)
-    strings = stored(cut.join(maybe_broadcast(large), "h", "left_semi").mapInArrow(
-        _string_digests(need), "h bigint, c bigint, n bigint, low int, digest binary"), "strings")
-    same = strings.groupBy("h", "low", "digest").agg(F.sum("n").alias("places")).where("places > 1").select("h", "low", "digest")
-    counted = strings.join(same, ["h", "low", "digest"], "left_semi").select("h", "c", "low", (F.col("low") + need).alias("high"))
-    spans = stored(whole.unionByName(indexed).unionByName(counted).distinct(), "context-spans")
+    cut = stored(some.join(wanted, ["k1", "k2"]).mapInArrow(_cut_contexts, CONTEXT), "context-bytes", "zstd")
+    spans = stored(whole.unionByName(_shared_spans(cut, need, need - gram + 1)).distinct(), "context-spans")
 
     placed = again.join(spans, ["h", "c"]).select("k1", "k2", (F.col("pos") + F.col("low")).alias("low"), (F.col("pos") + F.col("high")).alias("high"))
     removed = placed.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))

@@ -126,10 +126,10 @@ def test_word_encoder_bounds_its_memo(monkeypatch):
                 assert own.count([t]) == [len(own.encode([t])[0])]
 
 
-@pytest.mark.parametrize("most", [1_000, 1])
-def test_repeats(spark, docs, clash, empty, monkeypatch, most):
-    """By the index, and by the distributed count that takes crowded anchors."""
-    monkeypatch.setattr(suffix, "MOST_CONTEXTS", most)
+@pytest.mark.parametrize("size", [1 << 20, 300, 1])
+def test_repeats(spark, docs, clash, empty, monkeypatch, size):
+    """With blocks that hold all pieces, few or none, so that ranges are divided again."""
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", size)
     for need, gram in ((400, 128), (40, 11)):
         want = sorted(map(repr, zip([i for i, *_ in TEXTS], brute.remaining([t for _, t, _ in TEXTS], need))))
         got = suffix.remove_repeats(clash, need, gram, with_text=True).collect()
@@ -140,6 +140,12 @@ def test_repeats(spark, docs, clash, empty, monkeypatch, most):
     assert suffix.remove_repeats(empty).count() == 0
 
 
+def test_ranges_cover_all_starts():
+    for starts in (1, 2, 7, 30, 273):
+        steps = suffix.range_steps(starts)
+        assert steps[-1] == 1 and all(a % b == 0 for a, b in zip([starts, *steps], steps))
+
+
 def test_run_length_index():
     r = random.Random(5)
     t = np.frombuffer(("".join(r.choice("ab") for _ in range(300)) * 3 + "abc").encode() + bytes([suffix.SEPARATOR]), np.uint8)
