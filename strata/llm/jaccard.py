@@ -7,7 +7,9 @@ The result keeps every link's effect (the components) without listing all pairs
 2. Two linked classes share one of the first n - ceil(bound * n) + 1 shingles of either set, in any
    fixed order of all shingles. The order takes frequent shingles last, so a passage that many
    documents share brings few of them together. Shingles are frequent above a share of all
-   shingles, which bounds their list; the list only fixes the order.
+   shingles, which bounds their list; the list only fixes the order. Within it shingles are ordered by hash, so the
+   first shared one comes early: the search ends where the chance that it is still to come is
+   below ``miss`` (1e-18 a pair, less than that of two equal hashes); ``miss=0`` goes to the last.
 3. Classes that share such a shingle and lie in the same or the next band of sizes are
    candidates. Each is first compared with one class only, the smallest id of its shingle and band.
 4. Shingles whose classes are one component by then need no more work, however many they are. The
@@ -47,8 +49,16 @@ def band_of(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / math.log(100 / percent * 1.001)).cast("int")
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+def prefix_length(n: int, rare: int, percent: int, miss: float) -> int:
+    """How many shingles of a set of ``n``, ``rare`` of which are not frequent, are searched.
+
+    A partner lacks ``lacking`` of them at most. Were all these rare ones, k rare shingles in the order of
+    their hashes would all be lacking with a chance below (lacking / rare) ** k.
+    """
+    lacking = n - -(-percent * n // 100)
+    if miss > 0 and 0 < lacking < rare:
+        return min(lacking + 1, math.ceil(math.log(miss) / math.log(lacking / rare)))
+    return lacking + 1
 
 
 def linked(n_a, n_b, overlap, percent: int):
@@ -98,7 +108,7 @@ def _profile(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "n", "digest", "token", "count"])
 
 
-def _prefixes(width: int, percent: int, frequent):
+def _prefixes(width: int, percent: int, frequent, miss: float):
     """(token, doc_id) for the first shingles of every set, frequent ones last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,10 +117,12 @@ def _prefixes(width: int, percent: int, frequent):
         for doc_id, s in _sets_of(batches, width):
             if not len(s):
                 continue
-            first = prefix_length(len(s), percent)
+            rare = len(s)
             if len(late):
                 of = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
-                s = np.concatenate([s[~of], s[of]]) if of.any() else s
+                if of.any():
+                    s, rare = np.concatenate([s[~of], s[of]]), len(s) - int(of.sum())
+            first = prefix_length(len(s), rare, percent, miss)
             tokens.append(s[:first])
             ids.append((doc_id, first))
             held += first
@@ -153,29 +165,30 @@ def overlap_bound(a: np.ndarray, n_a: int, maps: np.ndarray, sizes: np.ndarray)
     return np.minimum(n_a - only_a, sizes - only_b)
 
 
-SETS = "doc_id bigint, n bigint, map binary, hashes binary"
+MAPS, SETS = "doc_id bigint, n bigint, map binary", "doc_id bigint, n bigint, hashes binary"
+
 
+def _set_rows(width: int, percent: int, name: str):
+    """Size and bitmap (``map``) or sorted array (``hashes``) of every set."""
 
-def _set_rows(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for doc_id, s in _sets_of(batches, width):
             if len(s):
-                rows.append((doc_id, len(s), bitmap(s, _bits(len(s), percent)).tobytes(), s.tobytes()))
-                held += len(s)
-            if held > 500_000:
-                yield _set_batch(rows)
+                rows.append((doc_id, len(s), (bitmap(s, _bits(len(s), percent)) if name == "map" else s).tobytes()))
+                held += len(rows[-1][2])
+            if held > 2_000_000:
+                yield _set_batch(rows, name)
                 rows, held = [], 0
         if rows:
-            yield _set_batch(rows)
+            yield _set_batch(rows, name)
 
     return run
 
 
-def _set_batch(rows):
-    cols = zip(*rows)
+def _set_batch(rows, name):
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.binary(), pa.binary()])], ["doc_id", "n", "map", "hashes"])
+        [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary()])], ["doc_id", "n", name])
 
 
 def _possible(percent: int):
@@ -216,12 +229,17 @@ def _with(pairs: DataFrame, sets: DataFrame, value: str) -> DataFrame:
     return pairs
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, mapped: bool = False) -> DataFrame:
-    """The linked ones of the distinct candidate pairs (a, b); ``mapped`` ones have passed the bitmaps."""
-    if not mapped:
-        sized = _with(pairs, sets, "map").where((100 * F.least("n_a", "n_b")) >= percent * F.greatest("n_a", "n_b"))
-        pairs = sized.mapInArrow(_possible(percent), "a bigint, b bigint")
-        pairs = stored(pairs, "possible-pairs")
+def possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The candidate pairs (a, b) that sizes and bitmaps allow."""
+    sized = _with(pairs, maps, "map").where((100 * F.least("n_a", "n_b")) >= percent * F.greatest("n_a", "n_b"))
+    return sized.mapInArrow(_possible(percent), "a bigint, b bigint")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """The linked ones of the possible pairs; arrays are made for the texts in them alone."""
+    pairs = stored(pairs, "possible-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = stored(texts.join(maybe_broadcast(ids), "doc_id", "left_semi").mapInArrow(_set_rows(width, percent, "hashes"), SETS), "pair-sets")
     return stored(_with(pairs, sets, "hashes").mapInArrow(_certain(percent), "a bigint, b bigint"), "linked-pairs")
 
 
@@ -256,7 +274,7 @@ def _tile(percent: int):
     return run
 
 
-def _tile_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """Candidates that a tile leaves: rows (token, doc_id, band, comp) of which some tokens join several components."""
     each = rows.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     members = F.count(F.lit(1)).alias("members")
@@ -273,11 +291,12 @@ def _tile_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     inside = inside.withColumn("cell", F.explode(cells)).select(
         "token", "tile", "doc_id", "comp", (F.col("band") == F.col("tile")).alias("own"), F.col("cell.i").alias("i"), F.col("cell.j").alias("j"),
         (F.col("block") == F.col("cell.i")).alias("in_i"), (F.col("block") == F.col("cell.j")).alias("in_j"))
-    inside = inside.join(sets.select("doc_id", "n", "map"), "doc_id")
+    inside = inside.join(maps, "doc_id")
     return inside.groupBy("token", "tile", "i", "j").applyInArrow(_tile(percent), "a bigint, b bigint").distinct()
 
 
-def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
+                   miss: float = 1e-18) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links, itself included) of every row.
 
     Documents link when 100 * intersection >= percent * union of their sets of ``width``-word shingles, A-Z
@@ -298,8 +317,8 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
     full = sizes.where("n > 0 and doc_id is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("class"), F.max("n").alias("n"))
     prefixes = stored(
-        texts.where("doc_id is not null").mapInArrow(_prefixes(width, percent, spark.sparkContext.broadcast(late)), "token bigint, doc_id bigint"),
-        "prefixes")
+        texts.where("doc_id is not null").mapInArrow(
+            _prefixes(width, percent, spark.sparkContext.broadcast(late), miss), "token bigint, doc_id bigint"), "prefixes")
     shared = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token")
     reps = classes.select(F.col("class").alias("doc_id"), "n").groupBy("doc_id").agg(F.max("n").alias("n"))
     rows = prefixes.join(shared, "token", "left_semi").join(reps, "doc_id").select("token", "doc_id", band_of(F.col("n"), percent).alias("band"))
@@ -308,16 +327,16 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
     more = rows.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("token")
     rows = stored(rows.join(more, "token", "left_semi"), "candidate-prefixes")
     wanted = maybe_broadcast(rows.select("doc_id").distinct())
-    sets = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(width, percent), SETS), "candidate-sets")
+    maps = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(width, percent, "map"), MAPS), "candidate-maps")
 
     first = rows.groupBy("token", "band").agg(F.min("doc_id").alias("pivot"))
     near = first.unionByName(first.withColumn("band", F.col("band") - 1)).distinct()
     pairs = rows.join(near, ["token", "band"]).where("doc_id <> pivot").select(
         F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
-    links = verified(pairs, sets, percent)
+    links = verified(possible(pairs, maps, percent), texts, percent, width)
     parts = connected_components(links)
     joined = rows.join(parts.select(F.col("node").alias("doc_id"), "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    more_links = verified(_tile_pairs(joined, sets, percent), sets, percent, mapped=True)
+    more_links = verified(_tile_pairs(joined, maps, percent), texts, percent, width)
     parts = connected_components(links.unionByName(more_links))
 
     # the class of a row, then the component of the class; rows without words are alone

@@ -91,8 +91,11 @@ def test_licences(spark, empty):
     files = [(1, "a/LICENSE", notice, "x"), (2, "a/b/c.txt", "some text", "x"), (3, "a/b/d/e.txt", None, "x"), (4, "z.txt", prose(4, 400), "x"),
              (5, "a/b/d/COPYING", "words\nLicensed under the Apache License, Version 2.0.\nwords", "x"), (6, None, notice, "x"), (7, None, "", "x"),
              (8, "a/b/d/f/g.txt", prose(5, 50) + "\n" + notice, "x"), (8, "a/b/d/f/g.txt", prose(5, 50) + "\n" + notice, "x"), (9, "q/r.txt", notice, "x")]
+    files += [(1000 + k, f"other/{k}.txt", prose(400 + k, 30), "x") for k in range(200)]
     df = spark.createDataFrame(files, "doc_id bigint, path string, text string, licence string")
-    got = sorted((r["doc_id"], r["licence"], r["origin"], r["from_dir"]) for r in licences.scan(df).collect())
+    everything = licences.scan(df).collect()
+    assert len(everything) == len(files) and all(r["origin"] == "none" for r in everything if r["doc_id"] >= 1000)
+    got = sorted((r["doc_id"], r["licence"], r["origin"], r["from_dir"]) for r in everything if r["doc_id"] < 1000)
     assert got == [
         (1, "MIT", "notice", None), (2, "MIT", "directory", "a"), (3, "Apache-2.0", "directory", "a/b/d"), (4, None, "none", None),
         (5, "Apache-2.0", "notice", None), (6, "MIT", "notice", None), (7, None, "none", None), (8, "MIT", "notice", None), (8, "MIT", "notice", None),
@@ -278,7 +281,8 @@ def test_groups_near_the_bound(spark, monkeypatch):
     want = brute.components(texts)
     for block in (2_000, 7):
         monkeypatch.setattr(jaccard, "BLOCK", block)
-        assert {r[0]: (r[1], r[2]) for r in jaccard.similar_groups(df).collect()} == want
+        for miss in (1e-18, 0.0):
+            assert {r[0]: (r[1], r[2]) for r in jaccard.similar_groups(df, miss=miss).collect()} == want
 
 
 def test_components(spark):
