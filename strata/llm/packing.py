@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
-from strata.llm.tokens import WordEncoder, slices
+from strata.llm.shingles import text_bytes
+from strata.llm.tokens import WordEncoder
 
 END_ID = 2
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -30,16 +31,16 @@ def piece_ranges(n: int, size: int) -> list[tuple[int, int]]:
 def _cutter(tokenizer: str, size: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of(tokenizer)
+        end = end_id.to_bytes(4, "little")
         for batch in batches:
-            doc_ids = batch.column("doc_id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in slices(texts):
-                out = []
-                for doc_id, ids in zip(doc_ids[a:b], encoder.encode(texts[a:b])):
-                    ids.append(end_id)
-                    data = memoryview(np.asarray(ids, dtype="<u4").tobytes())
-                    out += [
-                        (doc_id, s, n, zlib.crc32(data[4 * s:4 * (s + n)]), len(ids)) for s, n in piece_ranges(len(ids), size)]
+            doc_ids = iter(batch.column("doc_id").to_pylist())
+            for ids, before in encoder.encode(*text_bytes(batch.column("text"))):
+                data, out = memoryview(ids.tobytes()), []
+                for first, last, doc_id in zip(before[:-1].tolist(), before[1:].tolist(), doc_ids):
+                    total = last - first + 1
+                    for s, n in piece_ranges(total, size):
+                        crc = zlib.crc32(data[4 * (first + s):4 * min(first + s + n, last)])
+                        out.append((doc_id, s, n, zlib.crc32(end, crc) if s + n == total else crc, total))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*out)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 

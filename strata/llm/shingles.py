@@ -71,20 +71,30 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> Itera
         yield from _sets(data[start:end], offsets[first:last + 1] - start, width)
 
 
-def _sets(b: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
+def word_spans(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and end of every word of the texts, and the number of words before each text (and before the end)."""
     n = len(b)
-    lower = np.where((b >= 65) & (b <= 90), b + np.uint8(32), b)
     solid = ~((b == 32) | ((b >= 9) & (b <= 13)))
     joined = np.zeros(n + 1, bool)  # whether the byte before belongs to the same word
     joined[1:n] = solid[1:] & solid[:-1]
     joined[offsets] = False
     begins = np.flatnonzero(solid & ~joined[:n])
     ends = np.flatnonzero(solid & ~joined[1:]) + 1
+    return begins, ends, np.searchsorted(begins, offsets)
+
+
+def span_hashes(b: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span."""
+    n = len(b)
     up, down = _POWERS.to(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    words = mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64) * _BASE)
-    bounds = np.searchsorted(begins, offsets)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+    return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64) * _BASE)
+
+
+def _sets(b: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    begins, ends, bounds = word_spans(b, offsets)
+    words = span_hashes(np.where((b >= 65) & (b <= 90), b + np.uint8(32), b), begins, ends)
     m = len(words)
     whole = np.zeros(max(m - width + 1, 0), np.uint64)
     for j in range(width):

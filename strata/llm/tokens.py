@@ -4,36 +4,38 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACES, stored
+from strata.llm.shingles import runs_of_texts, span_hashes, text_bytes, word_spans
 from strata.session import shared_dir
 
 CACHE = "content binary, tokenizer string, n_tokens bigint"
 # Words whose ids a Python worker remembers; later words are encoded each time they come.
-MEMO_WORDS = 400_000
-# New words that are encoded in one call, and texts that are looked up before it.
-CALL_WORDS, CALL_CHARS = 256, 4_000_000
+MEMO_WORDS = 500_000
+# Marks that end a word. No apostrophe, as letters and an apostrophe may belong together.
+MARKS = b".,;:!?()#*$%&|"
+# New words that are joined for a call.
+CALL_WORDS = 512
 
 
 class WordEncoder:
     """Ids of whole texts for a tokenizer that never joins text across white space, word by word.
 
-    The tokenizer must drop white space and split at it (checked when it is made), so
-    the ids of a text are the ids of its words in turn. Words are cut at space and the
-    control characters 9 to 13; what else counts as white space stays inside a word and
-    is left to the tokenizer. Ids of words seen before come from a bounded memo; new
+    The tokenizer must drop white space and split at it (checked on examples when it is made), so
+    the ids of a text are the ids of its words in turn. Texts are UTF-8 bytes; words are cut at space and the
+    control characters 9 to 13. What else counts as white space stays inside a word and
+    is left to the tokenizer. Ids, as little-endian 32-bit numbers, of words seen before come from a bounded memo; new
     words are joined by spaces and encoded by the library in one call, and the offsets tell
     which ids belong to which word.
     """
 
     _own: dict[str, WordEncoder] = {}
-    _cut = re.compile(r"[\x20\x09-\x0D]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
@@ -45,7 +47,10 @@ class WordEncoder:
         apart = [self._ids(w) for w in ("a", "Bc,", "d's", "é!")]
         if self._ids(" a\tBc,\n\n d's  é! ") != sum(apart, []):
             raise ValueError(f"{path} does not treat the words of a text one by one")
-        self.memo: dict[str, tuple[int, ...]] = {"": ()}
+        # whether case makes no difference and marks after letters are encoded apart from them
+        self.folds = all(self._ids(w) == self._ids(core) + self._ids(marks) for w, core, marks in (
+            ("Word", "word", ""), ("ABCs.", "abcs", "."), ("tHen,;", "then", ",;"), ("is!?", "is", "!?"), ("a)", "a", ")")))
+        self.memo: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -57,73 +62,75 @@ class WordEncoder:
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def lookup(self, texts: list[str]) -> tuple[list[list[str]], dict[str, tuple[int, ...]]]:
-        """The words of each text, and the ids of every word among them."""
-        words = [self._cut.split(t) for t in texts]
-        memo = self.memo
-        new = list({w for ws in words for w in ws if w not in memo})
-        if not new:
-            return words, memo
-        found = self._encode(new)
-        if len(memo) < MEMO_WORDS:
-            memo.update(found)
-            return words, memo
-        return words, _Both(memo, found)
-
-    def _encode(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        out: dict[str, tuple[int, ...]] = {}
-        # a special token in a word may swallow its surroundings: such words go to the library alone
-        plain = [w for w in words if "<|" not in w]
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word; new ones are encoded, and remembered while there is room."""
+        ids = list(map(self.memo.get, words))
+        new = {w for w, i in zip(words, ids) if i is None}
+        if new:
+            found = self._encode(new)
+            ids = [found[w] if i is None else i for w, i in zip(words, ids)]
+            if len(self.memo) < MEMO_WORDS:
+                self.memo.update(found)
+        return ids
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of the texts that lie between the offsets, for some texts at a time: all ids, and the number of ids before each text.
+
+        Equal words are found by their hashes, and compared byte by byte with the first of them, so each
+        distinct word is looked up once; ids are put together by array operations.
+        """
+        for first, last in runs_of_texts(offsets):
+            b = data[offsets[first]:offsets[last]]
+            begins, ends, bounds = word_spans(b, offsets[first:last + 1] - offsets[first])
+            _, example, kind = np.unique(span_hashes(b, begins, ends), return_index=True, return_inverse=True)
+            size = ends - begins
+            if not (np.array_equal(size, size[example][kind]) and _same_bytes(b, begins, begins[example][kind], size)):
+                example = kind = np.arange(len(begins))  # two words with one hash: look every word up
+            raw = b.tobytes()
+            ids = self._ids_of([raw[x:y] for x, y in zip(begins[example].tolist(), ends[example].tolist())])
+            flat = np.frombuffer(b"".join(ids), "<u4")
+            number = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            place = np.concatenate([[0], np.cumsum(number)])[:-1]
+            each = number[kind]
+            before = np.concatenate([[0], np.cumsum(each)])
+            yield flat[np.repeat(place[kind] - before[:-1], each) + np.arange(before[-1])], before[bounds]
+
+    def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words; what only differs in case or ends in marks is encoded once."""
+        if not self.folds:
+            return self._call(words)
+        split = {}
         for w in words:
-            if "<|" in w:
-                out[w] = tuple(self._ids(w))
+            core = w.rstrip(MARKS)
+            if core.isalpha() and core.isascii():
+                split[w] = core.lower(), w[len(core):]
+        parts = words - split.keys() | {p for pair in split.values() for p in pair if p}
+        found = {p: i for p in parts if (i := self.memo.get(p)) is not None}
+        found |= self._call(parts - found.keys())
+        return {w: found[w] if w not in split else b"".join(found[p] for p in split[w] if p) for w in words}
+
+    def _call(self, words: set[bytes]) -> dict[bytes, bytes]:
+        # a special token in a word may swallow its surroundings: such words go to the library alone
+        out = {w: np.array(self._ids(w.decode()), "<u4").tobytes() for w in words if b"<|" in w}
+        plain = [w for w in words if w not in out]
         calls = [plain[i:i + CALL_WORDS] for i in range(0, len(plain), CALL_WORDS)]
-        for call, got in zip(calls, self.library.encode_batch([" ".join(c) for c in calls], add_special_tokens=False)):
-            ids, offsets = got.ids, got.offsets
-            k, end = 0, 0
-            for w in call:
-                first, end = k, end + len(w)
-                while k < len(ids) and offsets[k][0] < end:
-                    k += 1
-                out[w] = tuple(ids[first:k])
-                end += 1
+        joined = [b" ".join(c).decode() for c in calls]
+        for call, text, got in zip(calls, joined, self.library.encode_batch(joined, add_special_tokens=False)):
+            raw = np.array(got.ids, "<u4").tobytes()
+            first = np.array(got.offsets, np.int64).reshape(-1, 2)[:, 0]
+            spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), "<u4") == 32)
+            cuts = [0, *(4 * np.searchsorted(first, spaces)).tolist(), len(raw)]
+            for w, a, b in zip(call, cuts, cuts[1:]):
+                out[w] = raw[a:b]
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        out = []
-        words, ids = self.lookup(texts)
-        get = ids.__getitem__
-        for ws in words:
-            out.append([i for w in map(get, ws) for i in w])
-        return out
-
-    def count(self, texts: list[str]) -> list[int]:
-        words, ids = self.lookup(texts)
-        get = ids.__getitem__
-        return [sum(map(len, map(get, ws))) for ws in words]
-
-
-class _Both(dict):
-    """The new words of this call, then the memo."""
-
-    def __init__(self, memo, found):
-        super().__init__(found)
-        self.memo = memo
-
-    def __missing__(self, word):
-        return self.memo[word]
-
 
-def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that are looked up together: bounded characters, one text at least."""
-    first, chars = 0, 0
-    for i, t in enumerate(texts):
-        chars += len(t)
-        if chars >= CALL_CHARS:
-            yield first, i + 1
-            first, chars = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def _same_bytes(b: np.ndarray, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> bool:
+    """Whether each span at x has the same bytes as that at y."""
+    differ = np.flatnonzero(x != y)
+    x, y, size = x[differ], y[differ], size[differ]
+    inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return bool((b[np.repeat(x, size) + inner] == b[np.repeat(y, size) + inner]).all())
 
 
 def tokenizer_digest(path: str) -> str:
@@ -151,8 +158,7 @@ def _counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            counts = [n for a, b in slices(texts) for n in encoder.count(texts[a:b])]
+            counts = [n for _, before in encoder.encode(*text_bytes(batch.column("text"))) for n in np.diff(before)]
             yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(counts, pa.int64())], ["content", "n_tokens"])
 
     return run

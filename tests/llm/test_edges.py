@@ -120,13 +120,20 @@ def test_tokens_and_cache(spark, docs, clash, empty, tmp_path):
 def test_word_encoder_bounds_its_memo(monkeypatch):
     from tokenizers import Tokenizer
 
+    import pyarrow as pa
+
     monkeypatch.setattr(tokens, "MEMO_WORDS", 5)
     library, own = Tokenizer.from_file(tokenizer_path()), tokens.WordEncoder(tokenizer_path())
-    for _ in range(2):
-        for _, t, _ in TEXTS:
-            if t is not None:
-                assert own.encode([t]) == [library.encode(t, add_special_tokens=False).ids]
-                assert own.count([t]) == [len(own.encode([t])[0])]
+    texts = [t for _, t, _ in TEXTS] + ["It's. It'S' ABC, x1. ...abc ''d's (a) e\u0301.", "\u00a0 \x1c\u2003z.", "", "Abc abc. ABC.,"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for most in (2_000_000, 100):
+        monkeypatch.setattr(tokens, "runs_of_texts", lambda o, n=most: shingles.runs_of_texts(o, n))
+        got = [ids[a:z].tolist() for ids, before in own.encode(*shingles.text_bytes(pa.array(texts))) for a, z in zip(before, before[1:])]
+        assert got == want
+    # equal hashes of different words change nothing
+    monkeypatch.setattr(tokens, "span_hashes", lambda b, begins, ends: (ends - begins).astype(np.uint64))
+    got = [ids[a:z].tolist() for ids, before in own.encode(*shingles.text_bytes(pa.array(texts))) for a, z in zip(before, before[1:])]
+    assert got == want
 
 
 @pytest.mark.parametrize("size", [1 << 20, 300, 1])
