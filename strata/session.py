@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -36,13 +37,13 @@ _fallback_root: str | None = None
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Where the session names none (a local test), a temporary folder of this
-    process is used instead.
+    Where the session names none and runs in one process (a local test), a temporary
+    folder of this process is used instead.
     """
     global _fallback_root
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _fallback_root is None:
             _fallback_root = tempfile.mkdtemp(prefix="strata-")

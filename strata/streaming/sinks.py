@@ -8,23 +8,44 @@ from contextlib import nullcontext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from strata.functions.columns import names
 from strata.sources.tables import reused
 
 BATCH_COL = "batch_id"
 Sink = Callable[[DataFrame, int], None]
 
 
-def parquet_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
-    """Write each batch to its own ``batch_id=`` folder; a replayed batch replaces itself."""
+def parquet_sink(
+    path: str, transform: Callable[[DataFrame], DataFrame] | None = None, partition_by: str | Sequence[str] = ()
+) -> Sink:
+    """Write each batch to its own ``batch_id=`` folder; a replayed batch replaces itself.
+
+    ``partition_by`` names columns (an event date) by which the files of a batch are divided, so that
+    readers prune them.
+    """
     def write(rows: DataFrame, batch_id: int) -> None:
         out = rows if transform is None else transform(rows)
-        out.write.mode("overwrite").parquet(f"{path}/{BATCH_COL}={batch_id}")
+        out.write.mode("overwrite").partitionBy(*names(partition_by)).parquet(f"{path}/{BATCH_COL}={batch_id}")
+    return write
+
+
+def format_sink(fmt: str, options: Mapping[str, str]) -> Sink:
+    """Append each batch through any batch writer, such as ``kafka`` with ``to_kafka_json`` rows and its topic and servers.
+
+    At least once: a batch that is replayed after a failure is written again.
+    """
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.format(fmt).options(**options).mode("append").save()
     return write
 
 
 def jdbc_sink(url: str, table: str, properties: Mapping[str, str]) -> Sink:
-    """Append each batch to a database table with its batch id, by which a replayed batch can be told."""
+    """Append each batch to a database table with its batch id.
+
+    At least once: a replayed batch is appended again under the same id, by which readers tell it.
+    """
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.withColumn(BATCH_COL, F.lit(batch_id)).write.jdbc(url, table, mode="append", properties=dict(properties))
     return write
@@ -52,12 +73,20 @@ def write_stream_table(
     return writer.start()
 
 
-def read_sink(spark: SparkSession, path: str) -> DataFrame:
-    """What a ``parquet_sink`` wrote so far, without the batch id."""
-    return spark.read.parquet(path).drop(BATCH_COL)
+def read_sink(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """What a ``parquet_sink`` wrote so far, without the batch id. With a schema no file is opened to learn it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).drop(BATCH_COL)
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    """Rows that the query's stateful operators dropped behind the watermark (after partial aggregation)."""
+    """Rows that the query's stateful operators dropped behind the watermark (after partial aggregation).
+
+    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` progress reports (100 by
+    default). A longer run would be counted in part, and raises instead: set more of them.
+    """
+    kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(query.recentProgress) >= kept:
+        raise RuntimeError(f"only the last {kept} progress reports are known; raise spark.sql.streaming.numRecentProgressUpdates")
     return sum(
         op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"])

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -94,3 +95,25 @@ def test_session_summary(spark):
     got = rows(ev.session_summary(sessions(spark, [("x.a", 0), ("x.a", 1), ("x.a", 1000), ("y.b", 0)]), "host"))
     assert got == [("x.a", 2, 3, 1.5), ("y.b", 1, 1, 1.0)]
     assert rows(ev.session_summary(sessions(spark, [("x.a", 0), ("y.b", 0)]), "host", hosts=r"\.a$")) == [("x.a", 1, 1, 1.0)]
+
+
+def test_sinks_by_date_and_format(spark, tmp_path):
+    rows_in = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")], "id int, day string")
+    dated = sinks.parquet_sink(str(tmp_path / "dated"), partition_by="day")
+    for _ in range(2):  # a replayed batch replaces itself
+        dated(rows_in, 0)
+    back = sinks.read_sink(spark, str(tmp_path / "dated"), "id int, day string, batch_id int")
+    assert rows(back) == rows(rows_in)
+    assert (tmp_path / "dated" / "batch_id=0" / "day=2024-01-02").is_dir()
+    sinks.format_sink("json", {"path": str(tmp_path / "json")})(rows_in, 0)
+    assert rows(spark.read.schema("id int, day string").json(str(tmp_path / "json"))) == rows(rows_in)
+
+
+def test_dropped_rows_refuse_a_cut_history(spark):
+    class Query:
+        recentProgress = [{"stateOperators": [{"numRowsDroppedByWatermark": 2}]}] * 99
+
+    assert sinks.dropped_rows(Query()) == 198
+    Query.recentProgress = Query.recentProgress + Query.recentProgress[:1]
+    with pytest.raises(RuntimeError, match="numRecentProgressUpdates"):
+        sinks.dropped_rows(Query())
