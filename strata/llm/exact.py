@@ -59,7 +59,8 @@ def dedupe_batch(docs: DataFrame, index: str, id_col: str = "doc_id", text_col:
             F.monotonically_increasing_id().alias("row")),
         "digests")
     last = F.max(F.struct("doc_id", "row"))
-    groups = rows.groupBy("digest").agg(last.alias("last"), F.count(F.lit(1)).alias("group_size"))
+    # stored, as the optimizer would else join all rows of a group before it aggregates them
+    groups = stored(rows.groupBy("digest").agg(last.alias("last"), F.count(F.lit(1)).alias("group_size")), "digest-groups")
     new = groups.join(spark.table(index).select("digest").hint("merge"), "digest", "left_anti").select(
         "digest", F.col("last.doc_id").alias("keep_id"), F.col("last.row").alias("keep_row"), "group_size",
         F.lit(batch).alias("batch"))
@@ -78,7 +79,8 @@ def drop_copies(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: s
     keepers = dedupe_batch(docs, index, id_col, text_col, buckets).where("kept").select(_key(F.hex("digest"), F.col("doc_id")).alias("key"))
     keyed = packed(docs, key=_key(F.upper(digest(F.col(text_col))), F.col(id_col).cast("bigint")))
     once = keyed.groupBy("key").agg(F.first("row").alias("row"))
-    return unpacked(once.join(keepers.distinct().hint("merge"), "key", "left_semi"))
+    # an inner join with distinct keys: a semi-join would be moved below the aggregate that merges repeated rows
+    return unpacked(once.join(keepers.distinct().hint("merge"), "key"))
 
 
 def _key(hex_digest: Column, doc_id: Column) -> Column:

@@ -186,7 +186,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, id_c
     rows = stored(keyed.select("doc_id", "content", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")), "contents")
     missing = rows.select("content").distinct().join(known, "content", "left_anti")
     # copies are merged before the shuffle, and the digests left to encode meet one text each
-    texts = keyed.groupBy("content").agg(F.min("text").alias("text")).join(missing.hint("merge"), "content", "left_semi")
+    # (an inner join with distinct digests: a semi-join would be moved below the aggregate, and copies shuffled one by one)
+    texts = keyed.groupBy("content").agg(F.min("text").alias("text")).join(missing.hint("merge"), "content")
     counted = texts.mapInArrow(_counter(tokenizer), "content binary, n_tokens bigint")
     counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(path)
     counts = spark.read.schema(CACHE).parquet(path).where(F.col("tokenizer") == version).dropDuplicates(["content"])
