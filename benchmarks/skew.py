@@ -49,7 +49,7 @@ def queries(ev):
         "dedupe_by_key": lambda: clean.dedupe_by_key(ev, "user_id", ["ts", "event_id"]),
         "daily_activity": lambda: act.daily_activity(ev, "user_id", "ts"),
         "host_activity": lambda: act.host_activity_backfill(ev.withColumn("host", F.col("user_id")), "host", "device_id", "ts", "2024-01-30"),
-        "user_devices": lambda: act.user_devices(act.pair_activity(ev, "user_id", "device_id", "url"), "user_id", "device_id", 5_000, ev),
+        "user_devices": lambda: act.user_devices(act.pair_activity(ev, "user_id", "device_id", "url"), "user_id", "device_id", 64),
         "funnel": lambda: patterns.funnel_conversion(one_day, "user_id", "ts", "url", "/purchase", most=50_000),
         "sessionize": lambda: sessionize(ev, "user_id", 300, "ts"),
         "best_stretch": lambda: patterns.best_stretch(dated.withColumn("win", won), "user_id", "day", "event_id", "win", 90, width=50_000),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import column, hash_bucket, names
 from strata.operators.guards import present
 from strata.operators.skew import large_groups, spread_join
+from strata.session import shared_dir
 
 BUCKETS = 10_000
 
@@ -47,18 +48,21 @@ def experiment_readout(
     as 0. Values are added as decimals, so the totals do not depend on row order.
     The rows of users with more than ``most`` outcomes are joined where they are.
     """
-    # Whether a user converted needs only the last outcome of each user, which is
-    # aggregated before the shuffle. Amounts need the rows themselves.
-    last = outcomes.groupBy(user).agg(F.max(ts).alias("_last"))
-    arms = exposed.join(last, user, "left").groupBy("experiment", "arm").agg(
-        F.count(F.lit(1)).alias("users"), F.count_if(F.col("_last") > F.col("first_exposure")).alias("conversions"))
+    # exposures, a row per user, are computed once: both the arms' sizes and the join read them
+    spark = exposed.sparkSession
+    path = shared_dir(spark, "exposed")
+    exposed.select(user, "experiment", "arm", "first_exposure").write.parquet(path)
+    exposed = spark.read.schema(exposed.select(user, "experiment", "arm", "first_exposure").schema).parquet(path)
+    arms = exposed.groupBy("experiment", "arm").agg(F.count(F.lit(1)).alias("users"))
     amount = F.col(value).cast("decimal(18,2)")
     after = spread_join(
         outcomes.select(user, F.col(ts).alias("_ts"), amount.alias("_value")),
         exposed.select(user, "experiment", "arm", "first_exposure"), user, large_groups(outcomes, user, most),
     ).where(F.col("_ts") > F.col("first_exposure"))
-    totals = after.groupBy("experiment", "arm").agg(F.sum("_value").cast("double").alias("total_value"))
-    arms = arms.join(totals, ["experiment", "arm"], "left").fillna({"total_value": 0.0})
+    per_user = after.groupBy("experiment", "arm", user).agg(F.sum("_value").alias("_value"))
+    totals = per_user.groupBy("experiment", "arm").agg(
+        F.count(F.lit(1)).alias("conversions"), F.sum("_value").cast("double").alias("total_value"))
+    arms = arms.join(totals, ["experiment", "arm"], "left").fillna({"total_value": 0.0, "conversions": 0})
     rates = arms.withColumns({
         "conversion_rate": F.try_divide(F.col("conversions"), F.col("users")),
         "value_per_user": F.try_divide(F.col("total_value"), F.col("users")),
