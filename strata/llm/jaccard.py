@@ -39,7 +39,7 @@ FREQUENT_SHARE, FREQUENT_COUNT = 1e-6, 64
 # Shingles counted together in a task; those found less often than COUNT_LEAST in such a chunk are not passed on.
 COUNT_CHUNK, COUNT_LEAST = 2_000_000, 6
 # Classes in a block of a tile.
-BLOCK = 2_000
+BLOCK = 8_000
 # Bits of a bitmap for each shingle of the largest set of a band, and the range of its width.
 BITS_PER_SHINGLE, MIN_BITS, MAX_BITS = 4, 256, 1 << 18
 
@@ -244,23 +244,29 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
 
 
 def _tile(percent: int):
-    """Pairs of different components in one cell (block i against block j of a tile) that the bitmaps allow."""
+    """Pairs of different components in one cell (block i against block j of a tile) that the bitmaps allow.
+
+    Of two classes of different components one at least is outside the cell's largest component, so
+    only those classes are compared with the rest.
+    """
 
     def run(cell: pa.Table) -> pa.Table:
         doc, comp, n = (cell.column(c).to_numpy() for c in ("doc_id", "comp", "n"))
         own, in_i, in_j = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("own", "in_i", "in_j"))
         maps = cell.column("map").to_pylist()
         sizes = np.array([len(m) for m in maps])
+        names, number = np.unique(comp, return_counts=True)
+        apart = comp != names[number.argmax()]
         found = []
-        for width in np.unique(sizes):
+        for width in np.unique(sizes) if apart.any() else ():
             # every pair is met at the smaller width of the two
             at = np.flatnonzero(sizes >= width)
             small = sizes[at] == width
             rows = np.stack([fold(np.frombuffer(maps[k], np.uint64)[None], width // 8)[0] for k in at])
-            for r in range(len(at)):
+            for r in np.flatnonzero(apart[at]):
                 k = at[r]
                 other = (comp[at] != comp[k]) & (own[k] | own[at])
-                other &= in_i[k] & in_j[at]
+                other &= (in_i[k] & in_j[at]) | (in_j[k] & in_i[at])
                 other &= small[r] | small
                 other &= (100 * n[at] >= percent * n[k]) & (100 * n[k] >= percent * n[at])
                 c = np.flatnonzero(other)
