@@ -403,4 +403,5 @@ def remove_repeats(docs: DataFrame, need: int = 400, gram: int = GRAM, id_col: s
     placed = again.join(spans, ["h", "c"]).select("k1", "k2", (F.col("pos") + F.col("low")).alias("low"), (F.col("pos") + F.col("high")).alias("high"))
     removed = placed.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     removed = stored(removed, "text-spans")
-    return keyed.join(maybe_broadcast(removed), ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(_remove(with_text), REMOVED)
+    # a merge join at every size: how far copies spread over rows is not known, and its hot keys can be split
+    return keyed.join(removed.hint("merge"), ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(_remove(with_text), REMOVED)
