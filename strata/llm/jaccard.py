@@ -14,7 +14,9 @@ The result keeps every link's effect (the components) without listing all pairs
    candidates. Each is first compared with one class only, the smallest id of its shingle and band.
 4. Shingles whose classes are one component by then need no more work, however many they are. The
    others are compared in tiles: blocks of classes of one shingle and neighbouring bands,
-   every pair of different components by its bitmaps, whose bit counts bound the overlap from above.
+   every pair of different components by its bitmaps, whose bit counts bound the overlap from above. This is done
+   twice: first the most promising pair of a class and another component alone is kept, which joins most
+   of them, then every pair that is still between components.
 5. What passes the bitmaps is decided by intersecting the sorted arrays.
 """
 
@@ -243,11 +245,12 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     return stored(_with(pairs, sets, "hashes").mapInArrow(_certain(percent), "a bigint, b bigint"), "linked-pairs")
 
 
-def _tile(percent: int):
+def _tile(percent: int, best: bool):
     """Pairs of different components in one cell (block i against block j of a tile) that the bitmaps allow.
 
     Of two classes of different components one at least is outside the cell's largest component, so
-    only those classes are compared with the rest.
+    only those classes are compared with the rest. With ``best`` each of them is paired with the
+    most promising class of every other component alone.
     """
 
     def run(cell: pa.Table) -> pa.Table:
@@ -272,7 +275,11 @@ def _tile(percent: int):
                 c = np.flatnonzero(other)
                 if len(c):
                     bound = overlap_bound(rows[r], n[k], rows[c], n[at][c])
-                    c = c[linked(n[k], n[at][c], bound, percent)]
+                    may = linked(n[k], n[at][c], bound, percent)
+                    c, bound = c[may], bound[may]
+                    if best and len(c):
+                        order = np.lexsort((-bound / (n[k] + n[at][c]), comp[at][c]))
+                        c = c[order[np.unique(comp[at][c][order], return_index=True)[1]]]
                     found += [(min(doc[k], d), max(doc[k], d)) for d in doc[at][c]]
         a, b = zip(*set(found)) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -280,7 +287,7 @@ def _tile(percent: int):
     return run
 
 
-def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int, best: bool) -> DataFrame:
     """Candidates that a tile leaves: rows (token, doc_id, band, comp) of which some tokens join several components."""
     each = rows.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     members = F.count(F.lit(1)).alias("members")
@@ -298,7 +305,7 @@ def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
         "token", "tile", "doc_id", "comp", (F.col("band") == F.col("tile")).alias("own"), F.col("cell.i").alias("i"), F.col("cell.j").alias("j"),
         (F.col("block") == F.col("cell.i")).alias("in_i"), (F.col("block") == F.col("cell.j")).alias("in_j"))
     inside = inside.join(maps, "doc_id")
-    return inside.groupBy("token", "tile", "i", "j").applyInArrow(_tile(percent), "a bigint, b bigint").distinct()
+    return inside.groupBy("token", "tile", "i", "j").applyInArrow(_tile(percent, best), "a bigint, b bigint").distinct()
 
 
 def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
@@ -341,9 +348,11 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
         F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
     links = verified(possible(pairs, maps, percent), texts, percent, width)
     parts = connected_components(links)
-    joined = rows.join(parts.select(F.col("node").alias("doc_id"), "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    more_links = verified(_tile_pairs(joined, maps, percent), texts, percent, width)
-    parts = connected_components(links.unionByName(more_links))
+    # the most promising pairs first: what they join needs no further pair; then all pairs that are left
+    for best in (True, False):
+        joined = rows.join(parts.select(F.col("node").alias("doc_id"), "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+        links = links.unionByName(verified(_tile_pairs(joined, maps, percent, best), texts, percent, width))
+        parts = connected_components(links)
 
     # the class of a row, then the component of the class; rows without words are alone
     by_class = classes.join(parts, classes["class"] == parts["node"], "left").select("digest", F.coalesce("comp", "class").alias("found"))
