@@ -288,13 +288,14 @@ def _tile(percent: int, best: bool):
 
 
 def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Candidates that a tile leaves: rows (token, doc_id, band, comp) of which some tokens join several components."""
-    each = rows.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    """Candidates that a tile leaves: distinct rows (token, doc_id, bands, comp) of which some tokens join several components."""
+    tiles_of = F.array_distinct(F.concat("bands", F.transform("bands", lambda b: b - 1)))
+    each = rows.withColumn("tile", F.explode(tiles_of)).withColumn("own", F.array_contains("bands", F.col("tile")))
     members = F.count(F.lit(1)).alias("members")
-    # tokens with the same members make the same tile: one of them is enough
+    # tokens with the same members make the same tile: one of them is enough; a member is in a tile once, or its hashes would cancel out
     same = [F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")]
     mixed = each.groupBy("token", "tile").agg(members, *same, F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                              F.max(F.col("band") == F.col("tile")).alias("owned"))
+                                              F.max("own").alias("owned"))
     tiles = mixed.where("low <> high and owned").groupBy("tile", "members", "x", "y").agg(F.min("token").alias("token"))
     tiles = stored(tiles.select("token", "tile", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "tiles")
     inside = each.join(tiles, ["token", "tile"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -302,7 +303,7 @@ def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int, best: bool) -> D
     all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
     cells = F.transform(all_blocks, lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
     inside = inside.withColumn("cell", F.explode(cells)).select(
-        "token", "tile", "doc_id", "comp", (F.col("band") == F.col("tile")).alias("own"), F.col("cell.i").alias("i"), F.col("cell.j").alias("j"),
+        "token", "tile", "doc_id", "comp", "own", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"),
         (F.col("block") == F.col("cell.i")).alias("in_i"), (F.col("block") == F.col("cell.j")).alias("in_j"))
     inside = inside.join(maps, "doc_id")
     return inside.groupBy("token", "tile", "i", "j").applyInArrow(_tile(percent, best), "a bigint, b bigint").distinct()
@@ -333,8 +334,9 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
         texts.where("doc_id is not null").mapInArrow(
             _prefixes(width, percent, spark.sparkContext.broadcast(late), miss), "token bigint, doc_id bigint"), "prefixes")
     shared = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token")
-    reps = classes.select(F.col("class").alias("doc_id"), "n").groupBy("doc_id").agg(F.max("n").alias("n"))
-    rows = prefixes.join(shared, "token", "left_semi").join(reps, "doc_id").select("token", "doc_id", band_of(F.col("n"), percent).alias("band"))
+    # a repeated id has the bands of all its texts, and each of its shingles once
+    reps = classes.groupBy(F.col("class").alias("doc_id")).agg(F.sort_array(F.collect_set(band_of(F.col("n"), percent))).alias("bands"))
+    rows = prefixes.join(shared, "token", "left_semi").join(reps, "doc_id").select("token", "doc_id", "bands").distinct()
     rows = stored(rows, "shared-prefixes")
     # only shingles of two classes or more can link
     more = rows.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("token")
@@ -342,9 +344,10 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
     wanted = maybe_broadcast(rows.select("doc_id").distinct())
     maps = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(width, percent, "map"), MAPS), "candidate-maps")
 
-    first = rows.groupBy("token", "band").agg(F.min("doc_id").alias("pivot"))
+    banded = rows.select("token", "doc_id", F.explode("bands").alias("band"))
+    first = banded.groupBy("token", "band").agg(F.min("doc_id").alias("pivot"))
     near = first.unionByName(first.withColumn("band", F.col("band") - 1)).distinct()
-    pairs = rows.join(near, ["token", "band"]).where("doc_id <> pivot").select(
+    pairs = banded.join(near, ["token", "band"]).where("doc_id <> pivot").select(
         F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
     links = verified(possible(pairs, maps, percent), texts, percent, width)
     parts = connected_components(links)

@@ -292,6 +292,29 @@ def test_groups_near_the_bound(spark, monkeypatch):
             assert {r[0]: (r[1], r[2]) for r in jaccard.similar_groups(df, miss=miss).collect()} == want
 
 
+def test_groups_of_repeated_rows(spark):
+    """Every row twice, and one id with texts of very different lengths.
+
+    Texts of smaller ids each hold a few of a group's words, so that hardly any shingle's first text is similar to the group's
+    and only the tiles, most of them with equally many members, can link it.
+    """
+    texts = []
+    for g in range(10):
+        base = prose(60 + g, 60, False).split()
+        for k in range(70):
+            at = k % 14 * 4
+            texts.append((100 * g + k, " ".join(base[at:at + 8]) + " " + prose(1000 + 100 * g + k, 52, False)))
+        texts += [(2000 + 10 * g, " ".join(base)), (2001 + 10 * g, " ".join([*base[:-1], "other"]))]
+    want = {i: c for i, (_, c) in brute.components(texts, 20).items()}
+    assert all(want[2001 + 10 * g] == 2000 + 10 * g for g in range(10))
+    short, long = prose(50, 40, False), prose(51, 900, False)
+    texts += [(5001, short), (5001, long), (5002, short + " more"), (5003, long + " more"), (5004, prose(52, 50))]
+    want |= {5001: 5001, 5002: 5001, 5003: 5001, 5004: 5004}
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = jaccard.similar_groups(df.union(df), 20, miss=0.0).collect()
+    assert len(got) == 2 * len(texts) and {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 150), (150, 120), (7, 7), (200, 200)]
     df = spark.createDataFrame(chain + chain[:5], "a bigint, b bigint")
