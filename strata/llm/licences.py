@@ -23,8 +23,6 @@ TEMPLATES = {
 }
 # Names of files that hold the licence of their directory.
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
-# A template's term is a key term, one of which a notice must hold, unless it is in more than this share of documents.
-COMMON_SHARE = 0.05
 # Least cosine of a notice, and least share of a document's words in notices that makes it a licence file.
 LEAST, FILE_SHARE = 0.6, 0.5
 
@@ -39,8 +37,8 @@ def _terms(line: Column) -> Column:
     return F.filter(parts, lambda t: F.length(t) > 0)
 
 
-def term_weights(docs: DataFrame, templates: dict[str, str], text_col: str = "text") -> tuple[dict[str, float], float, list[str]]:
-    """Inverse document frequencies of the templates' terms over all documents, that of an unseen term, and the key terms.
+def term_weights(docs: DataFrame, templates: dict[str, str], text_col: str = "text") -> tuple[dict[str, float], float, dict[str, int]]:
+    """Inverse document frequencies of the templates' terms over all documents, that of an unseen term, and the documents of each term.
 
     The templates bound the number of terms; only their counts come to the driver.
     """
@@ -50,22 +48,43 @@ def term_weights(docs: DataFrame, templates: dict[str, str], text_col: str = "te
     documents = {r["term"]: r["count"] for r in counts}
     n = documents.get("", 0)
     weight = {t: math.log((1 + n) / (1 + documents.get(t, 0))) + 1 for t in vocabulary}
-    keys = [t for t in vocabulary if len(t) > 1 and documents.get(t, 0) <= COMMON_SHARE * n]
-    return weight, math.log(1 + n) + 1, keys or vocabulary
+    return weight, math.log(1 + n) + 1, {t: documents.get(t, 0) for t in vocabulary}
 
 
-def _number_map(values: dict[str, float]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-
-
-def _notice(line: Column, templates: dict[str, str], weight: dict[str, float], unseen: float) -> Column:
-    """The most similar template of a line: struct of similarity and licence; ties go to the first name."""
+def template_vectors(templates: dict[str, str], weight: dict[str, float]) -> dict[str, dict[str, float]]:
+    """The TF-IDF vector of every template, of length 1."""
     vectors = {}
     for name, text in templates.items():
         terms = split_terms(text)
         vector = {t: terms.count(t) * weight[t] for t in set(terms)}
         norm = math.sqrt(sum(v * v for v in vector.values()))
         vectors[name] = {t: v / norm for t, v in sorted(vector.items())}
+    return vectors
+
+
+def key_terms(vectors: dict[str, dict[str, float]], documents: dict[str, int], least: float) -> list[str]:
+    """Terms of which a text must hold one to have a cosine of ``least`` with a template, however common they are.
+
+    The cosine is at most the length of the part of a template's vector whose terms the text holds. So terms are
+    taken, rare ones first, until the rest of every template's vector is shorter than ``least``.
+    """
+    keys = set()
+    for vector in vectors.values():
+        rest = 1.0
+        for t in sorted(vector, key=lambda t: (documents[t], -vector[t], t)):
+            if rest < least * least - 1e-6:
+                break
+            keys.add(t)
+            rest -= vector[t] ** 2
+    return sorted(keys)
+
+
+def _number_map(values: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
+def _notice(line: Column, vectors: dict[str, dict[str, float]], weight: dict[str, float], unseen: float) -> Column:
+    """The most similar template of a line: struct of similarity and licence; ties go to the first name."""
     weights = _number_map(weight)
 
     def of_terms(terms: Column) -> Column:
@@ -90,7 +109,7 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str =
          least: float = LEAST) -> DataFrame:
     """Licence of every file: doc_id, path, dir, licence, similarity, origin, from_dir.
 
-    Every line of the whole text that holds a key term is a possible notice; its TF-IDF vector is compared
+    Every line of the whole text that holds a key term is a possible notice (no other line can reach ``least``); its TF-IDF vector is compared
     with those of the templates (terms of no template weigh as unseen ones), and the most similar notice with
     a cosine of ``least`` or more is the file's own: origin "notice". A file with a licence file's name, or
     with half its words or more in notices, also gives its licence to its directory. A file without a notice has that
@@ -102,16 +121,17 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str =
     row each, so a directory with very many files costs no more there; the files' join with their directory has
     one row on the other side and is split by adaptive execution.
     """
-    weight, unseen, keys = term_weights(files, templates, text_col)
-    pattern = r"(?i)(^|[^a-z0-9])(" + "|".join(re.escape(k) for k in keys) + r")($|[^a-z0-9])"
+    weight, unseen, documents = term_weights(files, templates, text_col)
+    vectors = template_vectors(templates, weight)
+    keys = F.array(*map(F.lit, key_terms(vectors, documents, least)))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(pattern)))
-    notices = F.transform(lines, lambda line: F.struct(_notice(line, templates, weight, unseen).alias("best"), count_words(line).alias("words")))
+    lines = F.filter(F.split(text, "\n"), lambda line: F.arrays_overlap(_terms(line), keys))
+    notices = F.transform(lines, lambda line: F.struct(_notice(line, vectors, weight, unseen).alias("best"), count_words(line).alias("words")))
     sure = F.filter(notices, lambda x: x["best"]["similarity"] >= least)
     path = F.col(path_col)
     rows = files.select(
         F.col(id_col).alias("doc_id"), path.alias("path"), F.regexp_replace(path, "/?[^/]*$", "").alias("dir"),
-        F.when(F.rlike(text, F.lit(pattern)), sure).alias("notices"), count_words(F.col(text_col)).alias("n_words"))
+        F.when(F.arrays_overlap(_terms(text), keys), sure).alias("notices"), count_words(F.col(text_col)).alias("n_words"))
     best = F.array_max(F.transform("notices", lambda x: x["best"]))
     in_notices = F.aggregate("notices", F.lit(0).cast("bigint"), lambda a, x: a + x["words"])
     named = F.rlike(F.regexp_extract("path", "[^/]*$", 0), F.lit(FILE_NAMES))

@@ -103,6 +103,15 @@ def test_licences(spark, empty):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+def test_common_notices(spark):
+    """A notice that a third of all rows hold, and a table of three rows, are found like rare ones."""
+    notice = "Released under the MIT License."
+    files = [(k, "a.txt", prose(700 + k, 30) + ("\n" + notice if k % 3 == 0 else "\nthe end of it")) for k in range(60)]
+    for some in (files, files[:3]):
+        got = licences.scan(spark.createDataFrame(some, "doc_id bigint, path string, text string")).collect()
+        assert {r["doc_id"]: r["licence"] for r in got} == {k: "MIT" if k % 3 == 0 else None for k, *_ in some}
+
+
 def test_tokens_and_cache(spark, docs, clash, empty, tmp_path):
     from tokenizers import Tokenizer
 
