@@ -1,15 +1,26 @@
-"""Licence scan: sparse TF-IDF cosine of notices to templates, then inheritance along the directory tree."""
+"""Licence scan: sparse TF-IDF cosine of notices, headers and whole texts to templates, then inheritance along the directory tree."""
 
 from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import count_words, let, stored
 
+
+class Template(NamedTuple):
+    """A text of a licence; what is similar must also hold all terms of ``must`` (a name, a version) to count."""
+
+    licence: str
+    text: str
+    must: tuple[str, ...] = ()
+
+
 # The usual one-line notices of public licences.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -21,8 +32,70 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+_GPL = ("This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU {1} Public License as published by "
+        "the Free Software Foundation{2} either version {3} of the License, or (at your option) any later version.")
+_GPL_REST = (" This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+             "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} Public License for more details. You should have received a copy of "
+             "the GNU {1} Public License along with this program. If not, see <https://www.gnu.org/licenses/>.")
+_APACHE = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+           "You may obtain a copy of the License at")
+_APACHE_REST = (' http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the '
+                'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License '
+                "for the specific language governing permissions and limitations under the License.")
+_MIT_GRANT = ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the '
+              '"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
+              "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to "
+              "the following conditions:")
+
+
+def _gnu(licence: str, kind: str, version: str, must: tuple[str, ...]) -> list[Template]:
+    words = (":", kind, ",", version) if version == "3" else (";", kind, ";", version)
+    return [Template(licence, text.format(*words), must) for text in (_GPL, _GPL + _GPL_REST)]
+
+
+# Titles, references and standard headers, in whole and by their first paragraph.
+HEADERS = [
+    Template("MIT", "MIT License", ("mit", "license")),
+    Template("MIT", "The MIT License (MIT)", ("mit", "license")),
+    Template("MIT", "Licensed under the MIT license. See LICENSE file in the project root for full license information.", ("mit", "license")),
+    Template("MIT", _MIT_GRANT, ("permission", "software")),
+    Template("Apache-2.0", "Apache License", ("apache", "license")),
+    Template("Apache-2.0", "Apache License Version 2.0, January 2004", ("apache", "license")),
+    Template("Apache-2.0", _APACHE, ("apache",)),
+    Template("Apache-2.0", _APACHE + _APACHE_REST, ("apache",)),
+    Template("BSD-2-Clause", "BSD 2-Clause License", ("bsd", "2-clause")),
+    Template("BSD-3-Clause", "BSD 3-Clause License", ("bsd", "3-clause")),
+    Template("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", ("bsd-style",)),
+    Template("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", ("gnu", "2")),
+    Template("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", ("gnu", "general", "2")),
+    Template("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ("gnu", "general", "3")),
+    *_gnu("GPL-2.0", "General", "2", ("gnu", "2")),
+    *_gnu("GPL-3.0", "General", "3", ("gnu", "3")),
+    *_gnu("LGPL-3.0", "Lesser General", "3", ("gnu", "lesser", "3")),
+    *_gnu("AGPL-3.0", "Affero General", "3", ("gnu", "affero", "3")),
+    Template("MPL-2.0", "Mozilla Public License Version 2.0", ("mozilla", "public", "license")),
+    Template("MPL-2.0", TEMPLATES["MPL-2.0"] + " If a copy of the MPL was not distributed with this file, You can obtain one at "
+             "https://mozilla.org/MPL/2.0/.", ("mozilla",)),
+    *[Template(re.sub("-only|-or-later", "", name), f"SPDX-License-Identifier: {name}", (name.lower(),))
+      for name in (*TEMPLATES, "BSD-2-Clause", "GPL-2.0", *(f"{g}-{how}" for g in ("GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0") for how in ("only", "or-later")))],
+]
+# Terms that a text like a whole licence must hold; the texts are in ``licence_texts``.
+FULL_TEXTS = {
+    "Apache-2.0": ("apache",), "BSD-2-Clause": ("redistributions", "disclaimer"), "BSD-3-Clause": ("redistributions", "disclaimer"), "CC0-1.0": ("cc0",),
+    "GPL-2.0": ("gnu",), "GPL-3.0": ("gnu",), "MIT": ("permission", "merchantability"), "MPL-2.0": ("mozilla",)}
+
+
+def all_templates(notices: dict[str, str] = TEMPLATES) -> list[Template]:
+    """The notices, headers and full texts."""
+    folder = Path(__file__).parent / "licence_texts"
+    full = [Template(name, (folder / f"{name}.txt").read_text(), must) for name, must in FULL_TEXTS.items()]
+    return [*(Template(name, text) for name, text in notices.items()), *HEADERS, *full]
+
+
 # Names of files that hold the licence of their directory.
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
+# Lines that belong to a leading comment.
+COMMENT = r"^\s*($|#|//|/\*|\*|--|;|%|<!--)"
 # Least cosine of a notice, and least share of a document's words in notices that makes it a licence file.
 LEAST, FILE_SHARE = 0.6, 0.5
 
@@ -37,12 +110,12 @@ def _terms(line: Column) -> Column:
     return F.filter(parts, lambda t: F.length(t) > 0)
 
 
-def term_weights(docs: DataFrame, templates: dict[str, str], text_col: str = "text") -> tuple[dict[str, float], float, dict[str, int]]:
+def term_weights(docs: DataFrame, templates: list[Template], text_col: str = "text") -> tuple[dict[str, float], float, dict[str, int]]:
     """Inverse document frequencies of the templates' terms over all documents, that of an unseen term, and the documents of each term.
 
     The templates bound the number of terms; only their counts come to the driver.
     """
-    vocabulary = sorted({t for text in templates.values() for t in split_terms(text)})
+    vocabulary = sorted({t for x in templates for t in split_terms(x.text)})
     found = F.array_intersect(_terms(F.coalesce(F.col(text_col), F.lit(""))), F.array(*map(F.lit, vocabulary)))
     counts = docs.select(F.explode(F.array_append(found, F.lit(""))).alias("term")).groupBy("term").count().collect()
     documents = {r["term"]: r["count"] for r in counts}
@@ -51,25 +124,25 @@ def term_weights(docs: DataFrame, templates: dict[str, str], text_col: str = "te
     return weight, math.log(1 + n) + 1, {t: documents.get(t, 0) for t in vocabulary}
 
 
-def template_vectors(templates: dict[str, str], weight: dict[str, float]) -> dict[str, dict[str, float]]:
+def template_vectors(templates: list[Template], weight: dict[str, float]) -> list[dict[str, float]]:
     """The TF-IDF vector of every template, of length 1."""
-    vectors = {}
-    for name, text in templates.items():
-        terms = split_terms(text)
+    vectors = []
+    for template in templates:
+        terms = split_terms(template.text)
         vector = {t: terms.count(t) * weight[t] for t in set(terms)}
         norm = math.sqrt(sum(v * v for v in vector.values()))
-        vectors[name] = {t: v / norm for t, v in sorted(vector.items())}
+        vectors.append({t: v / norm for t, v in sorted(vector.items())})
     return vectors
 
 
-def key_terms(vectors: dict[str, dict[str, float]], documents: dict[str, int], least: float) -> list[str]:
+def key_terms(vectors: list[dict[str, float]], documents: dict[str, int], least: float) -> list[str]:
     """Terms of which a text must hold one to have a cosine of ``least`` with a template, however common they are.
 
     The cosine is at most the length of the part of a template's vector whose terms the text holds. So terms are
     taken, rare ones first, until the rest of every template's vector is shorter than ``least``.
     """
     keys = set()
-    for vector in vectors.values():
+    for vector in vectors:
         rest = 1.0
         for t in sorted(vector, key=lambda t: (documents[t], -vector[t], t)):
             if rest < least * least - 1e-6:
@@ -79,38 +152,70 @@ def key_terms(vectors: dict[str, dict[str, float]], documents: dict[str, int], l
     return sorted(keys)
 
 
-def _number_map(values: dict[str, float]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+def _units(text: Column, keys: Column) -> Column:
+    """What is compared: the whole text, its leading comment, its paragraphs and their lines; those without a key term are left out.
+
+    Structs of ``kind`` (0 whole, 1 leading comment, 2 paragraph, 3 line), number of the paragraph, ``words`` and ``text``.
+    """
+    unit = lambda kind, k, x: F.struct(F.lit(kind).alias("kind"), k.cast("int").alias("par"), count_words(x).alias("words"), x.alias("text"))
+    lines_of = lambda x: F.split(x, "\n")
+
+    def leading(lines: Column) -> Column:
+        end = F.array_position(F.transform(lines, lambda x: ~F.rlike(x, F.lit(COMMENT))), True)
+        return F.array_join(F.when(end > 0, F.slice(lines, F.lit(1), (end - 1).cast("int"))).otherwise(lines), "\n")
+
+    def of_paragraphs(pars: Column) -> Column:
+        lines = F.transform(pars, lambda x, k: F.transform(lines_of(x), lambda line: unit(3, k, line)))
+        return F.concat(F.transform(pars, lambda x, k: unit(2, k, x)), F.flatten(lines))
 
+    first = F.array(unit(0, F.lit(-1), text), unit(1, F.lit(-1), let(lines_of(text), leading)))
+    units = F.concat(first, let(F.split(text, r"\n[ \t\r]*\n"), of_paragraphs))
+    return F.filter(units, lambda u: F.arrays_overlap(_terms(u["text"]), keys))
 
-def _notice(line: Column, vectors: dict[str, dict[str, float]], weight: dict[str, float], unseen: float) -> Column:
-    """The most similar template of a line: struct of similarity and licence; ties go to the first name."""
-    weights = _number_map(weight)
 
-    def of_terms(terms: Column) -> Column:
-        pair = lambda t: F.struct(
-            t.alias("t"), (F.size(F.filter(terms, lambda x: x == t)) * F.coalesce(F.try_element_at(weights, t), F.lit(unseen))).alias("w"))
-        return let(F.transform(F.array_distinct(terms), pair), of_vector)
+def _counted(terms: Column) -> Column:
+    """Distinct terms with their numbers, from the places where a new term begins among the sorted ones."""
 
-    def of_vector(vector: Column) -> Column:
-        total = lambda value: F.aggregate(vector, F.lit(0.0), lambda a, p: a + value(p))
-        norm = F.sqrt(total(lambda p: p["w"] * p["w"]))
-        scores = [
-            F.struct(
-                F.round(total(lambda p, m=_number_map(v): p["w"] * F.coalesce(F.try_element_at(m, p["t"]), F.lit(0.0))) / norm, 9).alias("similarity"),
-                (F.lit(-i)).alias("turn"), F.lit(name).alias("licence"))
-            for i, (name, v) in enumerate(sorted(vectors.items()))]
-        return F.array_max(F.array(*scores))
+    def of_sorted(s: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(s) - 1)
+        begins = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        pair = lambda b: F.transform(b, lambda i, j: F.struct(
+            F.get(s, i).alias("term"), (F.coalesce(F.get(b, j + 1), F.size(s)) - i).alias("n")))
+        return let(begins, pair)
 
-    return let(_terms(line), of_terms)
+    return let(F.array_sort(terms), of_sorted)
+
+
+def _similar(units: DataFrame, templates: list[Template], vectors: list[dict[str, float]], weight: dict[str, float], unseen: float) -> DataFrame:
+    """The most similar template (``best``: similarity, turn, licence; ties go to the first name) of every unit (uid, at, ..., text).
+
+    The units' distinct terms meet the templates' weights in a broadcast table with a row per term of a template.
+    """
+    needed = sorted({t for x in templates for t in x.must})
+    bit = {t: 1 << i for i, t in enumerate(needed)}
+    table = [(t, w, [v.get(t, 0.0) for v in vectors], bit.get(t, 0)) for t, w in weight.items()]
+    table = stored(units.sparkSession.createDataFrame(table, "term string, w double, v array<double>, bit bigint"), "licence-terms")
+    terms = units.select("uid", "at", F.explode(_counted(_terms(F.col("text")))).alias("x")).select("uid", "at", "x.term", "x.n")
+    held = terms.join(F.broadcast(table), "term", "left").withColumn("tw", F.col("n") * F.coalesce("w", F.lit(unseen)))
+    sums = held.groupBy("uid", "at").agg(
+        F.sum(F.col("tw") * F.col("tw")).alias("square"), F.bit_or(F.coalesce("bit", F.lit(0))).alias("bits"),
+        *[F.coalesce(F.sum(F.col("tw") * F.get("v", F.lit(k))), F.lit(0.0)).alias(f"dot{k}") for k in range(len(templates))])
+    turn = {name: -i for i, name in enumerate(sorted({x.licence for x in templates}))}
+    scores = []
+    for k, x in enumerate(templates):
+        must = F.lit(sum(bit[t] for t in x.must)).cast("bigint")
+        score = F.struct(F.round(F.col(f"dot{k}") / F.sqrt("square"), 9).alias("similarity"), F.lit(turn[x.licence]).alias("turn"), F.lit(x.licence).alias("licence"))
+        scores.append(F.when(F.col("bits").bitwiseAND(must) == must, score))
+    return sums.select("uid", "at", F.array_max(F.array(*scores)).alias("best"))
 
 
 def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text",
          least: float = LEAST) -> DataFrame:
     """Licence of every file: doc_id, path, dir, licence, similarity, origin, from_dir.
 
-    Every line of the whole text that holds a key term is a possible notice (no other line can reach ``least``); its TF-IDF vector is compared
-    with those of the templates (terms of no template weigh as unseen ones), and the most similar notice with
+    The whole text, its leading comment, every paragraph (lines up to an empty one) and every line are possible notices;
+    the TF-IDF vector of each that holds a key term (no other can reach ``least``) is compared
+    with those of the templates: ``templates``, ``HEADERS`` and full texts (terms of no template weigh as unseen ones). The most similar with
     a cosine of ``least`` or more is the file's own: origin "notice". A file with a licence file's name, or
     with half its words or more in notices, also gives its licence to its directory. A file without a notice has that
     of the nearest directory above it, its own first: origin "directory", found in ``from_dir``; else null and
@@ -121,24 +226,33 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str =
     row each, so a directory with very many files costs no more there; the files' join with their directory has
     one row on the other side and is split by adaptive execution.
     """
-    weight, unseen, documents = term_weights(files, templates, text_col)
-    vectors = template_vectors(templates, weight)
+    known = all_templates(templates)
+    weight, unseen, documents = term_weights(files, known, text_col)
+    vectors = template_vectors(known, weight)
     keys = F.array(*map(F.lit, key_terms(vectors, documents, least)))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.arrays_overlap(_terms(line), keys))
-    notices = F.transform(lines, lambda line: F.struct(_notice(line, vectors, weight, unseen).alias("best"), count_words(line).alias("words")))
-    sure = F.filter(notices, lambda x: x["best"]["similarity"] >= least)
-    path = F.col(path_col)
-    rows = files.select(
-        F.col(id_col).alias("doc_id"), path.alias("path"), F.regexp_replace(path, "/?[^/]*$", "").alias("dir"),
-        F.when(F.arrays_overlap(_terms(text), keys), sure).alias("notices"), count_words(F.col(text_col)).alias("n_words"))
-    best = F.array_max(F.transform("notices", lambda x: x["best"]))
-    in_notices = F.aggregate("notices", F.lit(0).cast("bigint"), lambda a, x: a + x["words"])
+    text, path = F.coalesce(F.col(text_col), F.lit("")), F.col(path_col)
+    # the number of a row, as stored, holds its units together
+    rows = stored(
+        files.select(
+            F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), path.alias("path"),
+            F.regexp_replace(path, "/?[^/]*$", "").alias("dir"), count_words(F.col(text_col)).alias("n_words"),
+            F.when(F.arrays_overlap(_terms(text), keys), text).alias("text")),
+        "licence-texts")
+    units = rows.where("text is not null").select("uid", F.posexplode(_units(F.col("text"), keys)).alias("at", "u")).select("uid", "at", "u.*")
+    units = stored(units, "licence-units")
+    sure = _similar(units, known, vectors, weight, unseen).where(F.col("best.similarity") >= least)
+    # words in notices: of paragraphs or else their lines, of the leading comment or of the whole text, whichever are most
+    sure = sure.join(units.select("uid", "at", "kind", "par", "words"), ["uid", "at"])
+    words = lambda kind, f: F.coalesce(f(F.when(F.col("kind") == kind, F.col("words"))), F.lit(0))
+    parts = sure.groupBy("uid", "par").agg(
+        F.max("best").alias("best"), F.greatest(words(0, F.max), words(1, F.max)).alias("wide"), F.greatest(words(2, F.max), words(3, F.sum)).alias("words"))
+    own = parts.groupBy("uid").agg(F.max("best").alias("best"), F.greatest(F.max("wide"), F.sum("words")).alias("in_notices"))
+    best = F.col("best")
     named = F.rlike(F.regexp_extract("path", "[^/]*$", 0), F.lit(FILE_NAMES))
     rows = stored(
-        rows.select(
+        rows.drop("text").join(own, "uid", "left").select(
             "doc_id", "path", "dir", best["licence"].alias("own"), best["similarity"].alias("similarity"),
-            (best.isNotNull() & (F.coalesce(named, F.lit(False)) | (in_notices >= FILE_SHARE * F.col("n_words")))).alias("is_file")),
+            (best.isNotNull() & (F.coalesce(named, F.lit(False)) | (F.col("in_notices") >= FILE_SHARE * F.col("n_words")))).alias("is_file")),
         "licence-notices")
 
     # the most similar notice, then the first name: the smallest pair of negative similarity and licence

@@ -112,6 +112,23 @@ def test_common_notices(spark):
         assert {r["doc_id"]: r["licence"] for r in got} == {k: "MIT" if k % 3 == 0 else None for k, *_ in some}
 
 
+def test_licence_files_and_headers(spark):
+    """Full texts, wrapped headers and titles; directories inherit from licence texts; likenesses of a name alone are none."""
+    known = {x.licence: x.text for x in licences.all_templates() if x.licence in licences.FULL_TEXTS}
+    files = [(k, f"{n}/LICENSE", t.replace("(c)", "(c) 2021 Jo Doe"), n) for k, (n, t) in enumerate(sorted(known.items()))]
+    files += [(100 + k, f"{n}/src/a.txt", prose(k, 40), n) for k, n in enumerate(sorted(known))]
+    wrap = lambda x: "\n".join("# " + " ".join(x.split()[i:i + 11]) for i in range(0, len(x.split()), 11))
+    heads = [x for x in licences.HEADERS if len(x.text) > 150]
+    files += [(200 + k, None, "#!/bin/sh\n# Copyright 2020 Jo Doe\n#\n" + wrap(x.text) + "\n\n" + prose(k, 300), x.licence) for k, x in enumerate(heads)]
+    lines = {"The MIT License (MIT)": "MIT", "Apache License": "Apache-2.0", "Mozilla Public License Version 2.0": "MPL-2.0", "License": None, "mit": None,
+             "Licensed under the MIT license. See LICENSE file in the project root for full license information.": "MIT", "The license": None}
+    files += [(300 + k, None, prose(k, 50) + "\n" + x + "\n" + prose(k, 50), n) for k, (x, n) in enumerate(lines.items())]
+    files += [(1000 + k, None, prose(800 + k, 40), None) for k in range(100)]
+    got = licences.scan(spark.createDataFrame(files, "doc_id bigint, path string, text string, want string")).collect()
+    assert {r["doc_id"]: r["licence"] for r in got} == {i: n for i, _, _, n in files}
+    assert {r["origin"] for r in got if 100 <= r["doc_id"] < 200} == {"directory"}
+
+
 def test_tokens_and_cache(spark, docs, clash, empty, tmp_path):
     from tokenizers import Tokenizer
 
