@@ -147,9 +147,14 @@ def op5_suffix_dedup(spark, sf):
 
 
 def as_files(docs):
-    """Documents as files: a directory for each source, below it one for each hundred ids."""
-    folder = F.floor(F.col("doc_id") / 100).cast("string")
-    return docs.withColumn("path", F.concat_ws("/", F.col("source"), folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+    """Documents as files: below each source a directory for a thousand ids, in it one for each hundred of them.
+
+    Every eleventh id is named as a licence file of the upper directory; it gives a licence only if its text holds a notice.
+    """
+    upper, lower = (F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100))
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    named = F.concat_ws("/", F.col("source"), upper, F.concat(F.lit("LICENSE-"), name))
+    return docs.withColumn("path", F.when(F.col("doc_id") % 11 == 0, named).otherwise(F.concat_ws("/", F.col("source"), upper, lower, name)))
 
 
 @query

@@ -57,6 +57,20 @@ def test_licences(spark, sf, docs):
             assert got[doc_id]["licence"] in own
 
 
+def test_licences_are_inherited(spark, sf):
+    """Licence files give their licence to the documents of their directory and of those below it, and to no others."""
+    got = queries.op3_licence_scan(spark, sf.replace("sf0.001", "sf0.01")).collect()
+    own = {}
+    for r in got:
+        if r["origin"] == "notice" and "/LICENSE-" in r["path"]:
+            own.setdefault(r["dir"], set()).add(r["licence"])
+    heirs = [r for r in got if r["origin"] == "directory" and r["from_dir"] != r["dir"]]
+    assert own and len(heirs) > 40
+    assert all(r["from_dir"] in own and r["licence"] in own[r["from_dir"]] for r in heirs)
+    # without a notice and without a licence file in its directory or the one above
+    assert not any(r["origin"] == "none" and (r["dir"] in own or r["dir"].rsplit("/", 1)[0] in own) for r in got)
+
+
 def test_token_counts(spark, sf, docs, library):
     got = {r["doc_id"]: tuple(r)[1:] for r in queries.op4_token_counts(spark, sf).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()}
     counts = [len(i) for i in ids_of(library, [t for _, t, _, _ in docs])]
