@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import classifier, exact, jaccard, licences, mixing, packing, quality, sharding, suffix, tokens
+from strata.llm import classifier, exact, forest, jaccard, licences, merkle, mixing, packing, quality, sharding, spelling, suffix, tokens
 from strata.llm.common import table
 
 QUERIES = {}
@@ -160,3 +160,109 @@ def as_files(docs):
 @query
 def op3_licence_scan(spark, sf):
     return licences.scan(as_files(table(spark, sf, "documents")))
+
+
+
+@query
+def op11_spelling_variants(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents"), divisor=199)
+
+
+ORACLES["op11_spelling_variants"] = r"""
+with recursive runs as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents),
+each as (select doc_id, run, count(*) as n from runs group by all),
+-- CRC-32 of the UTF-8 bytes, bit by bit
+hashed as (
+  select run, n, xor(list_reduce(list_concat([4294967295::bigint], list_transform(range(1, octet_length(b) + 1), lambda k: cast('0x' || substr(hex(b), 2 * k - 1, 2) as bigint))),
+           lambda c, x: list_reduce(list_concat([xor(c, x)], range(8)), lambda y, i: xor(y >> 1, case when y & 1 = 1 then 3988292384::bigint else 0::bigint end))), 4294967295::bigint) as h
+  from (select run, n, encode(coalesce(cast(doc_id as varchar), '') || ':' || run) as b from each)),
+changed as (select case when h % 199 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word, n from hashed),
+words as (select word, cast(sum(n) as bigint) as n from changed group by word having length(word) >= 6 and sum(n) >= 5),
+less as (select word, n, i, word[:i - 1] || word[i + 1:] as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+near as (
+  select a.word, b.word as other, b.n as m from less as a join less as b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, b.word, b.n from less as a join words as b on a.rest = b.word
+  union select b.word, a.word, a.n from less as a join words as b on a.rest = b.word),
+best as (select word, count(*) as n_near, arg_min(other, (-m, other)) as other, max(m) as m from near group by word),
+rated as (
+  select words.word, n, coalesce(n_near, 0) as n_near, case when m >= 5 * n then other end as form, case when m >= 5 * n then m end as form_n
+  from words left join best using (word)),
+walk as (select word, word as root from rated union all select walk.word, form from walk join rated on rated.word = walk.root where form is not null),
+ends as (select walk.word, walk.root from walk join rated on rated.word = walk.root where rated.form is null)
+select word, form, root, n, n_near, form_n from rated join ends using (word)"""
+
+
+
+@query
+def op12_minhash_forest(spark, sf):
+    return forest.near_duplicates(table(spark, sf, "documents"))
+
+
+ORACLES["op12_minhash_forest"] = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, case when len(w) = 1 then w else w[i:i + 1] end as shingle
+  from (select doc_id, w, unnest(range(1, greatest(len(w), 2))) as i from d where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from s group by doc_id),
+-- a set is known by its sorted shingles; equal sets are one class, which its smallest id stands for
+sets as (select doc_id, hash(list(shingle order by shingle)) as h, count(*) as n from s group by doc_id),
+classes as (select min(doc_id) as class, h, n from sets group by h, n),
+t as (select class, n, shingle from s join classes on s.doc_id = classes.class),
+pairs as (
+  select a.class as a, b.class as b from t as a join t as b on a.shingle = b.shingle and a.class < b.class and 100 * a.n >= 80 * b.n and 100 * b.n >= 80 * a.n
+  group by a.class, b.class, a.n, b.n having 180 * count(*) >= 80 * (a.n + b.n)),
+edges as (select a, b from pairs union all select b, a from pairs),
+reach as (select class as node, class as other from classes union select node, b from reach join edges on other = a),
+comps as (select node, min(other) as comp from reach group by node)
+select d.doc_id, coalesce(sets.n, 0) as n_shingles, coalesce(comp, d.doc_id) as component_id, coalesce(comp, d.doc_id) = d.doc_id as kept
+from d left join sets using (doc_id) left join classes using (h, n) left join comps on node = class"""
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op13_merkle_manifest(spark, sf):
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 0
+    claims = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    checked = merkle.verify(table(spark, sf, "documents"), MANIFEST_FIELDS, "lang", "doc_id", claims)
+    return checked.select(
+        F.col("id").cast("bigint").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+# CRC-32 has no SQL function: bytes are folded in bit by bit.
+ORACLES["op13_merkle_manifest"] = r"""
+with recursive d as (
+  select row_number() over (order by doc_id nulls first) as r, doc_id, coalesce('=' || lang, '') as g, source, lang, n_chars, text,
+         xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, case when x & 1 = 1 then 3988292384::bigint else 0::bigint end))), 4294967295::bigint) as crc
+  from documents),
+claims as (select *, case when crc % 7 = 0 then n_chars + 1 else n_chars end as claimed from d),
+parts as (
+  select r, doc_id, g, coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as a,
+         coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as own, coalesce(strlen(cast(claimed as varchar)) || ':' || claimed, '-') as other,
+         coalesce(strlen(text) || ':' || text, '-') as z from claims),
+leaves as (select doc_id, g, sha256(a || own || z) as h, sha256(a || other || z) as claim, row_number() over (partition by g order by doc_id nulls first, sha256(a || own || z)) - 1 as i from parts),
+inner_nodes as (
+  select g, 0 as l, i, h, count(*) over (partition by g) as n from leaves
+  union all select g, l + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from inner_nodes where n > 1 group by g, l, i // 2, n),
+tops as (select g, h, row_number() over (order by g) - 1 as i from inner_nodes where n = 1),
+outer_nodes as (
+  select 0 as l, i, h, count(*) over () as n from tops
+  union all select l + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from outer_nodes where n > 1 group by l, i // 2, n),
+up as (
+  select t.g, t.h as subroot, coalesce(list(case when s.i is null then '' when s.i < t.i >> o.l then 'L' || s.h else 'R' || s.h end order by o.l) filter (o.l is not null), []) as path
+  from tops as t left join (select distinct l from outer_nodes where n > 1) as o on true
+  left join outer_nodes as s on s.l = o.l and s.i = xor(t.i >> o.l, 1) group by t.g, t.h),
+down as (
+  select e.g, e.i, e.doc_id, e.h, e.claim, coalesce(list(case when s.i is null then '' when s.i < e.i >> o.l then 'L' || s.h else 'R' || s.h end order by o.l) filter (o.l is not null), []) as path
+  from leaves as e left join (select distinct g, l from inner_nodes where n > 1) as o on o.g = e.g
+  left join inner_nodes as s on s.g = e.g and s.l = o.l and s.i = xor(e.i >> o.l, 1) group by all),
+folded as (
+  select doc_id, h as leaf, subroot, (select h from outer_nodes where n = 1) as root, list_concat(down.path, up.path) as path,
+         list_reduce(list_concat([claim], list_concat(down.path, up.path)), lambda c, s: case when s[1] = 'L' then sha256(s[2:] || c) else sha256(c || s[2:]) end) as folded_root
+  from down join up using (g))
+select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) as proof_sha256, folded_root, folded_root = root as verified
+from folded"""
