@@ -6,6 +6,7 @@ session's zone; results go back to plain timestamps.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from strata.functions.columns import number_ip
@@ -13,6 +14,7 @@ from strata.operators.geo import geo_enrich, geo_segments
 from strata.plans import inputs as i
 from strata.session import session_conf, shared_dir
 from strata.streaming import events as ev
+from strata.streaming import progress as pr
 from strata.streaming import sinks as out
 
 
@@ -143,19 +145,60 @@ def land_events(spark, sf):
 ON_TIME_1, LATE_UNTIL = "2024-01-16", "2024-01-11"
 
 
-def late_drop(spark, sf):
-    """Rows of closed windows are dropped, over three restarts of one stream from its checkpoint."""
-    root = shared_dir(spark, "late")
+def _late_stream(spark, sf, root, progress=None):
+    """Three restarts of one stream of counts from its checkpoint, each with another arrival; the emitted windows."""
     source = i.table(spark, sf, "events")
     late = (F.col("event_type") == "error") & (F.col("ts") < F.lit(LATE_UNTIL).cast("timestamp_ntz"))
     first = F.col("ts") < F.lit(ON_TIME_1).cast("timestamp_ntz")
     for arriving in (first & ~late, ~first, late):
         source.where(arriving).write.mode("append").parquet(f"{root}/in")
         raw = ev.read_event_stream(spark, "parquet", {}, source.schema, f"{root}/in")
-        stream = ev.with_event_time(i.web_columns(raw), "event_time", None)
-        counts = ev.tumbling_counts(stream, "5 minutes", ["host"])
-        _drain(counts, f"{root}/checkpoint", [out.parquet_sink(f"{root}/out")])
-    return _plain(out.read_sink(spark, f"{root}/out"), "window_start")
+        web = i.web_columns(raw)
+        stream = ev.with_event_time(web if progress is None else pr.observed(web), "event_time", None)
+        query = _drain(ev.tumbling_counts(stream, "5 minutes", ["host"]), f"{root}/checkpoint", [out.parquet_sink(f"{root}/out")])
+        if progress is not None:
+            progress.wait(query)
+    return out.read_sink(spark, f"{root}/out")
+
+
+def late_drop(spark, sf):
+    """Rows of closed windows are dropped, over three restarts of one stream from its checkpoint."""
+    return _plain(_late_stream(spark, sf, shared_dir(spark, "late")), "window_start")
+
+
+def late_drop_counted(spark, sf):
+    """The same windows next to a row that says how many rows were dropped, complete over the three runs, and how many are still open."""
+    root = shared_dir(spark, "late-counted")
+    with pr.ProgressTable(spark, f"{root}/progress") as progress:
+        windows = _late_stream(spark, sf, root, progress)
+    total = pr.late_rows(spark, f"{root}/progress", windows, "num_hits", f"{root}/checkpoint")
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in (("window_start", "timestamp"), ("host", "string"), ("num_hits", "bigint"))]
+    counts = [F.lit(None).cast("bigint").alias(c) for c in ("arrived", "open", "dropped")]
+    both = windows.select(F.lit("window").alias("kind"), "window_start", "host", "num_hits", *counts).unionByName(
+        total.select(F.lit("total").alias("kind"), *none[:2], F.col("counted").alias("num_hits"), "arrived", "open", "dropped"))
+    return _plain(both, "window_start")
+
+
+def append_once(spark, sf):
+    """A stream into two append-only tables that fails between them and is started again: every row is in each once."""
+    root = shared_dir(spark, "append-once")
+    stream = _event_stream(spark, sf).select("event_id", "host", "url", F.to_date("event_timestamp").alias("day"))
+    failing = [True]
+
+    def fails_once(rows, batch_id):
+        if failing.pop() if failing else False:
+            raise RuntimeError("a sink fails after another one has written")
+
+    sinks = [
+        out.once(out.format_sink("json", {"path": f"{root}/messages"}), f"{root}/ledger", "messages"),
+        out.append_sink(f"{root}/rows"), fails_once]
+    for _ in range(2):
+        try:
+            _drain(stream, f"{root}/checkpoint", sinks)
+        except StreamingQueryException:
+            continue
+    messages = spark.read.schema(stream.schema).json(f"{root}/messages").select(F.lit("messages").alias("sink"), "event_id", "host", "url", "day")
+    return messages.unionByName(spark.read.schema(stream.schema).parquet(f"{root}/rows").withColumn("sink", F.lit("rows")))
 
 
 QUERIES = {
@@ -173,6 +216,8 @@ QUERIES = {
     "geo_enrich": geo_enrich_batch,
     "land_events": land_events,
     "late_drop": late_drop,
+    "late_drop_counted": late_drop_counted,
+    "append_once": append_once,
 }
 
 _MESSAGES = f"""{i.WEB}, msg as (
@@ -215,4 +260,11 @@ ORACLES = {
         from msg m left join hit h on h.event_id = m.event_id""",
     "late_drop": f"with {i.WEB}, kept as (select * from web where not (url = '/error' and event_time < timestamp '{LATE_UNTIL}')) "
                  + _TUMBLE.format(key="host", src="kept"),
+    "late_drop_counted": f"""with {i.WEB}, marked as (select *, url = '/error' and event_time < timestamp '{LATE_UNTIL}' as late from web),
+        kept as (select * from marked where not late),
+        closed as ({_TUMBLE.format(key="host", src="kept")})
+        select 'window' as kind, window_start, host, num_hits, cast(null as bigint) as arrived, cast(null as bigint) as open, cast(null as bigint) as dropped from closed
+        union all select 'total', null, null, (select cast(sum(num_hits) as bigint) from closed), count(*),
+               cast(count(*) filter (where not late) - (select sum(num_hits) from closed) as bigint), count(*) filter (where late) from marked""",
+    "append_once": f"""with {i.WEB} select sink, event_id, host, url, cast(event_time as date) as day from web, (values ('messages'), ('rows')) as s(sink)""",
 }

@@ -11,10 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.functions.columns import names
+from strata.sources import files
 from strata.sources.tables import reused
 
 BATCH_COL = "batch_id"
 Sink = Callable[[DataFrame, int], None]
+Undo = Callable[[int], None]
 
 
 def parquet_sink(
@@ -31,10 +33,30 @@ def parquet_sink(
     return write
 
 
+def append_sink(path: str, label: str = "stream") -> Sink:
+    """Append each batch to one Parquet folder, without a folder per batch, exactly once.
+
+    A batch is written to a hidden folder first; its files are then renamed into the table under names made of the label
+    and the batch id. A replayed batch removes what a failed attempt left under its names before it moves its
+    own files, so every row is there once. Readers never see a half-written file; while a batch is being moved they may
+    see part of it. Streams that share a folder need different labels.
+    """
+    def write(rows: DataFrame, batch_id: int) -> None:
+        spark, hidden = rows.sparkSession, f"{path}/_arriving-{label}-{batch_id}"
+        rows.write.mode("overwrite").parquet(hidden)
+        for name in files.listed(spark, path, f"{label}-{batch_id}-*.parquet"):
+            files.remove(spark, f"{path}/{name}")
+        for n, name in enumerate(files.listed(spark, hidden, "*.parquet")):
+            files.move(spark, f"{hidden}/{name}", f"{path}/{label}-{batch_id}-{n:05d}.parquet")
+        files.remove(spark, hidden)
+    return write
+
+
 def format_sink(fmt: str, options: Mapping[str, str]) -> Sink:
     """Append each batch through any batch writer, such as ``kafka`` with ``to_kafka_json`` rows and its topic and servers.
 
-    At least once: a batch that is replayed after a failure is written again.
+    By itself at least once: a batch that is replayed after a failure is written again. ``once`` narrows that to a failure
+    inside the write.
     """
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.format(fmt).options(**options).mode("append").save()
@@ -44,13 +66,38 @@ def format_sink(fmt: str, options: Mapping[str, str]) -> Sink:
 def jdbc_sink(url: str, table: str, properties: Mapping[str, str]) -> Sink:
     """Append each batch to a database table with its batch id.
 
-    At least once: a replayed batch is appended again under the same id, by which readers tell it.
+    By itself at least once, see ``format_sink``; replayed rows have the same batch id, by which ``undo`` of ``once`` can delete them.
     """
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.withColumn(BATCH_COL, F.lit(batch_id)).write.jdbc(url, table, mode="append", properties=dict(properties))
     return write
 
 
+def once(sink: Sink, ledger: str, label: str, undo: Undo | None = None) -> Sink:
+    """A sink that skips the batches it has committed, by a ledger of empty files, ``<label>/<batch>.begun`` and ``.done``.
+
+    Both marks are read before a batch is written; the first is set before, the second after the write. A batch that is replayed
+    because a later sink failed is skipped. A batch that was begun and not done may be there in part: ``undo(batch_id)``
+    removes what it left (rows of a batch id in a database, say) before it is written again, which makes the sink exactly
+    once; without ``undo`` that one batch is written at least once. The ledger belongs to one stream: keep it next to its checkpoint.
+    """
+    def write(rows: DataFrame, batch_id: int) -> None:
+        spark, mark = rows.sparkSession, f"{ledger}/{label}/{batch_id}"
+        if files.exists(spark, f"{mark}.done"):
+            return
+        if undo is not None and files.exists(spark, f"{mark}.begun"):
+            undo(batch_id)
+        files.touch(spark, f"{mark}.begun")
+        sink(rows, batch_id)
+        files.touch(spark, f"{mark}.done")
+    return write
+
+
+def committed(spark: SparkSession, ledger: str, label: str) -> list[int]:
+    """Ids of the batches that a sink has committed."""
+    return sorted(int(name.removesuffix(".done")) for name in files.listed(spark, f"{ledger}/{label}", "*.done"))
+
+
 def write_stream_table(
     df: DataFrame,
     sinks: Sequence[Sink],
@@ -83,7 +130,8 @@ def dropped_rows(query: StreamingQuery) -> int:
     """Rows that the query's stateful operators dropped behind the watermark (after partial aggregation).
 
     Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` progress reports (100 by
-    default). A longer run would be counted in part, and raises instead: set more of them.
+    default). A longer run would be counted in part, and raises instead: set more of them, or
+    use ``progress.ProgressTable``, which counts any number of reports and restarts.
     """
     kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
     if len(query.recentProgress) >= kept:

@@ -3,11 +3,12 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from strata.session import session_conf
 from strata.streaming import events as ev
-from strata.streaming import sinks
+from strata.streaming import progress, sinks
 
 BASE = dt.datetime(2024, 1, 1, 12)
 SCHEMA = "host string, ts timestamp"
@@ -117,3 +118,84 @@ def test_dropped_rows_refuse_a_cut_history(spark):
     Query.recentProgress = Query.recentProgress + Query.recentProgress[:1]
     with pytest.raises(RuntimeError, match="numRecentProgressUpdates"):
         sinks.dropped_rows(Query())
+
+
+def test_every_dropped_row_is_counted_over_restarts(spark, tmp_path):
+    """Arrivals, emitted, open and dropped rows add up, whatever Spark keeps of its progress reports; a replayed batch counts once."""
+    checkpoint, out, inbox, log = (str(tmp_path / n) for n in ("c", "out", "in", "log"))
+    # the second row of a dropped window would be lost to a count after partial aggregation
+    arrivals = ([("a", 0), ("a", 10)], [("a", 1000)], [("a", 20), ("a", 21), ("b", 22), ("a", 1010)], [("a", 2000)])
+    with session_conf(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}), progress.ProgressTable(spark, log) as table:
+        for arrival in arrivals:
+            batch(spark, arrival).coalesce(1).write.mode("append").parquet(inbox)
+            stream = ev.with_event_time(progress.observed(ev.read_event_stream(spark, "parquet", {}, SCHEMA, inbox)), "ts", None)
+            table.wait(drain(ev.tumbling_counts(stream, "5 minutes", "host"), checkpoint, out))
+    closed = sinks.read_sink(spark, out)
+    assert rows(closed) == [(at(0), "a", 2), (at(900), "a", 2)]
+    assert progress.late_rows(spark, log, closed, "num_hits", checkpoint).first().asDict() == {"arrived": 8, "counted": 4, "open": 1, "dropped": 3}
+    assert progress.batch_reports(spark, log).agg(F.sum("arrived"), F.sum("dropped")).first() == (8, 2)
+    again = spark.read.schema(progress.REPORTS).parquet(log).withColumn("run_id", F.lit("replay")).collect()
+    spark.createDataFrame(again, progress.REPORTS).write.mode("append").parquet(log)
+    assert progress.late_rows(spark, log, closed, "num_hits", checkpoint).first()["dropped"] == 3
+
+
+def test_reports_of_nothing(spark, tmp_path):
+    with progress.ProgressTable(spark, str(tmp_path / "log")):
+        pass
+    assert progress.batch_reports(spark, str(tmp_path / "log")).count() == 0
+
+
+def test_sinks_write_once_when_a_later_sink_fails(spark, tmp_path):
+    """A batch that fails between two sinks is replayed; each row is in each table once, without batch folders."""
+    inbox, log = str(tmp_path / "in"), str(tmp_path / "ledger")
+    batch(spark, [("a", 0), ("b", 1)]).write.parquet(inbox)
+    fails = [True, False, True, False]
+
+    def failing(rows_, batch_id):
+        if fails.pop(0):
+            raise RuntimeError("between two sinks")
+
+    targets = [
+        sinks.once(sinks.format_sink("json", {"path": str(tmp_path / "json")}), log, "json"), sinks.append_sink(str(tmp_path / "rows"), "s"), failing]
+    stream = source(spark, inbox).select("host")
+    for n in range(4):
+        if n == 2:
+            batch(spark, [("c", 2)]).write.mode("append").parquet(inbox)
+        try:
+            sinks.write_stream_table(stream, targets, str(tmp_path / "c"), available_now=True).awaitTermination()
+        except StreamingQueryException as error:
+            assert n in (0, 2) and "between two sinks" in str(error)
+    want = [("a",), ("b",), ("c",)]
+    assert rows(spark.read.schema("host string").json(str(tmp_path / "json"))) == want
+    assert rows(spark.read.schema("host string").parquet(str(tmp_path / "rows"))) == want
+    assert not any(p.is_dir() for p in (tmp_path / "rows").iterdir())
+    assert sinks.committed(spark, log, "json") == [0, 1] and sinks.committed(spark, log, "other") == []
+
+
+def test_a_half_written_batch_is_undone(spark, tmp_path):
+    """A batch that failed inside its write is taken back by its id before it is written again."""
+    held, attempts = [], [True]
+
+    def partial(rows_, batch_id):
+        held.extend((batch_id, r["id"]) for r in rows_.limit(2).collect())
+        if attempts:
+            attempts.pop()
+            raise RuntimeError("inside the write")
+        held.append((batch_id, "rest"))
+
+    def undo(batch_id):
+        held[:] = [h for h in held if h[0] != batch_id]
+
+    sink = sinks.once(partial, str(tmp_path / "ledger"), "db", undo)
+    with pytest.raises(RuntimeError):
+        sink(spark.range(3), 7)
+    for _ in range(2):
+        sink(spark.range(3), 7)
+    assert [h[1] for h in held] == [0, 1, "rest"]
+    # and files left by a failed move are replaced under the names of their batch
+    table = tmp_path / "rows"
+    append = sinks.append_sink(str(table), "s")
+    append(spark.range(3), 0)
+    append(spark.range(4).coalesce(1), 1)
+    append(spark.range(5).repartition(3), 1)
+    assert spark.read.parquet(str(table)).count() == 8
