@@ -58,6 +58,20 @@ def bucket_join(
     return regular.unionByName(apart)
 
 
+def salted_join(spark: SparkSession, left: str, right: str | Sequence[str], key: str, where: Column | None = None, how: str = "inner") -> DataFrame:
+    """Join a table written by ``write_salted`` with others written with its salts and ``copies``, without a shuffle.
+
+    Every row of the left table has one salt and finds each right row once, under that salt. The rows of a hot key
+    are dealt to all buckets, so each task reads about as much as any other. Inner or left join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join joins inner or left")
+    out = spark.table(left) if where is None else spark.table(left).where(where)
+    for name in [right] if isinstance(right, str) else right:
+        out = out.hint("merge").join(spark.table(name).hint("merge"), [key, "_salt"], how)
+    return out.drop("_salt")
+
+
 def avg_kills_per_game(match_details: DataFrame, player: str, match: str, kills: str) -> DataFrame:
     """Players with the highest mean kills per match (ties included)."""
     per_player = match_details.groupBy(player, match).agg(F.sum(kills).alias("_kills")).groupBy(player).agg(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import activity as act
 from strata.operators import clean, entity, joins
+from strata.operators.skew import large_groups
 from strata.plans import inputs as i
 from strata.plans.analytics import ORACLES as ANALYTICS, device_hits
 from strata.plans.dimensional import ORACLES as DIMENSIONAL, RECORD, STATIC, history_text, snapshots, spending_class
@@ -72,6 +73,23 @@ def bucket_join(spark, sf):
     return joins.bucket_join(spark, details, played, "match_id")
 
 
+# The match that every third line of an order is counted for, so that one key has a third of all rows.
+FINAL, SALTED_BUCKETS = 1, 16
+
+
+def bucket_join_hot(spark, sf):
+    """Performances of which more than a third belong to one match, joined to the matches on (match, salt) without a shuffle."""
+    match = F.when(F.col("line") % 3 == 1, F.lit(FINAL).cast("bigint")).otherwise(F.col("match_id"))
+    played = i.match_details(spark, sf).withColumn("match_id", match)
+    matches = i.matches(spark, sf)
+    hot = large_groups(played, "match_id", played.count() // SALTED_BUCKETS)
+    salts = tables.materialize(tables.bucket_salts(hot, "match_id", SALTED_BUCKETS), _name("salts"), path=shared_dir(spark, "salts"))
+    left, right = _name("played"), _name("matches")
+    tables.write_salted(played, left, "match_id", SALTED_BUCKETS, salts, path=shared_dir(spark, "played"))
+    tables.write_salted(matches, right, "match_id", SALTED_BUCKETS, salts, copies=True, path=shared_dir(spark, "matches"))
+    return joins.salted_join(spark, left, right, "match_id")
+
+
 def _bucketed(spark, sf):
     """The three facts of a match in as many buckets as the largest needs; matches are also partitioned by year."""
     facts = {
@@ -103,7 +121,7 @@ def bucket_join_report(spark, sf):
     names = _bucketed(spark, sf)
     kills = spark.table(names["details"]).groupBy("match_id").agg(F.sum("kills").alias("kills"), F.count(F.lit(1)).alias("players"))
     won = spark.table(names["medals"]).groupBy("match_id").agg(F.sum("medal_count").alias("medals"))
-    per_match = spark.table(names["matches"]).join(kills, "match_id", "left").join(won, "match_id", "left")
+    per_match = spark.table(names["matches"]).hint("merge").join(kills.hint("merge"), "match_id", "left").join(won.hint("merge"), "match_id", "left")
     report = per_match.groupBy("playlist_id", "map_id").agg(
         F.count(F.lit(1)).alias("matches"), F.sum("players").alias("players"), F.sum("kills").alias("kills"), F.sum("medals").alias("medals"))
     return joins.broadcast_enrich(report, [(i.maps(spark, sf), "map_id")])
@@ -167,6 +185,7 @@ QUERIES = {
     "upsert_by_key": upsert_by_key,
     "write_bucketed": write_bucketed,
     "bucket_join": bucket_join,
+    "bucket_join_hot": bucket_join_hot,
     "bucket_join_report": bucket_join_report,
     "bucket_join_partitioned": bucket_join_partitioned,
     "write_clustered": write_clustered,
@@ -187,6 +206,9 @@ ORACLES = {
     "write_bucketed": f"with {i.MATCH_DETAILS} select * from match_details",
     "bucket_join": f"""with {i.MATCH_DETAILS}, {i.MATCHES} select d.*, m.playlist_id, m.map_id, m.completion_date
         from match_details d join matches m on m.match_id = d.match_id""",
+    "bucket_join_hot": f"""with {i.MATCH_DETAILS}, {i.MATCHES},
+        p as (select * replace (case when line % 3 = 1 then {FINAL}::bigint else match_id end as match_id) from match_details)
+        select p.*, m.playlist_id, m.map_id, m.completion_date from p join matches m on m.match_id = p.match_id""",
     "bucket_join_report": f"""with {i.MATCH_DETAILS}, {i.MATCHES},
         k as (select match_id, sum(kills) as kills, sum(medal) as medals, count(*) as players
               from (select l_orderkey as match_id, cast(l_quantity as bigint) as kills, l_linenumber as medal from lineitem) group by 1)

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.columns import names
+from strata.operators.guards import maybe_broadcast
 from strata.session import session_conf
 
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -119,7 +121,8 @@ def write_bucketed(
     Every row is in the table. Choose ``n`` for buckets of a few hundred MB
     (``bucket_count``); tables joined without a shuffle need the same ``n``. Rows are first hash-partitioned
     into the buckets, and adaptive execution divides the partition of a hot key, whose
-    bucket then has several files; ``bucket_join`` takes such keys as an argument.
+    bucket then has several files but is read by one task: write tables with hot keys by ``write_salted``, or
+    name the keys to ``bucket_join``.
     """
     writer = df.hint("rebalance", n, key).write.mode("overwrite").format("parquet").bucketBy(n, key).sortBy(*names(sort or key))
     if partition_by is not None:
@@ -127,6 +130,44 @@ def write_bucketed(
     (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 
+def bucket_salts(hot: DataFrame, key: str, n: int, tries: int = 32) -> DataFrame:
+    """(key, ``salts``) for the hot keys: salts that send (key, salt) to every one of ``n`` buckets, one salt for each.
+
+    Rows are bucketed by the same hash that ``hash`` computes, so the salts of a key can be chosen instead of drawn: the
+    lowest of ``tries`` x n numbers for each bucket. A bucket that none of them meets (a chance of n x exp(-tries)) gets no rows
+    of the key. ``hot`` is short by its nature: fewer than n keys can each have more rows than a fair bucket.
+    """
+    tried = hot.select(key).distinct().select(key, F.explode(F.sequence(F.lit(1), F.lit(n * tries))).alias("_salt"))
+    bucket = F.pmod(F.hash(key, "_salt"), F.lit(n))
+    return tried.groupBy(key, bucket.alias("_bucket")).agg(F.min("_salt").alias("_salt")).groupBy(key).agg(
+        F.sort_array(F.collect_list("_salt")).alias("salts"))
+
+
+def write_salted(
+    df: DataFrame,
+    table: str,
+    key: str,
+    n: int,
+    salts: DataFrame,
+    copies: bool = False,
+    sort: str | Sequence[str] | None = None,
+    path: str | None = None,
+) -> None:
+    """Write a table bucketed on (key, ``_salt``), in which a hot key fills all buckets evenly.
+
+    ``salts`` comes from ``bucket_salts`` and must be the same, with the same ``n``, for all tables that ``salted_join`` joins. Each
+    row of a hot key gets one of its salts, by a hash of the whole row (equal rows share a salt); with ``copies``,
+    for the side that has few rows a key, a row is written once for each salt. All other keys have salt 0.
+    """
+    deal = F.element_at("salts", (F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.size("salts")) + 1).cast("int"))
+    few = maybe_broadcast(salts.withColumnRenamed(key, "_key"))
+    joined = df.join(few, F.col(f"`{key}`").eqNullSafe(F.col("_key")), "left")
+    salt = F.explode(F.coalesce("salts", F.array(F.lit(0)))) if copies else F.when(F.col("salts").isNull(), F.lit(0)).otherwise(deal)
+    salted = joined.withColumn("_salt", salt).select(*[F.col(f"`{c}`") for c in df.columns], "_salt")
+    writer = salted.hint("rebalance", n, key, "_salt").write.mode("overwrite").format("parquet").bucketBy(n, key, "_salt").sortBy(*names(sort or [key, "_salt"]))
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
 def bucket_count(rows: int, row_bytes: int, bucket_bytes: int = 256 * 1024 * 1024) -> int:
     """The power of two, so that tables of different sizes nest, that gives buckets of about ``bucket_bytes``."""
     wanted = max(1, rows * row_bytes / bucket_bytes)

@@ -152,3 +152,42 @@ def test_shared_dir_follows_the_session(spark, tmp_path):
         conf = Conf()
 
     assert shared_dir(Session(), "x").startswith(str(tmp_path) + "/strata/x-")
+
+
+def test_salted_buckets_spread_a_hot_key(spark, tmp_path):
+    """A third of all rows in one key: no exchange, the largest task reads less than three times the median, the result is that of a join."""
+    n = 8
+    fact = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).cast("bigint").alias("k"), "id")
+    dim = spark.range(5001).select(F.when(F.col("id") < 5000, F.col("id")).alias("k"), (F.col("id") * 2).alias("v"))
+    extra = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("w"))
+    fact = fact.unionByName(spark.createDataFrame([(None, -1)], "k bigint, id bigint"))
+    salts = tables.materialize(tables.bucket_salts(large_groups(fact, "k", 60_000 // n), "k", n), name(), path=str(tmp_path / "s"))
+    (hot,) = salts.collect()
+    assert hot["k"] == 7 and len(set(hot["salts"])) == n
+    f, d, e = name(), name(), name()
+    tables.write_salted(fact, f, "k", n, salts, path=str(tmp_path / "f"))
+    tables.write_salted(dim, d, "k", n, salts, copies=True, path=str(tmp_path / "d"))
+    tables.write_salted(extra, e, "k", n, salts, copies=True, path=str(tmp_path / "e"))
+    assert rows(spark.table(f).drop("_salt")) == rows(fact) and spark.table(d).count() == 5001 + n - 1
+    for how in ("inner", "left"):
+        assert rows(joins.salted_join(spark, f, [d, e], "k", how=how)) == rows(fact.join(dim, "k", how).join(extra, "k", how))
+    out = joins.salted_join(spark, f, d, "k")
+    assert "Exchange" not in plan(out) and "SortMergeJoin" in plan(out)
+    per_task = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("task")).count().collect())
+    assert len(per_task) == n and per_task[-1] < 3 * per_task[n // 2]
+    # the same rows in plain buckets: one task has more than a third of all
+    plain = name()
+    tables.write_bucketed(fact, plain, "k", n, path=str(tmp_path / "p"))
+    most = spark.table(plain).groupBy(F.pmod(F.hash("k"), F.lit(n))).count().agg(F.max("count")).first()[0]
+    assert most > 3 * per_task[n // 2]
+
+
+def test_salted_tables_without_hot_keys(spark, tmp_path):
+    fact = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
+    none = spark.createDataFrame([], "k bigint, salts array<int>")
+    f, d = name(), name()
+    tables.write_salted(fact, f, "k", 4, none, path=str(tmp_path / "f"))
+    tables.write_salted(fact.limit(0), d, "k", 4, none, copies=True, path=str(tmp_path / "d"))
+    assert joins.salted_join(spark, f, d, "k").count() == 0 and joins.salted_join(spark, f, d, "k", how="left").count() == 100
+    with pytest.raises(ValueError, match="inner or left"):
+        joins.salted_join(spark, f, d, "k", how="full")
