@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import active_days, datelist_bits, join_arrays, keep_tail, names
 from strata.operators.clean import upsert_by_key
 from strata.operators.guards import maybe_broadcast, present, require
-from strata.operators.skew import list_parts
+from strata.operators.skew import list_pages, list_parts
 
 
 def on_day(events: DataFrame, ts: str, ds: str) -> DataFrame:
@@ -253,3 +253,16 @@ def device_users(pairs: DataFrame, devices: DataFrame, user: str, device: str, l
     known = pairs.select(device, user).join(devices.select(device), device, "left_semi")
     lists = list_parts(known, device, user, parts).withColumnRenamed("values", "users")
     return lists.join(maybe_broadcast(devices.select(device, label)), device)
+
+
+def user_device_pages(pairs: DataFrame, user: str, device: str, size: int) -> DataFrame:
+    """Per user: hits on the busiest device and the devices used, in pages of ``size`` devices (``list_pages``)."""
+    rows = pairs.select(user, device, F.col("event_counts").alias("total_hits"))
+    return list_pages(rows, user, device, size, ["total_hits"]).withColumnRenamed("values", "devices")
+
+
+def device_user_pages(pairs: DataFrame, devices: DataFrame, user: str, device: str, label: str, size: int) -> DataFrame:
+    """Per known device: its label and the users seen on it, in pages of ``size`` users (``list_pages``)."""
+    known = pairs.select(device, user).join(maybe_broadcast(devices.select(device)), device, "left_semi")
+    lists = list_pages(known, device, user, size).withColumnRenamed("values", "users")
+    return lists.join(maybe_broadcast(devices.select(device, label)), device)

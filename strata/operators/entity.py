@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import band, join_arrays, keep_tail, names
 from strata.operators.guards import require
-from strata.operators.skew import list_parts
+from strata.operators.skew import blocked_totals, list_pages, list_parts
 
 
 def _advance(prev, today, keys, static, period, run_period, keep_last):
@@ -150,6 +150,76 @@ def backfill_grouped_entity(
         *keys, "part", "history", "entity_class", "is_active", "periods_since_active", period)
 
 
+def cumulate_grouped_state(
+    prev: DataFrame | None,
+    facts: DataFrame,
+    key: str | Sequence[str],
+    period: str,
+    run_period: int,
+    measure: str,
+    bands: Sequence[tuple[float, str]],
+    default: str,
+) -> DataFrame:
+    """State of every entity with many facts a period: class, activity, and ``records``, the number of its facts so far.
+
+    The row a key of ``grouped_entity_states`` for one period, from the state before it and the period's facts. ``prev`` is None for the first period.
+    """
+    keys = names(key)
+    today = facts.where(F.col(period) == F.lit(run_period)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_new"), band(F.avg(measure), bands, default).alias("_class"))
+    if prev is None:
+        return today.select(*keys, F.col("_class").alias("entity_class"), F.lit(True).alias("is_active"), F.lit(0).alias("periods_since_active"),
+                            F.lit(run_period).alias(period), F.col("_new").alias("records"))
+    prev = require(prev, F.col(period) == F.lit(run_period - 1), f"the previous state must be of {period} {run_period - 1}")
+    present = F.col("_class").isNotNull()
+    return prev.drop(period, "is_active").join(today, keys, "full").select(
+        *keys, F.coalesce("_class", "entity_class").alias("entity_class"), present.alias("is_active"),
+        F.when(present, F.lit(0)).otherwise(F.col("periods_since_active") + 1).alias("periods_since_active"),
+        F.lit(run_period).alias(period), (F.coalesce("records", F.lit(0)) + F.coalesce("_new", F.lit(0))).alias("records"))
+
+
+def cumulate_grouped_pages(
+    prev: DataFrame | None,
+    prev_state: DataFrame | None,
+    facts: DataFrame,
+    key: str | Sequence[str],
+    period: str,
+    run_period: int,
+    record: Sequence[str],
+    size: int,
+) -> DataFrame:
+    """All records of every entity in pages of ``size``, in the order of their periods and of ``record``: keys, ``page``, ``history``.
+
+    The new records of a key continue where its list ended, at the number of ``records`` in the state of the period
+    before (``cumulate_grouped_state``): they fill its last page and open new ones. Full pages and keys without facts pass
+    through, so a period costs its facts and one page for each key that has any, not the histories. A row is
+    never larger than a page; the records of a hot key are ranked in blocks and grouped by page.
+    """
+    keys = names(key)
+    rows = facts.where(F.col(period) == F.lit(run_period)).select(*keys, F.struct(*record).alias("_record"), F.lit(1).alias("_one"))
+    ranked = blocked_totals(rows, keys, "_record", "_record", {"_place": "_one"})
+    if prev is None:
+        start = F.lit(0)
+    else:
+        ranked = ranked.join(prev_state.select(*keys, "records"), keys, "left")
+        start = F.coalesce("records", F.lit(0))
+    # exchanged by page, so that a hot key may be split in the join before
+    paged = ranked.select(*keys, F.floor((start + F.col("_place") - 1) / size).alias("page"), "_record")
+    new = paged.repartition(*keys, "page").groupBy(*keys, "page").agg(F.sort_array(F.collect_list("_record")).alias("_records"))
+    if prev is None:
+        return new.withColumnRenamed("_records", "history")
+    last = F.size("history") < size
+    met = prev.where(last).join(new, [*keys, "page"], "full").select(*keys, "page", join_arrays(F.col("history"), F.col("_records")).alias("history"))
+    return prev.where(~last).unionByName(met)
+
+
+def backfill_grouped_pages(facts: DataFrame, key: str | Sequence[str], period: str, last: int, record: Sequence[str], size: int) -> DataFrame:
+    """The pages of ``last`` in one pass; equals ``cumulate_grouped_pages`` run up to it."""
+    keys = names(key)
+    rows = facts.where(F.col(period) <= F.lit(last)).select(*keys, F.struct(period, F.struct(*record).alias("_r")).alias("_record"))
+    return list_pages(rows, keys, "_record", size).select(*keys, "page", F.col("values")["_r"].alias("history"))
+
+
 def backfill_entity(
     facts: DataFrame,
     key: str | Sequence[str],

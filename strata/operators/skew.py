@@ -138,6 +138,28 @@ def list_parts(
     return out.select(*keys, "part", "values", *maxima)
 
 
+def list_pages(df: DataFrame, key: str | Sequence[str], value: str, size: int, maxima: Sequence[str] = ()) -> DataFrame:
+    """Sorted lists of a value per key in pages of ``size`` values: key, ``page`` (from 0), ``values``.
+
+    Page p holds the values at the places p * size and following of the key's sorted list, so every page but a key's last is
+    full, no row is larger than a page, and the pages of a key are its list, however long it is. Places are
+    counted by ``blocked_totals``: no task orders a whole key. Give rows distinct per key and value, or values repeat.
+    ``maxima`` columns are added as the maximum over the whole key, in every page. Null keys are a key, null values come first.
+    """
+    keys = names(key)
+    ranked = blocked_totals(df.select(*keys, value, F.lit(1).alias("_one")), keys, value, value, {"_place": "_one"})
+    page = F.floor((F.col("_place") - 1) / size).alias("page")
+    # nulls are held inside structs, as a list would leave them out
+    lists = ranked.groupBy(*keys, page).agg(F.sort_array(F.collect_list(F.struct(value)))[value].alias("values"))
+    if not maxima:
+        return lists
+    whole = df.groupBy(*[F.col(k).alias(f"_key_{n}") for n, k in enumerate(keys)]).agg(*[F.max(c).alias(c) for c in maxima])
+    same = F.lit(True)
+    for n, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{n}"))
+    return lists.join(whole, same).select(*keys, "page", "values", *maxima)
+
+
 def split_pairs(
     rows: DataFrame, counted: DataFrame, group: str, member: str, most: int = 2_000
 ) -> tuple[DataFrame, DataFrame, list[str]]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import band
 from strata.operators import entity, graph, scd, state
 from strata.plans import inputs as i
+from strata.session import shared_dir
 
 STATIC = ["segment", "nation"]
 RECORD = ["season", "gp", "pts"]
@@ -85,6 +86,36 @@ def cumulate_grouped_entity(spark, sf):
                       F.col("entity_class").alias("quality_class"), "is_active")
 
 
+# Records in a page of an actor's films.
+FILM_PAGE = 8
+
+
+def _film_text(pages):
+    text = F.transform("history", lambda x: F.concat_ws(":", x["film_id"].cast("string"), x["rating"].cast("string")))
+    return pages.select("actor_id", "page", F.array_join(text, ",").alias("films"))
+
+
+def cumulate_grouped_pages(spark, sf):
+    """Pages of films and the states of the last two years, year by year from what was stored for the year before."""
+    films, rules = i.films(spark, sf), ("rating", i.RATING_BANDS, i.LOWEST)
+    start = i.LAST_SEASON - 2
+    state = entity.grouped_entity_states(films.where(F.col("year") <= start), "actor_id", "year", start, *rules, emit_from=start)
+    pages = entity.backfill_grouped_pages(films, "actor_id", "year", start, FILM_RECORD, FILM_PAGE)
+    for year in (start + 1, start + 2):
+        paths = [shared_dir(spark, name) for name in ("film-states", "film-pages")]
+        for df, path in zip((state, pages), paths):
+            df.write.parquet(path)
+        state, pages = (spark.read.schema(df.schema).parquet(path) for df, path in zip((state, pages), paths))
+        before = state
+        state = entity.cumulate_grouped_state(state, films, "actor_id", "year", year, *rules)
+        pages = entity.cumulate_grouped_pages(pages, before, films, "actor_id", "year", year, FILM_RECORD, FILM_PAGE)
+    return _film_text(pages).join(state.drop("periods_since_active"), "actor_id")
+
+
+def backfill_grouped_pages(spark, sf):
+    return _film_text(entity.backfill_grouped_pages(i.films(spark, sf), "actor_id", "year", i.LAST_SEASON, FILM_RECORD, FILM_PAGE))
+
+
 def grouped_entity_states(spark, sf):
     return entity.grouped_entity_states(i.films(spark, sf), "actor_id", "year", i.LAST_SEASON, "rating", i.RATING_BANDS, i.LOWEST)
 
@@ -135,6 +166,8 @@ QUERIES = {
     "scd2_incremental": scd2_incremental,
     "cumulate_grouped_entity": cumulate_grouped_entity,
     "grouped_entity_states": grouped_entity_states,
+    "cumulate_grouped_pages": cumulate_grouped_pages,
+    "backfill_grouped_pages": backfill_grouped_pages,
     "state_change": state_change,
     "vertices": vertices,
     "membership_edges": membership_edges,
@@ -144,6 +177,9 @@ QUERIES = {
 _CAREER = """spine as (select actor_id, unnest(range(min(year), {end})) as year from films group by actor_id),
 yearly as (select actor_id, year, avg(rating) as mean, count(*) as n from films group by 1, 2)""".format(end=i.LAST_SEASON + 1)
 
+_FILM_PAGES = f"""placed as (select *, (row_number() over (partition by actor_id order by year, film_id) - 1) // {FILM_PAGE} as page from films),
+pages as (select actor_id, page, string_agg(film_id || ':' || rating, ',' order by year, film_id) as films from placed group by 1, 2)"""
+
 ORACLES = {
     "cumulate_entity": f"with {i.SNAPSHOTS} select * from snap where season = {i.LAST_SEASON}",
     "backfill_entity": f"with {i.SNAPSHOTS} select * from snap",
@@ -171,6 +207,11 @@ ORACLES = {
                max(y.year) = s.year as is_active, cast(s.year - max(y.year) as integer) as periods_since_active,
                cast(s.year as integer) as year, cast(sum(y.n) as bigint) as records
         from spine s join yearly y on y.actor_id = s.actor_id and y.year <= s.year group by s.actor_id, s.year""",
+    "cumulate_grouped_pages": f"""with {i.FILMS}, {_CAREER}, {_FILM_PAGES}, latest as (
+          select actor_id, arg_max(mean, year) as mean, max(year) as last_year, cast(sum(n) as bigint) as records from yearly group by actor_id)
+        select p.*, {i.sql_band('mean', i.RATING_BANDS, i.LOWEST)} as entity_class, last_year = {i.LAST_SEASON} as is_active,
+               cast({i.LAST_SEASON} as integer) as year, records from pages p join latest using (actor_id)""",
+    "backfill_grouped_pages": f"with {i.FILMS}, {_FILM_PAGES} select * from pages",
     "state_change": f"""with {i.SNAPSHOTS}, steps as (
           select member_id, season, is_active, lag(is_active) over (partition by member_id order by season) as before from snap)
         select member_id, season, is_active, case when before is null and is_active then 'New'

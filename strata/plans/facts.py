@@ -195,6 +195,18 @@ def coactivity_devices(spark, sf):
     return _text(act.device_users(_pairs(spark, sf), i.devices(spark, sf), "user_id", "device_id", "device_type", PARTS), "users")
 
 
+# Values in a page of a list: no row holds more, whatever its key.
+PAGE = 16
+
+
+def coactivity_user_pages(spark, sf):
+    return _text(act.user_device_pages(_pairs(spark, sf), "user_id", "device_id", PAGE), "devices")
+
+
+def coactivity_device_pages(spark, sf):
+    return _text(act.device_user_pages(_pairs(spark, sf), i.devices(spark, sf), "user_id", "device_id", "device_type", PAGE), "users")
+
+
 QUERIES = {
     "dedupe_by_key": dedupe_by_key,
     "dedupe_exact": dedupe_exact,
@@ -224,6 +236,8 @@ QUERIES = {
     "pair_activity": pair_activity,
     "coactivity_users": coactivity_users,
     "coactivity_devices": coactivity_devices,
+    "coactivity_user_pages": coactivity_user_pages,
+    "coactivity_device_pages": coactivity_device_pages,
 }
 
 _DAILY = """daily as (select {key}, cast(event_time as date) as day, count(*) as hits from {src} where {notnull} group by all)"""
@@ -313,4 +327,11 @@ ORACLES = {
     "coactivity_devices": f"""with {i.WEB}, {i.DEVICES}, p as (select distinct user_id, device_id from web)
         select p.device_id, any_value(d.device_type) as device_type, {i.sql_part("user_id", PARTS)} as part, string_agg(user_id, ',' order by user_id) as users
         from p join devices d on d.device_id = p.device_id group by 1, 3""",
+    "coactivity_user_pages": f"""with {i.WEB}, p as (select user_id, device_id, count(*) as n from web group by all),
+        r as (select *, (row_number() over (partition by user_id order by device_id) - 1) // {PAGE} as page, max(n) over (partition by user_id) as most from p)
+        select user_id, page, string_agg(device_id, ',' order by device_id) as devices, any_value(most) as total_hits from r group by 1, 2""",
+    "coactivity_device_pages": f"""with {i.WEB}, {i.DEVICES}, p as (select distinct user_id, device_id from web),
+        r as (select *, (row_number() over (partition by device_id order by user_id) - 1) // {PAGE} as page from p)
+        select r.device_id, any_value(d.device_type) as device_type, page, string_agg(user_id, ',' order by user_id) as users
+        from r join devices d on d.device_id = r.device_id group by 1, 3""",
 }

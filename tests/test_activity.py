@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import bits_text, classify_by_rules, hash_bucket, ip_number, number_ip, referrer_rules
 from strata.operators import activity as act
 from strata.operators import state
+from strata.operators.skew import list_pages
 
 START = dt.date(2024, 1, 28)  # the days run over the end of a month
 
@@ -191,3 +192,24 @@ def test_ip_and_bucket(spark):
 
     want = int(hashlib.md5(b"salt:42").hexdigest()[:8], 16) % 10000
     assert spark.range(1).select(hash_bucket(F.lit(42), "salt:")).first()[0] == want
+
+
+def test_list_pages(spark):
+    """Pages hold the sorted list whatever the key's size; nulls are a key and a value; maxima are of the whole key."""
+    data = [("hot", n, n % 7) for n in range(500)] + [("one", 1, 9), (None, 5, 1), (None, None, 2), ("none", None, 3)]
+    df = spark.createDataFrame(data, "k string, v int, m int").repartition(5)
+    got = {(r["k"], r["page"]): (r["values"], r["m"]) for r in list_pages(df, "k", "v", 64, ["m"]).collect()}
+    assert [got["hot", p][0] for p in range(8)] == [list(range(p * 64, min(p * 64 + 64, 500))) for p in range(8)]
+    assert {got["hot", p][1] for p in range(8)} == {6}
+    assert got["one", 0] == ([1], 9) and got[None, 0] == ([None, 5], 2) and got["none", 0] == ([None], 3) and len(got) == 11
+    assert list_pages(df.limit(0), "k", "v", 3).count() == 0
+
+
+def test_coactivity_pages_hold_what_the_lists_hold(spark):
+    pairs = spark.createDataFrame([(u, d, u + d) for u in range(4) for d in range(u * 5 + 1)], "u int, d int, event_counts int")
+    pages = act.user_device_pages(pairs, "u", "d", 4)
+    lists = act.user_devices(pairs, "u", "d")
+    assert rows(pages.orderBy("page").groupBy("u", "total_hits").agg(F.sort_array(F.flatten(F.collect_list("devices"))))) == rows(lists.select("u", "total_hits", "devices"))
+    labels = spark.createDataFrame([(0, "x"), (3, "y"), (99, "z")], "d int, label string")
+    got = rows(act.device_user_pages(pairs, labels, "u", "d", "label", 2))
+    assert got == [(0, 0, [0, 1], "x"), (0, 1, [2, 3], "x"), (3, 0, [1, 2], "y"), (3, 1, [3], "y")]

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, Phase, given, settings
@@ -163,3 +165,30 @@ def test_state_change(spark):
     df = spark.createDataFrame([("a", p, x) for p, x in enumerate([True, True, False, False, True])], "k string, p int, active boolean")
     got = [r["state"] for r in state.state_change(df, "k", "p", "active").orderBy("p").collect()]
     assert got == ["New", "Continued Playing", "Retired", "Stayed Retired", "Returned from Retirement"]
+
+
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_grouped_pages_grow_by_period(spark, tmp_path, size):
+    """Run period by period the pages equal those made in one pass; a hot key fills many, a quiet one keeps its page."""
+    rnd = random.Random(3)
+    data = [(k, y, n, rnd.randint(1, 10)) for n, (k, y) in enumerate((rnd.choice("aaaaaabc"), y) for y in range(2000, 2005) for _ in range(40))]
+    data += [("quiet", 2001, 1000, 5), (None, 2002, 1001, 6), (None, 2004, 1002, 7)]
+    facts = spark.createDataFrame(data, "k string, y int, id int, rating int")
+    rules, record = ("rating", [(7, "high")], "low"), ["id", "rating"]
+    state = pages = None
+    for year in range(2000, 2005):
+        before = state
+        state = entity.cumulate_grouped_state(state, facts.where("k is not null"), "k", "y", year, *rules)
+        pages = entity.cumulate_grouped_pages(pages, before, facts.where("k is not null"), "k", "y", year, record, size)
+        for name, df in (("s", state), ("p", pages)):
+            df.write.parquet(f"{tmp_path}/{name}{year}")
+        state, pages = (spark.read.parquet(f"{tmp_path}/{name}{year}") for name in "sp")
+    whole = entity.backfill_grouped_pages(facts, "k", "y", 2004, record, size)
+    assert rows(pages) == rows(whole.where("k is not null"))
+    assert rows(state) == rows(entity.grouped_entity_states(facts.where("k is not null"), "k", "y", 2004, *rules, emit_from=2004).select(*state.columns))
+    assert whole.agg(F.max(F.size("history"))).first()[0] <= size
+    # in order, every page but a key's last is full
+    for key in ("a", "quiet", None):
+        mine = sorted((r["page"], [tuple(x) for x in r["history"]]) for r in whole.where(F.col("k").eqNullSafe(F.lit(key))).collect())
+        assert [x for _, page in mine for x in page] == [(n, g) for k, _, n, g in sorted(data, key=lambda d: (d[1], d[2])) if k == key]
+        assert [len(page) for _, page in mine[:-1]] == [size] * (len(mine) - 1) and [p for p, _ in mine] == list(range(len(mine)))
