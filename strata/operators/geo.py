@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import ip_number
@@ -11,6 +11,21 @@ from strata.operators.guards import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, may
 PLACE = ["country", "state", "city"]
 
 
+def _blocks(lo: str, hi: str, bits: int) -> Column:
+    """The aligned blocks (level, place) that make up the numbers from lo to hi: [place * 2**level, (place + 1) * 2**level).
+
+    ``bits`` is the highest level. At each level a range adds its first block if that is odd and its last if that is even, as
+    pairs of blocks are one of the level above: two a level at most.
+    """
+    def at(k):
+        first = F.call_function("shiftright", F.col(lo) + F.call_function("shiftleft", F.lit(1).cast("bigint"), k) - 1, k)
+        end = F.call_function("shiftright", F.col(hi) + 1, k)
+        block = lambda use, place: F.when((first < end) & use, F.struct(k.alias("level"), place.alias("place")))
+        return F.array(block((first % 2 == 1) | (k == bits), first), block((end % 2 == 1) & (k < bits), end - 1))
+
+    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(bits)), at)), lambda b: b.isNotNull())
+
+
 def geo_segments(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
     """Cut ranges (lo, hi, country, state, city) at prefix edges into disjoint segments.
 
@@ -18,6 +33,10 @@ def geo_segments(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
     place in alphabetical order); only prefixes with an overlap are cut at every
     edge. Disjoint ranges yield at most one segment per range plus one per prefix.
     Each segment carries the prefix length it was cut with.
+
+    A piece between two edges finds its range by equality: ranges are taken apart into aligned blocks, of which only the best range
+    of each is kept, and the piece looks up the blocks that hold its start, one at each level. So the work
+    grows with ranges times levels, however many ranges overlap or lie within one prefix.
     """
     shift = 32 - prefix_bits
     size = 1 << shift
@@ -37,9 +56,11 @@ def geo_segments(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
     crowded = each.where("_overlap = 1")
     edges = crowded.select("prefix", F.explode(F.array("low", F.col("high") + 1)).alias("seg_lo")).distinct()
     pieces = edges.withColumn("seg_hi", F.lead("seg_lo").over(Window.partitionBy("prefix").orderBy("seg_lo")) - 1).where("seg_hi is not null")
-    owner = crowded.select(F.col("prefix").alias("_prefix"), "low", "high", F.struct("width", "lo", *PLACE).alias("_range"))
-    covers = (F.col("prefix") == F.col("_prefix")) & F.col("seg_lo").between(F.col("low"), F.col("high"))
-    cut = pieces.join(owner, covers).groupBy("prefix", "seg_lo", "seg_hi").agg(F.min("_range").alias("_r"))
+    held = crowded.select(F.struct("width", "lo", *PLACE).alias("_range"), F.explode(_blocks("low", "high", shift)).alias("_b"))
+    best = held.groupBy(F.col("_b.level").alias("_level"), F.col("_b.place").alias("_place")).agg(F.min("_range").alias("_range"))
+    levels = F.explode(F.sequence(F.lit(0), F.lit(shift)))
+    looked = pieces.withColumn("_level", levels).withColumn("_place", F.call_function("shiftright", F.col("seg_lo"), F.col("_level")))
+    cut = looked.join(best, ["_level", "_place"]).groupBy("prefix", "seg_lo", "seg_hi").agg(F.min("_range").alias("_r"))
     cut = cut.select("prefix", "seg_lo", "seg_hi", *[F.col("_r")[p].alias(p) for p in PLACE])
     return disjoint.unionByName(cut).withColumn("prefix_bits", F.lit(prefix_bits))
 

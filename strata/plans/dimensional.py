@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from strata.functions.columns import band
@@ -71,6 +73,17 @@ def scd2_incremental(spark, sf):
     return scd.scd2_incremental(before, snapshots(spark, sf, emit_from=i.LAST_SEASON), "member_id", ATTRS, "season", i.LAST_SEASON)
 
 
+def scd2_run(spark, sf):
+    """The history run season by season on a table that keeps open and closed rows apart; the last season is run again."""
+    stored = shared_dir(spark, "snapshots")
+    snapshots(spark, sf).select("member_id", "season", *ATTRS).write.partitionBy("season").parquet(stored)
+    snap = spark.read.schema("member_id bigint, entity_class string, is_active boolean, season int").parquet(stored)
+    table, path = f"strata_scd_{uuid.uuid4().hex[:10]}", shared_dir(spark, "scd")
+    for season in (*range(i.FIRST_SEASON, i.LAST_SEASON + 1), i.LAST_SEASON):
+        history = scd.scd2_run(spark, table, snap, "member_id", ATTRS, "season", season, path)
+    return history
+
+
 FILM_RECORD = ["film_id", "votes", "rating"]
 FILM_PARTS = 4
 
@@ -164,6 +177,7 @@ QUERIES = {
     "scd2_backfill": scd2_backfill,
     "scd2_backfill_attrs": scd2_backfill_attrs,
     "scd2_incremental": scd2_incremental,
+    "scd2_run": scd2_run,
     "cumulate_grouped_entity": cumulate_grouped_entity,
     "grouped_entity_states": grouped_entity_states,
     "cumulate_grouped_pages": cumulate_grouped_pages,
@@ -195,6 +209,7 @@ ORACLES = {
         from runs group by member_id, entity_class, run""",
     "scd2_backfill_attrs": _SCD_TWO_SQL,
     "scd2_incremental": _SCD_TWO_SQL,
+    "scd2_run": _SCD_TWO_SQL,
     "cumulate_grouped_entity": f"""with {i.FILMS}, {_CAREER}, latest as (
           select actor_id, arg_max(mean, year) as mean, max(year) as last_year from yearly group by actor_id)
         select f.actor_id, {i.sql_part("f.film_id", FILM_PARTS)} as part, cast({i.LAST_SEASON} as integer) as year,

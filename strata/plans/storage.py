@@ -59,6 +59,16 @@ def upsert_by_key(spark, sf):
     return clean.upsert_by_key(rows, new, ["member_id", "season"])
 
 
+def upsert_partitions(spark, sf):
+    """The star seasons of the latest year corrected in place: only the partitions that hold them are rewritten."""
+    rows = i.member_seasons(spark, sf).select("member_id", "season", F.col("pts").cast("double").alias("pts"))
+    table = _name("seasons")
+    clean.create_upsert_table(rows, table, ["member_id", "season"], path=shared_dir(spark, "seasons"))
+    stars = rows.where((F.col("season") == i.LAST_SEASON) & (F.col("pts") > i.MEMBER_BANDS[0][0]))
+    clean.upsert_partitions(spark, table, stars.withColumn("pts", F.col("pts") * 2), ["member_id", "season"])
+    return spark.table(table).drop(clean.PART)
+
+
 def write_bucketed(spark, sf):
     name = _name("details")
     tables.write_bucketed(i.match_details(spark, sf), name, "match_id", 16, sort=["match_id", "player_id"], path=shared_dir(spark, "details"))
@@ -183,6 +193,7 @@ QUERIES = {
     "write_period": write_period,
     "run_periods": run_periods,
     "upsert_by_key": upsert_by_key,
+    "upsert_partitions": upsert_partitions,
     "write_bucketed": write_bucketed,
     "bucket_join": bucket_join,
     "bucket_join_hot": bucket_join_hot,
@@ -203,6 +214,8 @@ ORACLES = {
     "run_periods": DIMENSIONAL["backfill_entity"],
     "upsert_by_key": f"""with {i.MEMBER_SEASONS} select member_id, season,
         cast(pts as double) * case when season = {i.LAST_SEASON} then 2 else 1 end as pts from ms""",
+    "upsert_partitions": f"""with {i.MEMBER_SEASONS} select member_id, season,
+        cast(pts as double) * case when season = {i.LAST_SEASON} and pts > {i.MEMBER_BANDS[0][0]} then 2 else 1 end as pts from ms""",
     "write_bucketed": f"with {i.MATCH_DETAILS} select * from match_details",
     "bucket_join": f"""with {i.MATCH_DETAILS}, {i.MATCHES} select d.*, m.playlist_id, m.map_id, m.completion_date
         from match_details d join matches m on m.match_id = d.match_id""",

@@ -1,10 +1,16 @@
+import json
+import random
+import uuid
+from collections import Counter
+
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from strata.operators import clean, contracts, experiment, joins
+from strata.operators import clean, contracts, experiment, geo, joins
 from strata.operators.geo import geo_enrich, geo_segments
 from strata.operators.guards import broadcastable, maybe_broadcast
+from strata.session import session_conf
 
 
 def test_dedupe(spark):
@@ -110,3 +116,64 @@ def test_kpi_aggregate_is_the_sum_of_units(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5), (None, 1)], "unit string, v int")
     assert rows(experiment.kpi_rollup(df, {"v": "v"}, "unit")) == sorted(
         [("unit", "a", 3), ("unit", "b", 5), ("unit", None, 1), ("aggregate", None, 9)], key=repr)
+
+
+def test_blocks_make_up_their_range(spark):
+    """At most two blocks a level, disjoint, and together exactly the range."""
+    rnd = random.Random(4)
+    data = [(a, b) for a, b in (sorted(rnd.sample(range(256), 2)) for _ in range(60))] + [(0, 255), (0, 0), (255, 255), (128, 255), (1, 254), (7, 8)]
+    df = spark.createDataFrame(data, "lo bigint, hi bigint").withColumn("blocks", geo._blocks("lo", "hi", 8))
+    for r in df.collect():
+        numbers = [n for b in r["blocks"] for n in range(b["place"] << b["level"], (b["place"] + 1) << b["level"])]
+        assert sorted(numbers) == list(range(r["lo"], r["hi"] + 1)) and max(Counter(b["level"] for b in r["blocks"]).values()) <= 2
+
+
+@pytest.mark.parametrize("prefix_bits", [8, 16])
+def test_overlapping_ranges_against_a_loop(spark, prefix_bits):
+    rnd = random.Random(prefix_bits)
+    base = 10 << 24
+    ends = [sorted(rnd.randrange(1 << 18) for _ in range(2)) for _ in range(150)]
+    ranges = [(base + a, base + b, f"c{n % 9}", "s", f"n{n}") for n, (a, b) in enumerate(ends)] + [(base, base + (1 << 25), "wide", "", "")]
+    numbers = sorted({x for lo, hi, *_ in ranges for x in (lo - 1, lo, (lo + hi) // 2, hi, hi + 1)})
+    ips = spark.createDataFrame([(n, ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))) for n in numbers], "n bigint, ip string")
+    table = spark.createDataFrame(ranges, "lo bigint, hi bigint, country string, state string, city string")
+    got = {r["n"]: json.loads(r["geodata"]) for r in geo.geo_enrich(ips, "ip", table, prefix_bits).collect()}
+    for n in numbers:
+        holding = [(hi - lo, lo, *place) for lo, hi, *place in ranges if lo <= n <= hi]
+        assert list(got[n].values()) == (list(min(holding)[2:]) if holding else [])
+
+
+def test_many_nested_ranges_under_one_prefix(spark):
+    """100,000 nested ranges of one prefix: pieces meet blocks by equality, and the number of rows is linear in the ranges."""
+    n = 100_000
+    nested = spark.range(n).select((F.col("id") + 5).alias("lo"), (F.lit((1 << 24) - 6) - F.col("id") * 3).alias("hi"),
+                                   F.lit("c").alias("country"), F.lit("s").alias("state"), F.col("id").cast("string").alias("city"))
+    segments = geo.geo_segments(nested, 8)
+    assert "NestedLoop" not in plan(segments) and "Cartesian" not in plan(segments)
+    found = segments.select(F.min("seg_lo"), F.max("seg_hi"), F.count(F.lit(1)), F.sum(F.col("seg_hi") - F.col("seg_lo") + 1)).first()
+    assert tuple(found) == (5, (1 << 24) - 6, 2 * n - 1, (1 << 24) - 10)
+    # left of the middle a piece is one number, held by the range that starts there
+    left = segments.where((F.col("seg_lo") < n + 4)).where("city <> cast(seg_lo - 5 as string)")
+    assert left.count() == 0
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    table = "t_" + uuid.uuid4().hex[:8]
+    df = spark.range(1000).select("id", (F.col("id") % 7).cast("string").alias("k"), F.col("id").cast("double").alias("v"))
+    clean.create_upsert_table(df, table, ["id", "k"], 8, str(tmp_path / "t"))
+    files = lambda: {p: {f.name for f in p.glob("*.parquet")} for p in (tmp_path / "t").glob("_part=*")}
+    before = files()
+    new = df.where("id in (3, 4)").withColumn("v", F.col("v") + 0.5).unionByName(spark.createDataFrame([(5000, "x", 1.0), (None, "x", 2.0)], "id bigint, k string, v double"))
+    touched = clean.upsert_partitions(spark, table, new.select("v", "k", "id"), ["id", "k"], 8)  # other column order
+    want = sorted(rows(df.where("id not in (3, 4)")) + rows(new), key=repr)
+    assert rows(spark.table(table).drop(clean.PART)) == want
+    after = files()
+    assert 0 < len(touched) < 5 and set(before) <= set(after)
+    for part in before:
+        assert (before[part] == after[part]) == (int(part.name.split("=")[1]) not in touched)
+    # again, and with nothing
+    clean.upsert_partitions(spark, table, new.where("id is not null"), ["id", "k"], 8)
+    assert rows(spark.table(table).drop(clean.PART)) == want
+    assert clean.upsert_partitions(spark, table, new.limit(0), ["id", "k"], 8) == []
+    with session_conf(spark, {"spark.sql.maxMetadataStringLength": "2000"}):
+        assert "PartitionFilters: [_part" in plan(spark.table(table).where(F.col(clean.PART).isin(*touched)))

@@ -1,4 +1,5 @@
 import random
+import uuid
 
 import pytest
 from conftest import rows
@@ -192,3 +193,44 @@ def test_grouped_pages_grow_by_period(spark, tmp_path, size):
         mine = sorted((r["page"], [tuple(x) for x in r["history"]]) for r in whole.where(F.col("k").eqNullSafe(F.lit(key))).collect())
         assert [x for _, page in mine for x in page] == [(n, g) for k, _, n, g in sorted(data, key=lambda d: (d[1], d[2])) if k == key]
         assert [len(page) for _, page in mine[:-1]] == [size] * (len(mine) - 1) and [p for p, _ in mine] == list(range(len(mine)))
+
+
+def history_by_runs(spark, tmp_path, data, periods, again=()):
+    snap = spark.createDataFrame(data, "k string, p int, a string, b boolean")
+    table = "t_" + uuid.uuid4().hex[:8]
+    for p in [*periods, *again]:
+        out = scd.scd2_run(spark, table, snap, "k", ["a", "b"], "p", p, str(tmp_path / table))
+    return table, snap, out
+
+
+def test_scd2_runs_equal_the_backfill(spark, tmp_path):
+    """Open and closed rows apart, period by period with repeats, and as of any earlier period."""
+    rnd = random.Random(11)
+    data = [(k, p, rnd.choice(["x", "y", None]), rnd.random() < 0.5) for k in "abcdef" for p in range(1, 7) if k < "e" or p > 2]
+    table, snap, out = history_by_runs(spark, tmp_path, data, range(1, 7), again=[5, 6, 6])
+    assert rows(out) == rows(scd.scd2_backfill(snap, "k", "p", ["a", "b"], as_of=6).select(*out.columns))
+    for p in (1, 3):
+        assert rows(scd.scd2_as_of(spark, table, p)) == rows(scd.scd2_backfill(snap, "k", "p", ["a", "b"], as_of=p).select(*out.columns))
+
+
+def test_scd2_run_closes_missing_keys_and_refuses_gaps(spark, tmp_path):
+    table, snap, out = history_by_runs(spark, tmp_path, [("a", 1, "x", True), ("b", 1, "x", True), ("b", 2, "x", True), ("a", 3, "x", True), ("b", 3, "y", None)], [1, 2, 3])
+    assert rows(out.select("k", "a", "start_period", "end_period")) == [("a", "x", 1, 1), ("a", "x", 3, 3), ("b", "x", 1, 2), ("b", "y", 3, 3)]
+    with pytest.raises(ValueError, match="run 4 first"):
+        scd.scd2_run(spark, table, snap, "k", ["a", "b"], "p", 5)
+    # a corrected period closes nothing any more, and what it had closed is gone
+    same = spark.createDataFrame([("a", 3, "x", True), ("b", 3, "x", True)], snap.schema)
+    again = scd.scd2_run(spark, table, same, "k", ["a", "b"], "p", 3)
+    assert rows(again.select("k", "a", "start_period", "end_period")) == [("a", "x", 1, 1), ("a", "x", 3, 3), ("b", "x", 1, 3)]
+
+
+def test_scd2_run_reads_the_open_partition_alone(spark, tmp_path):
+    from conftest import plan
+
+    from strata.session import session_conf
+
+    table, _, _ = history_by_runs(spark, tmp_path, [("a", p, str(p), True) for p in (1, 2, 3)], [1, 2, 3])
+    before = scd.open_rows(spark, table, 3)
+    assert {f.split(table)[1].rsplit("/", 1)[0] for f in before.inputFiles()} == {"/as_of=3/kind=open"}
+    with session_conf(spark, {"spark.sql.maxMetadataStringLength": "2000"}):
+        assert "kind" in plan(before).split("PartitionFilters: [")[1].split("]")[0]
