@@ -50,9 +50,13 @@ def leaders(df: DataFrame, by: str, level: str | Sequence[str] = ()) -> DataFram
 
     The maxima come from a hash aggregate, a row per level and task; the rows that equal theirs stay
     where they are, so neither a hot level nor very many ties meet in one task. A null
-    level is a level like others, and null leads only where all are null.
+    level is a level like others, and null leads only where all are null. The rows, an aggregate as a rule and small
+    beside the facts it was made of, are stored first, so that what they come from is computed once.
     """
     levels = names(level)
+    path = shared_dir(df.sparkSession, "leaders")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
     best = df.groupBy(*levels).agg(F.max(by).alias("_best")).select(
         *[F.col(c).alias(f"_level_{n}") for n, c in enumerate(levels)], "_best")
     same = F.col(by).eqNullSafe(F.col("_best"))
@@ -71,7 +75,7 @@ def rolling_trends(
     key: str | Sequence[str],
     day: str,
     measure: str,
-    min_total: float | None = None,
+    min_total: float | DataFrame | None = None,
     previous: tuple[int, int] = (13, 7),
     calendar: bool = False,
     required: str | Sequence[str] = (),
@@ -81,7 +85,8 @@ def rolling_trends(
     ``daily`` holds one row per key and day, so a window group is bounded by the
     calendar; all windows share one shuffle on the key. Rolling frames count rows
     (the current and six before it; ``previous`` rows back), or calendar days with
-    ``calendar``. ``previous=(13, 6)`` overlaps the current frame by one row. Rows
+    ``calendar``. ``previous=(13, 6)`` overlaps the current frame by one row. Keys with a grand total of ``min_total`` or
+    less are left out; it is a number, or a table of one row and one column that has it. Rows
     without a value in the ``required`` columns are left out; null is a key like others.
     """
     keys = names(key)
@@ -99,7 +104,10 @@ def rolling_trends(
         "weekly_rolling": _window_sum(measure, frames[0]),
         "previous_weekly_rolling": _window_sum(measure, frames[1]),
     })
-    if min_total is not None:
+    if isinstance(min_total, DataFrame):
+        limit = min_total.select(F.col(f"`{min_total.columns[0]}`").alias("_limit")).limit(1).withColumn("_one", F.lit(1))
+        out = out.withColumn("_one", F.lit(1)).join(F.broadcast(limit), "_one").where("grand_total > _limit").drop("_one", "_limit")
+    elif min_total is not None:
         out = out.where(F.col("grand_total") > F.lit(min_total))
     out = out.withColumn("monthly_total", _window_sum(measure, Window.partitionBy(*keys, "_month")))
     return out.drop("_month").withColumns({

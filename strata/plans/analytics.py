@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import classify_by_rules, referrer_rules
 from strata.operators import clean, experiment, joins, patterns, state
 from strata.plans import inputs as i
+from strata.session import shared_dir
 from strata.plans.facts import DAILY, daily
 
 
@@ -90,10 +91,12 @@ def _source_days(spark, sf):
 
 
 def rolling_trends(spark, sf):
-    days = _source_days(spark, sf)
+    found, path = _source_days(spark, sf), shared_dir(spark, "source-days")
+    found.write.parquet(path)
+    days = spark.read.schema(found.schema).parquet(path)
     totals = days.where("referrer is not null").groupBy("referrer", "url").agg(F.sum("hits").alias("n"))
     # above the mean, so that the filter bites at every size
-    return patterns.rolling_trends(days, ["referrer", "url"], "event_date", "hits", min_total=totals.agg(F.avg("n")).first()[0], required="referrer")
+    return patterns.rolling_trends(days, ["referrer", "url"], "event_date", "hits", min_total=totals.agg(F.avg("n").alias("mean")), required="referrer")
 
 
 def rolling_trends_calendar(spark, sf):

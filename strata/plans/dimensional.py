@@ -144,6 +144,18 @@ def vertices(spark, sf):
     return out.select("identifier", "type", *[F.col("properties")[p].alias(p) for p in ("abbreviation", "nickname", "region")])
 
 
+def vertices_of_facts(spark, sf):
+    """Players and games as vertices: totals of a player's performances, the line-up of a game. All three vertex types share one layout."""
+    played = i.game_details(spark, sf)
+    first = F.min(F.struct(*i.GAME_ORDER, "team_name"))["team_name"]
+    players = graph.aggregate_vertices(played, "player_id", "player", {
+        "name": F.min("player_name"), "games": F.count_distinct("game_id"), "points": F.sum("pts"), "team": F.min("team_name")})
+    games = graph.aggregate_vertices(played, "game_id", "game", {
+        "name": first, "games": F.lit(1), "points": F.sum("pts"), "team": F.array_join(F.sort_array(F.collect_set("team_name")), "|")})
+    fields = ("name", "games", "points", "team")
+    return players.unionByName(games).select("identifier", "type", *[F.col("properties")[p].alias(p) for p in fields])
+
+
 def membership_edges(spark, sf):
     out = graph.membership_edges(
         i.game_details(spark, sf), "player_id", "player", "game_id", "game", "plays_in",
@@ -154,8 +166,9 @@ def membership_edges(spark, sf):
 
 def cooccurrence_edges(spark, sf):
     raw = i.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("game_id"))
+    names = i.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("player_name"))
     return graph.cooccurrence_edges(
-        i.game_details(spark, sf), "game_id", "player_id", "player_name", "team_name", "pts", i.GAME_ORDER, counted=raw)
+        i.game_details(spark, sf), "game_id", "player_id", "player_name", "team_id", "pts", i.GAME_ORDER, counted=raw, labels=names)
 
 
 _SCD = """changes as (
@@ -184,6 +197,7 @@ QUERIES = {
     "backfill_grouped_pages": backfill_grouped_pages,
     "state_change": state_change,
     "vertices": vertices,
+    "vertices_of_facts": vertices_of_facts,
     "membership_edges": membership_edges,
     "cooccurrence_edges": cooccurrence_edges,
 }
@@ -236,6 +250,11 @@ ORACLES = {
     "vertices": """select n_nationkey as identifier, 'team' as type, n_name as abbreviation, s_name as nickname, cast(n_regionkey as varchar) as region
         from (select *, row_number() over (partition by n_nationkey order by s_suppkey) as rn
               from supplier join nation on n_nationkey = s_nationkey) where rn = 1""",
+    "vertices_of_facts": f"""with {i.GAME_DETAILS}
+        select player_id as identifier, 'player' as type, any_value(player_name) as name, cast(count(distinct game_id) as varchar) as games,
+               cast(sum(pts) as varchar) as points, any_value(team_name) as team from gd group by player_id
+        union all select game_id, 'game', arg_min(team_name, (l_linenumber, l_partkey, pts, team_name)), '1', cast(sum(pts) as varchar),
+               string_agg(distinct team_name, '|' order by team_name) from gd group by game_id""",
     "membership_edges": f"""with {i.GAME_DETAILS}
         select player_id as subject_identifier, 'player' as subject_type, game_id as object_identifier, 'game' as object_type,
                'plays_in' as edge_type, cast(pts as varchar) as pts, cast(team_id as varchar) as team_id, team_name from played""",

@@ -8,6 +8,7 @@ from strata.functions.columns import bits_text, classify_by_rules, referrer_rule
 from strata.operators import activity as act
 from strata.operators import clean, contracts
 from strata.plans import inputs as i
+from strata.session import shared_dir
 
 
 def daily(spark, sf, key="user_id"):
@@ -67,11 +68,23 @@ def require_present(spark, sf):
     return clean.require_present(i.devices(spark, sf), ["browser_type", "os_type"])
 
 
+def _broken(spark, sf):
+    """Every performance twice, once without its team's name."""
+    return i.game_details(spark, sf).unionByName(i.game_details(spark, sf).select(
+        "game_id", "player_id", "l_linenumber", "l_partkey", "pts", "player_name", "team_id", F.lit(None).cast("string").alias("team_name")))
+
+
+CONTRACT = {
+    "keys": ["game_id", "player_id"], "not_null": ["team_name", "player_name"],
+    "domains": {"l_linenumber": [1, 2, 3, 4, 5, 6], "team_id": list(range(25))}}
+
+
 def check_contract(spark, sf):
-    return contracts.check_contract(
-        i.game_details(spark, sf).unionByName(i.game_details(spark, sf).select(
-            "game_id", "player_id", "l_linenumber", "l_partkey", "pts", "player_name", "team_id", F.lit(None).cast("string").alias("team_name"))),
-        keys=["game_id", "player_id"], not_null=["team_name", "player_name"], domains={"l_linenumber": [1, 2, 3, 4, 5, 6], "team_id": list(range(25))})
+    return contracts.check_contract(_broken(spark, sf), **CONTRACT)
+
+
+def write_checked(spark, sf):
+    return contracts.write_checked(_broken(spark, sf), shared_dir(spark, "checked"), **CONTRACT)
 
 
 # ---- activity -------------------------------------------------------------
@@ -217,6 +230,7 @@ QUERIES = {
     "join_as_pair": join_as_pair,
     "require_present": require_present,
     "check_contract": check_contract,
+    "write_checked": write_checked,
     "daily_activity": daily_activity,
     "cumulate_dates": cumulate_dates,
     "device_activity_datelist": device_activity_datelist,
@@ -335,3 +349,4 @@ ORACLES = {
         select r.device_id, any_value(d.device_type) as device_type, page, string_agg(user_id, ',' order by user_id) as users
         from r join devices d on d.device_id = r.device_id group by 1, 3""",
 }
+ORACLES["write_checked"] = ORACLES["check_contract"]

@@ -72,6 +72,20 @@ def read_event_stream(spark, sf):
     return rows
 
 
+def read_from_both_starts(spark, sf):
+    """One topic read from its beginning and from its latest position, started when the first hosts' messages were there, over a restart."""
+    root = shared_dir(spark, "starts")
+    hosts = [F.col("host") == host for host in i.HOSTS]
+    messages = _messages(spark, sf)
+    for n, part in enumerate(hosts):
+        ev.to_kafka_json(messages.where(part), ["event_id"]).select("value").write.mode("append").text(f"{root}/topic")
+        for start in ("earliest", "latest"):
+            stream = ev.read_event_stream(spark, "text", {}, path=f"{root}/topic", start=start, marks=f"{root}/marks")
+            _drain(stream.select("ip", "host", "url"), f"{root}/checkpoint-{start}", [out.parquet_sink(f"{root}/{start}")])
+    both = [out.read_sink(spark, f"{root}/{start}", "ip string, host string, url string, batch_id int").withColumn("start", F.lit(start)) for start in ("earliest", "latest")]
+    return both[0].unionByName(both[1])
+
+
 def with_event_time(spark, sf):
     """Event time parsed from text on the stream."""
     stream = ev.with_event_time(_message_stream(spark, sf))
@@ -133,12 +147,15 @@ def geo_enrich_batch(spark, sf):
 
 
 def land_events(spark, sf):
-    """The landing job: decoded messages, event time, place of the address."""
-    segments = shared_dir(spark, "geo-segments")
-    geo_segments(i.geo_ranges(spark, sf), i.GEO_PREFIX_BITS).write.parquet(segments)
-    stream = ev.land_events(ev.with_event_time(_message_stream(spark, sf)), spark.read.parquet(segments), i.GEO_PREFIX_BITS)
-    (rows,) = _run(stream, "processed-events")
-    return _plain(rows, "event_timestamp")
+    """The landing job: decoded messages, event time, place of the address; the files of a batch are divided by event date."""
+    root = shared_dir(spark, "processed-events")
+    geo_segments(i.geo_ranges(spark, sf), i.GEO_PREFIX_BITS).write.parquet(f"{root}/segments")
+    stream = ev.land_events(ev.with_event_time(_message_stream(spark, sf)), spark.read.parquet(f"{root}/segments"), i.GEO_PREFIX_BITS)
+    dated = out.parquet_sink(f"{root}/out", lambda rows: rows.withColumn("event_date", F.to_date("event_timestamp")), "event_date")
+    _drain(stream, f"{root}/checkpoint", [dated])
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields)
+    landed = out.read_sink(spark, f"{root}/out", f"{kind}, event_date date, batch_id int")
+    return _plain(landed.drop("event_date"), "event_timestamp")
 
 
 # Arrival: days up to ON_TIME_1, the rest, then error events of the first days, long after their windows closed.
@@ -204,6 +221,7 @@ def append_once(spark, sf):
 QUERIES = {
     "to_kafka_json": to_kafka_json,
     "read_event_stream": read_event_stream,
+    "read_from_both_starts": read_from_both_starts,
     "with_event_time": with_event_time,
     "write_stream_table": write_stream_table,
     "tumbling_counts": tumbling_counts,
@@ -244,6 +262,8 @@ ORACLES = {
     "to_kafka_json": f"""with {_MESSAGES} select host || '|' || event_id as key,
         cast(json_object('event_id', event_id, 'ip', ip, 'event_time', event_time, 'referrer', referrer, 'host', host, 'url', url) as varchar) as value from msg""",
     "read_event_stream": f"with {_MESSAGES} select ip, event_time, referrer, host, url from msg",
+    "read_from_both_starts": f"""with {_MESSAGES} select ip, host, url, start from msg, (values ('earliest'), ('latest')) as s(start)
+        where start = 'earliest' or host <> '{i.HOSTS[0]}'""",
     "with_event_time": f"with {_MESSAGES} select ip, event_timestamp, host, url from msg",
     "write_stream_table": f"""with {i.WEB} select 'purchases' as sink, host, count(*) as n from web where url = '/purchase' group by host
         union all select 'hits', host, count(*) from web group by host""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +10,8 @@ from pyspark.sql.types import StructType
 
 from strata.functions.columns import names
 from strata.operators.geo import geo_enrich
+from strata.operators.guards import maybe_broadcast
+from strata.sources import files
 
 # The fields of the event messages, the text format of their
 # event time and the watermark delay.
@@ -31,15 +33,42 @@ def decode_json(df: DataFrame, schema: StructType | str = EVENT_SCHEMA, value: s
 
 
 def read_event_stream(
-    spark: SparkSession, fmt: str, options: Mapping[str, str], schema: StructType | str = EVENT_SCHEMA, path: str | None = None
+    spark: SparkSession, fmt: str, options: Mapping[str, str], schema: StructType | str = EVENT_SCHEMA, path: str | None = None,
+    start: str | None = None, marks: str | None = None,
 ) -> DataFrame:
-    """An event stream from Kafka (JSON values, latest offsets unless told otherwise) or from files."""
+    """An event stream from Kafka (JSON values) or from files, from its beginning or from what comes after its start.
+
+    ``start`` is "latest" (the default of Kafka) or "earliest" (that of files). Kafka keeps its position in the checkpoint. For files
+    "latest" needs ``marks``, a folder of its own next to the checkpoint: the names of the files that exist when the stream is first
+    made are stored there, and a restart reads the same list, so that files which came in between are not lost.
+    """
+    if start not in (None, "earliest", "latest"):
+        raise ValueError("a stream starts at the earliest or the latest event")
     if fmt == "kafka":
-        raw = spark.readStream.format("kafka").option("startingOffsets", "latest").options(**options).load()
+        raw = spark.readStream.format("kafka").option("startingOffsets", start or "latest").options(**options).load()
         return decode_json(raw, schema)
-    if fmt == "text":
-        return decode_json(spark.readStream.format("text").options(**options).load(path), schema)
-    return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
+    reader = lambda of: of.format(fmt).options(**options) if fmt == "text" else of.format(fmt).schema(schema).options(**options)
+    raw = reader(spark.readStream).load(path)
+    if start == "latest":
+        raw = _after(raw, _marked(spark, lambda: reader(spark.read).load(path), marks))
+    return decode_json(raw, schema) if fmt == "text" else raw
+
+
+_FILE = "_metadata.file_path"
+
+
+def _marked(spark: SparkSession, there: Callable[[], DataFrame], marks: str | None) -> DataFrame:
+    """Names of the files that were there when the stream was first made; stored by the first call, in one commit."""
+    if marks is None:
+        raise ValueError("the latest position of a file stream needs a place for its marks")
+    if not files.exists(spark, f"{marks}/_SUCCESS"):
+        there().select(F.col(_FILE).alias("_old")).distinct().write.mode("overwrite").parquet(marks)
+    return spark.read.schema("_old string").parquet(marks)
+
+
+def _after(raw: DataFrame, old: DataFrame) -> DataFrame:
+    """The rows of files that are not marked."""
+    return raw.select("*", F.col(_FILE).alias("_file")).join(maybe_broadcast(old), F.col("_file") == F.col("_old"), "left_anti").drop("_file")
 
 
 def with_event_time(

@@ -51,24 +51,35 @@ def test_rolling_trends_frames(spark):
     assert trends(spark, counts, min_total=20) == {}
 
 
-def funnel_by_self_join(ev):
-    """The quadratic form of the funnel, as a check on small data."""
-    e = ev.where("u is not null").select("u", "t", "s").distinct().withColumn("day", F.to_date("t"))
-    a, b = e.alias("a"), e.alias("b")
-    conv = a.join(b, (F.col("a.u") == F.col("b.u")) & (F.col("a.day") == F.col("b.day")) & (F.col("b.t") > F.col("a.t"))).groupBy(
-        "a.u", "a.t", "a.s").agg(F.count_distinct(F.when(F.col("b.s") == "buy", F.col("b.s"))).alias("c"))
-    return conv.groupBy("s").agg(F.count(F.lit(1)), F.sum("c")).where("sum(c) > 0")
+def funnel_by_loop(data):
+    """Per step [events that something follows on their day, those that a purchase follows], user by user and day by day."""
+    days = {}
+    for user, t, step in set(data):
+        if user is not None:
+            days.setdefault((user, moment(t).date()), []).append((t, step))
+    counts = {}
+    for visits in days.values():
+        end = max(t for t, _ in visits)
+        purchase = max((t for t, step in visits if step == "buy"), default=-1)
+        for t, step in visits:
+            if t < end:
+                seen = counts.setdefault(step, [0, 0])
+                seen[0] += 1
+                seen[1] += t < purchase
+    return sorted((step, n, bought) for step, (n, bought) in counts.items() if bought)
+
+
+def moment(t):
+    return dt.datetime(2024, 1, 1, 20) + dt.timedelta(minutes=15 * t)
 
 
 @settings(max_examples=3, derandomize=True, phases=[Phase.explicit, Phase.generate], deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from([1, 2, None]), st.integers(0, 40), st.sampled_from(["view", "cart", "buy"])), min_size=1, max_size=40))
-def test_funnel_equals_self_join(spark, data):
-    ev = spark.createDataFrame([(u, dt.datetime(2024, 1, 1, 20) + dt.timedelta(minutes=15 * t), s) for u, t, s in data],
-                               "u int, t timestamp_ntz, s string")
-    want = rows(funnel_by_self_join(ev))
+def test_funnel_equals_a_loop(spark, data):
+    ev = spark.createDataFrame([(u, moment(t), s) for u, t, s in data], "u int, t timestamp_ntz, s string")
     for most in (1_000_000, 3):
         out = patterns.funnel_conversion(ev, "u", "t", "s", "buy", most=most)
-        assert rows(out.select("s", "events", "converted")) == want
+        assert rows(out.select("s", "events", "converted")) == funnel_by_loop(data)
 
 
 def test_funnel_last_event_of_the_day(spark):
@@ -144,9 +155,28 @@ def test_cooccurrence_split_is_exact(spark):
             k = (a, f"n{a}", b, f"n{b}", "shares_team" if ta == tb else "plays_against")
             n, x, y = want.get(k, (0, 0, 0))
             want[k] = (n + 1, x + pa, y + pb)
-    for most in (2_000, 7):
-        got = graph.cooccurrence_edges(df, "e", "n", "name", "team", "pts", ["seq"], most=most)
-        assert rows(got) == sorted((k + v for k, v in want.items()), key=repr)
+    labels = df.select("n", "name").distinct()
+    for most, order in ((2_000, ["seq"]), (7, ["seq"]), (7, [F.col("seq")])):
+        for known in (None, labels):
+            got = graph.cooccurrence_edges(df, "e", "n", "name", "team", "pts", order, most=most, labels=known)
+            assert rows(got) == sorted((k + v for k, v in want.items()), key=repr)
+
+
+def test_cooccurrence_takes_first_rows_and_different_names(spark):
+    """A node counts with its first row of an event, nulls are no nodes or events, and namesakes make no pair."""
+    data = [(1, 1, "a", "t", 5, 2), (1, 1, "a", "u", 7, 1), (1, 2, "b", "u", 1, 1), (1, 3, "b", "t", 2, 1), (1, None, "c", "t", 9, 1), (None, 1, "a", "t", 9, 1), (None, 2, "b", "t", 9, 1)]
+    df = spark.createDataFrame(data, "e int, n int, name string, team string, pts int, seq int")
+    want = [(2, "b", 1, "a", "shares_team", 1, 1, 7), (3, "b", 1, "a", "plays_against", 1, 2, 7)]
+    for known in (None, df.where("n is not null").select("n", "name").distinct()):
+        for most in (100, 1):
+            assert rows(graph.cooccurrence_edges(df, "e", "n", "name", "team", "pts", ["seq"], most=most, labels=known)) == want
+
+
+def test_trends_above_a_limit_from_a_table(spark):
+    counts = [(d, 1) for d in range(20)]
+    for limit, n in ((19, 20), (20, 0)):
+        table = spark.createDataFrame([(limit,)], "v int")
+        assert len(trends(spark, counts, min_total=table)) == len(trends(spark, counts, min_total=limit)) == n
 
 
 def test_totals_by_blocks_take_any_keys(spark):

@@ -1,10 +1,13 @@
 import datetime as dt
+import json
 import random
+import uuid
 
 import pytest
 from conftest import rows
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from strata.session import session_conf
 from strata.streaming import events as ev
@@ -199,3 +202,59 @@ def test_a_half_written_batch_is_undone(spark, tmp_path):
     append(spark.range(4).coalesce(1), 1)
     append(spark.range(5).repartition(3), 1)
     assert spark.read.parquet(str(table)).count() == 8
+
+
+def test_latest_start_skips_what_was_there(spark, tmp_path):
+    """A stream from the latest position takes files that come after it was first made, over restarts; the earliest takes all."""
+    inbox, marks = str(tmp_path / "in"), str(tmp_path / "marks")
+    got = {}
+    for n, host in enumerate("abc"):
+        batch(spark, [(host, n)]).write.mode("append").parquet(inbox)
+        for start in ("earliest", "latest"):
+            stream = ev.read_event_stream(spark, "parquet", {}, SCHEMA, inbox, start=start, marks=marks)
+            assert stream.columns == ["host", "ts"]
+            drain(stream, tmp_path / f"c-{start}", tmp_path / start)
+            got[start] = rows(sinks.read_sink(spark, str(tmp_path / start), f"{SCHEMA}, batch_id int").select("host"))
+        assert got == {"earliest": [(h,) for h in "abc"[:n + 1]], "latest": [(h,) for h in "bc"[:n]]}
+    with pytest.raises(ValueError, match="marks"):
+        ev.read_event_stream(spark, "parquet", {}, SCHEMA, inbox, start="latest")
+    with pytest.raises(ValueError, match="earliest or the latest"):
+        ev.read_event_stream(spark, "parquet", {}, SCHEMA, inbox, start="yesterday")
+
+
+def stub_topic():
+    """A data source that takes messages as a broker would: needs a topic, keys and values as text; keeps what each task sent."""
+    class Writer(DataSourceWriter):
+        def __init__(self, options):
+            self.path, self.topic = options["path"], options["topic"]
+
+        def write(self, iterator):
+            sent = [(self.topic, r["key"], r["value"]) for r in iterator]
+            with open(f"{self.path}/{uuid.uuid4().hex}.json", "w") as f:
+                json.dump(sent, f)
+            return WriterCommitMessage()
+
+    class Topic(DataSource):
+        @classmethod
+        def name(cls):
+            return "stub_topic"
+
+        def writer(self, schema, overwrite):
+            assert schema.fieldNames() == ["key", "value"] and not overwrite
+            return Writer(self.options)
+
+    return Topic
+
+
+def test_messages_are_published(spark, tmp_path):
+    """JSON messages of a stream go through the format sink to a topic, once although the stream is started twice."""
+    (tmp_path / "topic").mkdir()
+    spark.dataSource.register(stub_topic())
+    batch(spark, [("a", 0), ("b", 1), ("b", 2)]).write.parquet(str(tmp_path / "in"))
+    publish = sinks.format_sink("stub_topic", {"path": str(tmp_path / "topic"), "topic": "events"})
+    once = sinks.once(lambda rows_, batch_id: publish(ev.to_kafka_json(rows_, ["host"]), batch_id), str(tmp_path / "ledger"), "events")
+    for n in range(2):
+        # a new checkpoint replays the first batch
+        sinks.write_stream_table(source(spark, tmp_path / "in").select("host"), [once], str(tmp_path / f"c{n}"), available_now=True).awaitTermination()
+    sent = sorted(tuple(m) for f in (tmp_path / "topic").glob("*.json") for m in json.loads(f.read_text()))
+    assert sent == [("events", "a", '{"host":"a"}'), ("events", "b", '{"host":"b"}'), ("events", "b", '{"host":"b"}')]
