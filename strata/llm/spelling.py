@@ -139,29 +139,37 @@ def frontier_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def _left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of a long word: its own hash (place -1), and that of the word without each code point (of a run of equal ones, the last)."""
+    """Keys of a long word: its own hash (place -1), and that of the word without each code point.
+
+    ``last`` marks the last place of a run of equal letters, and the word itself: leaving out another letter of the run gives the same word.
+    """
     for batch in batches:
         for word in batch.column("word").to_pylist():
             raw = word.encode("utf-32-le")
             head = hashlib.blake2b(digest_size=16)
-            rows = [(hashlib.blake2b(raw, digest_size=16).digest(), -1)]
+            rows = [(hashlib.blake2b(raw, digest_size=16).digest(), -1, True)]
             for i in range(len(word)):
-                if i + 1 == len(word) or word[i] != word[i + 1]:
-                    rest = head.copy()
-                    rest.update(raw[4 * i + 4:])
-                    rows.append((rest.digest(), i))
+                rest = head.copy()
+                rest.update(raw[4 * i + 4:])
+                rows.append((rest.digest(), i, word[i:i + 1] != word[i + 1:i + 2]))
                 head.update(raw[4 * i:4 * i + 4])
-            keys, places = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(places, pa.int32()), pa.array([word] * len(rows))], ["key", "place", "word"])
+            keys, places, last = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), pa.array(places, pa.int32()), pa.array(last), pa.array([word] * len(rows))], ["key", "place", "last", "word"])
 
 
 def long_pairs(words: DataFrame) -> DataFrame:
-    """Pairs (a, b) of words one edit apart among long words, by equal keys; as many rows as code points."""
-    keys = stored(words.mapInArrow(_left_out, "key binary, place int, word string"), "long-keys")
-    other = keys.select("key", F.col("place").alias("other"), F.col("word").alias("b"))
-    pairs = keys.withColumnRenamed("word", "a").join(other, "key").where(
-        ((F.col("place") == F.col("other")) & (F.col("place") >= 0) & (F.col("a") < F.col("b"))) | ((F.col("place") == -1) & (F.col("other") >= 0)))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().where(F.levenshtein("a", "b", 1) == 1)
+    """Pairs (a, b) of words one edit apart among long words, by equal keys; as many rows as code points.
+
+    Words that differ in one place are equal without it; a word is equal to a longer one without one of its letters.
+    A key meets no more words than the alphabet has letters.
+    """
+    keys = stored(words.mapInArrow(_left_out, "key binary, place int, last boolean, word string"), "long-keys")
+    a, b = (keys.select("key", "place", "last", F.col("word").alias(name)) for name in ("a", "b"))
+    replaced = a.where("place >= 0").drop("last").join(b.drop("last"), ["key", "place"]).where("a < b")
+    longer = a.where("place = -1").select("key", "a").join(b.where("place >= 0 and last").select("key", "b"), "key")
+    pairs = replaced.select("a", "b").unionByName(longer.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    return pairs.distinct().where(F.levenshtein("a", "b", 1) == 1)
 
 
 def near_words(words: DataFrame, long: int = LONG) -> DataFrame:

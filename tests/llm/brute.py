@@ -22,9 +22,9 @@ def shingles(text, width=5):
     return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)}
 
 
-def components(rows, percent=80):
+def components(rows, percent=80, width=5):
     """{id: (set size, smallest id reachable)} for rows (id, text) with different ids."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, width) for i, t in rows}
     holders = {}
     for i, s in sets.items():
         for x in s:
@@ -131,3 +131,75 @@ def mixed(rows, weights=(3, 1, 2), share=1.5, most=2, seed="mix"):
         used += n
         out[k] += 1
     return out
+
+
+def near(word, other):
+    """Whether one inserted, deleted or replaced code point turns one word into the other."""
+    if abs(len(word) - len(other)) > 1 or word == other:
+        return False
+    if len(word) == len(other):
+        return sum(a != b for a, b in zip(word, other)) == 1
+    short, long = sorted((word, other), key=len)
+    return any(long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+
+def variants(rows, divisor=0, least_length=6, least_count=5, ratio=5):
+    """{word: (form, root, n, n_near, form_n)} for rows (id, text), comparing every word with every other."""
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = run.translate(ASCII)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if divisor and h % divisor == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words_ = {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}
+    forms, out = {}, {}
+    for w, n in words_.items():
+        others = [o for o in words_ if near(w, o)]
+        best = min(others, key=lambda o: (-words_[o], o), default=None)
+        forms[w] = (best if best is not None and words_[best] >= ratio * n else None, len(others))
+    for w, n in words_.items():
+        root = w
+        while forms[root][0] is not None:
+            root = forms[root][0]
+        form = forms[w][0]
+        out[w] = (form, root, n, forms[w][1], words_.get(form))
+    return out
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([digest(*out[-1][i:i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def manifest(rows, claim):
+    """Sorted (id, leaf, subroot, root, digest of siblings, folded root) for rows (id, source, lang, n_chars, text); ``claim`` changes a row."""
+    def leaf(r):
+        return digest(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in r])
+
+    langs = {}
+    for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, leaf(r))):
+        langs.setdefault(r[2], []).append(r)
+    order = sorted(langs, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {x: _levels([leaf(r) for r in langs[x]]) for x in order}
+    top = _levels([trees[x][-1][0] for x in order])
+    out = []
+    for a, x in enumerate(order):
+        for i, r in enumerate(langs[x]):
+            siblings, folded = [], leaf(claim(r))
+            for tree, at in ((trees[x], i), (top, a)):
+                for level in tree[:-1]:
+                    pair = level[at - at % 2:at - at % 2 + 2]
+                    siblings += [d for k, d in enumerate(pair) if k != at % 2]
+                    pair[at % 2] = folded
+                    folded = digest(*pair)
+                    at //= 2
+            out.append((r[0], leaf(r), trees[x][-1][0], top[-1][0], digest(*siblings), folded))
+    return sorted(out, key=repr)

@@ -1,5 +1,6 @@
 """The document operators against SQL and plain Python versions over the smallest tables."""
 
+import hashlib
 import zlib
 
 import duckdb
@@ -78,8 +79,14 @@ def test_token_counts(spark, sf, docs, library):
 
 
 def test_repeats(spark, sf, docs):
-    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op5_suffix_dedup(spark, sf).collect()}
+    found = queries.op5_suffix_dedup(spark, sf).collect()
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found}
     assert got == dict(zip([d for d, *_ in docs], brute.remaining([t for _, t, _, _ in docs], 400)))
+    # the spans are what is missing from the rest
+    texts = {d: (t or "").encode() for d, t, _, _ in docs}
+    for r in found:
+        raw, edges = texts[r["doc_id"]], [0, *(e for span in r["removed"] for e in span), r["n_bytes"]]
+        assert hashlib.sha256(b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2]))).hexdigest() == r["kept_sha256"]
 
 
 def test_quality_is_learned(spark, sf, duck):
