@@ -46,9 +46,10 @@ def dedupe_batch(docs: DataFrame, index: str, id_col: str = "doc_id", text_col:
 
     The batch is aggregated by digest before any join, so a group of copies, however
     large, is one row per task. Only digests are shuffled, never texts. New groups are
-    found by a sort-merge anti-join: the index side is read in bucket order. The last
-    join has many rows per digest on one side and one on the other, which adaptive
-    execution splits.
+    found by a sort-merge anti-join: the index side is read in bucket order. Groups meet the
+    index once more for what it says of them, one row each; the verdicts are stored, and the rows are joined to these
+    and not to the index, whose buckets would hold all rows of a digest in one task: two plain
+    tables are shuffled, and adaptive execution splits the rows of a large group.
     """
     spark = docs.sparkSession
     open_index(spark, index, buckets)
@@ -66,8 +67,10 @@ def dedupe_batch(docs: DataFrame, index: str, id_col: str = "doc_id", text_col:
         F.lit(batch).alias("batch"))
     # appended under the batch's name: a repeated task replaces its files, and a failed job commits none
     new.write.format("parquet").bucketBy(_buckets(spark, index), "digest").sortBy("digest").mode("append").saveAsTable(index)
-    kept = (F.col("batch") == batch) & (F.col("row") == F.col("keep_row"))
-    return rows.join(spark.table(index).hint("merge"), "digest").select("doc_id", "digest", "keep_id", "group_size", kept.alias("kept"))
+    verdicts = stored(groups.select("digest").join(spark.table(index).hint("merge"), "digest").select(
+        "digest", "keep_id", "group_size", F.when(F.col("batch") == batch, F.col("keep_row")).alias("keep_row")), "digest-verdicts")
+    kept = F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False))
+    return rows.join(verdicts.hint("merge"), "digest").select("doc_id", "digest", "keep_id", "group_size", kept.alias("kept"))
 
 
 def drop_copies(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
