@@ -175,7 +175,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, id_c
     Rows are reduced to digests first, which meet the cache in an anti-join. Texts are merged
     by digest within each task before they are shuffled, so a large group of copies is one
     row per task; the missing ones are encoded, their counts are
-    appended, and all rows read their count from the cache.
+    appended, and all rows read their count from the cache. The counts of this table's digests are stored before that
+    last join, one row each, so that adaptive execution can split the rows of a hot digest.
     """
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer)
@@ -191,4 +192,5 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, id_c
     counted = texts.mapInArrow(_counter(tokenizer), "content binary, n_tokens bigint")
     counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(path)
     counts = spark.read.schema(CACHE).parquet(path).where(F.col("tokenizer") == version).dropDuplicates(["content"])
-    return rows.join(counts.select("content", "n_tokens"), "content").select("doc_id", "n_bytes", "n_tokens")
+    counts = stored(counts.select("content", "n_tokens"), "content-counts")
+    return rows.join(counts.hint("merge"), "content").select("doc_id", "n_bytes", "n_tokens")
