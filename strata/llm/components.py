@@ -36,13 +36,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Every node's larger neighbours point to the smallest of its neighbourhood, itself included."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    larger = both.where("v > u").join(least, "u")
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    larger = both.where("v > u").join(least.hint("merge"), "u")
     return larger.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours point to the smallest of these."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    smaller = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = stored(links.groupBy("u").agg(F.min("v").alias("m")), "least")
+    smaller = links.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return smaller.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()

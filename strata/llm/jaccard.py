@@ -330,17 +330,19 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
 
     full = sizes.where("n > 0 and doc_id is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("class"), F.max("n").alias("n"))
+    # one row of each class speaks for it; a row that shares its id and digest with another is as good
+    heads = stored(full.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "class-heads")
     prefixes = stored(
-        texts.where("doc_id is not null").mapInArrow(
+        texts.join(maybe_broadcast(heads), "doc_id", "left_semi").mapInArrow(
             _prefixes(width, percent, spark.sparkContext.broadcast(late), miss), "token bigint, doc_id bigint"), "prefixes")
-    shared = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token")
+    shared = stored(prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token"), "shared-shingles")
     # a repeated id has the bands of all its texts, and each of its shingles once
     reps = classes.groupBy(F.col("class").alias("doc_id")).agg(F.sort_array(F.collect_set(band_of(F.col("n"), percent))).alias("bands"))
-    rows = prefixes.join(shared, "token", "left_semi").join(reps, "doc_id").select("token", "doc_id", "bands").distinct()
+    rows = prefixes.join(shared.hint("merge"), "token", "left_semi").join(reps, "doc_id").select("token", "doc_id", "bands").distinct()
     rows = stored(rows, "shared-prefixes")
     # only shingles of two classes or more can link
     more = rows.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("token")
-    rows = stored(rows.join(more, "token", "left_semi"), "candidate-prefixes")
+    rows = stored(rows.join(stored(more, "candidate-shingles").hint("merge"), "token", "left_semi"), "candidate-prefixes")
     wanted = maybe_broadcast(rows.select("doc_id").distinct())
     maps = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(width, percent, "map"), MAPS), "candidate-maps")
 
@@ -359,8 +361,10 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
 
     # the class of a row, then the component of the class; rows without words are alone
     by_class = classes.join(parts, classes["class"] == parts["node"], "left").select("digest", F.coalesce("comp", "class").alias("found"))
+    # stored, so that adaptive execution can split the rows of a large class
+    by_class = stored(by_class, "class-components")
     row_class = sizes.withColumn("key", F.when(F.col("n") > 0, F.col("digest")))
-    found = row_class.join(by_class.withColumnRenamed("digest", "key"), "key", "left")
+    found = row_class.join(by_class.withColumnRenamed("digest", "key").hint("merge"), "key", "left")
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
