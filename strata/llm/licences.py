@@ -14,7 +14,10 @@ from strata.llm.common import count_words, let, stored
 
 
 class Template(NamedTuple):
-    """A text of a licence; what is similar must also hold all terms of ``must`` (a name, a version) to count."""
+    """A text of a licence; what is similar must also hold all terms of ``must`` (a name, a version) to count.
+
+    Without such terms similarity alone decides, and every text that could be similar has to be compared.
+    """
 
     licence: str
     text: str
@@ -32,6 +35,10 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+# What a text like a notice must hold.
+NOTICE_MUST = {
+    "Apache-2.0": ("apache",), "BSD-3-Clause": ("redistribution",), "CC-BY-4.0": ("creative",), "CC-BY-NC-4.0": ("by-nc",), "CC0-1.0": ("waived",),
+    "GPL-3.0": ("gnu",), "MIT": ("mit",), "MPL-2.0": ("mozilla",)}
 _GPL = ("This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU {1} Public License as published by "
         "the Free Software Foundation{2} either version {3} of the License, or (at your option) any later version.")
 _GPL_REST = (" This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
@@ -89,7 +96,8 @@ def all_templates(notices: dict[str, str] = TEMPLATES) -> list[Template]:
     """The notices, headers and full texts."""
     folder = Path(__file__).parent / "licence_texts"
     full = [Template(name, (folder / f"{name}.txt").read_text(), must) for name, must in FULL_TEXTS.items()]
-    return [*(Template(name, text) for name, text in notices.items()), *HEADERS, *full]
+    must = lambda name, text: NOTICE_MUST.get(name, ()) if TEMPLATES.get(name) == text else ()
+    return [*(Template(name, text, must(name, text)) for name, text in notices.items()), *HEADERS, *full]
 
 
 # Names of files that hold the licence of their directory.
@@ -115,7 +123,7 @@ def term_weights(docs: DataFrame, templates: list[Template], text_col: str = "te
 
     The templates bound the number of terms; only their counts come to the driver.
     """
-    vocabulary = sorted({t for x in templates for t in split_terms(x.text)})
+    vocabulary = sorted({t for x in templates for t in (*split_terms(x.text), *x.must)})
     found = F.array_intersect(_terms(F.coalesce(F.col(text_col), F.lit(""))), F.array(*map(F.lit, vocabulary)))
     counts = docs.select(F.explode(F.array_append(found, F.lit(""))).alias("term")).groupBy("term").count().collect()
     documents = {r["term"]: r["count"] for r in counts}
@@ -135,14 +143,17 @@ def template_vectors(templates: list[Template], weight: dict[str, float]) -> lis
     return vectors
 
 
-def key_terms(vectors: list[dict[str, float]], documents: dict[str, int], least: float) -> list[str]:
-    """Terms of which a text must hold one to have a cosine of ``least`` with a template, however common they are.
+def key_terms(templates: list[Template], vectors: list[dict[str, float]], documents: dict[str, int], least: float) -> list[str]:
+    """Terms of which a text must hold one to count as similar to a template, however common they are.
 
-    The cosine is at most the length of the part of a template's vector whose terms the text holds. So terms are
-    taken, rare ones first, until the rest of every template's vector is shorter than ``least``.
+    A template with ``must`` terms needs the rarest of them. For one without, the cosine is at most the length of the
+    part of its vector whose terms the text holds, so terms are taken, rare ones first, until the rest of the vector is shorter than ``least``.
     """
     keys = set()
-    for vector in vectors:
+    for template, vector in zip(templates, vectors):
+        if template.must:
+            keys.add(min(template.must, key=lambda t: (documents[t], t)))
+            continue
         rest = 1.0
         for t in sorted(vector, key=lambda t: (documents[t], -vector[t], t)):
             if rest < least * least - 1e-6:
@@ -223,13 +234,13 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str =
 
     Null and empty texts have no notice but inherit; a null path has neither directory nor ancestors. Rows are
     judged one by one, repeated or not; other columns are ignored. Only directories are joined along the tree, a
-    row each, so a directory with very many files costs no more there; the files' join with their directory has
-    one row on the other side and is split by adaptive execution.
+    row each, so a directory with very many files costs no more there; the files join a stored table of one
+    row a directory, in which adaptive execution splits those of a large one.
     """
     known = all_templates(templates)
     weight, unseen, documents = term_weights(files, known, text_col)
     vectors = template_vectors(known, weight)
-    keys = F.array(*map(F.lit, key_terms(vectors, documents, least)))
+    keys = F.array(*map(F.lit, key_terms(known, vectors, documents, least)))
     text, path = F.coalesce(F.col(text_col), F.lit("")), F.col(path_col)
     # the number of a row, as stored, holds its units together
     rows = stored(
@@ -264,7 +275,8 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str =
     tree = rows.where("dir is not null").select("dir").distinct().select("dir", F.explode(above).alias("a")).select("dir", "a.depth", "a.up")
     tree = tree.distinct().join(given.withColumnRenamed("dir", "up"), "up")
     nearest = tree.groupBy("dir").agg(F.max(F.struct("depth", "licence", "up")).alias("near")).select("dir", "near.licence", "near.up")
-    joined = rows.join(nearest, "dir", "left")
+    # stored, so that adaptive execution can split the files of a large directory
+    joined = rows.join(stored(nearest, "licence-directories").hint("merge"), "dir", "left")
     origin = F.when(F.col("own").isNotNull(), "notice").when(F.col("licence").isNotNull(), "directory").otherwise("none")
     return joined.select(
         "doc_id", "path", "dir", F.coalesce("own", "licence").alias("licence"), "similarity", origin.alias("origin"),
