@@ -8,7 +8,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,9 +118,9 @@ def slot_tables(patterns: list[tuple[tuple[int, ...], int]], first_sequence: int
 
 
 def _placer(slots: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], size: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            length, rank = f["length"].to_numpy(), f["rank"].to_numpy()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             sequence, offset = rank.copy(), np.zeros_like(rank)  # full pieces are sequences of their own, numbered by rank
             for n in np.unique(length[length < size]):
                 of = length == n
@@ -129,7 +128,8 @@ def _placer(slots: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], size: i
                 k = np.searchsorted(first, rank[of], side="right") - 1
                 sequence[of] = base[k] + rank[of] - first[k]
                 offset[of] = at[k]
-            yield f.assign(sequence_id=sequence, offset=offset).drop(columns=["rank"])
+            rest = batch.select([c for c in batch.schema.names if c != "rank"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(sequence), pa.array(offset)], [*rest.schema.names, "sequence_id", "offset"])
 
     return run
 
@@ -160,5 +160,5 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = END_ID
     inside = Window.partitionBy("length", "block").orderBy("doc_id", "start", "ids_crc32")
     ranked = pieces.withColumn("rank", F.row_number().over(inside) - 1).join(starts, ["length", "block"]).withColumn(
         "rank", F.col("rank") + F.col("before"))
-    return ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank").mapInPandas(
+    return ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank").mapInArrow(
         _placer(slots, size), PIECE + ", sequence_id bigint, offset bigint")

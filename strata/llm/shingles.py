@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts hashed in one go hold about this many bytes together; a longer text is hashed alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 256_000
 # Multipliers of the hashes (odd, otherwise arbitrary).
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACES = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], dtype=np.uint64)
