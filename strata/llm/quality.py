@@ -151,16 +151,23 @@ def cascade(rules: list[Rule], stat: Callable[[str], Column]) -> Column:
     return found
 
 
-def assess(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, every statistic, ``kept`` and ``failed`` (the rule that rejected the row) for each row.
+# Statistics that ``assess`` returns for every row by default; the others are computed where the cascade asks for them.
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-    Which rule is named depends on the order that the sample gives; ``kept`` does not.
+
+def assess(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text", reported: tuple[str, ...] = REPORTED) -> DataFrame:
+    """doc_id, the ``reported`` statistics, ``kept`` and ``failed`` (the rule that rejected the row) for each row.
+
+    Reported statistics are computed once for every row, as they are part of the result. All others are computed inside the
+    cascade, for the rows that no earlier rule rejects. Which rule is named depends on the order that the sample gives; ``kept`` does not.
     Null and empty texts have no word and fail the word count. Rows are judged one by one
     over the whole text; repeated rows and other columns make no difference.
     """
     order = [rule for rule, _, _ in rank_rules(docs, rules, text_col)]
-    stats = docs.select(F.col(id_col).alias("doc_id"), *[f(F.col(text_col)).alias(name) for name, f in STATS.items()])
-    return stats.withColumn("failed", cascade(order, F.col)).withColumn("kept", F.col("failed").isNull())
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[STATS[name](F.col(text_col)).alias(name) for name in reported])
+    of_text = from_text(F.col("text"))
+    failed = cascade(order, lambda name: F.col(name) if name in reported else of_text(name))
+    return rows.withColumn("failed", failed).withColumn("kept", F.col("failed").isNull()).drop("text")
 
 
 def keep_good(docs: DataFrame, rules: list[Rule] = RULES, text_col: str = "text") -> DataFrame:

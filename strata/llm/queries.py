@@ -22,7 +22,7 @@ def op1_quality_rules(spark, sf):
     base = [rule.test(F.col) for rule in quality.BASE_RULES]
     return rated.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (base[0] | base[1]).alias("base_failed"), "kept", "n_lines", "n_marks", "n_stutters")
+        (base[0] | base[1]).alias("base_failed"), "kept")
 
 
 ORACLES["op1_quality_rules"] = r"""
@@ -40,7 +40,7 @@ s as (
          cast(len(l) as bigint) as n_lines, cast(length(regexp_replace(text, '[^!?]', '', 'g')) as bigint) as n_marks,
          cast(len(list_filter(list_zip(w[2:], w[:-2]), lambda x: x[1] = x[2])) as bigint) as n_stutters
   from d left join rep on rep.doc_id = d.doc_id)
-select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
        not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or 100 * n_symbols > 20 * n_words or 100 * n_stutters > 20 * n_words
             or n_dup_lines > 3 and 100 * n_dup_lines > 30 * n_lines or 100 * n_marks > 50 * n_words or word_chars > 15 * n_words or word_chars < 2 * n_words) as kept
 from s"""
@@ -143,7 +143,7 @@ def op10_ngram_jaccard(spark, sf):
 
 @query
 def op5_suffix_dedup(spark, sf):
-    return suffix.remove_repeats(table(spark, sf, "documents")).drop("removed", "kept_bytes")
+    return suffix.remove_repeats(table(spark, sf, "documents")).drop("kept_bytes")
 
 
 def as_files(docs):

@@ -385,15 +385,16 @@ def remove_repeats(docs: DataFrame, need: int = 400, gram: int = GRAM, id_col: s
     keyed = texts.select("doc_id", "text", *_keys(F.col("text")))
     long = keyed.where(F.octet_length("text") >= need)
     found = stored(long.select("k1", "k2", "text").mapInArrow(_anchor_rows(need, gram), ANCHOR), "anchors")
-    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h")
-    again = stored(found.join(again, "h", "left_semi"), "repeated-anchors")
+    # the aggregated side of a join is stored first, so that adaptive execution can split the rows of a hot key on the other
+    twice = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h"), "repeated-hashes")
+    again = stored(found.join(twice.hint("merge"), "h", "left_semi"), "repeated-anchors")
 
     first = F.min(F.struct("k1", "k2", "pos", "lo", "hi")).alias("at")
     contexts = stored(again.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), first).select("h", "c", "n", "at.*"), "contexts")
     # a context that occurs twice repeats as a whole
     whole = contexts.where("n > 1").select("h", "c", (-F.col("lo")).alias("low"), F.col("hi").alias("high"))
-    several = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h")
-    differing = stored(contexts.join(several, "h", "left_semi"), "differing-contexts")
+    several = stored(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"), "several-contexts")
+    differing = stored(contexts.join(several.hint("merge"), "h", "left_semi"), "differing-contexts")
     wanted = differing.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "c", "pos", "lo", "hi")).alias("wanted"))
     some = long.join(maybe_broadcast(differing.select("k1", "k2").distinct()), ["k1", "k2"], "left_semi")
     some = some.groupBy("k1", "k2").agg(F.min("text").alias("text"))

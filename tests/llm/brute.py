@@ -203,3 +203,35 @@ def manifest(rows, claim):
                     at //= 2
             out.append((r[0], leaf(r), trees[x][-1][0], top[-1][0], digest(*siblings), folded))
     return sorted(out, key=repr)
+
+
+def slot_owners(shards, size):
+    """The shard of every slot: the shards, in the order of their names, claim in turn the first free slot of their lists of preferences."""
+    number = lambda name, salt: int(hashlib.md5(f"{salt}:{name}".encode()).hexdigest()[:16], 16)
+    lists = {}
+    for name in shards:
+        offset, skip = number(name, "offset") % size, number(name, "skip") % (size - 1) + 1
+        lists[name] = [(offset + k * skip) % size for k in range(size)]
+        assert sorted(lists[name]) == list(range(size))
+    owner = {}
+    while len(owner) < size:
+        for name in sorted(shards):
+            free = next((slot for slot in lists[name] if slot not in owner), None)
+            if free is not None:
+                owner[free] = name
+    return owner
+
+
+def discriminant(x, labels, points, shrinkage):
+    """Probability of class 1 at the points: two Gaussians with covariances drawn towards the variances of all rows, by the textbook formula."""
+    x, labels, points = np.array(x, float), np.array(labels), np.array(points, float)
+    variance = x.var(axis=0)
+    scale = np.sqrt(np.where(variance > 1e-12, variance, 1.0))
+    z, at = (x - x.mean(axis=0)) / scale, (points - x.mean(axis=0)) / scale
+    logs = []
+    for c in (0, 1):
+        own = z[labels == c]
+        cov = (1 - shrinkage) * np.cov(own.T, bias=True) + shrinkage * np.eye(x.shape[1])
+        away = at - own.mean(axis=0)
+        logs.append(np.log(len(own) / len(z)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * np.einsum("ij,ij->i", away, np.linalg.solve(cov, away.T).T))
+    return 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -40, 40)))

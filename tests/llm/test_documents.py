@@ -6,7 +6,7 @@ import zlib
 import duckdb
 import pytest
 
-from strata.llm import queries, registry
+from strata.llm import classifier, queries, registry, sharding
 from tests.llm import brute
 
 TABLES = ["documents", "labels", "benchmark", "pages"]
@@ -100,6 +100,18 @@ def test_quality_is_learned(spark, sf, duck):
     assert sum(r["predicted"] == labels[r["doc_id"]] for r in tried) > 0.97 * len(tried) > 60
 
 
+def test_scores_equal_a_plain_discriminant(spark, sf, duck):
+    """Moments summed over partitions and Cholesky factors give the scores of two Gaussians fitted at once."""
+    labels = dict(duck.sql("select doc_id, quality from labels").fetchall())
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    x = {r["doc_id"]: r["x"] for r in classifier.document_vectors(table).collect()}
+    train = [d for d in sorted(x) if d in labels and zlib.crc32(str(d).encode()) % 3 != 1]
+    ids = sorted(x)
+    want = dict(zip(ids, brute.discriminant([x[d] for d in train], [labels[d] for d in train], [x[d] for d in ids], classifier.SHRINKAGE)))
+    for r in queries.op6_quality_classifier(spark, sf).collect():
+        assert abs(r["score"] - want[r["doc_id"]]) < 1e-6
+
+
 def test_packing(spark, sf, docs, library):
     ids = {d: i + [2] for (d, *_), i in zip(docs, ids_of(library, [t for _, t, _, _ in docs]))}
     assert brute.check_packing(queries.op8_packing(spark, sf).collect(), ids) < 0.1
@@ -110,6 +122,13 @@ def test_shards(spark, sf, docs):
     assert sorted(r["doc_id"] for r in got) == sorted(d for d, *_ in docs)
     assert {r["shard"] for r in got} <= set(queries.SHARDS)
     assert sorted(map(repr, got)) == sorted(map(repr, queries.op9_sharding(spark, sf).collect()))
+    size = sharding.TABLE_SIZE
+    few = [f"s{n}" for n in range(7)]
+    assert [few[i] for i in sharding.lookup_table(few, 211)] == [o for _, o in sorted(brute.slot_owners(few, 211).items())]
+    owner = [queries.SHARDS[i] for i in sharding.lookup_table(queries.SHARDS)]
+    for r in got:
+        slot = int(hashlib.md5(str(r["doc_id"]).encode()).hexdigest()[:15], 16) % size
+        assert (r["slot"], r["shard"]) == (slot, owner[slot])
 
 
 def test_similar_groups(spark, sf, docs):
