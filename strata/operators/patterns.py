@@ -105,8 +105,7 @@ def rolling_trends(
         "previous_weekly_rolling": _window_sum(measure, frames[1]),
     })
     if isinstance(min_total, DataFrame):
-        limit = min_total.select(F.col(f"`{min_total.columns[0]}`").alias("_limit")).limit(1).withColumn("_one", F.lit(1))
-        out = out.withColumn("_one", F.lit(1)).join(F.broadcast(limit), "_one").where("grand_total > _limit").drop("_one", "_limit")
+        out = out.where(F.col("grand_total") > min_total.scalar())
     elif min_total is not None:
         out = out.where(F.col("grand_total") > F.lit(min_total))
     out = out.withColumn("monthly_total", _window_sum(measure, Window.partitionBy(*keys, "_month")))
