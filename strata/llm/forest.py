@@ -8,14 +8,16 @@
    work. In the others every pair of different components is a candidate. How long the prefix is adapts to the
    region: it starts at BASE minima and grows where a region has more than REGION classes, so regions stay
    small where documents are dense and wide where they are few.
-4. A region that is still larger at full depth is cut into blocks by hash; the classes outside its largest component, which
-   are in every pair that is left, meet the blocks one by one. This is done twice: first only with the closest class of
-   a block, which joins most of them, then with all.
+4. The classes outside a region's largest component, which are in every pair that is left, are compared with all classes of the
+   region, in cells of at most BLOCK of either, by hashed bitmaps: their bit counts bound the overlap from above, so no
+   link is ruled out. This is done twice: first only with the most promising class of a cell, which joins most
+   of them, then with all; a pair that meets in several trees is a candidate in the first of them alone.
 
-Before candidates are verified on the full sets, sizes and a sketch (one bit of each minimum) rule most others out.
+Candidates are verified on the full sets. Those of step 2 must first have sketches (one bit of each minimum) that allow a link; it rules out a
+link with a chance of 1e-9, and what it rules out comes up again in step 3.
 A pair at the bound shares a prefix of d minima in one tree with chance bound ** d: of two documents at 0.8 all TREES
-trees miss each other with a chance below 1e-14 in a wide region (two minima), and of 6e-5 if in every tree the region was narrowed to all
-DEPTH minima by classes that are no copies of them; copies of each other are linked before. The sketch loses one in 1e9.
+trees miss each other with a chance of 1e-10 in a wide region (three minima), and of 6e-5 if in every tree the region was narrowed to all
+DEPTH minima by classes that are no copies of them; copies of each other are linked before.
 """
 
 from __future__ import annotations
@@ -30,14 +32,16 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import packed, stored, unpacked
 from strata.llm.components import connected_components
-from strata.llm.jaccard import verified
+from strata.llm.jaccard import bitmap, fold, linked, overlap_bound, verified
 from strata.llm.shingles import mix, shingle_sets, text_bytes
 from strata.operators.guards import maybe_broadcast
 
 # Trees, minima in a tree's signature, and the shortest prefix that makes candidates.
-TREES, DEPTH, BASE = 32, 6, 2
-# Classes of a region above which its prefix grows, and of a block at full depth.
-REGION = 48
+TREES, DEPTH, BASE = 32, 6, 3
+# Classes of a region above which its prefix grows, and of either side of a cell.
+REGION, BLOCK = 256, 1024
+# Bits of a bitmap for each shingle, and the range of its width.
+BITS_PER_SHINGLE, MIN_BITS, MAX_BITS = 8, 512, 1 << 17
 # Bytes of a minimum in a signature.
 WIDTH = 4
 # Shingles whose hashes are permuted in one go.
@@ -145,8 +149,8 @@ def _neighbour_rows(*cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["tree", "sig", "class", "next"])
 
 
-def prefix(depth: int | Column) -> Column:
-    return F.substring("sig", F.lit(1), F.lit(WIDTH) * depth) if isinstance(depth, Column) else F.substring("sig", 1, WIDTH * depth)
+def prefix(depth: Column) -> Column:
+    return F.substring("sig", F.lit(1), WIDTH * depth)
 
 
 def close(a: str, b: str, percent: int) -> Column:
@@ -168,46 +172,144 @@ def apart(x: Column, y: Column) -> Column:
 
 
 def _regions(rows: DataFrame) -> DataFrame:
-    """The rows (tree, sig, class, comp) of regions with several components, with the region's prefix, at its own depth.
+    """The rows (tree, sig, class, comp) of regions with several components, with ``head``, the region's prefix, at its own depth.
 
-    ``members`` is the number of classes. One pass for each depth, over the rows of regions that are too large at the one before.
+    All prefixes are counted at once; a region is a prefix of at most REGION classes, or of full depth, of
+    which no shorter prefix is one. Regions are joined with their rows as a stored table.
     """
-    done = None
-    for depth in range(BASE, DEPTH + 1):
-        head = prefix(depth).alias("head")
-        groups = rows.groupBy("tree", head).agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        mixed = stored(groups.where("low <> high").select("tree", "head", "members"), "forest-regions")
-        found = stored(rows.withColumn("head", head).join(mixed.hint("merge"), ["tree", "head"]), "forest-rows")
-        final = found if depth == DEPTH else found.where(F.col("members") <= REGION)
-        done = final if done is None else done.unionByName(final)
-        rows = found.where(F.col("members") > REGION).drop("head", "members")
-        if depth == DEPTH or rows.isEmpty():
-            return done
-
-
-def _region_pairs(rows: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Candidates (a, b) of different components in a region, from rows (tree, head, members, class, comp, n, s0, s1, s2).
-
-    The rows of a region are in blocks of REGION by hash; its classes outside the largest component meet every block.
-    With ``best`` each of them is paired with the closest class of a block alone.
+    each = rows.select("tree", "sig", "class", "comp", F.explode(F.sequence(F.lit(BASE), F.lit(DEPTH))).alias("depth")).withColumn("head", prefix(F.col("depth")))
+    groups = each.groupBy("tree", "depth", "head").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    # a prefix of one class is no region, nor is one below it
+    fits = groups.where("members > 1").where((F.col("members") <= REGION) | (F.col("depth") == DEPTH))
+    fits = stored(fits.select("tree", "depth", "head", (F.col("low") != F.col("high")).alias("mixed")), "forest-prefixes")
+    shorter = fits.select("tree", (F.col("depth") + 1).alias("depth"), F.col("head").alias("parent"))
+    first = fits.where("mixed").withColumn("parent", F.substring("head", F.lit(1), WIDTH * (F.col("depth") - 1)))
+    regions = stored(first.join(shorter.hint("merge"), ["tree", "depth", "parent"], "left_anti").select("tree", "depth", "head"), "forest-regions")
+    return stored(each.join(regions.hint("merge"), ["tree", "depth", "head"]).select("tree", "head", "class", "comp"), "forest-mixed")
+
+
+def _mapper(width: int):
+    """The bitmap of every set, as wide as its size asks for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, held = [], 0
+            for i, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(*text_bytes(batch.column("text")), width)):
+                if len(s):
+                    bits = 1 << max(MIN_BITS.bit_length() - 1, min(MAX_BITS.bit_length() - 1, (BITS_PER_SHINGLE * len(s) - 1).bit_length()))
+                    rows.append((i, len(s), bitmap(s, bits).tobytes()))
+                    held += bits // 8
+                if held > 2_000_000:
+                    yield _maps(rows)
+                    rows, held = [], 0
+            yield _maps(rows)
+
+    return run
+
+
+def _maps(rows: list[tuple]) -> pa.RecordBatch:
+    cols = zip(*rows) if rows else [[]] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.binary()])], ["class", "n", "map"])
+
+
+def _cells(percent: int, best: bool):
+    """Pairs (a, b) of each cell, whose rows come one after the other: classes to be compared (``minor``) and those they are compared with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, current, found = [], None, set()
+        for batch in batches:
+            cell = batch.column("cell").to_numpy()
+            cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(cell)]
+            for low, high in zip(cuts, cuts[1:]):
+                if low == high:
+                    continue
+                if held and cell[low] != current:
+                    found |= _cell_pairs(pa.Table.from_batches(held), percent, best)
+                    held = []
+                current = cell[low]
+                held.append(batch.slice(low, high - low))
+            if len(found) > 100_000:
+                yield _pair_batch(found)
+                found = set()
+        if held:
+            found |= _cell_pairs(pa.Table.from_batches(held), percent, best)
+        yield _pair_batch(found)
+
+    return run
+
+
+def _pair_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*sorted(pairs)) if pairs else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _cell_pairs(cell: pa.Table, percent: int, best: bool) -> set[tuple[int, int]]:
+    minor, outside = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("minor", "outside"))
+    if minor.all() or not minor.any():
+        return set()
+    ids, comp, n = (cell.column(c).to_numpy() for c in ("class", "comp", "n"))
+    tree = int(cell.column("tree")[0].as_py())
+    regions = cell.column("regions").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[:, :tree]
+    raw = cell.column("map").to_pylist()
+    words = np.array([len(m) for m in raw]) // 8
+    members = np.flatnonzero(~minor)
+    stacks = {w: np.frombuffer(b"".join(raw[k] for k in members[words[members] == w]), np.uint64).reshape(-1, w) for w in np.unique(words[members])}
+    found = set()
+    for u in np.flatnonzero(minor):
+        own = np.frombuffer(raw[u], np.uint64)[None]
+        closest = None
+        for w, stack in stacks.items():
+            at = members[words[members] == w]
+            # of two classes outside the largest component each is compared with the other: once is enough
+            may = (comp[at] != comp[u]) & (ids[at] != ids[u]) & ~(outside[at] & (ids[at] < ids[u]))
+            may &= (100 * n[at] >= percent * n[u]) & (100 * n[u] >= percent * n[at])
+            if not best and tree:
+                may &= ~((regions[at] == regions[u]) & (regions[u] != 0)).any(axis=1)
+            some = np.flatnonzero(may)
+            if not len(some):
+                continue
+            common = min(w, words[u])
+            bound = overlap_bound(fold(own, common)[0], n[u], fold(stack[some], common), n[at][some])
+            likely = np.flatnonzero(linked(n[u], n[at][some], bound, percent))
+            if best and len(likely):
+                share = bound[likely] / (n[u] + n[at][some][likely])
+                top = share.argmax()
+                if closest is None or share[top] > closest[0]:
+                    closest = share[top], ids[at[some[likely[top]]]]
+            elif not best:
+                found |= {(int(min(ids[u], v)), int(max(ids[u], v))) for v in ids[at[some[likely]]]}
+        if closest is not None:
+            found.add((int(min(ids[u], closest[1])), int(max(ids[u], closest[1]))))
+    return found
+
+
+def _region_pairs(rows: DataFrame, maps: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Candidates (a, b) of different components in a region, from rows (tree, head, class, comp) and the classes' bitmaps (class, n, map).
+
+    The classes outside a region's largest component and all of its classes are cut into blocks by hash;
+    each block of the former meets each of the latter in a cell.
     """
     place = ["tree", "head"]
     sizes = rows.groupBy(*place, "comp").agg(F.count(F.lit(1)).alias("size"))
-    largest = stored(sizes.groupBy(*place).agg(F.max(F.struct("size", "comp"))["comp"].alias("largest")), "forest-largest")
-    blocks = F.ceil(F.col("members") / REGION).cast("int")
-    own = F.struct("class", "comp", "n", "s0", "s1", "s2")
-    rows = stored(rows.join(largest.hint("merge"), place).select(*place, blocks.alias("blocks"), own.alias("x"), (F.col("comp") != F.col("largest")).alias("outside")), "forest-members")
-    block = F.pmod(F.xxhash64("x.class"), F.col("blocks")).cast("int").alias("block")
-    # a region without classes outside has no pairs; they are in different components by definition of it
-    lists = stored(rows.groupBy(*place, block).agg(F.collect_list("x").alias("others")), "forest-blocks")
-    each = rows.where("outside").select(*place, "x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    met = each.join(lists.hint("merge"), [*place, "block"])
-    x = F.col("x")
-    likely = F.filter("others", lambda y: (y["comp"] != x["comp"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])) & (apart(x, y) <= sketch_limit(percent)))
-    if best:
-        likely = F.slice(F.sort_array(F.transform(likely, lambda y: F.struct(apart(x, y).alias("d"), y["class"].alias("class")))), 1, 1)
-    pairs = met.select(F.col("x.class").alias("u"), F.explode(likely).alias("y")).select("u", F.col("y.class").alias("v"))
-    return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    regions = sizes.groupBy(*place).agg(F.max(F.struct("size", "comp")).alias("most"), F.sum("size").alias("members"))
+    blocks = lambda x: F.ceil(x / BLOCK).cast("int")
+    regions = stored(regions.select(*place, F.col("most.comp").alias("largest"), blocks(F.col("members")).alias("all_blocks"),
+                                    blocks(F.col("members") - F.col("most.size")).alias("minor_blocks")), "forest-largest")
+    # the regions of a class in all trees, 0 where it has none that counts: they tell in which tree a pair meets first
+    key = F.when(F.xxhash64(*place) == 0, F.lit(1).cast("bigint")).otherwise(F.xxhash64(*place))
+    by_tree = [F.coalesce(F.max(F.when(F.col("tree") == t, key)), F.lit(0).cast("bigint")) for t in range(TREES)]
+    known = maps.join(rows.groupBy("class").agg(F.array(*by_tree).alias("regions")), "class")
+    known = stored(known, "forest-classes-in-regions")
+    marked = rows.join(regions.hint("merge"), place).withColumn("outside", F.col("comp") != F.col("largest"))
+    part = lambda salt, n: F.pmod(F.xxhash64("class", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    minors = marked.where("outside").withColumn("minor", F.lit(True)).withColumn("i", part(1, "minor_blocks")).withColumn("j", every("all_blocks"))
+    others = marked.withColumn("minor", F.lit(False)).withColumn("i", every("minor_blocks")).withColumn("j", part(2, "all_blocks"))
+    cells = minors.unionByName(others).select("class", "comp", "tree", "minor", "outside", F.xxhash64(*place, "i", "j").alias("cell"))
+    # cells whose hashes are equal would be compared as one, which adds candidates and loses none
+    filled = stored(cells, "forest-cells").join(known.hint("merge"), "class").repartition("cell").sortWithinPartitions("cell")
+    return filled.select("cell", "tree", "class", "comp", "minor", "outside", "n", "regions", "map").mapInArrow(
+        _cells(percent, best), "a bigint, b bigint").distinct()
 
 
 def _likely(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
@@ -248,12 +350,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 2, id_col:
     links = stored(links.unionByName(several), "forest-links")
     comps = connected_components(links)
     rows = stored(crowd.select("tree", "sig", "class").distinct(), "forest-crowd")
+    maps = None
     for best in (True, False):
         of = comps.select(F.col("node").alias("class"), "comp")
         regions = _regions(rows.join(of, "class", "left").withColumn("comp", F.coalesce("comp", "class")))
-        more = _region_pairs(regions.join(sketch, "class"), percent, best)
-        links = links.unionByName(verified(more, texts, percent, width))
-        comps = connected_components(links)
+        if regions.isEmpty():
+            break
+        if maps is None:  # no class comes into a mixed region later, as components only grow
+            wanted = maybe_broadcast(regions.select(F.col("class").alias("doc_id")).distinct())
+            maps = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_mapper(width), "class bigint, n bigint, map binary").distinct(), "forest-maps")
+        more = verified(_region_pairs(regions, maps, percent, best), texts, percent, width)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            comps = connected_components(links)
 
     by_class = stored(classes.join(comps, classes["class"] == comps["node"], "left").select("digest", F.coalesce("comp", "class").alias("found")), "forest-found")
     found = signed.select("doc_id", "n", "digest").join(by_class.hint("merge"), "digest", "left")
