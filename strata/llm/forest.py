@@ -361,8 +361,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 2, id_col:
             maps = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_mapper(width), "class bigint, n bigint, map binary").distinct(), "forest-maps")
         more = verified(_region_pairs(regions, maps, percent, best), texts, percent, width)
         if not more.isEmpty():
-            links = links.unionByName(more)
-            comps = connected_components(links)
+            # components stand for the links that made them: few rounds join what is new
+            known = comps.where("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))
+            comps = connected_components(known.unionByName(more))
 
     by_class = stored(classes.join(comps, classes["class"] == comps["node"], "left").select("digest", F.coalesce("comp", "class").alias("found")), "forest-found")
     found = signed.select("doc_id", "n", "digest").join(by_class.hint("merge"), "digest", "left")
