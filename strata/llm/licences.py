@@ -113,19 +113,25 @@ def split_terms(text: str) -> list[str]:
     return [t.strip(".-") for t in re.findall(r"[a-z0-9.-]+", text.lower()) if t.strip(".-")]
 
 
+# Fixed value: a run as ``split_terms`` takes it, without the points and hyphens at its ends.
+TERM = "[a-z0-9]++(?:[.-]++[a-z0-9]++)*+"
+
+
 def _terms(line: Column) -> Column:
-    parts = F.transform(F.split(F.lower(line), "[^a-z0-9.-]+"), lambda t: F.btrim(t, F.lit(".-")))
-    return F.filter(parts, lambda t: F.length(t) > 0)
+    return F.regexp_extract_all(F.lower(line), F.lit(TERM), F.lit(0))
+
 
+def _of(terms) -> Column:
+    return F.array(*map(F.lit, terms)).cast("array<string>")
 
-def term_weights(docs: DataFrame, templates: list[Template], text_col: str = "text") -> tuple[dict[str, float], float, dict[str, int]]:
+
+def term_weights(found: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float, dict[str, int]]:
     """Inverse document frequencies of the templates' terms over all documents, that of an unseen term, and the documents of each term.
 
-    The templates bound the number of terms; only their counts come to the driver.
+    ``found`` holds for every document the terms of ``vocabulary`` in it (column ``found``). The templates bound the number of terms;
+    only their counts come to the driver.
     """
-    vocabulary = sorted({t for x in templates for t in (*split_terms(x.text), *x.must)})
-    found = F.array_intersect(_terms(F.coalesce(F.col(text_col), F.lit(""))), F.array(*map(F.lit, vocabulary)))
-    counts = docs.select(F.explode(F.array_append(found, F.lit(""))).alias("term")).groupBy("term").count().collect()
+    counts = found.select(F.explode(F.array_append("found", F.lit(""))).alias("term")).groupBy("term").count().collect()
     documents = {r["term"]: r["count"] for r in counts}
     n = documents.get("", 0)
     weight = {t: math.log((1 + n) / (1 + documents.get(t, 0))) + 1 for t in vocabulary}
@@ -143,45 +149,64 @@ def template_vectors(templates: list[Template], weight: dict[str, float]) -> lis
     return vectors
 
 
-def key_terms(templates: list[Template], vectors: list[dict[str, float]], documents: dict[str, int], least: float) -> list[str]:
-    """Terms of which a text must hold one to count as similar to a template, however common they are.
+def needed_terms(templates: list[Template], vectors: list[dict[str, float]], documents: dict[str, int], least: float) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """What a text must hold to count as similar to some template: pairs of terms of which it holds all, and terms of which it holds one.
 
-    A template with ``must`` terms needs the rarest of them. For one without, the cosine is at most the length of the
-    part of its vector whose terms the text holds, so terms are taken, rare ones first, until the rest of the vector is shorter than ``least``.
+    The first are the ``must`` terms of a template. The cosine is at most the length of the part of the template's vector whose
+    terms the text holds, so the second are terms, rare ones first, without which the rest of the vector is shorter than ``least``;
+    there are none where the ``must`` terms alone are as long.
     """
-    keys = set()
+    needed = set()
     for template, vector in zip(templates, vectors):
-        if template.must:
-            keys.add(min(template.must, key=lambda t: (documents[t], t)))
-            continue
-        rest = 1.0
-        for t in sorted(vector, key=lambda t: (documents[t], -vector[t], t)):
+        rest, some = 1.0, []
+        for t in sorted(vector.keys() - set(template.must), key=lambda t: (documents[t], -vector[t], t)):
             if rest < least * least - 1e-6:
                 break
-            keys.add(t)
+            some.append(t)
             rest -= vector[t] ** 2
-    return sorted(keys)
+        # the must terms, which are held anyway, can be long enough by themselves
+        enough = rest >= least * least - 1e-6
+        needed.add((template.must, () if enough else tuple(sorted(some))))
+    return sorted(needed)
+
 
+def _possible(needed: list[tuple[tuple[str, ...], tuple[str, ...]]]):
+    """Whether a text with the given terms can be similar to some template."""
+    relevant = _of(sorted({t for every, some in needed for t in (*every, *some)}))
 
-def _units(text: Column, keys: Column) -> Column:
-    """What is compared: the whole text, its leading comment, its paragraphs and their lines; those without a key term are left out.
+    def holds(own: Column) -> Column:
+        each = F.lit(False)
+        for every, some in needed:
+            one = F.arrays_overlap(own, _of(some)) if some else F.lit(True)
+            for t in every:
+                one = F.array_contains(own, t) & one
+            each = each | one
+        return each
 
-    Structs of ``kind`` (0 whole, 1 leading comment, 2 paragraph, 3 line), number of the paragraph, ``words`` and ``text``.
+    return lambda terms: let(F.array_intersect(terms, relevant), holds)
+
+
+def _units(text: Column, possible) -> Column:
+    """What is compared: the whole text, its leading comment, its paragraphs and their lines; those that cannot be similar are left out.
+
+    Structs of ``kind`` (0 whole, 1 leading comment, 2 paragraph, 3 line), number of the paragraph and ``text``. What a line lacks its
+    paragraph may hold, but not the other way round: lines are looked at in possible paragraphs only. The whole text is possible.
     """
-    unit = lambda kind, k, x: F.struct(F.lit(kind).alias("kind"), k.cast("int").alias("par"), count_words(x).alias("words"), x.alias("text"))
+    unit = lambda kind, k, x: F.struct(F.lit(kind).alias("kind"), k.cast("int").alias("par"), x.alias("text"))
     lines_of = lambda x: F.split(x, "\n")
+    some = lambda units: F.filter(units, lambda u: possible(_terms(u["text"])))
 
     def leading(lines: Column) -> Column:
         end = F.array_position(F.transform(lines, lambda x: ~F.rlike(x, F.lit(COMMENT))), True)
         return F.array_join(F.when(end > 0, F.slice(lines, F.lit(1), (end - 1).cast("int"))).otherwise(lines), "\n")
 
     def of_paragraphs(pars: Column) -> Column:
-        lines = F.transform(pars, lambda x, k: F.transform(lines_of(x), lambda line: unit(3, k, line)))
-        return F.concat(F.transform(pars, lambda x, k: unit(2, k, x)), F.flatten(lines))
+        lines = F.transform(pars, lambda p: F.transform(lines_of(p["text"]), lambda line: unit(3, p["par"], line)))
+        return F.concat(pars, some(F.flatten(lines)))
 
-    first = F.array(unit(0, F.lit(-1), text), unit(1, F.lit(-1), let(lines_of(text), leading)))
-    units = F.concat(first, let(F.split(text, r"\n[ \t\r]*\n"), of_paragraphs))
-    return F.filter(units, lambda u: F.arrays_overlap(_terms(u["text"]), keys))
+    first = F.concat(F.array(unit(0, F.lit(-1), text)), some(F.array(unit(1, F.lit(-1), let(lines_of(text), leading)))))
+    pars = F.transform(F.split(text, r"\n[ \t\r]*\n"), lambda x, k: unit(2, k, x))
+    return F.concat(first, let(some(pars), of_paragraphs))
 
 
 def _counted(terms: Column) -> Column:
@@ -225,7 +250,7 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str =
     """Licence of every file: doc_id, path, dir, licence, similarity, origin, from_dir.
 
     The whole text, its leading comment, every paragraph (lines up to an empty one) and every line are possible notices;
-    the TF-IDF vector of each that holds a key term (no other can reach ``least``) is compared
+    the TF-IDF vector of each that holds the terms without which none can reach ``least`` is compared
     with those of the templates: ``templates``, ``HEADERS`` and full texts (terms of no template weigh as unseen ones). The most similar with
     a cosine of ``least`` or more is the file's own: origin "notice". A file with a licence file's name, or
     with half its words or more in notices, also gives its licence to its directory. A file without a notice has that
@@ -238,18 +263,19 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str =
     row a directory, in which adaptive execution splits those of a large one.
     """
     known = all_templates(templates)
-    weight, unseen, documents = term_weights(files, known, text_col)
-    vectors = template_vectors(known, weight)
-    keys = F.array(*map(F.lit, key_terms(known, vectors, documents, least)))
+    vocabulary = sorted({t for x in known for t in (*split_terms(x.text), *x.must)})
     text, path = F.coalesce(F.col(text_col), F.lit("")), F.col(path_col)
-    # the number of a row, as stored, holds its units together
+    # every text is cut into terms once; the number of a row, as stored, holds its units together
     rows = stored(
         files.select(
             F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), path.alias("path"),
-            F.regexp_replace(path, "/?[^/]*$", "").alias("dir"), count_words(F.col(text_col)).alias("n_words"),
-            F.when(F.arrays_overlap(_terms(text), keys), text).alias("text")),
+            F.regexp_replace(path, "/?[^/]*$", "").alias("dir"), text.alias("text"), F.array_intersect(_terms(text), _of(vocabulary)).alias("found")),
         "licence-texts")
-    units = rows.where("text is not null").select("uid", F.posexplode(_units(F.col("text"), keys)).alias("at", "u")).select("uid", "at", "u.*")
+    weight, unseen, documents = term_weights(rows, vocabulary)
+    vectors = template_vectors(known, weight)
+    possible = _possible(needed_terms(known, vectors, documents, least))
+    units = rows.where(possible(F.col("found"))).select("uid", "text", F.posexplode(_units(F.col("text"), possible)).alias("at", "u")).select(
+        "uid", "at", "u.kind", "u.par", count_words(F.col("u.text")).alias("words"), "u.text")
     units = stored(units, "licence-units")
     sure = _similar(units, known, vectors, weight, unseen).where(F.col("best.similarity") >= least)
     # words in notices: of paragraphs or else their lines, of the leading comment or of the whole text, whichever are most
@@ -258,10 +284,11 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str =
     parts = sure.groupBy("uid", "par").agg(
         F.max("best").alias("best"), F.greatest(words(0, F.max), words(1, F.max)).alias("wide"), F.greatest(words(2, F.max), words(3, F.sum)).alias("words"))
     own = parts.groupBy("uid").agg(F.max("best").alias("best"), F.greatest(F.max("wide"), F.sum("words")).alias("in_notices"))
+    own = own.join(units.where("kind = 0").select("uid", F.col("words").alias("n_words")), "uid")
     best = F.col("best")
     named = F.rlike(F.regexp_extract("path", "[^/]*$", 0), F.lit(FILE_NAMES))
     rows = stored(
-        rows.drop("text").join(own, "uid", "left").select(
+        rows.drop("text", "found").join(own, "uid", "left").select(
             "doc_id", "path", "dir", best["licence"].alias("own"), best["similarity"].alias("similarity"),
             (best.isNotNull() & (F.coalesce(named, F.lit(False)) | (F.col("in_notices") >= FILE_SHARE * F.col("n_words")))).alias("is_file")),
         "licence-notices")

@@ -1,6 +1,9 @@
 """Queries over tables of a few rows, written for each test: all columns, all rows."""
 
-from strata.llm import queries
+from pyspark.sql import functions as F
+
+from strata.llm import licences, queries
+from strata.llm.common import stored
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -16,3 +19,28 @@ def test_every_statistic_of_rejected_texts(spark, tmp_path):
     sf = written(spark, tmp_path, [(1, "few words!"), (2, None), (3, "so so so what?!\n\nis is it\nthis"), (4, "word " * 30)])
     got = {r["doc_id"]: (r["n_lines"], r["n_marks"], r["n_stutters"], r["base_failed"], r["kept"]) for r in queries.op1_quality_rules(spark, sf).collect()}
     assert got == {1: (1, 1, 0, True, False), 2: (0, 0, 0, True, False), 3: (3, 2, 3, True, False), 4: (1, 0, 29, True, False)}
+
+
+def test_a_common_term_alone_is_not_compared(spark, monkeypatch):
+    """Of texts that hold "mit" or single words of licences, only those that can be similar to a template become units."""
+    compared = []
+
+    def noted(df, label, *rest):
+        out = stored(df, label, *rest)
+        compared.extend(r["uid"] for r in out.select("uid").collect()) if label == "licence-units" else None
+        return out
+
+    monkeypatch.setattr(licences, "stored", noted)
+    notice = "Released under the MIT License."
+    texts = [f"haus mit garten {k}\n\nund mit dem hund {k}" for k in range(40)] + [f"the version {k} of it" for k in range(40)] + ["a mit b\n\n" + notice]
+    files = [(k, f"{k}/a.txt", t) for k, t in enumerate(texts)]
+    got = licences.scan(spark.createDataFrame(files, "doc_id bigint, path string, text string")).collect()
+    assert [r["doc_id"] for r in got if r["licence"] == "MIT"] == [80] and sum(r["origin"] == "none" for r in got) == 80
+    # the whole text, its leading comment (none), the paragraph and the line of the notice
+    assert len(set(compared)) == 1 and len(compared) == 3
+
+
+def test_terms_are_those_of_templates(spark):
+    texts = ["a..b -c- d.e", "...", "", "É.xK-9 İ.", "--a.-.-b--\n.c", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(licences._terms(F.col("t")).alias("x")).collect()
+    assert [r["x"] for r in got] == [["a..b", "c", "d.e"], [], [], ["xk-9", "i"], ["a.-.-b", "c"], None]
