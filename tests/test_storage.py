@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import joins
 from strata.operators.skew import large_groups
+from strata.plans import storage
 from strata.session import session_conf, shared_dir
 from strata.sources import tables
 
@@ -88,6 +89,12 @@ def test_bucket_count():
     assert [tables.bucket_count(n, 1, 100) for n in (0, 100, 101, 400, 401)] == [1, 1, 2, 4, 8]
 
 
+def test_a_fact_bucket_has_no_more_rows_in_larger_tables():
+    for rows_ in (1, 600_000, 6_000_000, 36_000_000, 216_000_000, 10**10):
+        n = storage.fact_buckets(rows_)
+        assert n >= 4 and n & (n - 1) == 0 and rows_ / n <= 1_000_000
+
+
 def test_periods_refuse_gaps_and_empty_reruns_empty_them(spark, tmp_path):
     t = name()
 
