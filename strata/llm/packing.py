@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored
 from strata.llm.shingles import text_bytes
 from strata.llm.tokens import WordEncoder
+from strata.session import session_conf
 
 END_ID = 2
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+# Whole texts that are sent to a Python worker at once; executor and worker each hold as many.
+BATCH_TEXTS = 500
 # Parts of each length's documents that are numbered apart.
 RANK_BLOCKS = 4096
 
@@ -148,7 +151,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = END_ID
     with the counts of earlier blocks added, so a length that very many documents
     share (a group of copies) is spread over ``RANK_BLOCKS`` groups.
     """
-    pieces = stored(document_pieces(docs, tokenizer, size, end_id, id_col, text_col), "pieces")
+    with session_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_TEXTS)}):
+        pieces = stored(document_pieces(docs, tokenizer, size, end_id, id_col, text_col), "pieces")
     block = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(RANK_BLOCKS)).cast("int")
     pieces = pieces.withColumn("block", block)
     counts = stored(pieces.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n")), "piece-counts")

@@ -1,8 +1,9 @@
 """Queries over tables of a few rows, written for each test: all columns, all rows."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from strata.llm import licences, queries
+from strata.llm import licences, packing, queries, shingles, tokens
 from strata.llm.common import stored
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -44,3 +45,29 @@ def test_terms_are_those_of_templates(spark):
     texts = ["a..b -c- d.e", "...", "", "É.xK-9 İ.", "--a.-.-b--\n.c", None]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(licences._terms(F.col("t")).alias("x")).collect()
     assert [r["x"] for r in got] == [["a..b", "c", "d.e"], [], [], ["xk-9", "i"], ["a.-.-b", "c"], None]
+
+
+def test_a_worker_gets_few_texts_at_once(spark, monkeypatch):
+    """No batch of whole texts is longer than ``BATCH_TEXTS``, and the session's own limit is as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    limits, before = [], spark.conf.get(name)
+
+    def noted(df, label, *rest):
+        limits.append((label, int(spark.conf.get(name))))
+        return stored(df, label, *rest)
+
+    monkeypatch.setattr(packing, "stored", noted)
+    docs = spark.createDataFrame([(k, "some words " * (k % 7)) for k in range(1200)], "doc_id bigint, text string")
+    assert packing.pack(docs, queries.tokenizer_path()).count() == 1200
+    assert 0 < dict(limits)["pieces"] <= 500 and spark.conf.get(name) == before
+
+
+def test_parts_of_words_are_encoded_once(monkeypatch):
+    """A word that comes with other marks or in other case later costs no further call of the library."""
+    own, asked = tokens.WordEncoder(queries.tokenizer_path()), []
+    library = own._call
+    monkeypatch.setattr(own, "_call", lambda words: asked.extend(words) or library(words))
+    texts = ["Garden, née! x1.", "garden. GARDEN: née; x1.", "(garden) née, née Garden?! x1,"]
+    got = [ids.tolist() for t in texts for ids, _ in own.encode(*shingles.text_bytes(pa.array([t])))]
+    assert got == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) == len(set(asked)) and {b"garden", "née".encode()} <= set(asked) and not {b"garden.", "née;".encode()} & set(asked)
