@@ -16,8 +16,8 @@ from strata.llm.shingles import runs_of_texts, span_hashes, text_bytes, word_spa
 from strata.session import shared_dir
 
 CACHE = "content binary, tokenizer string, n_tokens bigint"
-# Words whose ids a Python worker remembers; later words are encoded each time they come.
-MEMO_WORDS = 500_000
+# Words, and parts of words, whose ids a Python worker remembers; later words are put together from parts, later parts encoded, each time they come.
+MEMO_WORDS, MEMO_PARTS = 250_000, 250_000
 # Marks that end a word. No apostrophe, as letters and an apostrophe may belong together.
 MARKS = b".,;:!?()#*$%&|"
 # New words that are joined for a call.
@@ -49,8 +49,10 @@ class WordEncoder:
             raise ValueError(f"{path} does not treat the words of a text one by one")
         # whether case makes no difference and marks after letters are encoded apart from them
         self.folds = all(self._ids(w) == self._ids(core) + self._ids(marks) for w, core, marks in (
-            ("Word", "word", ""), ("ABCs.", "abcs", "."), ("tHen,;", "then", ",;"), ("is!?", "is", "!?"), ("a)", "a", ")")))
+            ("Word", "word", ""), ("ABCs.", "abcs", "."), ("tHen,;", "then", ",;"), ("is!?", "is", "!?"), ("a)", "a", ")"),
+            ("n\u00e9e,", "n\u00e9e", ","), ("\u00c4.", "\u00c4", "."), ("\u03b1\u03a3#", "\u03b1\u03a3", "#")))
         self.memo: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -96,26 +98,42 @@ class WordEncoder:
             yield flat[np.repeat(place[kind] - before[:-1], each) + np.arange(before[-1])], before[bounds]
 
     def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of words; what only differs in case or ends in marks is encoded once."""
+        """The ids of words; what only differs in case or ends in marks is encoded once, and remembered while there is room."""
         if not self.folds:
-            return self._call(words)
+            return self._known(words)
         split = {}
         for w in words:
             core = w.rstrip(MARKS)
-            if core.isalpha() and core.isascii():
+            if core.isalpha():
                 split[w] = core.lower(), w[len(core):]
-        parts = words - split.keys() | {p for pair in split.values() for p in pair if p}
-        found = {p: i for p in parts if (i := self.memo.get(p)) is not None}
-        found |= self._call(parts - found.keys())
-        return {w: found[w] if w not in split else b"".join(found[p] for p in split[w] if p) for w in words}
+            elif len(core) < len(w) and _of_letters(core):
+                split[w] = core, w[len(core):]
+        found = self._known(words - split.keys() | {p for pair in split.values() for p in pair if p})
+        return {w: found[w] if w not in split else found[split[w][0]] + found[split[w][1]] if split[w][1] else found[split[w][0]] for w in words}
+
+    def _known(self, parts: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of parts, from the memo or the library."""
+        found = {p: i for p in parts if (i := self.parts.get(p)) is not None}
+        new = self._call(parts - found.keys())
+        if len(self.parts) < MEMO_PARTS:
+            self.parts.update(new)
+        return found | new
 
     def _call(self, words: set[bytes]) -> dict[bytes, bytes]:
         # a special token in a word may swallow its surroundings: such words go to the library alone
         out = {w: np.array(self._ids(w.decode()), "<u4").tobytes() for w in words if b"<|" in w}
         plain = [w for w in words if w not in out]
-        calls = [plain[i:i + CALL_WORDS] for i in range(0, len(plain), CALL_WORDS)]
-        joined = [b" ".join(c).decode() for c in calls]
-        for call, text, got in zip(calls, joined, self.library.encode_batch(joined, add_special_tokens=False)):
+        letters = [w for w in plain if _of_letters(w)]
+        rest = [*set(plain).difference(letters)]
+        for call, _, got in self._joined(letters):
+            # words of letters are one piece each, by whose number their ids are told apart
+            piece = np.array(got.word_ids, np.int64)
+            if len(piece) and piece[-1] + 1 == len(call) and (np.diff(piece) >= 0).all():
+                raw, cuts = np.array(got.ids, "<u4").tobytes(), (4 * np.searchsorted(piece, np.arange(len(call) + 1))).tolist()
+                out.update((w, raw[x:y]) for w, x, y in zip(call, cuts, cuts[1:]))
+            else:
+                rest = rest + call
+        for call, text, got in self._joined(rest):
             raw = np.array(got.ids, "<u4").tobytes()
             first = np.array(got.offsets, np.int64).reshape(-1, 2)[:, 0]
             spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), "<u4") == 32)
@@ -124,6 +142,16 @@ class WordEncoder:
                 out[w] = raw[a:b]
         return out
 
+    def _joined(self, words: list[bytes]) -> Iterator[tuple]:
+        """Some words at a time, joined by spaces, with the text and what the library makes of it."""
+        calls = [words[i:i + CALL_WORDS] for i in range(0, len(words), CALL_WORDS)]
+        texts = [b" ".join(c).decode() for c in calls]
+        return zip(calls, texts, self.library.encode_batch(texts, add_special_tokens=False))
+
+
+def _of_letters(word: bytes) -> bool:
+    return word.isalpha() or not word.isascii() and word.decode().isalpha()
+
 
 def _same_bytes(b: np.ndarray, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> bool:
     """Whether each span at x has the same bytes as that at y."""
