@@ -15,9 +15,11 @@ The result keeps every link's effect (the components) without listing all pairs
 4. Shingles whose classes are one component by then need no more work, however many they are. The
    others are compared in tiles: blocks of classes of one shingle and neighbouring bands,
    every pair of different components by its bitmaps, whose bit counts bound the overlap from above. This is done
-   twice: first the most promising pair of a class and another component alone is kept, which joins most
-   of them, then every pair that is still between components.
-5. What passes the bitmaps is decided by intersecting the sorted arrays.
+   twice: first each class is paired with the most promising one of another component, which joins many,
+   then the classes that have any possible partner left in another component are kept.
+5. What passes the bitmaps is decided by intersecting the sorted arrays: pairs one by one, the classes that the tiles
+   kept all together in their tile. A tile gives the links that join its components and no
+   others, so that its rows never outnumber its classes.
 """
 
 from __future__ import annotations
@@ -40,8 +42,8 @@ from strata.operators.guards import maybe_broadcast
 FREQUENT_SHARE, FREQUENT_COUNT = 1e-6, 64
 # Shingles counted together in a task; those found less often than COUNT_LEAST in such a chunk are not passed on.
 COUNT_CHUNK, COUNT_LEAST = 2_000_000, 6
-# Classes in a block of a tile.
-BLOCK = 8_000
+# Classes in a block of a tile, and shingles of their sets together.
+BLOCK, BLOCK_SHINGLES = 8_000, 1_000_000
 # Bits of a bitmap for each shingle of the largest set of a band, and the range of its width.
 BITS_PER_SHINGLE, MIN_BITS, MAX_BITS = 4, 256, 1 << 18
 
@@ -240,64 +242,138 @@ def possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """The linked ones of the possible pairs; arrays are made for the texts in them alone."""
     pairs = stored(pairs, "possible-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(texts.join(maybe_broadcast(ids), "doc_id", "left_semi").mapInArrow(_set_rows(width, percent, "hashes"), SETS), "pair-sets")
+    sets = _arrays(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), texts, percent, width)
     return stored(_with(pairs, sets, "hashes").mapInArrow(_certain(percent), "a bigint, b bigint"), "linked-pairs")
 
 
-def _tile(percent: int, best: bool):
-    """Pairs of different components in one cell (block i against block j of a tile) that the bitmaps allow.
+def _arrays(ids: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """The sorted arrays of the sets of these ids (doc_id, repeated or not)."""
+    own = texts.join(maybe_broadcast(ids.distinct()), "doc_id", "left_semi")
+    return stored(own.mapInArrow(_set_rows(width, percent, "hashes"), SETS), "pair-sets")
+
+
+def _partners(cell: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Rows of one cell (block i against block j of a tile), the rows of other components that the bitmaps allow each, and how alike they may be.
 
     Of two classes of different components one at least is outside the cell's largest component, so
-    only those classes are compared with the rest. With ``best`` each of them is paired with the
-    most promising class of every other component alone.
+    only those classes are compared with the rest.
+    """
+    comp, n = (cell.column(c).to_numpy() for c in ("comp", "n"))
+    own, in_i, in_j = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("own", "in_i", "in_j"))
+    maps = cell.column("map").to_pylist()
+    sizes = np.array([len(m) for m in maps])
+    apart = _apart(comp)
+    for width in np.unique(sizes) if apart.any() else ():
+        # every pair is met at the smaller width of the two
+        at = np.flatnonzero(sizes >= width)
+        small = sizes[at] == width
+        rows = np.stack([fold(np.frombuffer(maps[k], np.uint64)[None], width // 8)[0] for k in at])
+        for r in np.flatnonzero(apart[at]):
+            k = at[r]
+            other = (comp[at] != comp[k]) & (own[k] | own[at])
+            other &= (in_i[k] & in_j[at]) | (in_j[k] & in_i[at])
+            other &= small[r] | small
+            other &= (100 * n[at] >= percent * n[k]) & (100 * n[k] >= percent * n[at])
+            c = np.flatnonzero(other)
+            if len(c):
+                bound = overlap_bound(rows[r], n[k], rows[c], n[at][c])
+                may = linked(n[k], n[at][c], bound, percent)
+                if may.any():
+                    yield k, at[c[may]], bound[may] / (n[k] + n[at][c[may]])
+
+
+def _apart(comp: np.ndarray) -> np.ndarray:
+    """Which rows are outside the largest component."""
+    names, number = np.unique(comp, return_counts=True)
+    return comp != names[number.argmax()]
+
+
+def _pairs(a: list[int], b: list[int]) -> pa.Table:
+    return pa.table({"a": pa.array(map(min, a, b), pa.int64()), "b": pa.array(map(max, a, b), pa.int64())})
+
+
+def _most_promising(percent: int):
+    """Each class outside a cell's largest component with the one most like it, by the bitmaps, of all other components."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        doc, best = cell.column("doc_id").to_numpy(), {}
+        for k, others, alike in _partners(cell, percent):
+            # a row has partners at its own width and at smaller ones
+            best[k] = max(best.get(k, (-1.0, -1)), (float(alike.max()), int(others[alike.argmax()])))
+        return _pairs(doc[[*best]].tolist(), doc[[c for _, c in best.values()]].tolist()) if best else _pairs([], [])
+
+    return run
+
+
+def _undecided(percent: int):
+    """The rows of a cell with a possible partner in another component; each id once."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        has = np.zeros(len(cell), bool)
+        for k, others, _ in _partners(cell, percent):
+            has[k] = has[others] = True
+        kept = np.flatnonzero(has)
+        kept = kept[np.unique(cell.column("doc_id").to_numpy()[kept], return_index=True)[1]]
+        return cell.select(["token", "tile", "i", "j", "doc_id", "comp"]).take(pa.array(kept))
+
+    return run
+
+
+def joining_links(comp: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between these sets that join their components as far as all links together do, as pairs of places; exact, and fewer than components.
+
+    The overlaps of a set with all others are counted at once, from the lists of sets that hold each of its shingles.
     """
+    n = np.array([len(s) for s in sets])
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    order = np.argsort(flat, kind="stable")
+    first = np.concatenate([[True], flat[order][1:] != flat[order][:-1]])
+    kind = np.empty(len(flat), np.int64)
+    kind[order] = np.cumsum(first) - 1
+    start, holders = np.append(np.flatnonzero(first), len(flat)), row[order]
+    begin = np.concatenate([[0], np.cumsum(n)])
+    now, found = comp.copy(), []
+    for k in np.flatnonzero(_apart(comp)):
+        if (now == now[k]).all():
+            break
+        of = kind[begin[k]:begin[k + 1]]
+        size = start[of + 1] - start[of]
+        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        overlap = np.bincount(holders[np.repeat(start[of], size) + inner], minlength=len(sets))
+        others = np.flatnonzero(linked(n[k], n, overlap, percent) & (now != now[k]))
+        for c in others[np.unique(now[others], return_index=True)[1]].tolist():
+            found.append((int(k), c))
+            now[now == now[c]] = now[k]
+    return found
+
+
+def _joined(percent: int):
+    """The links that join the components of a cell."""
 
     def run(cell: pa.Table) -> pa.Table:
-        doc, comp, n = (cell.column(c).to_numpy() for c in ("doc_id", "comp", "n"))
-        own, in_i, in_j = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("own", "in_i", "in_j"))
-        maps = cell.column("map").to_pylist()
-        sizes = np.array([len(m) for m in maps])
-        names, number = np.unique(comp, return_counts=True)
-        apart = comp != names[number.argmax()]
-        found = []
-        for width in np.unique(sizes) if apart.any() else ():
-            # every pair is met at the smaller width of the two
-            at = np.flatnonzero(sizes >= width)
-            small = sizes[at] == width
-            rows = np.stack([fold(np.frombuffer(maps[k], np.uint64)[None], width // 8)[0] for k in at])
-            for r in np.flatnonzero(apart[at]):
-                k = at[r]
-                other = (comp[at] != comp[k]) & (own[k] | own[at])
-                other &= (in_i[k] & in_j[at]) | (in_j[k] & in_i[at])
-                other &= small[r] | small
-                other &= (100 * n[at] >= percent * n[k]) & (100 * n[k] >= percent * n[at])
-                c = np.flatnonzero(other)
-                if len(c):
-                    bound = overlap_bound(rows[r], n[k], rows[c], n[at][c])
-                    may = linked(n[k], n[at][c], bound, percent)
-                    c, bound = c[may], bound[may]
-                    if best and len(c):
-                        order = np.lexsort((-bound / (n[k] + n[at][c]), comp[at][c]))
-                        c = c[order[np.unique(comp[at][c][order], return_index=True)[1]]]
-                    found += [(min(doc[k], d), max(doc[k], d)) for d in doc[at][c]]
-        a, b = zip(*set(found)) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        doc = cell.column("doc_id").to_pylist()
+        sets = [np.frombuffer(h, np.uint64) for h in cell.column("hashes").to_pylist()]
+        found = joining_links(cell.column("comp").to_numpy(), sets, percent)
+        return _pairs([doc[x] for x, _ in found], [doc[y] for _, y in found])
 
     return run
 
 
-def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Candidates that a tile leaves: distinct rows (token, doc_id, bands, comp) of which some tokens join several components."""
+CELL = ["token", "tile", "i", "j"]
+
+
+def _cells(rows: DataFrame, maps: DataFrame) -> DataFrame:
+    """Rows of the cells of all tiles to compare, with bitmaps; of distinct rows (token, doc_id, bands, n, comp) of which some tokens join several components."""
     tiles_of = F.array_distinct(F.concat("bands", F.transform("bands", lambda b: b - 1)))
     each = rows.withColumn("tile", F.explode(tiles_of)).withColumn("own", F.array_contains("bands", F.col("tile")))
     members = F.count(F.lit(1)).alias("members")
     # tokens with the same members make the same tile: one of them is enough; a member is in a tile once, or its hashes would cancel out
     same = [F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")]
     mixed = each.groupBy("token", "tile").agg(members, *same, F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                              F.max("own").alias("owned"))
-    tiles = mixed.where("low <> high and owned").groupBy("tile", "members", "x", "y").agg(F.min("token").alias("token"))
-    tiles = stored(tiles.select("token", "tile", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "tiles")
+                                              F.max("own").alias("owned"), F.sum("n").alias("shingles"))
+    tiles = mixed.where("low <> high and owned").groupBy("tile", "members", "x", "y").agg(F.min("token").alias("token"), F.max("shingles").alias("shingles"))
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    tiles = stored(tiles.select("token", "tile", blocks.alias("blocks")), "tiles")
     inside = each.join(tiles, ["token", "tile"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     # cell (i, j) with i <= j compares the classes of block i with those of block j
     all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -305,8 +381,22 @@ def _tile_pairs(rows: DataFrame, maps: DataFrame, percent: int, best: bool) -> D
     inside = inside.withColumn("cell", F.explode(cells)).select(
         "token", "tile", "doc_id", "comp", "own", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"),
         (F.col("block") == F.col("cell.i")).alias("in_i"), (F.col("block") == F.col("cell.j")).alias("in_j"))
-    inside = inside.join(maps, "doc_id")
-    return inside.groupBy("token", "tile", "i", "j").applyInArrow(_tile(percent, best), "a bigint, b bigint").distinct()
+    return inside.join(maps, "doc_id")
+
+
+def _first_links(cells: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links among the most promising pairs of the cells, one pair a class at most."""
+    pairs = cells.groupBy(*CELL).applyInArrow(_most_promising(percent), "a bigint, b bigint").distinct()
+    return verified(pairs, texts, percent, width)
+
+
+def _last_links(cells: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links that join all components that any links in the cells join."""
+    kept = cells.groupBy(*CELL).applyInArrow(_undecided(percent), "token bigint, tile int, i int, j int, doc_id bigint, comp bigint")
+    kept = stored(kept, "undecided")
+    sets = _arrays(kept.select("doc_id"), texts, percent, width)
+    joined = kept.join(sets, "doc_id").groupBy(*CELL).applyInArrow(_joined(percent), "a bigint, b bigint")
+    return stored(joined.distinct(), "joining-links")
 
 
 def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
@@ -337,8 +427,9 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
             _prefixes(width, percent, spark.sparkContext.broadcast(late), miss), "token bigint, doc_id bigint"), "prefixes")
     shared = stored(prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token"), "shared-shingles")
     # a repeated id has the bands of all its texts, and each of its shingles once
-    reps = classes.groupBy(F.col("class").alias("doc_id")).agg(F.sort_array(F.collect_set(band_of(F.col("n"), percent))).alias("bands"))
-    rows = prefixes.join(shared.hint("merge"), "token", "left_semi").join(reps, "doc_id").select("token", "doc_id", "bands").distinct()
+    reps = classes.groupBy(F.col("class").alias("doc_id")).agg(
+        F.sort_array(F.collect_set(band_of(F.col("n"), percent))).alias("bands"), F.sum("n").alias("n"))
+    rows = prefixes.join(shared.hint("merge"), "token", "left_semi").join(reps, "doc_id").select("token", "doc_id", "bands", "n").distinct()
     rows = stored(rows, "shared-prefixes")
     # only shingles of two classes or more can link
     more = rows.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("token")
@@ -353,10 +444,10 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
         F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
     links = verified(possible(pairs, maps, percent), texts, percent, width)
     parts = connected_components(links)
-    # the most promising pairs first: what they join needs no further pair; then all pairs that are left
-    for best in (True, False):
+    # the most promising pairs first: what they join needs no further comparison; then all that is left
+    for more_links in (_first_links, _last_links):
         joined = rows.join(parts.select(F.col("node").alias("doc_id"), "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-        links = links.unionByName(verified(_tile_pairs(joined, maps, percent, best), texts, percent, width))
+        links = links.unionByName(more_links(_cells(joined, maps), texts, percent, width))
         parts = connected_components(links)
 
     # the class of a row, then the component of the class; rows without words are alone

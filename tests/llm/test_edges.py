@@ -318,6 +318,49 @@ def test_groups_near_the_bound(spark, monkeypatch):
             assert {r[0]: (r[1], r[2]) for r in jaccard.similar_groups(df, miss=miss).collect()} == want
 
 
+def test_groups_of_a_crowd_below_the_bound(spark, monkeypatch):
+    """Texts whose bitmaps allow a link to nearly all others, and that link to few: what is compared grows with the texts, not their square."""
+    base = prose(70, 92, False).split()
+    # one edit each, at the same place in every group: 83 of 93 shingles shared within a group, 78 of 98 between groups
+    texts = [(k, " ".join([*base[:at], f"edit{k}", *base[at + 1:]])) for k in range(136) for at in [4 + 5 * (k % 17)]]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    made, links = {}, []
+    plain, components = jaccard.stored, jaccard.connected_components
+
+    def counted(rows, label, *more):
+        out = plain(rows, label, *more)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    monkeypatch.setattr(jaccard, "connected_components", lambda edges: links.append(edges.count()) or components(edges))
+    want = brute.components(texts)
+    assert len({c for _, c in want.values()}) == 17
+    for shingles in (1_000_000, 2_000):
+        monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", shingles, raising=False)
+        assert {r[0]: (r[1], r[2]) for r in jaccard.similar_groups(df).collect()} == want
+        assert made["possible-pairs"] <= 10 * len(texts) and max(links) <= 10 * len(texts)
+
+
+def test_joining_links():
+    r = np.random.default_rng(5)
+    for percent in (20, 80):
+        core = r.integers(0, 1 << 62, 40).astype(np.uint64)
+        sets = [np.unique(np.concatenate([core[:r.integers(20, 41)], r.integers(0, 1 << 62, r.integers(0, 9)).astype(np.uint64)])) for _ in range(60)]
+        comp = np.where(np.arange(60) < 9, 0, np.arange(60))
+        pairs = [(x, y) for x in range(60) for y in range(x) if jaccard.linked(len(sets[x]), len(sets[y]), len(np.intersect1d(sets[x], sets[y])), percent)]
+        found = jaccard.joining_links(comp, sets, percent)
+        assert {(max(p), min(p)) for p in found} <= set(pairs) and len(found) < len(np.unique(comp))
+
+        def labels(edges):
+            now = comp.copy()
+            for x, y in edges:
+                now[now == now[x]] = now[y]
+            return [int(np.flatnonzero(now == c)[0]) for c in now]
+
+        assert labels(found) == labels(pairs)
+
+
 def test_groups_of_repeated_rows(spark):
     """Every row twice, and one id with texts of very different lengths.
 
