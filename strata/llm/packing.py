@@ -14,13 +14,11 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import stored
 from strata.llm.shingles import text_bytes
-from strata.llm.tokens import WordEncoder
+from strata.llm.tokens import BATCH_TEXTS, WordEncoder
 from strata.session import session_conf
 
 END_ID = 2
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-# Whole texts that are sent to a Python worker at once; executor and worker each hold as many.
-BATCH_TEXTS = 500
 # Parts of each length's documents that are numbered apart.
 RANK_BLOCKS = 4096
 

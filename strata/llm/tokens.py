@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import SPACES, stored
 from strata.llm.shingles import runs_of_texts, span_hashes, text_bytes, word_spans
-from strata.session import shared_dir
+from strata.session import session_conf, shared_dir
 
 CACHE = "content binary, tokenizer string, n_tokens bigint"
+# Whole texts that are sent to a Python worker at once; executor and worker each hold as many.
+BATCH_TEXTS = 500
 # Words, and parts of words, whose ids a Python worker remembers; later words are put together from parts, later parts encoded, each time they come.
 MEMO_WORDS, MEMO_PARTS = 250_000, 250_000
 # Marks that end a word. No apostrophe, as letters and an apostrophe may belong together.
@@ -218,7 +220,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, id_c
     # (an inner join with distinct digests: a semi-join would be moved below the aggregate, and copies shuffled one by one)
     texts = keyed.groupBy("content").agg(F.min("text").alias("text")).join(missing.hint("merge"), "content")
     counted = texts.mapInArrow(_counter(tokenizer), "content binary, n_tokens bigint")
-    counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(path)
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_TEXTS)}):
+        counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(path)
     counts = spark.read.schema(CACHE).parquet(path).where(F.col("tokenizer") == version).dropDuplicates(["content"])
     counts = stored(counts.select("content", "n_tokens"), "content-counts")
     return rows.join(counts.hint("merge"), "content").select("doc_id", "n_bytes", "n_tokens")

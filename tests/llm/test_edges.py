@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 
@@ -318,6 +319,24 @@ def test_groups_near_the_bound(spark, monkeypatch):
             assert {r[0]: (r[1], r[2]) for r in jaccard.similar_groups(df, miss=miss).collect()} == want
 
 
+def test_token_counts_sends_few_texts_at_once(spark, monkeypatch):
+    """Each text gets the number of texts that came with it instead of its tokens."""
+    def counter(path):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column("content"), pa.array([len(b)] * len(b), pa.int64())], ["content", "n_tokens"])
+
+        return run
+
+    monkeypatch.setattr(tokens, "_counter", counter)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(9_000)], "doc_id bigint, text string")
+    got = tokens.token_counts(df, tokenizer_path()).collect()
+    assert len(got) == 9_000 and max(r["n_tokens"] for r in got) <= 500
+    assert spark.conf.get(size) == before
+
+
 def test_groups_of_a_crowd_below_the_bound(spark, monkeypatch):
     """Texts whose bitmaps allow a link to nearly all others, and that link to few: what is compared grows with the texts, not their square."""
     base = prose(70, 92, False).split()
