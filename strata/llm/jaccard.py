@@ -425,15 +425,14 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
     prefixes = stored(
         texts.join(maybe_broadcast(heads), "doc_id", "left_semi").mapInArrow(
             _prefixes(width, percent, spark.sparkContext.broadcast(late), miss), "token bigint, doc_id bigint"), "prefixes")
-    shared = stored(prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token"), "shared-shingles")
+    # only shingles of two classes or more can link
+    shared = prefixes.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("token")
+    shared = stored(shared, "shared-shingles")
     # a repeated id has the bands of all its texts, and each of its shingles once
     reps = classes.groupBy(F.col("class").alias("doc_id")).agg(
         F.sort_array(F.collect_set(band_of(F.col("n"), percent))).alias("bands"), F.sum("n").alias("n"))
     rows = prefixes.join(shared.hint("merge"), "token", "left_semi").join(reps, "doc_id").select("token", "doc_id", "bands", "n").distinct()
-    rows = stored(rows, "shared-prefixes")
-    # only shingles of two classes or more can link
-    more = rows.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("token")
-    rows = stored(rows.join(stored(more, "candidate-shingles").hint("merge"), "token", "left_semi"), "candidate-prefixes")
+    rows = stored(rows, "candidate-prefixes")
     wanted = maybe_broadcast(rows.select("doc_id").distinct())
     maps = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(width, percent, "map"), MAPS), "candidate-maps")
 
@@ -447,8 +446,11 @@ def similar_groups(docs: DataFrame, percent: int = 80, width: int = 5, id_col: s
     # the most promising pairs first: what they join needs no further comparison; then all that is left
     for more_links in (_first_links, _last_links):
         joined = rows.join(parts.select(F.col("node").alias("doc_id"), "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-        links = links.unionByName(more_links(_cells(joined, maps), texts, percent, width))
-        parts = connected_components(links)
+        more = more_links(_cells(joined, maps), texts, percent, width)
+        if not more.isEmpty():
+            # components stand for the links that made them: few rounds join what is new
+            known = parts.where("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))
+            parts = connected_components(known.unionByName(more))
 
     # the class of a row, then the component of the class; rows without words are alone
     by_class = classes.join(parts, classes["class"] == parts["node"], "left").select("digest", F.coalesce("comp", "class").alias("found"))
