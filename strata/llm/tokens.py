@@ -18,10 +18,13 @@ from strata.session import session_conf, shared_dir
 CACHE = "content binary, tokenizer string, n_tokens bigint"
 # Whole texts that are sent to a Python worker at once; executor and worker each hold as many.
 BATCH_TEXTS = 500
-# Words, and parts of words, whose ids a Python worker remembers; later words are put together from parts, later parts encoded, each time they come.
-MEMO_WORDS, MEMO_PARTS = 250_000, 250_000
+# Words, or parts of words, whose ids a Python worker remembers; later ones are encoded each time they come.
+MEMO_WORDS = 500_000
 # Marks that end a word. No apostrophe, as letters and an apostrophe may belong together.
 MARKS = b".,;:!?()#*$%&|"
+_IS_MARK = np.isin(np.arange(256), list(MARKS))
+# Texts encoded in one go hold about this many bytes together.
+RUN_BYTES = 1_000_000
 # New words that are joined for a call.
 CALL_WORDS = 512
 
@@ -32,9 +35,10 @@ class WordEncoder:
     The tokenizer must drop white space and split at it (checked on examples when it is made), so
     the ids of a text are the ids of its words in turn. Texts are UTF-8 bytes; words are cut at space and the
     control characters 9 to 13. What else counts as white space stays inside a word and
-    is left to the tokenizer. Ids, as little-endian 32-bit numbers, of words seen before come from a bounded memo; new
-    words are joined by spaces and encoded by the library in one call, and the offsets tell
-    which ids belong to which word.
+    is left to the tokenizer. Where the tokenizer folds case and encodes marks after letters apart (checked too), a word of
+    letters A-Z counts as two parts, the lower-cased letters and the marks after them. Ids, as little-endian 32-bit
+    numbers, of parts seen before come from a bounded memo; new ones are joined by spaces and encoded by the
+    library in one call, and the offsets tell which ids belong to which.
     """
 
     _own: dict[str, WordEncoder] = {}
@@ -54,7 +58,6 @@ class WordEncoder:
             ("Word", "word", ""), ("ABCs.", "abcs", "."), ("tHen,;", "then", ",;"), ("is!?", "is", "!?"), ("a)", "a", ")"),
             ("n\u00e9e,", "n\u00e9e", ","), ("\u00c4.", "\u00c4", "."), ("\u03b1\u03a3#", "\u03b1\u03a3", "#")))
         self.memo: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -80,16 +83,19 @@ class WordEncoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids of the texts that lie between the offsets, for some texts at a time: all ids, and the number of ids before each text.
 
-        Equal words are found by their hashes, and compared byte by byte with the first of them, so each
-        distinct word is looked up once; ids are put together by array operations.
+        Equal parts are found by their hashes, and compared byte by byte with the first of them, so each
+        distinct part is looked up once; ids are put together by array operations.
         """
-        for first, last in runs_of_texts(offsets):
-            b = data[offsets[first]:offsets[last]]
-            begins, ends, bounds = word_spans(b, offsets[first:last + 1] - offsets[first])
+        for first, last in runs_of_texts(offsets, RUN_BYTES):
+            b, inner = data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
+            begins, ends, bounds = word_spans(b, inner)
+            if self.folds:
+                b, begins, ends = _parts(b, begins, ends)
+                bounds = np.searchsorted(begins, inner)
             _, example, kind = np.unique(span_hashes(b, begins, ends), return_index=True, return_inverse=True)
             size = ends - begins
             if not (np.array_equal(size, size[example][kind]) and _same_bytes(b, begins, begins[example][kind], size)):
-                example = kind = np.arange(len(begins))  # two words with one hash: look every word up
+                example = kind = np.arange(len(begins))  # two parts with one hash: look every part up
             raw = b.tobytes()
             ids = self._ids_of([raw[x:y] for x, y in zip(begins[example].tolist(), ends[example].tolist())])
             flat = np.frombuffer(b"".join(ids), "<u4")
@@ -100,26 +106,16 @@ class WordEncoder:
             yield flat[np.repeat(place[kind] - before[:-1], each) + np.arange(before[-1])], before[bounds]
 
     def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of words; what only differs in case or ends in marks is encoded once, and remembered while there is room."""
+        """The ids of words; marks after letters other than A-Z are encoded apart, too."""
         if not self.folds:
-            return self._known(words)
-        split = {}
-        for w in words:
-            core = w.rstrip(MARKS)
-            if core.isalpha():
-                split[w] = core.lower(), w[len(core):]
-            elif len(core) < len(w) and _of_letters(core):
-                split[w] = core, w[len(core):]
-        found = self._known(words - split.keys() | {p for pair in split.values() for p in pair if p})
-        return {w: found[w] if w not in split else found[split[w][0]] + found[split[w][1]] if split[w][1] else found[split[w][0]] for w in words}
-
-    def _known(self, parts: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of parts, from the memo or the library."""
-        found = {p: i for p in parts if (i := self.parts.get(p)) is not None}
-        new = self._call(parts - found.keys())
-        if len(self.parts) < MEMO_PARTS:
-            self.parts.update(new)
-        return found | new
+            return self._call(words)
+        split = {w: len(core) for w in words if not w.isascii() and len(core := w.rstrip(MARKS)) < len(w) and _of_letters(core)}
+        parts = {p for w, n in split.items() for p in (w[:n], w[n:])}
+        found = {p: i for p in parts if (i := self.memo.get(p)) is not None}
+        found |= self._call((words - split.keys() | parts) - found.keys())
+        if len(self.memo) < MEMO_WORDS:
+            self.memo.update((p, found[p]) for p in parts)
+        return {w: found[w[:split[w]]] + found[w[split[w]:]] if w in split else found[w] for w in words}
 
     def _call(self, words: set[bytes]) -> dict[bytes, bytes]:
         # a special token in a word may swallow its surroundings: such words go to the library alone
@@ -151,8 +147,29 @@ class WordEncoder:
         return zip(calls, texts, self.library.encode_batch(texts, add_special_tokens=False))
 
 
+def _parts(b: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words as parts: those of letters A-Z are lower-cased (in a copy of the bytes), and marks after these letters are a part of their own."""
+    low = b | np.uint8(32)
+    others = np.zeros(len(b) + 1, np.int32)
+    np.cumsum(low - np.uint8(97) >= 26, out=others[1:])
+    cores = ends.copy()
+    at = np.flatnonzero(_IS_MARK[b[ends - 1]])
+    while len(at):
+        cores[at] -= 1
+        at = at[cores[at] > begins[at]]
+        at = at[_IS_MARK[b[cores[at] - 1]]]
+    folds = (cores > begins) & (others[cores] == others[begins])
+    edges = np.zeros(len(b) + 1, np.int8)
+    edges[begins[folds]] += 1
+    edges[cores[folds]] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8).view(bool)
+    cuts = cores[folds & (cores < ends)]
+    return np.where(inside, low, b), np.sort(np.concatenate([begins, cuts])), np.sort(np.concatenate([ends, cuts]))
+
+
 def _of_letters(word: bytes) -> bool:
-    return word.isalpha() or not word.isascii() and word.decode().isalpha()
+    # lower-cased, too: the one letter whose small form has a mark apart is no word of letters to the tokenizer
+    return word.isalpha() or not word.isascii() and (text := word.decode()).isalpha() and text.lower().isalpha()
 
 
 def _same_bytes(b: np.ndarray, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> bool:

@@ -71,3 +71,15 @@ def test_parts_of_words_are_encoded_once(monkeypatch):
     got = [ids.tolist() for t in texts for ids, _ in own.encode(*shingles.text_bytes(pa.array([t])))]
     assert got == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
     assert len(asked) == len(set(asked)) and {b"garden", "née".encode()} <= set(asked) and not {b"garden.", "née;".encode()} & set(asked)
+
+
+def test_encoder_looks_parts_of_words_up(monkeypatch):
+    """Letters in any case, and the marks after them, are looked up apart from each other and once."""
+    own, looked = tokens.WordEncoder(queries.tokenizer_path()), []
+    found = own._ids_of
+    monkeypatch.setattr(own, "_ids_of", lambda words: looked.extend(words) or found(words))
+    texts = ["Garden, garden. GARDEN: ... x1. it's.", "", ".a b.", "İ. aİ, ÉCOLE; Straße! | a|", "z.,!?"]
+    got = [f[a:z].tolist() for f, n in own.encode(*shingles.text_bytes(pa.array(texts))) for a, z in zip(n, n[1:])]
+    assert got == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(looked) == sorted(
+        w.encode() for w in ["garden", ",", ".", ":", "...", "x1.", "it's.", ".a", "b", "İ.", "aİ,", "ÉCOLE;", "Straße!", "|", "a", "z", ".,!?"])
